@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def fit_line(x: Column, y: Column, over: WindowSpec | None = None) -> tuple[Column, Column, Column]:
-    """Slope, mean of x and mean of y for integer ``x`` and ``y``.
+def fit_line(x: str, y: str, over: str = "") -> dict[str, Column]:
+    """``slope``, ``mean_x`` and ``mean_y`` of integer columns without nulls.
 
     The sums are decimals without fraction, so the line does not depend on row
     order; ``mean_y + slope * (x - mean_x)`` evaluates it.  The slope is null
     when all x are equal.
     """
 
-    def total(value: Column) -> Column:
-        summed = F.sum(value) if over is None else F.sum(value).over(over)
-        return summed.cast("decimal(38,0)")
-
-    x, y = x.cast("decimal(18,0)"), y.cast("decimal(18,0)")
-    n = total(F.when(x.isNotNull() & y.isNotNull(), F.lit(1)))
-    sum_x, sum_y = total(x), total(y)
-    rise = n * total(x * y) - sum_x * sum_y
-    run = n * total(x * x) - sum_x * sum_x
-    slope = F.try_divide(rise.cast("double"), run.cast("double"))
-    mean_x = F.try_divide(sum_x.cast("double"), n.cast("double"))
-    mean_y = F.try_divide(sum_y.cast("double"), n.cast("double"))
-    return slope, mean_x, mean_y
+    def total(value: str) -> str:
+        return f"CAST(sum({value}) {over} AS DECIMAL(38,0))"
+
+    x, y = f"CAST({x} AS DECIMAL(18,0))", f"CAST({y} AS DECIMAL(18,0))"
+    n, sum_x, sum_y = total("1"), total(x), total(y)
+    rise = f"CAST({n} * {total(f'{x} * {y}')} - {sum_x} * {sum_y} AS DOUBLE)"
+    run = f"CAST({n} * {total(f'{x} * {x}')} - {sum_x} * {sum_x} AS DOUBLE)"
+
+    def ratio(above: str, below: str) -> Column:
+        return F.expr(f"try_divide({above}, {below})")
+
+    return {
+        "slope": ratio(rise, run),
+        "mean_x": ratio(f"CAST({sum_x} AS DOUBLE)", f"CAST({n} AS DOUBLE)"),
+        "mean_y": ratio(f"CAST({sum_y} AS DOUBLE)", f"CAST({n} AS DOUBLE)"),
+    }

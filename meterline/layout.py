@@ -16,6 +16,7 @@ class TableSpec:
     min_records: int = 0
     partition_by: tuple[str, ...] = ()
     tagged: bool = False  # carries a ``_layer`` column
+    few_per_partition: bool = False  # an aggregate with a handful of rows per partition value
 
     @property
     def key(self) -> str:
@@ -30,8 +31,8 @@ TABLES = {
         TableSpec(BRONZE, "taxi_zone_lookup", "zone lookup", 200, (), True),
         TableSpec(SILVER, "trips_cleaned", "cleaned trips", 8_000_000, ("pickup_date",), True),
         TableSpec(GOLD, "trips_daily_metrics", "metrics per day", 10, (), True),
-        TableSpec(GOLD, "trips_hourly_metrics", "metrics per hour", 100, ("pickup_date",), True),
-        TableSpec(GOLD, "trips_borough_metrics", "metrics per borough and day", 20, ("pickup_date",), True),
+        TableSpec(GOLD, "trips_hourly_metrics", "metrics per hour", 100, ("pickup_date",), True, True),
+        TableSpec(GOLD, "trips_borough_metrics", "metrics per borough", 20, ("pickup_date",), True, True),
         TableSpec(GOLD, "trips_popular_routes", "metrics per route", 100, (), True),
         TableSpec(ANALYTICS, "kpi_dashboard", "monthly KPIs", 5),
         TableSpec(ANALYTICS, "time_series_trends", "daily trends", 10),

@@ -1,16 +1,40 @@
-"""Typing and row filters of the silver layer."""
+"""Typing and row filters of the silver layer.
+
+Rules are named SQL conditions, so a caller can add or replace them as text.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.numeric import percent
 
-DOUBLES = ("fare_amount", "total_amount", "tip_amount", "trip_distance")
-INTEGERS = ("passenger_count", "PULocationID", "DOLocationID")
+# What each named column becomes.
+CONVERSIONS = {
+    "tpep_pickup_datetime": "try_to_timestamp(tpep_pickup_datetime)",
+    "tpep_dropoff_datetime": "try_to_timestamp(tpep_dropoff_datetime)",
+    "pickup_date": "to_date(try_to_timestamp(tpep_pickup_datetime))",
+    **{
+        name: f"try_cast({name} AS DOUBLE)"
+        for name in ("fare_amount", "total_amount", "tip_amount", "trip_distance")
+    },
+    **{name: f"try_cast({name} AS INT)" for name in ("passenger_count", "PULocationID", "DOLocationID")},
+}
+
+# The conditions a trip must meet.
+TRIP_RULES = {
+    "fare_positive": "fare_amount > 0",
+    "total_positive": "total_amount > 0",
+    "distance_positive": "trip_distance > 0",
+    "distance_below_100": "trip_distance < 100",
+    "passengers_1_to_6": "passenger_count BETWEEN 1 AND 6",
+    "pickup_before_dropoff": "tpep_pickup_datetime < tpep_dropoff_datetime",
+    "pickup_zone_known": "PULocationID IS NOT NULL",
+    "dropoff_zone_known": "DOLocationID IS NOT NULL",
+}
 
 
 def typed_trips(bronze: DataFrame) -> DataFrame:
@@ -19,59 +43,35 @@ def typed_trips(bronze: DataFrame) -> DataFrame:
     Values that do not convert become null (and are then removed by the filters)
     instead of failing the job.  Doubles are truncated towards zero as integers.
     """
-    pickup = F.try_to_timestamp("tpep_pickup_datetime")
-    conversions = {
-        "tpep_pickup_datetime": pickup,
-        "tpep_dropoff_datetime": F.try_to_timestamp("tpep_dropoff_datetime"),
-        "pickup_date": F.to_date(pickup),
-    }
-    conversions |= {name: F.col(name).try_cast("double") for name in DOUBLES}
-    conversions |= {name: F.col(name).try_cast("int") for name in INTEGERS}
-    return bronze.withColumns(conversions)
-
-
-def trip_rules() -> dict[str, Column]:
-    """The conditions a trip must meet, by name."""
-    distance, passengers = F.col("trip_distance"), F.col("passenger_count")
-    return {
-        "fare_positive": F.col("fare_amount") > 0,
-        "total_positive": F.col("total_amount") > 0,
-        "distance_positive": distance > 0,
-        "distance_below_100": distance < 100,
-        "passengers_1_to_6": passengers.between(1, 6),
-        "pickup_before_dropoff": F.col("tpep_pickup_datetime") < F.col("tpep_dropoff_datetime"),
-        "pickup_zone_known": F.col("PULocationID").isNotNull(),
-        "dropoff_zone_known": F.col("DOLocationID").isNotNull(),
-    }
-
-
-def _all_of(rules: dict[str, Column]) -> Column:
-    return reduce(Column.__and__, rules.values())
-
-
-def clean_trips(typed: DataFrame, rules: dict[str, Column] | None = None) -> DataFrame:
+    return bronze.withColumns({name: F.expr(sql) for name, sql in CONVERSIONS.items()})
+
+
+def _all_of(rules: Mapping[str, str]) -> str:
+    return " AND ".join(f"({rule})" for rule in rules.values())
+
+
+def clean_trips(typed: DataFrame, rules: Mapping[str, str] = TRIP_RULES) -> DataFrame:
     """Rows meeting every rule, as one conjunction so that it can be pushed down whole."""
-    return typed.filter(_all_of(rules or trip_rules()))
+    return typed.filter(_all_of(rules))
 
 
-def filter_audit(typed: DataFrame, rules: dict[str, Column] | None = None) -> DataFrame:
+def filter_audit(typed: DataFrame, rules: Mapping[str, str] = TRIP_RULES) -> DataFrame:
     """Rows before, after and removed, plus the rows each rule rejects, in one pass.
 
     A rule that evaluates to null rejects the row; a row may count under several rules.
     """
-    rules = rules or trip_rules()
     counts = typed.agg(
-        F.count("*").alias("rows_before"),
-        F.count_if(_all_of(rules)).alias("rows_after"),
+        F.expr("count(*) AS rows_before"),
+        F.expr(f"count_if({_all_of(rules)}) AS rows_after"),
         *[
-            F.count_if(~F.coalesce(rule, F.lit(False))).alias(f"rejected_{name}")
+            F.expr(f"count_if(NOT coalesce({rule}, false)) AS rejected_{name}")
             for name, rule in rules.items()
         ],
     )
-    removed = F.col("rows_before") - F.col("rows_after")
+    removed = "rows_before - rows_after"
     return counts.withColumns(
         {
-            "rows_removed": removed,
-            "removed_pct": F.coalesce(percent(removed, F.col("rows_before")), F.lit(0.0)),
+            "rows_removed": F.expr(removed),
+            "removed_pct": F.coalesce(percent(removed, "rows_before"), F.lit(0.0)),
         }
     )

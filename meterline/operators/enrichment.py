@@ -19,9 +19,9 @@ class DuplicateZoneError(ValueError):
 def tidy_zones(zones: DataFrame) -> DataFrame:
     return zones.withColumns(
         {
-            "LocationID": F.col("LocationID").try_cast("int"),
-            "Borough": F.upper(F.trim("Borough")),
-            "Zone": F.trim("Zone"),
+            "LocationID": F.expr("try_cast(LocationID AS INT)"),
+            "Borough": F.expr("upper(trim(Borough))"),
+            "Zone": F.expr("trim(Zone)"),
         }
     )
 
@@ -29,16 +29,20 @@ def tidy_zones(zones: DataFrame) -> DataFrame:
 def checked_zones(zones: DataFrame) -> DataFrame:
     """Tidy zones ready to be joined: ids proven unique, size measured.
 
-    One small aggregate over the lookup decides the join strategy.  A lookup too
-    large to broadcast comes back without a hint, and the joins shuffle, with hot
-    zone ids split by adaptive skew handling.
+    At most ``BROADCAST_ROWS + 1`` ids are looked at to decide the join strategy.
+    A lookup too large to broadcast is checked by a distributed aggregate and comes
+    back without a hint: the joins shuffle, and adaptive execution splits hot ids.
     """
     tidy = tidy_zones(zones)
-    ids = tidy.filter(F.col("LocationID").isNotNull()).groupBy("LocationID").count()
-    rows, largest = ids.agg(F.sum("count"), F.max("count")).first()
-    if (largest or 0) > 1:
-        raise DuplicateZoneError(f"a zone id occurs {largest} times in the lookup")
-    return F.broadcast(tidy) if (rows or 0) <= BROADCAST_ROWS else tidy
+    ids = tidy.filter("LocationID IS NOT NULL").select("LocationID")
+    sample = [row[0] for row in ids.limit(BROADCAST_ROWS + 1).collect()]
+    if len(sample) <= BROADCAST_ROWS:
+        duplicated = len(set(sample)) < len(sample)
+    else:
+        duplicated = bool(ids.groupBy("LocationID").count().filter("count > 1").take(1))
+    if duplicated:
+        raise DuplicateZoneError("a zone id occurs more than once in the lookup")
+    return F.broadcast(tidy) if len(sample) <= BROADCAST_ROWS else tidy
 
 
 def attach_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
@@ -48,12 +52,10 @@ def attach_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     null names.
     """
     for side, trip_key in (("PU", "PULocationID"), ("DO", "DOLocationID")):
-        names = zones.select(
-            F.col("LocationID").alias("_zone_id"),
-            F.col("Borough").alias(f"{side}_Borough"),
-            F.col("Zone").alias(f"{side}_Zone"),
+        names = zones.selectExpr(
+            "LocationID AS _zone_id", f"Borough AS {side}_Borough", f"Zone AS {side}_Zone"
         )
-        trips = trips.join(names, trips[trip_key] == names["_zone_id"], "left").drop("_zone_id")
+        trips = trips.join(names, F.expr(f"{trip_key} = _zone_id"), "left").drop("_zone_id")
     return trips
 
 

@@ -8,35 +8,37 @@ from pyspark.sql import functions as F
 from meterline.functions.calendar import time_period, weekend_label
 from meterline.functions.numeric import round_half_up
 
+# Ratio columns: guard that must be positive (else 0), and the unrounded value.
+RATIOS = {
+    "avg_speed_mph": ("trip_duration_minutes", "try_divide(trip_distance, trip_duration_minutes / 60)"),
+    "tip_percentage": ("fare_amount", "try_divide(tip_amount, fare_amount) * 100"),
+    "fare_per_mile": ("trip_distance", "try_divide(fare_amount, trip_distance)"),
+}
+CALENDAR = {
+    "pickup_hour": "hour(tpep_pickup_datetime)",
+    "pickup_dayofweek": "dayofweek(tpep_pickup_datetime)",
+    "pickup_day": "dayofmonth(tpep_pickup_datetime)",
+    "pickup_month": "month(tpep_pickup_datetime)",
+    "pickup_year": "year(tpep_pickup_datetime)",
+    "trip_duration_minutes": (
+        "(unix_timestamp(tpep_dropoff_datetime) - unix_timestamp(tpep_pickup_datetime)) / 60"
+    ),
+}
+
 
 def trip_features(cleaned: DataFrame) -> DataFrame:
     """Durations, calendar parts, ratios and labels.
 
-    All columns are computed from the incoming row at once, so the ratios see the
-    unrounded fare although ``fare_amount`` itself leaves rounded to cents.
+    Three projections, each reusing the columns of the one before.  Folded into
+    one, the generated method would exceed the size the JVM compiles, and every
+    row would be interpreted.  Ratios are taken before the amounts are rounded.
     """
-    pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
-    fare, tip, distance = F.col("fare_amount"), F.col("tip_amount"), F.col("trip_distance")
-    seconds = F.unix_timestamp(dropoff) - F.unix_timestamp(pickup)
-    minutes = seconds / 60
-
-    def ratio(guard, value):
-        return F.when(guard > 0, round_half_up(value, 2)).otherwise(F.lit(0.0))
-
-    return cleaned.withColumns(
-        {
-            "trip_duration_minutes": minutes,
-            "pickup_hour": F.hour(pickup),
-            "pickup_dayofweek": F.dayofweek(pickup),
-            "pickup_day": F.dayofmonth(pickup),
-            "pickup_month": F.month(pickup),
-            "pickup_year": F.year(pickup),
-            "avg_speed_mph": ratio(seconds, distance / (minutes / 60)),
-            "tip_percentage": ratio(fare, tip / fare * 100),
-            "fare_per_mile": ratio(distance, fare / distance),
-            "fare_amount": round_half_up(fare, 2),
-            "total_amount": round_half_up(F.col("total_amount"), 2),
-            "time_period": time_period(F.hour(pickup)),
-            "day_type": weekend_label(F.dayofweek(pickup)),
-        }
-    )
+    timed = cleaned.withColumns({name: F.expr(sql) for name, sql in CALENDAR.items()})
+    raw = {f"_{name}": F.expr(f"IF({guard} > 0, {value}, 0D)") for name, (guard, value) in RATIOS.items()}
+    labels = {
+        "time_period": time_period("pickup_hour"),
+        "day_type": weekend_label("pickup_dayofweek"),
+    }
+    rounded = {name: round_half_up(f"_{name}", 2) for name in RATIOS}
+    rounded |= {name: round_half_up(name, 2) for name in ("fare_amount", "total_amount")}
+    return timed.withColumns(raw | labels).withColumns(rounded).drop(*raw)

@@ -10,60 +10,53 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions.calendar import weekday_name, weekend_label, year_month
-from meterline.functions.numeric import CENTS, exact_mean, exact_sum, percent
-
-# Units of the already rounded gold averages.
-THOUSANDTHS = 1000
+from meterline.functions.numeric import CENTS, THOUSANDTHS, exact_mean, exact_sum, percent
 
+# Labels of the two ends of the ranking.
 BEST_LABEL, WORST_LABEL = "Top 10 Days", "Bottom 10 Days"
 
 
 def global_kpis(daily: DataFrame) -> DataFrame:
     """One row of headline figures; averages are means of the daily averages."""
-    days = F.count("pickup_date")
-    trips = F.sum("total_trips")
     return daily.agg(
-        trips.alias("total_trips_ytd"),
-        F.round(exact_sum(F.col("total_revenue"), CENTS), 2).alias("total_revenue_ytd"),
-        F.round(exact_mean(F.col("avg_fare"), CENTS), 2).alias("avg_fare_ytd"),
-        F.round(exact_mean(F.col("avg_distance"), THOUSANDTHS), 2).alias("avg_distance_ytd"),
-        F.round(exact_mean(F.col("avg_duration"), CENTS), 2).alias("avg_duration_ytd"),
-        days.alias("days_in_operation"),
-        F.round(F.try_divide(trips, days), 0).alias("avg_trips_per_day"),
+        F.expr("sum(total_trips) AS total_trips_ytd"),
+        exact_sum("total_revenue", CENTS, 2).alias("total_revenue_ytd"),
+        exact_mean("avg_fare", CENTS, 2).alias("avg_fare_ytd"),
+        exact_mean("avg_distance", THOUSANDTHS, 2).alias("avg_distance_ytd"),
+        exact_mean("avg_duration", CENTS, 2).alias("avg_duration_ytd"),
+        F.expr("count(pickup_date) AS days_in_operation"),
+        F.expr("round(try_divide(sum(total_trips), count(pickup_date)), 0) AS avg_trips_per_day"),
     )
 
 
 def monthly_kpis(daily: DataFrame) -> DataFrame:
     """Monthly totals with growth over the previous month present in the data."""
-    monthly = daily.groupBy(year_month(F.col("pickup_date")).alias("year_month")).agg(
+    monthly = daily.groupBy(year_month("pickup_date").alias("year_month")).agg(
         F.sum("total_trips").alias("monthly_trips"),
-        F.round(exact_sum(F.col("total_revenue"), CENTS), 2).alias("monthly_revenue"),
-        F.round(exact_mean(F.col("avg_fare"), CENTS), 2).alias("monthly_avg_fare"),
+        exact_sum("total_revenue", CENTS, 2).alias("monthly_revenue"),
+        exact_mean("avg_fare", CENTS, 2).alias("monthly_avg_fare"),
     )
-    previous = F.lag("monthly_trips").over(Window.orderBy("year_month"))
-    trips, before = F.col("monthly_trips"), F.col("prev_month_trips")
-    growth = F.when(before.isNotNull(), percent(trips - before, before)).otherwise(F.lit(0.0))
-    return monthly.withColumn("prev_month_trips", previous).withColumn("mom_growth_pct", growth)
+    growth = percent("monthly_trips - prev_month_trips", "prev_month_trips")
+    return monthly.withColumn(
+        "prev_month_trips", F.lag("monthly_trips").over(Window.orderBy("year_month"))
+    ).withColumn("mom_growth_pct", F.when(F.isnotnull("prev_month_trips"), growth).otherwise(0.0))
 
 
 def daily_trends(daily: DataFrame) -> DataFrame:
     """Trailing 7- and 30-row means; the frames count rows, so a missing day is no gap."""
-    ordered = Window.orderBy("pickup_date")
-    week, month = ordered.rowsBetween(-6, 0), ordered.rowsBetween(-29, 0)
-    trips, revenue = F.col("total_trips"), F.col("total_revenue")
-    day_of_week = F.dayofweek("pickup_date")
+    week, month = (f"OVER (ORDER BY pickup_date ROWS {n} PRECEDING)" for n in (6, 29))
     return daily.select(
         "pickup_date",
         "total_trips",
         "total_revenue",
         "avg_fare",
         "avg_distance",
-        F.round(F.avg(trips).over(week), 0).alias("trips_ma7"),
-        F.round(F.avg(trips).over(month), 0).alias("trips_ma30"),
-        F.round(exact_mean(revenue, CENTS, week), 2).alias("revenue_ma7"),
-        F.round(exact_mean(revenue, CENTS, month), 2).alias("revenue_ma30"),
-        day_of_week.alias("day_of_week"),
-        weekend_label(day_of_week).alias("is_weekend"),
+        F.expr(f"round(avg(total_trips) {week}, 0) AS trips_ma7"),
+        F.expr(f"round(avg(total_trips) {month}, 0) AS trips_ma30"),
+        exact_mean("total_revenue", CENTS, 2, week).alias("revenue_ma7"),
+        exact_mean("total_revenue", CENTS, 2, month).alias("revenue_ma30"),
+        F.expr("dayofweek(pickup_date) AS day_of_week"),
+        weekend_label("dayofweek(pickup_date)").alias("is_weekend"),
     )
 
 
@@ -80,27 +73,28 @@ def performance_ranking(daily: DataFrame, n: int = 10) -> DataFrame:
 
 def weekday_comparison(trends: DataFrame) -> DataFrame:
     return trends.groupBy("is_weekend").agg(
-        F.round(F.avg("total_trips"), 0).alias("avg_daily_trips"),
-        F.round(exact_mean(F.col("total_revenue"), CENTS), 2).alias("avg_daily_revenue"),
-        F.round(exact_mean(F.col("avg_fare"), CENTS), 2).alias("avg_fare"),
+        F.expr("round(avg(total_trips), 0) AS avg_daily_trips"),
+        exact_mean("total_revenue", CENTS, 2).alias("avg_daily_revenue"),
+        exact_mean("avg_fare", CENTS, 2).alias("avg_fare"),
     )
 
 
 def hourly_heatmap(hourly: DataFrame) -> DataFrame:
-    day_of_week = F.dayofweek("pickup_date")
     return hourly.groupBy(
-        weekday_name(day_of_week).alias("day_name"), day_of_week.alias("day_of_week"), "pickup_hour"
+        weekday_name("dayofweek(pickup_date)").alias("day_name"),
+        F.expr("dayofweek(pickup_date) AS day_of_week"),
+        "pickup_hour",
     ).agg(
-        F.round(F.avg("total_trips"), 0).alias("avg_trips"),
-        F.round(exact_mean(F.col("avg_fare"), CENTS), 2).alias("avg_fare"),
-        F.round(exact_mean(F.col("avg_speed"), CENTS), 2).alias("avg_speed"),
+        F.expr("round(avg(total_trips), 0) AS avg_trips"),
+        exact_mean("avg_fare", CENTS, 2).alias("avg_fare"),
+        exact_mean("avg_speed", CENTS, 2).alias("avg_speed"),
     )
 
 
 def peak_hours(hourly: DataFrame) -> DataFrame:
     return hourly.groupBy("pickup_hour").agg(
         F.sum("total_trips").alias("total_trips_by_hour"),
-        F.round(exact_mean(F.col("avg_fare"), CENTS), 2).alias("avg_fare_by_hour"),
+        exact_mean("avg_fare", CENTS, 2).alias("avg_fare_by_hour"),
     )
 
 
@@ -108,9 +102,9 @@ def borough_summary(borough: DataFrame) -> DataFrame:
     """Totals per borough with a dense revenue rank (one row per borough reaches the window)."""
     totals = borough.groupBy("PU_Borough").agg(
         F.sum("total_trips").alias("total_trips"),
-        F.round(exact_sum(F.col("total_revenue"), CENTS), 2).alias("total_revenue"),
-        F.round(exact_mean(F.col("avg_fare"), CENTS), 2).alias("avg_fare"),
-        F.round(exact_mean(F.col("avg_distance"), THOUSANDTHS), 2).alias("avg_distance"),
+        exact_sum("total_revenue", CENTS, 2).alias("total_revenue"),
+        exact_mean("avg_fare", CENTS, 2).alias("avg_fare"),
+        exact_mean("avg_distance", THOUSANDTHS, 2).alias("avg_distance"),
     )
     by_revenue = Window.orderBy(F.col("total_revenue").desc_nulls_last())
     return totals.withColumn("revenue_rank", F.dense_rank().over(by_revenue))

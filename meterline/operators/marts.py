@@ -23,26 +23,20 @@ ROUTE_ARROW = " → "
 
 def daily_with_month(trends: DataFrame, monthly: DataFrame) -> DataFrame:
     """Every day next to the figures of its month."""
-    dated = trends.withColumn("year_month", year_month(F.col("pickup_date")))
-    return dated.join(monthly, "year_month")
+    return trends.withColumn("year_month", year_month("pickup_date")).join(monthly, "year_month")
 
 
 def daily_with_hours(daily: DataFrame, hourly: DataFrame) -> DataFrame:
     """Every day next to each of its hours."""
-    days = daily.select(
-        "pickup_date", F.col("total_trips").alias("day_trips"), F.col("total_revenue").alias("day_revenue")
-    )
+    days = daily.selectExpr("pickup_date", "total_trips AS day_trips", "total_revenue AS day_revenue")
     hours = hourly.select("pickup_date", "pickup_hour", "total_trips", "avg_fare", "avg_distance", "avg_speed")
     return days.join(hours, "pickup_date")
 
 
 def routes_with_borough(top_routes: DataFrame, summary: DataFrame) -> DataFrame:
     """Top routes next to the totals of their pickup borough."""
-    boroughs = summary.select(
-        "PU_Borough",
-        F.col("total_trips").alias("borough_trips"),
-        F.col("total_revenue").alias("borough_revenue"),
-        "revenue_rank",
+    boroughs = summary.selectExpr(
+        "PU_Borough", "total_trips AS borough_trips", "total_revenue AS borough_revenue", "revenue_rank"
     )
     routes = top_routes.select(
         "PU_Borough", "PU_Zone", "DO_Borough", "DO_Zone", "total_trips", "total_revenue", "rank_by_volume"
@@ -52,95 +46,80 @@ def routes_with_borough(top_routes: DataFrame, summary: DataFrame) -> DataFrame:
 
 def revenue_trend(monthly: DataFrame) -> DataFrame:
     """Monthly revenue with its average line and its linear trend over the months."""
-    everything = Window.partitionBy()
-    numbered = monthly.select(
+    numbered = monthly.selectExpr(
         "year_month",
         "monthly_revenue",
-        F.row_number().over(Window.orderBy("year_month")).alias("month_index"),
-        F.rint(F.col("monthly_revenue") * float(CENTS)).cast("long").alias("_cents"),
+        "row_number() OVER (ORDER BY year_month) AS month_index",
+        f"CAST(rint(monthly_revenue * {CENTS}D) AS BIGINT) AS _cents",
     )
-    slope, mean_x, mean_y = fit_line(F.col("month_index"), F.col("_cents"), everything)
-    fitted = mean_y + slope * (F.col("month_index") - mean_x)
-    return numbered.select(
+    fitted = numbered.withColumns(fit_line("month_index", "_cents", "OVER ()"))
+    return fitted.selectExpr(
         "year_month",
         "month_index",
         "monthly_revenue",
-        F.round(mean_y / CENTS, 2).alias("average_revenue"),
-        F.round(slope / CENTS, 4).alias("trend_slope"),
-        F.round(fitted / CENTS, 2).alias("trend_revenue"),
+        f"round(mean_y / {CENTS}, 2) AS average_revenue",
+        f"round(slope / {CENTS}, 4) AS trend_slope",
+        f"round((mean_y + slope * (month_index - mean_x)) / {CENTS}, 2) AS trend_revenue",
     )
 
 
 def growth_alerts(monthly: DataFrame, limit_pct: float = MOM_ALERT_PCT) -> DataFrame:
-    growth = F.col("mom_growth_pct")
-    return monthly.select(
+    return monthly.selectExpr(
         "year_month",
         "mom_growth_pct",
-        F.when(growth > 0, "up").when(growth < 0, "down").otherwise("flat").alias("direction"),
-        F.coalesce(growth < limit_pct, F.lit(False)).cast("int").alias("alert"),
+        "CASE WHEN mom_growth_pct > 0 THEN 'up' WHEN mom_growth_pct < 0 THEN 'down' ELSE 'flat' END AS direction",
+        f"IF(mom_growth_pct < {limit_pct}, 1, 0) AS alert",
     )
 
 
 def trip_forecast(daily: DataFrame, days: int = FORECAST_DAYS) -> DataFrame:
     """Straight-line projection of daily trips beyond the last day."""
-    day = F.unix_date("pickup_date")
-    slope, mean_x, mean_y = fit_line(day, F.col("total_trips"))
     line = daily.agg(
         F.max("pickup_date").alias("last_date"),
-        slope.alias("slope"),
-        mean_x.alias("mean_x"),
-        mean_y.alias("mean_y"),
-    )
-    ahead = line.filter(F.col("last_date").isNotNull()).select(
-        "*", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("days_ahead")
+        *[column.alias(name) for name, column in fit_line("unix_date(pickup_date)", "total_trips").items()],
     )
-    x = F.unix_date("last_date") + F.col("days_ahead")
-    value = F.col("mean_y") + F.coalesce("slope", F.lit(0.0)) * (x - F.col("mean_x"))
-    return ahead.select(
-        F.date_add("last_date", F.col("days_ahead")).alias("forecast_date"),
+    ahead = line.filter("last_date IS NOT NULL").selectExpr("*", f"explode(sequence(1, {days})) AS days_ahead")
+    return ahead.selectExpr(
+        "date_add(last_date, days_ahead) AS forecast_date",
         "days_ahead",
-        F.round(value, 2).alias("forecast_trips"),
+        "round(mean_y + coalesce(slope, 0D) * (unix_date(last_date) + days_ahead - mean_x), 2) AS forecast_trips",
     )
 
 
 def revenue_calendar(daily: DataFrame) -> DataFrame:
     """Revenue by ISO week and weekday."""
-    date = F.col("pickup_date")
     return daily.groupBy(
-        F.extract(F.lit("YEAROFWEEK"), date).alias("week_year"),
-        F.weekofyear(date).alias("week"),
-        F.dayofweek(date).alias("day_of_week"),
-    ).agg(F.round(exact_sum(F.col("total_revenue"), CENTS), 2).alias("total_revenue"))
+        F.expr("extract(YEAROFWEEK FROM pickup_date) AS week_year"),
+        F.expr("weekofyear(pickup_date) AS week"),
+        F.expr("dayofweek(pickup_date) AS day_of_week"),
+    ).agg(exact_sum("total_revenue", CENTS, 2).alias("total_revenue"))
 
 
 def peak_hour_flags(peaks: DataFrame, n: int = PEAK_HOURS) -> DataFrame:
     """Hours ranked by trips, the first ``n`` flagged (24 rows reach the window)."""
-    busiest = Window.orderBy(F.col("total_trips_by_hour").desc(), "pickup_hour")
+    busiest = Window.orderBy(F.desc("total_trips_by_hour"), "pickup_hour")
     ranked = peaks.withColumn("hour_rank", F.row_number().over(busiest))
-    return ranked.withColumn("is_peak", (F.col("hour_rank") <= n).cast("int"))
+    return ranked.withColumn("is_peak", F.expr(f"IF(hour_rank <= {n}, 1, 0)"))
 
 
 def speed_by_hour(heatmap: DataFrame, limit_mph: float = SPEED_LIMIT_MPH) -> DataFrame:
-    speeds = heatmap.groupBy("pickup_hour").agg(
-        F.round(exact_mean(F.col("avg_speed"), CENTS), 2).alias("avg_speed")
-    )
-    fast = F.col("avg_speed") > limit_mph
-    return speeds.select(
+    speeds = heatmap.groupBy("pickup_hour").agg(exact_mean("avg_speed", CENTS, 2).alias("avg_speed"))
+    return speeds.selectExpr(
         "pickup_hour",
         "avg_speed",
-        F.lit(float(limit_mph)).alias("speed_limit"),
-        F.when(fast, "above").otherwise("within").alias("against_limit"),
+        f"{float(limit_mph)}D AS speed_limit",
+        f"IF(avg_speed > {limit_mph}, 'above', 'within') AS against_limit",
     )
 
 
 def flow_share(flow: DataFrame) -> DataFrame:
-    total = F.sum("total_trips").over(Window.partitionBy())
-    return flow.select("flow_type", "total_trips", percent(F.col("total_trips"), total).alias("share_pct"))
+    return flow.select(
+        "flow_type", "total_trips", percent("total_trips", "sum(total_trips) OVER ()").alias("share_pct")
+    )
 
 
 def labelled_top_routes(routes: DataFrame, n: int = TOP_ROUTES) -> DataFrame:
-    top = busiest_routes(routes, n)
-    return top.select(
+    return busiest_routes(routes, n).select(
         F.concat_ws(ROUTE_ARROW, "PU_Zone", "DO_Zone").alias("route"),
         "PU_Borough",
         "DO_Borough",
@@ -163,7 +142,7 @@ def sliced(
     if hours:
         df = df.filter(F.col("pickup_hour").between(*hours))
     if weekdays:
-        df = df.filter(weekday_name(F.dayofweek("pickup_date")).isin(*weekdays))
+        df = df.filter(weekday_name("dayofweek(pickup_date)").isin(*weekdays))
     if boroughs:
         df = df.filter(F.col("PU_Borough").isin(*boroughs))
     return df

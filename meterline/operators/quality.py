@@ -6,12 +6,12 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.calendar import TIME_PERIODS
-from meterline.functions.numeric import CENTS, MICROS, exact_mean, percent
-from meterline.operators.cleaning import trip_rules
+from meterline.functions.numeric import CENTS, MICROS, exact_mean
+from meterline.operators.cleaning import TRIP_RULES
 
 PASSED, WARNING, FAILED = "PASSED", "WARNING", "FAILED"
 
@@ -24,142 +24,128 @@ CRITICAL_COLUMNS = ("tpep_pickup_datetime", "fare_amount", "trip_distance")
 
 @dataclass(frozen=True)
 class Check:
-    """A count over the rows, and whether it must be zero or must not be."""
+    """A condition on rows: how many rows meet it must be zero, or must not be."""
 
     name: str
     kind: str
-    count: Column
+    condition: str
     must_be_zero: bool = True
 
-    def row(self) -> Column:
-        """The check result as a struct, given a column holding its count."""
-        value = F.col(self.name)
-        good = value == 0 if self.must_be_zero else value > 0
-        return F.struct(
-            F.lit(self.name).alias("check_name"),
-            F.lit(self.kind).alias("check_type"),
-            F.when(good, PASSED).otherwise(FAILED).alias("status"),
-            F.lit("= 0" if self.must_be_zero else "> 0").alias("expected_value"),
-            value.cast("string").alias("actual_value"),
-            F.lit(0.0).alias("threshold"),
-        )
-
-
-def silver_checks() -> list[Check]:
-    """The eight checks on cleaned trips.  A null does not violate a range check."""
-    rules = trip_rules()
-    nulls = reduce(Column.__or__, [F.col(name).isNull() for name in CRITICAL_COLUMNS])
-    return [
-        Check("data_exists", "volume", F.count("*"), must_be_zero=False),
-        Check("critical_columns_not_null", "completeness", F.count_if(nulls)),
-        Check("fare_positive", "validity", F.count_if(F.col("fare_amount") <= 0)),
-        Check("distance_positive", "validity", F.count_if(F.col("trip_distance") <= 0)),
-        Check("passengers_valid", "validity", F.count_if(~rules["passengers_1_to_6"])),
-        Check("speed_reasonable", "validity", F.count_if(F.col("avg_speed_mph") > MAX_SPEED_MPH)),
-        Check("time_period_valid", "validity", F.count_if(~F.col("time_period").isin(*TIME_PERIODS))),
-        Check("pickup_before_dropoff", "consistency", F.count_if(~rules["pickup_before_dropoff"])),
-    ]
-
-
-def explode_rows(one_row: DataFrame, rows: Iterable[Column]) -> DataFrame:
-    """Turn the single row of an aggregate into one row per struct."""
-    return one_row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
-def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    counts = df.agg(*[check.count.alias(check.name) for check in checks])
-    return explode_rows(counts, [check.row() for check in checks])
+
+# The checks on cleaned trips.  A null does not violate a range check.
+SILVER_CHECKS = (
+    Check("data_exists", "volume", "true", must_be_zero=False),
+    Check(
+        "critical_columns_not_null",
+        "completeness",
+        " OR ".join(f"{name} IS NULL" for name in CRITICAL_COLUMNS),
+    ),
+    Check("fare_positive", "validity", "fare_amount <= 0"),
+    Check("distance_positive", "validity", "trip_distance <= 0"),
+    Check("passengers_valid", "validity", f"NOT ({TRIP_RULES['passengers_1_to_6']})"),
+    Check("speed_reasonable", "validity", f"avg_speed_mph > {MAX_SPEED_MPH}"),
+    Check("time_period_valid", "validity", f"time_period NOT IN {TIME_PERIODS}"),
+    Check("pickup_before_dropoff", "consistency", f"NOT ({TRIP_RULES['pickup_before_dropoff']})"),
+)
+
+
+def rows_of(one_row: DataFrame, rows: Iterable[Iterable[str]], names: Iterable[str]) -> DataFrame:
+    """Turn the single row of an aggregate into several, each given by SQL expressions."""
+    rows = [", ".join(row) for row in rows]
+    return one_row.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({', '.join(names)})")
+
+
+def run_checks(df: DataFrame, checks: Iterable[Check] = SILVER_CHECKS) -> DataFrame:
+    checks = list(checks)
+    counts = df.agg(*[F.expr(f"count_if({check.condition}) AS {check.name}") for check in checks])
+
+    def row(check: Check) -> list[str]:
+        test = "= 0" if check.must_be_zero else "> 0"
+        return [
+            f"'{check.name}'",
+            f"'{check.kind}'",
+            f"IF({check.name} {test}, '{PASSED}', '{FAILED}')",
+            f"'{test}'",
+            f"CAST({check.name} AS STRING)",
+            "0D",
+        ]
+
+    return rows_of(
+        counts,
+        [row(check) for check in checks],
+        ("check_name", "check_type", "status", "expected_value", "actual_value", "threshold"),
+    )
 
 
 def check_summary(results: DataFrame) -> DataFrame:
     """Tally of check rows with the failed names in order."""
-    failed = F.col("status") == FAILED
-    names = F.collect_list(F.when(failed, F.col("check_name")))
-    passed = F.count_if(~failed)
-    return results.agg(
-        F.count("*").alias("checks_run"),
-        passed.alias("checks_passed"),
-        F.count_if(failed).alias("checks_failed"),
-        F.coalesce(percent(passed, F.count("*"), 1), F.lit(0.0)).alias("pass_rate"),
-        F.array_join(F.sort_array(names), ",").alias("failed_checks"),
+    passed, failed = (f"count_if(status = '{status}')" for status in (PASSED, FAILED))
+    failed_names = f"collect_list(IF(status = '{FAILED}', check_name, NULL))"
+    return results.groupBy().agg(
+        F.expr("count(*) AS checks_run"),
+        F.expr(f"{passed} AS checks_passed"),
+        F.expr(f"{failed} AS checks_failed"),
+        F.expr(f"coalesce(round(try_divide({passed}, count(*)) * 100, 1), 0D) AS pass_rate"),
+        F.expr(f"array_join(sort_array({failed_names}), ',') AS failed_checks"),
     )
 
 
 def trip_statistics(silver: DataFrame) -> DataFrame:
-    distance = F.col("trip_distance")
     return silver.agg(
-        exact_mean(distance, MICROS).alias("avg_distance"),
-        F.min(distance).alias("min_distance"),
-        F.max(distance).alias("max_distance"),
-        exact_mean(F.col("fare_amount"), CENTS).alias("avg_fare"),
-        exact_mean(F.col("avg_speed_mph"), CENTS).alias("avg_speed"),
+        exact_mean("trip_distance", MICROS).alias("avg_distance"),
+        F.min("trip_distance").alias("min_distance"),
+        F.max("trip_distance").alias("max_distance"),
+        exact_mean("fare_amount", CENTS).alias("avg_fare"),
+        exact_mean("avg_speed_mph", CENTS).alias("avg_speed"),
     )
 
 
 def borough_distribution(silver: DataFrame, n: int = 10) -> DataFrame:
     """Trips per pickup borough, largest first; trips without a borough form a group."""
     counts = silver.groupBy("PU_Borough").agg(F.count("*").alias("trips"))
-    return counts.orderBy(F.col("trips").desc(), F.col("PU_Borough").asc_nulls_first()).limit(n)
+    return counts.orderBy(F.desc("trips"), F.asc_nulls_first("PU_Borough")).limit(n)
 
 
 def null_profile(df: DataFrame, columns: Iterable[str], warn_pct: float = NULL_WARNING_PCT) -> DataFrame:
     """Null (for floating columns also NaN) count and share per column."""
-    kinds = dict(df.dtypes)
+    kinds, columns = dict(df.dtypes), list(columns)
 
-    def missing(name: str) -> Column:
-        value = F.col(name)
-        return value.isNull() | F.isnan(value) if kinds[name] in ("double", "float") else value.isNull()
+    def missing(name: str) -> str:
+        return f"{name} IS NULL" + (f" OR isnan({name})" if kinds[name] in ("double", "float") else "")
 
-    columns = list(columns)
     counts = df.agg(
-        F.count("*").alias("_rows"), *[F.count_if(missing(name)).alias(name) for name in columns]
-    )
-    share = {name: F.coalesce(percent(F.col(name), F.col("_rows"), 4), F.lit(0.0)) for name in columns}
-    return explode_rows(
-        counts,
-        [
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(name).alias("null_count"),
-                share[name].alias("null_pct"),
-                F.when(share[name] > warn_pct, WARNING).otherwise(PASSED).alias("status"),
-            )
-            for name in columns
-        ],
+        F.expr("count(*) AS _rows"),
+        *[F.expr(f"count_if({missing(name)}) AS {name}") for name in columns],
     )
 
+    def row(name: str) -> list[str]:
+        share = f"coalesce(round(try_divide({name}, _rows) * 100, 4), 0D)"
+        return [f"'{name}'", name, share, f"IF({share} > {warn_pct}, '{WARNING}', '{PASSED}')"]
+
+    names = ("column_name", "null_count", "null_pct", "status")
+    return rows_of(counts, [row(name) for name in columns], names)
+
 
 def required_columns(tables: Mapping[str, tuple[DataFrame, Iterable[str]]]) -> DataFrame:
     """Whether each table has each required column, and how many rows fill it."""
     parts = []
     for table, (df, columns) in tables.items():
-        columns = list(columns)
-        present = [name for name in columns if name in df.columns]
-        counts = df.agg(F.count("*").alias("_rows"), *[F.count(name).alias(name) for name in present])
-        parts.append(
-            explode_rows(
-                counts,
-                [
-                    F.struct(
-                        F.lit(table).alias("table_name"),
-                        F.lit(name).alias("column_name"),
-                        (F.col(name) if name in present else F.lit(0)).cast("long").alias("filled_rows"),
-                        F.lit(PASSED if name in present else FAILED).alias("status"),
-                    )
-                    for name in columns
-                ],
-            )
-        )
+        filled = {name: f"count({name})" if name in df.columns else "0L" for name in columns}
+        counts = df.agg(F.expr("count(*) AS _rows"), *[F.expr(f"{n} AS {name}") for name, n in filled.items()])
+        rows = [
+            [f"'{table}'", f"'{name}'", name, f"'{PASSED if name in df.columns else FAILED}'"]
+            for name in filled
+        ]
+        parts.append(rows_of(counts, rows, ("table_name", "column_name", "filled_rows", "status")))
     return reduce(DataFrame.unionByName, parts)
 
 
 def zone_boroughs(zones: DataFrame, minimum: int = MIN_BOROUGHS) -> DataFrame:
     """Zones per borough with the number of distinct boroughs (null is one of them)."""
-    per_borough = zones.groupBy("Borough").agg(F.count("*").alias("zones"))
-    boroughs = F.count("*").over(Window.partitionBy())
-    return per_borough.select(
-        F.col("Borough").alias("borough"),
+    per_borough = zones.groupBy(F.col("Borough").alias("borough")).agg(F.count("*").alias("zones"))
+    return per_borough.selectExpr(
+        "borough",
         "zones",
-        boroughs.alias("borough_count"),
-        F.when(boroughs >= minimum, PASSED).otherwise(WARNING).alias("status"),
+        "count(*) OVER () AS borough_count",
+        f"IF(count(*) OVER () >= {minimum}, '{PASSED}', '{WARNING}') AS status",
     )

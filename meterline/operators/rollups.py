@@ -6,7 +6,7 @@ per group and task is shuffled, however many trips a hot group holds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.numeric import CENTS, MICROS, SECONDS_PER_MINUTE, exact_mean, exact_sum
@@ -16,25 +16,22 @@ from meterline.operators.stamps import tag
 ROUTE_KEYS = ("PU_Borough", "PU_Zone", "DO_Borough", "DO_Zone")
 
 
-def _measures() -> dict[str, Column]:
-    fare, distance = F.col("fare_amount"), F.col("trip_distance")
-    return {
-        "total_trips": F.count("*"),
-        "total_fare": F.round(exact_sum(fare, CENTS), 2),
-        "total_revenue": F.round(exact_sum(F.col("total_amount"), CENTS), 2),
-        "avg_fare": F.round(exact_mean(fare, CENTS), 2),
-        "avg_distance": F.round(exact_mean(distance, MICROS), 3),
-        "avg_duration": F.round(exact_mean(F.col("trip_duration_minutes"), SECONDS_PER_MINUTE), 2),
-        "avg_tip_pct": F.round(exact_mean(F.col("tip_percentage"), CENTS), 2),
-        "avg_speed": F.round(exact_mean(F.col("avg_speed_mph"), CENTS), 2),
-        "total_passengers": F.sum("passenger_count"),
-    }
+MEASURES = {
+    "total_trips": lambda: F.expr("count(*)"),
+    "total_fare": lambda: exact_sum("fare_amount", CENTS, 2),
+    "total_revenue": lambda: exact_sum("total_amount", CENTS, 2),
+    "avg_fare": lambda: exact_mean("fare_amount", CENTS, 2),
+    "avg_distance": lambda: exact_mean("trip_distance", MICROS, 3),
+    "avg_duration": lambda: exact_mean("trip_duration_minutes", SECONDS_PER_MINUTE, 2),
+    "avg_tip_pct": lambda: exact_mean("tip_percentage", CENTS, 2),
+    "avg_speed": lambda: exact_mean("avg_speed_mph", CENTS, 2),
+    "total_passengers": lambda: F.expr("sum(passenger_count)"),
+}
 
 
 def rollup(trips: DataFrame, keys: tuple[str, ...], measures: tuple[str, ...]) -> DataFrame:
     """Group trips by ``keys`` and compute the named measures, tagged as gold."""
-    available = _measures()
-    grouped = trips.groupBy(*keys).agg(*[available[name].alias(name) for name in measures])
+    grouped = trips.groupBy(*keys).agg(*[MEASURES[name]().alias(name) for name in measures])
     return tag(grouped, GOLD, "_aggregation_timestamp")
 
 
@@ -58,18 +55,16 @@ def hourly_metrics(silver: DataFrame) -> DataFrame:
 
 
 def borough_metrics(silver: DataFrame) -> DataFrame:
-    known = silver.filter(F.col("PU_Borough").isNotNull())
+    known = silver.filter("PU_Borough IS NOT NULL")
     wanted = ("total_trips", "total_revenue", "avg_fare", "avg_distance")
     return rollup(known, ("pickup_date", "PU_Borough"), wanted)
 
 
 def route_metrics(silver: DataFrame) -> DataFrame:
-    known = silver.filter(F.col("PU_Zone").isNotNull() & F.col("DO_Zone").isNotNull())
+    known = silver.filter("PU_Zone IS NOT NULL AND DO_Zone IS NOT NULL")
     return rollup(known, ROUTE_KEYS, ("total_trips", "avg_fare", "avg_distance"))
 
 
 def borough_revenue(borough: DataFrame) -> DataFrame:
     """Revenue per borough over all days."""
-    return borough.groupBy("PU_Borough").agg(
-        F.round(exact_sum(F.col("total_revenue"), CENTS), 2).alias("revenue")
-    )
+    return borough.groupBy("PU_Borough").agg(exact_sum("total_revenue", CENTS, 2).alias("revenue"))

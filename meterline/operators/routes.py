@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.functions.numeric import CENTS, exact_mean
+from meterline.functions.numeric import CENTS, THOUSANDTHS, exact_mean
 from meterline.layout import ANALYTICS
-from meterline.operators.kpis import THOUSANDTHS
 from meterline.operators.rollups import ROUTE_KEYS
 
 INTRA, INTER = "Intra-Borough", "Inter-Borough"
@@ -34,8 +33,8 @@ def busiest_routes(routes: DataFrame, n: int = 100) -> DataFrame:
 
     The result is an analytics table, so its ``_layer`` tag says so.
     """
-    revenue = F.round(F.col("total_trips") * F.col("avg_fare"), 2)
     top = _top(routes, "total_trips", n, "rank_by_volume")
+    revenue = F.expr("round(total_trips * avg_fare, 2)")
     return top.withColumns({"total_revenue": revenue, "_layer": F.lit(ANALYTICS)})
 
 
@@ -46,8 +45,8 @@ def most_profitable_routes(routes: DataFrame, n: int = 100) -> DataFrame:
 
 def most_efficient_routes(routes: DataFrame, n: int = 100) -> DataFrame:
     """Revenue per mile; routes without distance are removed before the division."""
-    moving = routes.filter(F.col("avg_distance") > 0)
-    per_mile = F.round(F.try_divide(F.col("avg_fare"), F.col("avg_distance")), 2)
+    moving = routes.filter("avg_distance > 0")
+    per_mile = F.expr("round(try_divide(avg_fare, avg_distance), 2)")
     return _top(moving.withColumn("revenue_per_mile", per_mile), "revenue_per_mile", n)
 
 
@@ -57,9 +56,9 @@ def route_preview(routes: DataFrame, n: int = 10) -> DataFrame:
 
 def borough_flow(routes: DataFrame) -> DataFrame:
     """Trips within and between boroughs; an unknown borough counts as between."""
-    kind = F.when(F.col("PU_Borough") == F.col("DO_Borough"), INTRA).otherwise(INTER)
-    return routes.groupBy(kind.alias("flow_type")).agg(
+    kind = F.expr(f"IF(PU_Borough = DO_Borough, '{INTRA}', '{INTER}') AS flow_type")
+    return routes.groupBy(kind).agg(
         F.sum("total_trips").alias("total_trips"),
-        F.round(exact_mean(F.col("avg_fare"), CENTS), 2).alias("avg_fare"),
-        F.round(exact_mean(F.col("avg_distance"), THOUSANDTHS), 2).alias("avg_distance"),
+        exact_mean("avg_fare", CENTS, 2).alias("avg_fare"),
+        exact_mean("avg_distance", THOUSANDTHS, 2).alias("avg_distance"),
     )

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.numeric import CENTS, exact_sum
 from meterline.layout import TABLES
 from meterline.operators.cleaning import clean_trips, typed_trips
-from meterline.operators.quality import FAILED, PASSED, WARNING, explode_rows
+from meterline.operators.quality import FAILED, PASSED, WARNING, rows_of
 
 # Columns that must be filled in silver, and the factor for gold totals.
 SILVER_FILLED = ("tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "fare_amount")
@@ -24,14 +24,14 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _verdict(good: Column, otherwise: str) -> Column:
-    return F.when(good, PASSED).otherwise(otherwise)
+def _status(condition: str, otherwise: str) -> str:
+    return f"IF({condition}, '{PASSED}', '{otherwise}') AS status"
 
 
 def row_counts(tables: Tables) -> DataFrame:
     return _stack(
         [
-            df.agg(F.count("*").alias("record_count")).select(F.lit(key).alias("table_name"), "record_count")
+            df.agg(F.count("*").alias("record_count")).selectExpr(f"'{key}' AS table_name", "record_count")
             for key, df in tables.items()
         ]
     )
@@ -39,66 +39,60 @@ def row_counts(tables: Tables) -> DataFrame:
 
 def minimum_records(tables: Tables, thresholds: Mapping[str, int] | None = None) -> DataFrame:
     """Row count of each table against its expected minimum."""
-    thresholds = thresholds or {key: TABLES[key].min_records for key in tables}
-    limits = F.create_map(*[F.lit(v) for key, n in thresholds.items() for v in (key, n)])
-    layers = F.create_map(*[F.lit(v) for key in tables for v in (key, TABLES[key].layer)])
-    counted = row_counts(tables).withColumn("min_records", F.element_at(limits, F.col("table_name")))
-    return counted.select(
-        "table_name",
-        F.element_at(layers, F.col("table_name")).alias("layer"),
-        "record_count",
-        F.col("min_records").cast("long").alias("min_records"),
-        _verdict(F.col("record_count") >= F.col("min_records"), WARNING).alias("status"),
+    limits = {key: (thresholds or {}).get(key, TABLES[key].min_records) for key in tables}
+    return _stack(
+        [
+            df.agg(F.count("*").alias("record_count")).selectExpr(
+                f"'{key}' AS table_name",
+                f"'{TABLES[key].layer}' AS layer",
+                "record_count",
+                f"{limits[key]}L AS min_records",
+                _status(f"record_count >= {limits[key]}", WARNING),
+            )
+            for key, df in tables.items()
+        ]
     )
 
 
 def layer_values(tables: Tables) -> DataFrame:
     """Rows per ``_layer`` value of every tagged table, and whether the value belongs there."""
-    parts = []
-    for key, df in tables.items():
-        values = df.groupBy("_layer").agg(F.count("*").alias("record_count"))
-        expected = F.lit(TABLES[key].layer)
-        right = F.coalesce(F.col("_layer") == expected, F.lit(False))
-        parts.append(
-            values.select(
-                F.lit(key).alias("table_name"),
-                F.col("_layer").alias("layer_value"),
+    return _stack(
+        [
+            df.groupBy("_layer")
+            .agg(F.count("*").alias("record_count"))
+            .selectExpr(
+                f"'{key}' AS table_name",
+                "_layer AS layer_value",
                 "record_count",
-                _verdict(right, FAILED).alias("status"),
+                _status(f"_layer <=> '{TABLES[key].layer}'", FAILED),
             )
-        )
-    return _stack(parts)
+            for key, df in tables.items()
+        ]
+    )
 
 
 def silver_nulls(silver: DataFrame) -> DataFrame:
-    counts = silver.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in SILVER_FILLED])
-    return explode_rows(
+    counts = silver.agg(*[F.expr(f"count_if({name} IS NULL) AS {name}") for name in SILVER_FILLED])
+    return rows_of(
         counts,
-        [
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(name).alias("null_count"),
-                _verdict(F.col(name) == 0, WARNING).alias("status"),
-            )
-            for name in SILVER_FILLED
-        ],
+        [[f"'{name}'", name, f"IF({name} = 0, '{PASSED}', '{WARNING}')"] for name in SILVER_FILLED],
+        ("column_name", "null_count", "status"),
     )
 
 
 def gold_sanity(daily: DataFrame, min_records: int | None = None) -> DataFrame:
     """Total trips and revenue against a multiple of the expected number of days."""
-    spec = TABLES["gold.trips_daily_metrics"]
-    least = (spec.min_records if min_records is None else min_records) * TOTALS_FACTOR
+    days = TABLES["gold.trips_daily_metrics"].min_records if min_records is None else min_records
+    least = days * TOTALS_FACTOR
     totals = daily.agg(
         F.sum("total_trips").alias("total_trips"),
-        F.round(exact_sum(F.col("total_revenue"), CENTS), 2).alias("total_revenue"),
+        exact_sum("total_revenue", CENTS, 2).alias("total_revenue"),
     )
-    good = (F.col("total_trips") >= least) & (F.col("total_revenue") >= least)
-    return totals.select(
+    return totals.selectExpr(
         "total_trips",
         "total_revenue",
-        F.lit(least).cast("long").alias("minimum"),
-        _verdict(F.coalesce(good, F.lit(False)), WARNING).alias("status"),
+        f"{least}L AS minimum",
+        _status(f"total_trips >= {least} AND total_revenue >= {least}", WARNING),
     )
 
 
@@ -106,128 +100,99 @@ def table_checks(tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """One row per table and check; a table that could not be read is FAILED."""
     readable = {key: df for key, df in tables.items() if df is not None}
     tagged = {key: df for key, df in readable.items() if TABLES[key].tagged}
-    columns = ("table_name", "check_name", "record_count", "status")
-    parts = []
-    if readable:
-        volume = minimum_records(readable)
-        parts.append(volume.withColumn("check_name", F.lit("minimum_records")).select(*columns))
-    if tagged:
-        # membership, as long as the layer's own value occurs the tag check passes
-        found = layer_values(tagged).groupBy("table_name").agg(F.count_if(F.col("status") == PASSED).alias("n"))
-        parts.append(
-            found.select(
-                "table_name",
-                F.lit("layer_tag").alias("check_name"),
-                F.lit(0).cast("long").alias("record_count"),
-                _verdict(F.col("n") > 0, WARNING).alias("status"),
-            )
+    if not readable:
+        raise FileNotFoundError("none of the tables can be read")
+
+    def part(df: DataFrame, table: str, check: str, records: str, status: str) -> DataFrame:
+        return df.selectExpr(
+            f"{table} AS table_name", f"'{check}' AS check_name", f"{records} AS record_count", status
         )
+
+    parts = [part(minimum_records(readable), "table_name", "minimum_records", "record_count", "status")]
+    if tagged:
+        # membership: the check passes as long as the layer's own value occurs
+        found = layer_values(tagged).groupBy("table_name").agg(F.expr(f"count_if(status = '{PASSED}') AS n"))
+        parts.append(part(found, "table_name", "layer_tag", "0L", _status("n > 0", WARNING)))
     for key, check, build in (
         ("silver.trips_cleaned", "no_nulls", silver_nulls),
         ("gold.trips_daily_metrics", "totals", gold_sanity),
     ):
         if key in readable:
-            bad = build(readable[key]).agg(F.count_if(F.col("status") != PASSED).alias("n"))
-            parts.append(
-                bad.select(
-                    F.lit(key).alias("table_name"),
-                    F.lit(check).alias("check_name"),
-                    F.lit(0).cast("long").alias("record_count"),
-                    _verdict(F.col("n") == 0, WARNING).alias("status"),
-                )
-            )
-    missing = [key for key, df in tables.items() if df is None]
+            bad = build(readable[key]).agg(F.expr(f"count_if(status <> '{PASSED}') AS n"))
+            parts.append(part(bad, f"'{key}'", check, "0L", _status("n = 0", WARNING)))
+    missing = [(key, "readable", 0, FAILED) for key, df in tables.items() if df is None]
     if missing:
         spark = next(iter(readable.values())).sparkSession
-        parts.append(
-            spark.createDataFrame(
-                [(key, "readable", 0, FAILED) for key in missing],
-                "table_name string, check_name string, record_count long, status string",
-            )
-        )
+        schema = "table_name string, check_name string, record_count long, status string"
+        parts.append(spark.createDataFrame(missing, schema))
     return _stack(parts)
 
 
-def _worst(status: Column) -> Column:
-    failed, warned = F.count_if(status == FAILED), F.count_if(status == WARNING)
-    return F.when(failed > 0, FAILED).when(warned > 0, WARNING).otherwise(PASSED)
+# Worst of the statuses in a group.
+_WORST = (
+    f"CASE WHEN count_if(status = '{FAILED}') > 0 THEN '{FAILED}' "
+    f"WHEN count_if(status = '{WARNING}') > 0 THEN '{WARNING}' ELSE '{PASSED}' END"
+)
 
 
 def table_status(checks: DataFrame) -> DataFrame:
     """Worst status per table."""
     return checks.groupBy("table_name").agg(
-        F.sum("record_count").alias("record_count"), _worst(F.col("status")).alias("status")
+        F.sum("record_count").alias("record_count"), F.expr(f"{_WORST} AS status")
     )
 
 
 def layer_status(checks: DataFrame) -> DataFrame:
     """Tables per status and verdict per layer."""
-    tables = table_status(checks).withColumn("layer", F.substring_index("table_name", ".", 1))
-    status = F.col("status")
-    return tables.groupBy("layer").agg(
-        F.count("*").alias("tables"),
-        F.count_if(status == PASSED).alias("passed"),
-        F.count_if(status == WARNING).alias("warnings"),
-        F.count_if(status == FAILED).alias("failed"),
-        F.sum("record_count").alias("records"),
-        F.when(F.count_if(status != PASSED) == 0, PASSED).otherwise("ISSUES FOUND").alias("verdict"),
+    layer = F.expr("substring_index(table_name, '.', 1) AS layer")
+    return (
+        table_status(checks)
+        .groupBy(layer)
+        .agg(
+            F.expr("count(*) AS tables"),
+            F.expr(f"count_if(status = '{PASSED}') AS passed"),
+            F.expr(f"count_if(status = '{WARNING}') AS warnings"),
+            F.expr(f"count_if(status = '{FAILED}') AS failed"),
+            F.expr("sum(record_count) AS records"),
+            F.expr(f"IF(count_if(status <> '{PASSED}') = 0, '{PASSED}', 'ISSUES FOUND') AS verdict"),
+        )
     )
 
 
 def overall_status(checks: DataFrame) -> DataFrame:
     """The verdict on the run: FAILED only when a table could not be read."""
-    status = F.col("status")
     return table_status(checks).agg(
-        F.count("*").alias("tables"),
-        F.round(F.count_if(status == PASSED) / F.count("*") * 100, 1).alias("pass_rate"),
-        F.sum("record_count").alias("records"),
-        _worst(status).alias("verdict"),
+        F.expr("count(*) AS tables"),
+        F.expr(f"round(count_if(status = '{PASSED}') / count(*) * 100, 1) AS pass_rate"),
+        F.expr("sum(record_count) AS records"),
+        F.expr(f"{_WORST} AS verdict"),
     )
 
 
 def reconcile(tables: Tables) -> DataFrame:
-    """Row counts that must agree between layers, expected against actual."""
-    silver = tables["silver.trips_cleaned"]
-    bronze = tables["bronze.trips"]
-    counts = silver.agg(
-        F.count("*").alias("silver"),
-        F.count("PU_Borough").alias("with_borough"),
-        F.count_if(F.col("PU_Zone").isNotNull() & F.col("DO_Zone").isNotNull()).alias("with_zones"),
-    )
-    accepted = clean_trips(typed_trips(bronze)).agg(F.count("*").alias("accepted"))
-
-    def trips(key: str) -> DataFrame:
-        return tables[key].agg(F.sum("total_trips").alias("n"))
-
-    expected = explode_rows(
-        counts,
-        [
-            F.struct(F.lit(name).alias("check_name"), F.col(column).alias("expected"))
-            for name, column in (
-                ("silver_keeps_accepted", "silver"),
-                ("daily_covers_silver", "silver"),
-                ("hourly_covers_silver", "silver"),
-                ("borough_covers_known", "with_borough"),
-                ("routes_cover_known", "with_zones"),
-            )
-        ],
+    """Trip counts that must agree between layers, expected against actual."""
+    silver = tables["silver.trips_cleaned"].agg(
+        F.expr("count(*) AS silver"),
+        F.expr("count(PU_Borough) AS with_borough"),
+        F.expr("count_if(PU_Zone IS NOT NULL AND DO_Zone IS NOT NULL) AS with_zones"),
     )
+    accepted = clean_trips(typed_trips(tables["bronze.trips"])).agg(F.expr("count(*) AS actual"))
+
+    def trips(name: str) -> DataFrame:
+        return tables[f"gold.{name}"].agg(F.expr("coalesce(sum(total_trips), 0) AS actual"))
+
+    pairs = {
+        "silver_keeps_accepted": ("silver", accepted),
+        "daily_covers_silver": ("silver", trips("trips_daily_metrics")),
+        "hourly_covers_silver": ("silver", trips("trips_hourly_metrics")),
+        "borough_covers_known": ("with_borough", trips("trips_borough_metrics")),
+        "routes_cover_known": ("with_zones", trips("trips_popular_routes")),
+    }
+    rows = [[f"'{name}'", expected] for name, (expected, _) in pairs.items()]
+    expected = rows_of(silver, rows, ("check_name", "expected"))
     actual = _stack(
-        [
-            df.toDF("actual").withColumn("check_name", F.lit(name))
-            for name, df in (
-                ("silver_keeps_accepted", accepted),
-                ("daily_covers_silver", trips("gold.trips_daily_metrics")),
-                ("hourly_covers_silver", trips("gold.trips_hourly_metrics")),
-                ("borough_covers_known", trips("gold.trips_borough_metrics")),
-                ("routes_cover_known", trips("gold.trips_popular_routes")),
-            )
-        ]
+        [df.selectExpr(f"'{name}' AS check_name", "actual") for name, (_, df) in pairs.items()]
     )
-    same = F.col("expected").eqNullSafe(F.coalesce("actual", F.lit(0)))
-    return expected.join(actual, "check_name").select(
-        "check_name",
-        "expected",
-        F.coalesce("actual", F.lit(0)).alias("actual"),
-        _verdict(same, FAILED).alias("status"),
+    return expected.join(actual, "check_name").selectExpr(
+        "check_name", "expected", "actual", _status("expected = actual", FAILED)
     )

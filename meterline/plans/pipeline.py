@@ -14,7 +14,7 @@ from meterline.operators import kpis, rollups, routes
 from meterline.operators.cleaning import clean_trips, filter_audit, typed_trips
 from meterline.operators.enrichment import checked_zones, silver_trips
 from meterline.operators.features import trip_features
-from meterline.operators.quality import run_checks, silver_checks
+from meterline.operators.quality import run_checks
 from meterline.plans.maintenance import maintain
 from meterline.sources.exports import export_csv
 from meterline.sources.inventory import table_inventory
@@ -77,7 +77,7 @@ class Pipeline:
 
     def quality(self) -> list[WriteResult]:
         silver = self.lake.read(self.spark, "silver.trips_cleaned")
-        self._save(run_checks(silver, silver_checks()), "quality_checks")
+        self._save(run_checks(silver), "quality_checks")
         return []
 
     def gold(self) -> list[WriteResult]:

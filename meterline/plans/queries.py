@@ -125,11 +125,11 @@ def _schema_drift(layers: Layers) -> DataFrame:
 
 # stored layers -----------------------------------------------------------------
 
-_stored: dict[tuple[str, str], Lake] = {}
+_stored: dict[tuple[str, str], tuple[Lake, dict[str, DataFrame]]] = {}
 
 
-def stored_lake(layers: Layers) -> Lake:
-    """The layers of an input folder, written by the pipeline on first use."""
+def _store(layers: Layers) -> tuple[Lake, dict[str, DataFrame]]:
+    """The layers of an input folder, written by the pipeline on first use, and their tables."""
     spark = layers.spark
     key = (spark.sparkContext.applicationId, layers.folder)
     if key not in _stored:
@@ -140,12 +140,16 @@ def stored_lake(layers: Layers) -> Lake:
         job = Pipeline(spark, lake, source, zones, export_root=f"{lake.root}/exports")
         for stage in (job.bronze, job.silver, job.gold, job.analytics):
             stage()
-        _stored[key] = lake
+        _stored[key] = lake, stored_tables(spark, lake)
     return _stored[key]
 
 
+def stored_lake(layers: Layers) -> Lake:
+    return _store(layers)[0]
+
+
 def _stored_tables(layers: Layers) -> dict[str, DataFrame]:
-    return stored_tables(layers.spark, stored_lake(layers))
+    return _store(layers)[1]
 
 
 def _tagged_tables(layers: Layers) -> dict[str, DataFrame]:
@@ -153,7 +157,7 @@ def _tagged_tables(layers: Layers) -> dict[str, DataFrame]:
 
 
 def _stored_table(layers: Layers, key: str) -> DataFrame:
-    return stored_lake(layers).read(layers.spark, key)
+    return _stored_tables(layers)[key]
 
 
 def _scratch(layers: Layers, name: str) -> str:
@@ -224,10 +228,10 @@ def _partition_refresh(layers: Layers) -> DataFrame:
     location = _scratch(layers, "refresh")
     keys = ("pickup_date",)
     silver = _stored_table(layers, "silver.trips_cleaned")
-    write_table(without_clock(rollups.borough_metrics(silver)), location, keys)
+    write_table(without_clock(rollups.borough_metrics(silver)), location, keys, few_per_partition=True)
     month = F.date_format("pickup_date", "yyyy-MM") == CORRECTED_MONTH
     corrected = silver.filter(month).withColumn("total_amount", F.col("total_amount") + 1)
-    refresh_partitions(without_clock(rollups.borough_metrics(corrected)), location, keys)
+    refresh_partitions(without_clock(rollups.borough_metrics(corrected)), location, keys, True)
     return layers.spark.read.parquet(location)
 
 
@@ -264,9 +268,9 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "borough_flow": lambda s: routes.borough_flow(s.routes()),
     "borough_summary": lambda s: kpis.borough_summary(s.borough()),
     # quality
-    "dq_checks": lambda s: quality.run_checks(s.silver(), quality.silver_checks()),
+    "dq_checks": lambda s: quality.run_checks(s.silver()),
     "dq_summary": lambda s: quality.check_summary(
-        quality.run_checks(s.silver(), quality.silver_checks())
+        quality.run_checks(s.silver())
     ),
     "dq_stats": lambda s: quality.trip_statistics(s.features()),
     "dq_borough_distribution": lambda s: quality.borough_distribution(s.silver()),

@@ -31,12 +31,22 @@ def build_session(app_name: str = "meterline", master: str | None = None, **conf
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
-    return builder.getOrCreate()
+    return pin_session(builder.getOrCreate())
+
+
+# Listing tasks per core when the folders of a partitioned table are listed.
+_LISTING_WAVES = 4
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Set the one runtime option results depend on: the session time zone."""
+    """Runtime options of a session built elsewhere.
+
+    Results depend on the time zone.  Partition folders are listed by a few tasks
+    per core instead of one task per folder.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    tasks = min(_LISTING_WAVES * spark.sparkContext.defaultParallelism, 10_000)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks))
     return spark
 
 

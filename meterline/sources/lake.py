@@ -28,13 +28,19 @@ class WriteResult:
         return self.rows / self.seconds if self.seconds else 0.0
 
 
-def clustered(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def clustered(df: DataFrame, keys: tuple[str, ...], few_per_key: bool = False) -> DataFrame:
     """Bring equal keys together for a partitioned write.
 
     REBALANCE lets adaptive execution split a hot key over several tasks and
     merge small ones, where ``repartition`` would give a hot key a single task.
+    An aggregate with few rows per key has no hot keys, only many small files; a
+    fixed partition count keeps all cores writing them.
     """
-    return df.hint("rebalance", *[F.col(key) for key in keys]) if keys else df
+    if not keys:
+        return df
+    if few_per_key:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+    return df.hint("rebalance", *[F.col(key) for key in keys])
 
 
 def write_table(
@@ -43,12 +49,13 @@ def write_table(
     partition_by: tuple[str, ...] = (),
     fmt: str = "parquet",
     allow_schema_change: bool = True,
+    few_per_partition: bool = False,
 ) -> WriteResult:
     """Overwrite a table; the rows written are counted by the write itself."""
     if not allow_schema_change:
         _require_same_schema(df, location, fmt)
     written = Observation()
-    counted = clustered(df, partition_by).observe(written, F.count(F.lit(1)).alias("rows"))
+    counted = clustered(df, partition_by, few_per_partition).observe(written, F.count(F.lit(1)).alias("rows"))
     started = time.monotonic()
     writer = counted.write.format(fmt).mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if allow_schema_change:
@@ -79,10 +86,12 @@ def try_read_table(spark: SparkSession, location: str, fmt: str = "parquet") ->
         return None
 
 
-def refresh_partitions(df: DataFrame, location: str, partition_by: tuple[str, ...]) -> None:
+def refresh_partitions(
+    df: DataFrame, location: str, partition_by: tuple[str, ...], few_per_partition: bool = False
+) -> None:
     """Replace only the partitions that occur in ``df``; all others stay as they are."""
     (
-        clustered(df, partition_by)
+        clustered(df, partition_by, few_per_partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -114,4 +123,11 @@ class Lake:
 
     def write(self, df: DataFrame, key: str, allow_schema_change: bool = True) -> WriteResult:
         spec: TableSpec = TABLES[key]
-        return write_table(df, self.location(key), spec.partition_by, self.fmt, allow_schema_change)
+        return write_table(
+            df,
+            self.location(key),
+            spec.partition_by,
+            self.fmt,
+            allow_schema_change,
+            spec.few_per_partition,
+        )

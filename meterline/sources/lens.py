@@ -8,16 +8,49 @@ handling splits a hot key.  Filters on line-item columns reach the line-item sca
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The columns read, with the types they are stored in.  Naming them
+# saves the schema inference job of every table.
+_STORED = {
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double"
+    ),
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "customer": "c_custkey long, c_nationkey int",
+    "supplier": "s_suppkey long, s_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def read_star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_STORED[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _after(start: str, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds.cast("int"), F.col(start))
+# The trip-shaped expressions over the joined tables.
+_START = "(l_orderkey * 7919 + l_partkey * 31 + l_suppkey * 17) % 86400"
+_LENGTH = "(l_partkey * 13 + l_suppkey * 97 + l_linenumber * 61) % 5400 - 60"
+_DAY = "unix_micros(CAST(o_orderdate AS TIMESTAMP))"
+_PRICE = "l_extendedprice * (1D - l_discount) / 1000D"
+_TRIP = {
+    "trip_key": "l_orderkey",
+    "trip_line": "l_linenumber",
+    "tpep_pickup_datetime": f"timestamp_micros({_DAY} + ({_START}) * 1000000)",
+    "tpep_dropoff_datetime": f"timestamp_micros({_DAY} + ({_START} + {_LENGTH}) * 1000000)",
+    "passenger_count": "IF(l_linenumber = 1 AND l_partkey % 11 = 0, NULL, CAST(l_linenumber AS DOUBLE))",
+    "trip_distance": "l_quantity * 2.1D - 3D",
+    "fare_amount": f"{_PRICE} - 2D",
+    "total_amount": f"{_PRICE} * (1D + l_tax) - 1D",
+    "tip_amount": "l_extendedprice * l_tax / 1000D",
+    "PULocationID": "IF(l_partkey % 97 = 0, NULL, c_nationkey)",
+    "DOLocationID": (
+        "CASE WHEN l_suppkey % 53 = 0 THEN s_nationkey + 1000 WHEN l_partkey % 89 <> 0 THEN s_nationkey END"
+    ),
+}
 
 
 def trips_from_star(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,41 +58,19 @@ def trips_from_star(spark: SparkSession, folder: str) -> DataFrame:
     lines, orders, customers, suppliers = (
         read_star_table(spark, folder, name) for name in ("lineitem", "orders", "customer", "supplier")
     )
-    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+    placed = orders.join(customers, F.expr("o_custkey = c_custkey")).select(
         "o_orderkey", "o_orderdate", "c_nationkey"
     )
-    joined = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        suppliers.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")
-    )
-    order, part, supplier, line = (
-        F.col(name) for name in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    )
-    start = (order * 7919 + part * 31 + supplier * 17) % 86400
-    length = (part * 13 + supplier * 97 + line * 61) % 5400 - 60
-    price = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) / F.lit(1000.0)
-    return joined.select(
-        order.alias("trip_key"),
-        line.alias("trip_line"),
-        _after("o_orderdate", start).alias("tpep_pickup_datetime"),
-        _after("o_orderdate", start + length).alias("tpep_dropoff_datetime"),
-        F.when(~((line == 1) & (part % 11 == 0)), line.cast("double")).alias("passenger_count"),
-        (F.col("l_quantity") * F.lit(2.1) - F.lit(3.0)).alias("trip_distance"),
-        (price - F.lit(2.0)).alias("fare_amount"),
-        (price * (F.lit(1.0) + F.col("l_tax")) - F.lit(1.0)).alias("total_amount"),
-        (F.col("l_extendedprice") * F.col("l_tax") / F.lit(1000.0)).alias("tip_amount"),
-        F.when(part % 97 != 0, F.col("c_nationkey")).alias("PULocationID"),
-        F.when(supplier % 53 == 0, F.col("s_nationkey") + 1000)
-        .when(part % 89 != 0, F.col("s_nationkey"))
-        .alias("DOLocationID"),
+    joined = lines.join(placed, F.expr("l_orderkey = o_orderkey")).join(
+        suppliers.select("s_suppkey", "s_nationkey"), F.expr("l_suppkey = s_suppkey")
     )
+    return joined.selectExpr(*[f"{sql} AS {name}" for name, sql in _TRIP.items()])
 
 
 def zones_from_star(spark: SparkSession, folder: str) -> DataFrame:
     """Zone lookup with untidy names: one zone per nation, the region as its borough."""
     nations = read_star_table(spark, folder, "nation")
     regions = read_star_table(spark, folder, "region")
-    return nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("LocationID"),
-        F.concat(F.lit("  "), F.lower("r_name"), F.lit(" ")).alias("Borough"),
-        F.concat(F.lit(" "), F.col("n_name")).alias("Zone"),
+    return nations.join(regions, F.expr("n_regionkey = r_regionkey")).selectExpr(
+        "n_nationkey AS LocationID", "concat('  ', lower(r_name), ' ') AS Borough", "concat(' ', n_name) AS Zone"
     )
