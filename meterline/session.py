@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +51,11 @@ def pin_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"meterline-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
@@ -60,7 +66,5 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="meterline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder(spark.sparkContext.applicationId)
     raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
