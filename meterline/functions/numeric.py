@@ -43,17 +43,31 @@ def round_half_up(x: str, digits: int) -> Column:
     return F.expr(f"CASE WHEN {clear} THEN {fast} ELSE round({x}, {digits}) END")
 
 
-def _exact_sum(x: str, per_one: int, over: str) -> str:
+def unit_sums(x: str, per_one: int) -> dict[str, str]:
+    """The aggregates an exact sum is made of: two integer halves and a remainder.
+
+    Each can be summed again, so groups can be merged into larger groups.
+    """
     units = f"rint({x} * {per_one}D)"
     countable = f"abs({units}) < {_UNIT_LIMIT}"
     whole = f"CASE WHEN {countable} THEN CAST({units} AS BIGINT) END"
-    high = f"sum(shiftright({whole}, {_SPLIT_BITS})) {over}"
-    low = f"sum(({whole}) & {_SPLIT - 1}) {over}"
+    return {
+        "high": f"sum(shiftright({whole}, {_SPLIT_BITS}))",
+        "low": f"sum(({whole}) & {_SPLIT - 1})",
+        "rest": f"sum(CASE WHEN NOT ({countable}) THEN {x} END)",
+    }
+
+
+def total_of(high: str, low: str, rest: str, per_one: int) -> str:
+    """The sum as a double from its three aggregates."""
     counted = f"(CAST({high} AS DOUBLE) * {_SPLIT}D + CAST({low} AS DOUBLE)) / {per_one}D"
-    rest = f"sum(CASE WHEN NOT ({countable}) THEN {x} END) {over}"
     return f"CASE WHEN {rest} IS NULL THEN {counted} ELSE coalesce({counted}, 0D) + {rest} END"
 
 
+def _exact_sum(x: str, per_one: int, over: str) -> str:
+    return total_of(*[f"{part} {over}" for part in unit_sums(x, per_one).values()], per_one)
+
+
 def _rounded(sql: str, digits: int | None) -> Column:
     return F.expr(sql if digits is None else f"round({sql}, {digits})")
 

@@ -2,6 +2,10 @@
 
 Every measure is a sum or a count, so Spark combines map-side and only one row
 per group and task is shuffled, however many trips a hot group holds.
+
+The sums are exact integers, so they can also be merged: one pass over the trips
+yields the sums per day, hour and borough, and the daily, hourly and borough
+tables are merged from that small table without reading the trips again.
 """
 
 from __future__ import annotations
@@ -9,60 +13,101 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.numeric import CENTS, MICROS, SECONDS_PER_MINUTE, exact_mean, exact_sum
+from meterline.functions.numeric import (
+    CENTS,
+    MICROS,
+    SECONDS_PER_MINUTE,
+    exact_sum,
+    total_of,
+    unit_sums,
+)
 from meterline.layout import GOLD
 from meterline.operators.stamps import tag
 
 ROUTE_KEYS = ("PU_Borough", "PU_Zone", "DO_Borough", "DO_Zone")
-
-
+BASE_KEYS = ("pickup_date", "pickup_hour", "PU_Borough")
+
+# Units of the summed trip columns.
+UNITS = {
+    "fare_amount": CENTS,
+    "total_amount": CENTS,
+    "trip_distance": MICROS,
+    "trip_duration_minutes": SECONDS_PER_MINUTE,
+    "tip_percentage": CENTS,
+    "avg_speed_mph": CENTS,
+}
+# Measures: column, whether it is averaged, and the digits kept.
 MEASURES = {
-    "total_trips": lambda: F.expr("count(*)"),
-    "total_fare": lambda: exact_sum("fare_amount", CENTS, 2),
-    "total_revenue": lambda: exact_sum("total_amount", CENTS, 2),
-    "avg_fare": lambda: exact_mean("fare_amount", CENTS, 2),
-    "avg_distance": lambda: exact_mean("trip_distance", MICROS, 3),
-    "avg_duration": lambda: exact_mean("trip_duration_minutes", SECONDS_PER_MINUTE, 2),
-    "avg_tip_pct": lambda: exact_mean("tip_percentage", CENTS, 2),
-    "avg_speed": lambda: exact_mean("avg_speed_mph", CENTS, 2),
-    "total_passengers": lambda: F.expr("sum(passenger_count)"),
+    "total_fare": ("fare_amount", False, 2),
+    "total_revenue": ("total_amount", False, 2),
+    "avg_fare": ("fare_amount", True, 2),
+    "avg_distance": ("trip_distance", True, 3),
+    "avg_duration": ("trip_duration_minutes", True, 2),
+    "avg_tip_pct": ("tip_percentage", True, 2),
+    "avg_speed": ("avg_speed_mph", True, 2),
 }
+DAILY = (
+    "total_trips",
+    "total_fare",
+    "total_revenue",
+    "avg_fare",
+    "avg_distance",
+    "avg_duration",
+    "avg_tip_pct",
+    "total_passengers",
+)
+HOURLY = ("total_trips", "avg_fare", "avg_distance", "avg_speed")
+BOROUGH = ("total_trips", "total_revenue", "avg_fare", "avg_distance")
+ROUTE = ("total_trips", "avg_fare", "avg_distance")
+
+
+def _measure(name: str, merged: bool) -> str:
+    """SQL of a measure, over trips or over already summed groups."""
+    if name == "total_trips":
+        return "sum(trips)" if merged else "count(*)"
+    if name == "total_passengers":
+        return "sum(passengers)" if merged else "sum(passenger_count)"
+    column, averaged, digits = MEASURES[name]
+    parts = unit_sums(column, UNITS[column])
+    if merged:
+        parts = {part: f"sum({column}_{part})" for part in parts}
+    value = total_of(**parts, per_one=UNITS[column])
+    if averaged:
+        count = f"sum({column}_count)" if merged else f"count({column})"
+        value = f"try_divide({value}, {count})"
+    return f"round({value}, {digits})"
+
+
+def _grouped(df: DataFrame, keys: tuple[str, ...], measures: tuple[str, ...], merged: bool) -> DataFrame:
+    columns = [F.expr(f"{_measure(name, merged)} AS {name}") for name in measures]
+    return tag(df.groupBy(*keys).agg(*columns), GOLD, "_aggregation_timestamp")
 
 
-def rollup(trips: DataFrame, keys: tuple[str, ...], measures: tuple[str, ...]) -> DataFrame:
-    """Group trips by ``keys`` and compute the named measures, tagged as gold."""
-    grouped = trips.groupBy(*keys).agg(*[MEASURES[name]().alias(name) for name in measures])
-    return tag(grouped, GOLD, "_aggregation_timestamp")
+def trip_sums(silver: DataFrame, keys: tuple[str, ...] = BASE_KEYS) -> DataFrame:
+    """Counts and exact sums per group, ready to be merged into coarser groups."""
+    sums = {"trips": "count(*)", "passengers": "sum(passenger_count)"}
+    for column, per_one in UNITS.items():
+        sums |= {f"{column}_{part}": sql for part, sql in unit_sums(column, per_one).items()}
+        sums[f"{column}_count"] = f"count({column})"
+    return silver.groupBy(*keys).agg(*[F.expr(f"{sql} AS {name}") for name, sql in sums.items()])
 
 
-def daily_metrics(silver: DataFrame) -> DataFrame:
-    wanted = (
-        "total_trips",
-        "total_fare",
-        "total_revenue",
-        "avg_fare",
-        "avg_distance",
-        "avg_duration",
-        "avg_tip_pct",
-        "total_passengers",
-    )
-    return rollup(silver, ("pickup_date",), wanted)
+def daily_metrics(df: DataFrame, merged: bool = False) -> DataFrame:
+    """Per day; like the next two, over trips or, with ``merged``, over :func:`trip_sums`."""
+    return _grouped(df, ("pickup_date",), DAILY, merged)
 
 
-def hourly_metrics(silver: DataFrame) -> DataFrame:
-    wanted = ("total_trips", "avg_fare", "avg_distance", "avg_speed")
-    return rollup(silver, ("pickup_date", "pickup_hour"), wanted)
+def hourly_metrics(df: DataFrame, merged: bool = False) -> DataFrame:
+    return _grouped(df, ("pickup_date", "pickup_hour"), HOURLY, merged)
 
 
-def borough_metrics(silver: DataFrame) -> DataFrame:
-    known = silver.filter("PU_Borough IS NOT NULL")
-    wanted = ("total_trips", "total_revenue", "avg_fare", "avg_distance")
-    return rollup(known, ("pickup_date", "PU_Borough"), wanted)
+def borough_metrics(df: DataFrame, merged: bool = False) -> DataFrame:
+    return _grouped(df.filter("PU_Borough IS NOT NULL"), ("pickup_date", "PU_Borough"), BOROUGH, merged)
 
 
 def route_metrics(silver: DataFrame) -> DataFrame:
     known = silver.filter("PU_Zone IS NOT NULL AND DO_Zone IS NOT NULL")
-    return rollup(known, ROUTE_KEYS, ("total_trips", "avg_fare", "avg_distance"))
+    return _grouped(known, ROUTE_KEYS, ROUTE, merged=False)
 
 
 def borough_revenue(borough: DataFrame) -> DataFrame:

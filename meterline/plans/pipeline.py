@@ -81,15 +81,20 @@ class Pipeline:
         return []
 
     def gold(self) -> list[WriteResult]:
+        """Two passes over silver: one for the merged tables, one for the routes."""
         silver = self.lake.read(self.spark, "silver.trips_cleaned")
+        self._save(rollups.trip_sums(silver), "trip_sums")
+        sums = self.spark.read.parquet(self.lake.side_table("trip_sums"))
         return [
-            self.lake.write(build(silver), key)
-            for key, build in (
-                ("gold.trips_daily_metrics", rollups.daily_metrics),
-                ("gold.trips_hourly_metrics", rollups.hourly_metrics),
-                ("gold.trips_borough_metrics", rollups.borough_metrics),
-                ("gold.trips_popular_routes", rollups.route_metrics),
-            )
+            *[
+                self.lake.write(build(sums, merged=True), key)
+                for key, build in (
+                    ("gold.trips_daily_metrics", rollups.daily_metrics),
+                    ("gold.trips_hourly_metrics", rollups.hourly_metrics),
+                    ("gold.trips_borough_metrics", rollups.borough_metrics),
+                )
+            ],
+            self.lake.write(rollups.route_metrics(silver), "gold.trips_popular_routes"),
         ]
 
     def analytics(self) -> list[WriteResult]:

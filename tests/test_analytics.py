@@ -60,6 +60,13 @@ def test_unknown_zones_leave_borough_and_route_tables(silver):
     assert found == {("Alpha", "Beta"): 2, ("Alpha", "Gamma"): 1}
 
 
+@pytest.mark.parametrize("build", [rollups.daily_metrics, rollups.hourly_metrics, rollups.borough_metrics])
+def test_merged_sums_give_the_same_table(silver, build):
+    direct, merged = (df.drop("_aggregation_timestamp") for df in (build(silver), build(rollups.trip_sums(silver), True)))
+    assert direct.schema.simpleString() == merged.schema.simpleString()
+    assert direct.exceptAll(merged).count() == 0 and merged.exceptAll(direct).count() == 0
+
+
 def test_sums_agree_between_rollups(silver):
     totals = {
         build(silver).agg({"total_trips": "sum"}).first()[0]
