@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from meterline.layout import ANALYTICS, TABLES
 from meterline.sources.files import Storage
 from meterline.sources.inventory import layout_summary
-from meterline.sources.lake import MAX_RECORDS_PER_FILE, Lake, clustered, try_read_table
+from meterline.sources.lake import Lake, clustered, rebalanced_to, try_read_table
 
 # Default file size (within both published ranges) and retention.
 TARGET_BYTES = 256 * 1024 * 1024
@@ -64,9 +64,13 @@ def compact_table(
     stamp = time.time_ns()
     fresh, previous = f"{location}__new_{stamp}", f"{location}__old_{stamp}"
     try:
-        spread = clustered(table, partition_by) if partition_by else table.repartition(before["files_needed"])
-        writer = spread.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(fresh)
+        if partition_by:
+            # one file per folder, or several of about the target size in a hot one
+            with rebalanced_to(spark, target_bytes):
+                clustered(table, partition_by).write.partitionBy(*partition_by).parquet(fresh)
+        else:
+            # merging whole scan tasks needs no shuffle
+            table.coalesce(before["files_needed"]).write.parquet(fresh)
         after = layout_summary(spark.read.parquet(fresh), target_bytes).first()
         if after["record_count"] != before["record_count"]:
             raise RuntimeError(f"{after['record_count']} of {before['record_count']} records rewritten")

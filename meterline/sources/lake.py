@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -12,12 +14,27 @@ from pyspark.sql import functions as F
 from meterline.layout import TABLES, TableSpec
 
 MAX_RECORDS_PER_FILE = 1_000_000
+# Shuffled bytes a task of a partitioned write takes: several days of an ordinary
+# source stay in one task and one file each, and a hot day is split at this size.
+WRITE_TASK_BYTES = 256 * 1024 * 1024
 
 
 class SchemaChangeError(ValueError):
     """An overwrite would change the schema of a table that does not allow it."""
 
 
+@contextmanager
+def rebalanced_to(spark: SparkSession, task_bytes: int) -> Iterator[None]:
+    """Size adaptive execution aims at for the tasks of a REBALANCE."""
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(task_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 @dataclass(frozen=True)
 class WriteResult:
     rows: int
@@ -50,6 +67,7 @@ def write_table(
     fmt: str = "parquet",
     allow_schema_change: bool = True,
     few_per_partition: bool = False,
+    task_bytes: int = WRITE_TASK_BYTES,
 ) -> WriteResult:
     """Overwrite a table; the rows written are counted by the write itself."""
     if not allow_schema_change:
@@ -62,7 +80,8 @@ def write_table(
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(location)
+    with rebalanced_to(df.sparkSession, task_bytes):
+        writer.save(location)
     return WriteResult(written.get["rows"], time.monotonic() - started)
 
 
@@ -90,14 +109,15 @@ def refresh_partitions(
     df: DataFrame, location: str, partition_by: tuple[str, ...], few_per_partition: bool = False
 ) -> None:
     """Replace only the partitions that occur in ``df``; all others stay as they are."""
-    (
+    writer = (
         clustered(df, partition_by, few_per_partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*partition_by)
-        .parquet(location)
     )
+    with rebalanced_to(df.sparkSession, WRITE_TASK_BYTES):
+        writer.parquet(location)
 
 
 @dataclass(frozen=True)

@@ -142,12 +142,7 @@ def test_refresh_keeps_other_partitions(spark, tmp_path):
 
 def test_a_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):
     hot = spark.range(0, 2_000_000, 1, 8).selectExpr("id", "uuid() AS payload", "IF(id % 3 = 0, 1, 0) AS k")
-    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    spark.conf.set(advisory, "4MB")
-    try:
-        write_table(hot, f"{tmp_path}/t", ("k",))
-    finally:
-        spark.conf.unset(advisory)
+    write_table(hot, f"{tmp_path}/t", ("k",), task_bytes=4 << 20)
     assert len(list(Path(f"{tmp_path}/t/k=0").glob("*.parquet"))) > 2
     assert spark.read.parquet(f"{tmp_path}/t").count() == 2_000_000
 
