@@ -9,15 +9,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.layout import TABLES
-from meterline.operators import kpis, rollups, routes
+from meterline.layout import BRONZE_STAMPS, LAYERS, REQUIRED_TRIP_COLUMNS, REQUIRED_ZONE_COLUMNS, TABLES
+from meterline.operators import kpis, quality, rollups, routes, verification
 from meterline.operators.cleaning import clean_trips, filter_audit, typed_trips
 from meterline.operators.enrichment import checked_zones, silver_trips
 from meterline.operators.features import trip_features
-from meterline.operators.quality import run_checks
-from meterline.plans.maintenance import maintain
+from meterline.plans.maintenance import RETENTION_HOURS, maintain
 from meterline.sources.exports import export_csv
-from meterline.sources.inventory import table_inventory
+from meterline.sources.inventory import expired_files, table_inventory
 from meterline.sources.lake import Lake, WriteResult
 from meterline.sources.trips import find_monthly_files, ingest_trips, ingest_zones
 
@@ -77,7 +76,11 @@ class Pipeline:
 
     def quality(self) -> list[WriteResult]:
         silver = self.lake.read(self.spark, "silver.trips_cleaned")
-        self._save(run_checks(silver), "quality_checks")
+        self._save(quality.run_checks(silver), "quality_checks")
+        checks = self.spark.read.parquet(self.lake.side_table("quality_checks"))
+        self._save(quality.check_summary(checks), "check_summary")
+        self._save(quality.trip_statistics(silver), "trip_statistics")
+        self._save(quality.borough_distribution(silver), "borough_distribution")
         return []
 
     def gold(self) -> list[WriteResult]:
@@ -117,6 +120,10 @@ class Pipeline:
     def maintenance(self) -> list[WriteResult]:
         self._save(maintain(self.spark, self.lake), "maintenance")
         self._save(table_inventory(self.spark, self.lake), "lake_tables")
+        live = [table for table in stored_tables(self.spark, self.lake).values() if table is not None]
+        cutoff = dt.datetime.now(dt.timezone.utc) - dt.timedelta(hours=RETENTION_HOURS)
+        folders = [f"{self.lake.root}/{layer}" for layer in LAYERS]
+        self._save(expired_files(self.spark, folders, live, cutoff), "expired_files")
         return []
 
     # run -------------------------------------------------------------------
@@ -220,3 +227,26 @@ def source_registry(spark: SparkSession, sources: list[tuple[str, str, str, str]
 
 def stored_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame | None]:
     return {key: lake.find(spark, key) for key in TABLES}
+
+
+def verify_bronze(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """Checks on the ingested tables: columns, null shares, layer tags, boroughs."""
+    trips, zones = (lake.read(spark, f"bronze.{name}") for name in ("trips", "taxi_zone_lookup"))
+    return {
+        "columns": quality.required_columns(
+            {
+                "bronze.trips": (trips, REQUIRED_TRIP_COLUMNS + BRONZE_STAMPS),
+                "bronze.taxi_zone_lookup": (zones, REQUIRED_ZONE_COLUMNS),
+            }
+        ),
+        "nulls": quality.null_profile(trips, REQUIRED_TRIP_COLUMNS),
+        "layers": verification.layer_values({"bronze.trips": trips, "bronze.taxi_zone_lookup": zones}),
+        "boroughs": quality.zone_boroughs(zones),
+    }
+
+
+def verify(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Check every stored table, keep the check rows, and return the verdict per layer."""
+    location = lake.side_table("verification")
+    verification.table_checks(stored_tables(spark, lake)).write.mode("overwrite").parquet(location)
+    return verification.layer_status(spark.read.parquet(location))

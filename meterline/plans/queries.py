@@ -14,19 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.layout import (
-    BRONZE_STAMPS,
-    REQUIRED_TRIP_COLUMNS,
-    REQUIRED_ZONE_COLUMNS,
-    TABLES,
-)
+from meterline.layout import REQUIRED_TRIP_COLUMNS, TABLES
 from meterline.operators import kpis, marts, quality, rollups, routes, verification
 from meterline.operators.cleaning import clean_trips, filter_audit, typed_trips
 from meterline.operators.enrichment import checked_zones, silver_trips, tidy_zones
 from meterline.operators.features import trip_features
 from meterline.operators.stamps import stamp_bronze, without_clock
 from meterline.plans import maintenance
-from meterline.plans.pipeline import Pipeline, analytics_results, stored_tables
+from meterline.plans.pipeline import Pipeline, analytics_results, stored_tables, verify_bronze
 from meterline.session import pin_session, shared_folder
 from meterline.sources.exports import export_check
 from meterline.sources.inventory import expired_files, file_layout, table_inventory
@@ -165,14 +160,7 @@ def _scratch(layers: Layers, name: str) -> str:
 
 
 def _required_columns(layers: Layers) -> DataFrame:
-    tables = _stored_tables(layers)
-    trips, zones = tables["bronze.trips"], tables["bronze.taxi_zone_lookup"]
-    return quality.required_columns(
-        {
-            "bronze.trips": (trips, REQUIRED_TRIP_COLUMNS + BRONZE_STAMPS),
-            "bronze.taxi_zone_lookup": (zones, REQUIRED_ZONE_COLUMNS),
-        }
-    )
+    return verify_bronze(layers.spark, stored_lake(layers))["columns"]
 
 
 def _exports(layers: Layers) -> DataFrame:
@@ -208,7 +196,7 @@ def _expired(layers: Layers) -> DataFrame:
     maintenance.compact_table(layers.spark, "silver copy", location, target_bytes=TEST_TARGET_BYTES)
     live = layers.spark.read.parquet(location)
     cutoff = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1)
-    return expired_files(layers.spark, _scratch(layers, "expiry"), live, cutoff)
+    return expired_files(layers.spark, _scratch(layers, "expiry"), [live], cutoff)
 
 
 def _clustered(layers: Layers) -> DataFrame:

@@ -71,13 +71,13 @@ def table_inventory(spark: SparkSession, lake: Lake, keys: Mapping[str, object]
     return reduce(DataFrame.unionByName, parts)
 
 
-def stored_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """Every data file below ``root``; the listing opens no file."""
+def stored_files(spark: SparkSession, roots: str | list[str], pattern: str = "*.parquet") -> DataFrame:
+    """Every data file below the given folders; the listing opens no file."""
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .load(root)
+        .load(roots)
     )
     return listing.select(
         F.col("path").alias("file_path"),
@@ -86,11 +86,14 @@ def stored_files(spark: SparkSession, root: str, pattern: str = "*.parquet") ->
     )
 
 
-def expired_files(spark: SparkSession, root: str, live: DataFrame, cutoff: dt.datetime) -> DataFrame:
-    """Files below ``root`` that ``live`` does not use and that are older than the cutoff.
+def expired_files(
+    spark: SparkSession, roots: str | list[str], live: list[DataFrame], cutoff: dt.datetime
+) -> DataFrame:
+    """Files below ``roots`` that no live table uses and that are older than the cutoff.
 
     Reports candidates; removing them is left to the operator of the storage.
     """
-    used = live.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-    old = stored_files(spark, root).filter(F.col("modified") < F.lit(cutoff))
+    paths = [table.select(F.col("_metadata.file_path").alias("file_path")) for table in live]
+    used = reduce(DataFrame.unionByName, paths).distinct()
+    old = stored_files(spark, roots).filter(F.col("modified") < F.lit(cutoff))
     return old.join(used, "file_path", "left_anti")

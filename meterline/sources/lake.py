@@ -19,6 +19,10 @@ MAX_RECORDS_PER_FILE = 1_000_000
 WRITE_TASK_BYTES = 256 * 1024 * 1024
 
 
+class ReadBackError(RuntimeError):
+    """A stored table does not hold the rows that were written."""
+
+
 class SchemaChangeError(ValueError):
     """An overwrite would change the schema of a table that does not allow it."""
 
@@ -120,6 +124,11 @@ def refresh_partitions(
         writer.parquet(location)
 
 
+def preview(df: DataFrame, columns: tuple[str, ...], n: int = 5, *order_by: str) -> DataFrame:
+    """A few rows of some columns, the first in an order when one is named."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n).select(*columns)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Tables of the registry under ``root``, in any format the session can read."""
@@ -143,7 +152,7 @@ class Lake:
 
     def write(self, df: DataFrame, key: str, allow_schema_change: bool = True) -> WriteResult:
         spec: TableSpec = TABLES[key]
-        return write_table(
+        result = write_table(
             df,
             self.location(key),
             spec.partition_by,
@@ -151,3 +160,8 @@ class Lake:
             allow_schema_change,
             spec.few_per_partition,
         )
+        # a count without columns reads file footers only
+        stored = self.read(df.sparkSession, key).count()
+        if stored != result.rows:
+            raise ReadBackError(f"{key}: {result.rows} rows written, {stored} read back")
+        return result

@@ -6,11 +6,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.plans import maintenance
-from meterline.plans.pipeline import EXPORT_ORDER, Pipeline, run_from_files
+from meterline.plans.pipeline import EXPORT_ORDER, Pipeline, run_from_files, verify, verify_bronze
 from meterline.session import shared_folder
 from meterline.sources.exports import export_check, export_csv
 from meterline.sources.inventory import expired_files, file_layout, layout_summary
-from meterline.sources.lake import Lake, SchemaChangeError, refresh_partitions, try_read_table, write_table
+from meterline.sources.lake import (
+    Lake,
+    ReadBackError,
+    SchemaChangeError,
+    WriteResult,
+    preview,
+    refresh_partitions,
+    try_read_table,
+    write_table,
+)
 from meterline.sources.trips import find_monthly_files, ingest_trips, ingest_zones, read_months, union_months
 
 RUN_DATE = dt.date(2024, 1, 1)
@@ -88,6 +97,15 @@ def test_whole_run_from_files(spark, raw_folder, tmp_path):
     assert lake.read(spark, "gold.trips_daily_metrics").agg({"total_trips": "sum"}).first()[0] == 16
     checks = spark.read.parquet(lake.side_table("quality_checks"))
     assert checks.filter("status = 'PASSED'").count() == 8
+    assert spark.read.parquet(lake.side_table("check_summary")).first().checks_passed == 8
+    assert spark.read.parquet(lake.side_table("trip_statistics")).first().avg_fare == 20.0
+    assert spark.read.parquet(lake.side_table("expired_files")).count() == 0
+    verdicts = {r.layer: r for r in verify(spark, lake).collect()}
+    assert verdicts["silver"].verdict == "ISSUES FOUND" and sum(v.tables for v in verdicts.values()) == 12
+    bronze = verify_bronze(spark, lake)
+    assert bronze["columns"].filter("status <> 'PASSED'").count() == 0
+    assert bronze["layers"].filter("status <> 'PASSED'").count() == 0
+    assert bronze["boroughs"].first().status == "WARNING"
     inventory = {r.table_name: r for r in spark.read.parquet(lake.side_table("lake_tables")).collect()}
     assert inventory["trips_cleaned"].record_count == 16 and len(inventory) == 12
     for name in EXPORT_ORDER:
@@ -131,6 +149,20 @@ def test_schema_change_needs_permission(spark, tmp_path):
     assert spark.read.parquet(location).columns == ["id", "more"]
 
 
+def test_writes_are_read_back(spark, tmp_path, monkeypatch):
+    lake, df = Lake(str(tmp_path)), spark.range(4)
+    assert lake.write(df, "gold.trips_popular_routes").rows == 4
+    monkeypatch.setattr("meterline.sources.lake.write_table", lambda *args: WriteResult(5, 1.0))
+    with pytest.raises(ReadBackError):
+        lake.write(df, "gold.trips_popular_routes")
+
+
+def test_preview(spark):
+    rows = preview(spark.range(9).selectExpr("id", "-id AS n"), ("id",), 3, "n").collect()
+    assert [r.id for r in rows] == [8, 7, 6]
+    assert preview(spark.range(9), ("id",)).count() == 5
+
+
 def test_refresh_keeps_other_partitions(spark, tmp_path):
     location = f"{tmp_path}/t"
     df = spark.range(20).selectExpr("id", "id % 4 AS k")
@@ -172,9 +204,9 @@ def test_compaction_swaps_and_keeps_the_old_files(spark, tmp_path):
     live = spark.read.parquet(location)
     assert live.selectExpr("sum(id)").first()[0] == 499500
     later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=5)
-    expired = expired_files(spark, str(tmp_path), live, later)
+    expired = expired_files(spark, str(tmp_path), [live], later)
     assert expired.count() == 12 and expired.filter("file_path NOT LIKE '%__old_%'").count() == 0
-    assert expired_files(spark, str(tmp_path), live, later - dt.timedelta(days=1)).count() == 0
+    assert expired_files(spark, str(tmp_path), [live], later - dt.timedelta(days=1)).count() == 0
     again = maintenance.compact_table(spark, "t", location)
     assert (again.status, again.message, again.files_after) == ("SUCCESS", "already compact", 1)
 
