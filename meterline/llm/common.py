@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,24 +39,30 @@ def forget(*frames: DataFrame) -> None:
 def numbered(df: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
     """``df`` with a gapless number from 0 in the given order, without a one-task window.
 
-    The rows are range-partitioned and stored; each partition numbers its own rows, and
-    only one count per partition reaches the driver.  The order must name enough columns
+    The rows are range-partitioned, sorted and stored with their place in their partition,
+    and only one count per partition reaches the driver.  The order must name enough columns
     to spread equal keys: rows that tie in all of them land in one partition.
     """
     parts = max(df.sparkSession.sparkContext.defaultParallelism, shuffle_partitions(df.sparkSession))
     keys = {f"_order{i}": column for i, column in enumerate(order)}
     placed = stored(
-        df.withColumns(keys).repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id()), label
+        df.withColumns(keys)
+        .repartitionByRange(parts, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_stored_place", F.monotonically_increasing_id())
+        .drop(*keys),
+        label,
     )
-    counts = {row["_part"]: row["n"] for row in placed.groupBy("_part").agg(F.count("*").alias("n")).collect()}
+    # the upper bits of the place are the partition, the lower 33 the position in it
+    part, position = F.shiftright("_stored_place", 33), F.col("_stored_place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = {row["part"]: row["n"] for row in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
     offsets, seen = {}, 0
-    for part in sorted(counts):
-        offsets[part], seen = seen, seen + counts[part]
-    window = Window.partitionBy("_part").orderBy(*[F.col(key) for key in keys])
+    for number in sorted(counts):
+        offsets[number], seen = seen, seen + counts[number]
     if not offsets:
-        return placed.withColumn(name, F.lit(0).cast("long")).drop("_part", *keys)
-    start = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair])[F.col("_part")]
-    return placed.withColumn(name, (start + F.row_number().over(window) - 1).cast("long")).drop("_part", *keys)
+        return placed.withColumn(name, F.lit(0).cast("long")).drop("_stored_place")
+    start = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair])[part]
+    return placed.withColumn(name, (start + position).cast("long")).drop("_stored_place")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -54,14 +54,14 @@ WITH docs AS (
   SELECT item_id::VARCHAR AS item, {_WORDS} AS words FROM benchmark
 ), windows AS (
   SELECT DISTINCT item, least(len(words), 10) AS size,
-         array_to_string(words[pos : pos + least(len(words), 10) - 1], ' ') AS window
+         array_to_string(words[pos : pos + least(len(words), 10) - 1], ' ') AS phrase
   FROM items, unnest(range(1, greatest(len(words) - 9, 1) + 1)) t(pos) WHERE len(words) > 0
 ), sizes AS (SELECT DISTINCT size FROM windows
 ), places AS (
-  SELECT k, pos, s.size, array_to_string(words[pos : pos + s.size - 1], ' ') AS window
+  SELECT k, pos, s.size, array_to_string(words[pos : pos + s.size - 1], ' ') AS phrase
   FROM docs CROSS JOIN sizes s, unnest(range(1, len(words) - s.size + 2)) t(pos)
 ), hits AS (
-  SELECT p.k, p.pos, p.size, w.item FROM places p JOIN windows w USING (size, window)
+  SELECT p.k, p.pos, p.size, w.item FROM places p JOIN windows w USING (size, phrase)
 ), hit_words AS (
   SELECT k, count(DISTINCT word) AS n FROM (SELECT k, unnest(range(pos, pos + size)) AS word FROM hits) GROUP BY k
 ), hit_items AS (
