@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from meterline.llm.mixing import SEEDS, multiplier
+from meterline.llm.secrets import BASE_RULES, RULES, Rule
 
 _SEEDS = ", ".join(f"({seed}, {multiplier(seed)})" for seed in range(SEEDS))
 
@@ -74,5 +75,34 @@ FROM docs LEFT JOIN hit_words w USING (k) LEFT JOIN hit_items i USING (k)
 """
 
 
+def _secret_spans(rule: Rule, rank: int) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT k, '{rule.kind}' AS kind, {rank} AS rank,
+         (list_sum(list_transform(gaps[1 : i], lambda x: length(x)))
+          + coalesce(list_sum(list_transform(matches[1 : i - 1], lambda x: length(x))), 0))::BIGINT AS start,
+         length(matches[i]) AS size
+  FROM (SELECT k, regexp_extract_all(text, '{pattern}') AS matches,
+               regexp_extract_all(text, '{pattern}', {rule.group}) AS parts,
+               regexp_split_to_array(text, '{pattern}') AS gaps
+        FROM docs), unnest(range(1, len(matches) + 1)) t(i) WHERE length(parts[i]) >= {rule.least}"""
+
+
+_NAMED = "string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, rank)"
+_BASE = f"kind IN ({', '.join(repr(rule.kind) for rule in BASE_RULES)})"
+_SECRETS = f"""
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({" UNION ALL ".join(_secret_spans(rule, rank) for rank, rule in enumerate(RULES))}),
+listed AS (
+  SELECT k, {", ".join(f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in BASE_RULES)},
+         {_NAMED} FILTER ({_BASE}) AS base, {_NAMED} AS spans
+  FROM found GROUP BY k
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0)::BIGINT AS n_{rule.kind}" for rule in BASE_RULES)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (k)
+"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op4_mixing": _MIXING, "op6_decontamination": _DECONTAMINATION}
+    return {"op4_mixing": _MIXING, "op6_decontamination": _DECONTAMINATION, "op7_secrets": _SECRETS}

@@ -11,6 +11,7 @@ from meterline.llm.chat import conversation_digests, formatted_turns
 from meterline.llm.common import table
 from meterline.llm.decontaminate import contamination_report
 from meterline.llm.mixing import mix_report
+from meterline.llm.secrets import secret_report
 from meterline.llm.sharding import shard_report
 
 
@@ -22,6 +23,10 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_report(table(spark, folder, "documents"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_report(table(spark, folder, "documents"))
 
@@ -40,5 +45,5 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    operators = (op4_mixing, op6_decontamination, op9_sharding, op10_chat)
+    operators = (op4_mixing, op6_decontamination, op7_secrets, op9_sharding, op10_chat)
     return {operator.__name__: operator for operator in operators}
