@@ -104,5 +104,31 @@ FROM docs LEFT JOIN listed USING (k)
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR_DUPLICATES = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+    ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END AS grams
+  FROM docs
+), sized AS (SELECT doc_id, len(grams)::BIGINT AS n FROM sets
+), flat AS (SELECT doc_id, unnest(grams) AS gram FROM sets
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM flat x JOIN flat y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared s JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+  WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sized UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON r.other = e.a
+)
+SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached JOIN sized USING (doc_id) GROUP BY doc_id
+"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op4_mixing": _MIXING, "op6_decontamination": _DECONTAMINATION, "op7_secrets": _SECRETS}
+    return {"op3_near_duplicates": _NEAR_DUPLICATES, "op4_mixing": _MIXING, "op6_decontamination": _DECONTAMINATION, "op7_secrets": _SECRETS}

@@ -11,10 +11,15 @@ from meterline.llm.chat import conversation_digests, formatted_turns
 from meterline.llm.common import table
 from meterline.llm.decontaminate import contamination_report
 from meterline.llm.mixing import mix_report
+from meterline.llm.near_duplicates import near_duplicates
 from meterline.llm.secrets import secret_report
 from meterline.llm.sharding import shard_report
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_report(table(spark, folder, "documents"))
 
@@ -45,5 +50,5 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    operators = (op4_mixing, op6_decontamination, op7_secrets, op9_sharding, op10_chat)
+    operators = (op3_near_duplicates, op4_mixing, op6_decontamination, op7_secrets, op9_sharding, op10_chat)
     return {operator.__name__: operator for operator in operators}

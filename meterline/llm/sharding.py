@@ -53,7 +53,8 @@ def propagated_labels(nodes: DataFrame, shards: int = SHARDS, rounds: int = ROUN
     start = F.pmod(F.xxhash64("row_id"), F.lit(shards)).cast("int")
     nodes = nodes.withColumn("shard", start)
     grouped = nodes.filter(F.col("_group2").isNotNull())
-    twins = grouped.groupBy(*groups).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    # stored, so that the joins below have an exchange of their own, which can split a hot group
+    twins = stored(grouped.groupBy(*groups).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1), "twins")
     # a text that occurs once has no neighbours, and stays out of the rounds
     single = grouped.join(twins, groups, "left_anti").unionByName(nodes.filter(F.col("_group2").isNull()))
     rows = nodes.count()
