@@ -130,5 +130,29 @@ FROM reached JOIN sized USING (doc_id) GROUP BY doc_id
 """
 
 
+_EMBEDDINGS = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.93
+), reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+)
+SELECT r.vec_id, (SELECT count(*) FROM links WHERE a = r.vec_id) AS n_links, min(other) AS component_id,
+       r.vec_id = min(other) AS kept
+FROM reached r GROUP BY r.vec_id
+"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op3_near_duplicates": _NEAR_DUPLICATES, "op4_mixing": _MIXING, "op6_decontamination": _DECONTAMINATION, "op7_secrets": _SECRETS}
+    return {
+        "op3_near_duplicates": _NEAR_DUPLICATES,
+        "op4_mixing": _MIXING,
+        "op5_embeddings": _EMBEDDINGS,
+        "op6_decontamination": _DECONTAMINATION,
+        "op7_secrets": _SECRETS,
+    }

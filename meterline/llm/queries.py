@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meterline.llm.chat import conversation_digests, formatted_turns
 from meterline.llm.common import table
 from meterline.llm.decontaminate import contamination_report
+from meterline.llm.embeddings import near_duplicate_vectors
 from meterline.llm.mixing import mix_report
 from meterline.llm.near_duplicates import near_duplicates
 from meterline.llm.secrets import secret_report
@@ -24,6 +25,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_report(table(spark, folder, "documents"))
 
 
+def op5_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -50,5 +55,5 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    operators = (op3_near_duplicates, op4_mixing, op6_decontamination, op7_secrets, op9_sharding, op10_chat)
+    operators = (op3_near_duplicates, op4_mixing, op5_embeddings, op6_decontamination, op7_secrets, op9_sharding, op10_chat)
     return {operator.__name__: operator for operator in operators}
