@@ -13,10 +13,15 @@ from meterline.llm.decontaminate import contamination_report
 from meterline.llm.embeddings import near_duplicate_vectors
 from meterline.llm.mixing import mix_report
 from meterline.llm.near_duplicates import near_duplicates
+from meterline.llm.quality import quality_report
 from meterline.llm.secrets import secret_report
 from meterline.llm.sharding import shard_report
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
 
@@ -55,5 +60,14 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    operators = (op3_near_duplicates, op4_mixing, op5_embeddings, op6_decontamination, op7_secrets, op9_sharding, op10_chat)
+    operators = (
+        op1_quality,
+        op3_near_duplicates,
+        op4_mixing,
+        op5_embeddings,
+        op6_decontamination,
+        op7_secrets,
+        op9_sharding,
+        op10_chat,
+    )
     return {operator.__name__: operator for operator in operators}
