@@ -11,6 +11,7 @@ from meterline.llm.chat import conversation_digests, formatted_turns
 from meterline.llm.common import table
 from meterline.llm.decontaminate import contamination_report
 from meterline.llm.embeddings import near_duplicate_vectors
+from meterline.llm.language_model import scored_texts
 from meterline.llm.mixing import mix_report
 from meterline.llm.near_duplicates import near_duplicates
 from meterline.llm.quality import quality_report
@@ -42,6 +43,10 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_report(table(spark, folder, "documents"))
 
 
+def op8_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return scored_texts(table(spark, folder, "documents"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_report(table(spark, folder, "documents"))
 
@@ -67,6 +72,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_embeddings,
         op6_decontamination,
         op7_secrets,
+        op8_language_model,
         op9_sharding,
         op10_chat,
     )
