@@ -14,6 +14,7 @@ from meterline.llm.embeddings import near_duplicate_vectors
 from meterline.llm.language_model import scored_texts
 from meterline.llm.mixing import mix_report
 from meterline.llm.near_duplicates import near_duplicates
+from meterline.llm.privacy import privacy_report
 from meterline.llm.quality import quality_report
 from meterline.llm.secrets import secret_report
 from meterline.llm.sharding import shard_report
@@ -23,6 +24,10 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_privacy(spark: SparkSession, folder: str) -> DataFrame:
+    return privacy_report(table(spark, folder, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
 
@@ -67,6 +72,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_quality,
+        op2_privacy,
         op3_near_duplicates,
         op4_mixing,
         op5_embeddings,
