@@ -14,8 +14,8 @@ from meterline.llm.common import forget, numbered, stored
 
 SHARDS = 16
 ROUNDS = 4
-# The part of a shard's count above which a group moves row by row, as it may not fit as a whole.
-LARGE_GROUP = 0.125
+# The part of a shard's count above which a group does not move as a whole, but fills shards up.
+LARGE_GROUP = 0.25
 _DRAWS = 1 << 20
 
 
@@ -48,21 +48,25 @@ def _admitted(demand: dict[tuple[int, int], int], load: dict[int, int], room: fl
 
 
 def propagated_labels(nodes: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """``nodes`` (row_id, _group1, _group2; null when linked with nothing) with a ``shard`` label."""
+    """``nodes`` (row_id, _group1, _group2; null when linked with nothing) with ``shard`` and ``_alone``.
+
+    Alone, and without a label, are documents that have no neighbours, and those of groups too
+    large to move as a whole.
+    """
     groups = ["_group1", "_group2"]
-    start = F.pmod(F.xxhash64("row_id"), F.lit(shards)).cast("int")
-    nodes = nodes.withColumn("shard", start)
+    rows = nodes.count()
     grouped = nodes.filter(F.col("_group2").isNotNull())
+    moving = (F.col("_n") > 1) & (F.col("_n") <= max(rows / shards * LARGE_GROUP, 2))
     # stored, so that the joins below have an exchange of their own, which can split a hot group
-    twins = stored(grouped.groupBy(*groups).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1), "twins")
-    # a text that occurs once has no neighbours, and stays out of the rounds
-    single = grouped.join(twins, groups, "left_anti").unionByName(nodes.filter(F.col("_group2").isNull()))
-    rows = nodes.count()
-    linked = stored(grouped.join(twins.drop("_n"), groups).select("row_id", *groups, "shard"), "labels")
+    twins = stored(grouped.groupBy(*groups).agg(F.count("*").alias("_n")).filter(moving).drop("_n"), "twins")
+    alone = grouped.join(twins, groups, "left_anti").unionByName(nodes.filter(F.col("_group2").isNull()))
+    start = F.pmod(F.xxhash64("row_id"), F.lit(shards)).cast("int")
+    linked = stored(grouped.join(twins, groups).select("row_id", *groups, start.alias("shard")), "labels")
     for turn in range(rounds):
         held = linked.groupBy(*groups, "shard").agg(F.count("*").alias("n"))
         wanted = held.groupBy(*groups).agg(
-            F.max_by("shard", F.struct(F.col("n"), -F.col("shard"))).alias("_want"), F.sum("n").alias("_total")
+            # ties are drawn by hash, so that no shard is favoured
+            F.max_by("shard", F.struct("n", F.xxhash64("_group1", "shard"), "shard")).alias("_want")
         )
         wanted = stored(wanted, "wanted")
         asked = held.join(wanted, groups).filter(F.col("shard") != F.col("_want"))
@@ -74,18 +78,14 @@ def propagated_labels(nodes: DataFrame, shards: int = SHARDS, rounds: int = ROUN
             break
         load = {row["shard"]: row["n"] for row in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
         parts = _admitted(demand, load, rows / shards, shards)
-        alone = F.col("_total") > rows / shards * LARGE_GROUP
-        draw = F.pmod(
-            F.when(alone, F.xxhash64("row_id", F.lit(turn))).otherwise(F.xxhash64(*groups, F.lit(turn))),
-            F.lit(_DRAWS),
-        )
+        draw = F.pmod(F.xxhash64(*groups, F.lit(turn)), F.lit(_DRAWS))
         chance = F.element_at(F.array(*[F.lit(part * _DRAWS) for part in parts]), F.col("_want") + 1)
         label = F.when(draw < chance, F.col("_want")).otherwise(F.col("shard"))
         moved = linked.join(wanted, groups).select("row_id", *groups, label.alias("shard"))
         before, linked = linked, stored(moved, "labels")
         forget(before, wanted)
-    alone = single.select("row_id", *[F.lit(None).cast("long").alias(g) for g in groups], "shard")
-    return linked.unionByName(alone)
+    placed = linked.withColumn("_alone", F.lit(False))
+    return placed.unionByName(alone.select("row_id", *groups, F.lit(0).alias("shard"), F.lit(True).alias("_alone")))
 
 
 def _case(value: Column, choices: list[int]) -> Column:
@@ -96,12 +96,11 @@ def assigned_shards(nodes: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS
     """``row_id`` with its final ``shard`` and its gapless ``slot`` in it; counts differ by one at most.
 
     Linked documents keep their label as far as the shard's count goes, group by group; the
-    others, and what is left of groups too large for a shard, fill the shards up.
+    others fill the shards up, large groups one after another.
     """
     labels = propagated_labels(nodes.select("row_id", "_group1", "_group2"), shards, rounds)
-    alone = F.col("_group2").isNull()
-    order = [alone, F.col("shard"), F.col("_group2"), F.col("_group1"), F.col("row_id")]
-    places = numbered(labels.withColumn("_alone", alone), order, "_place", "places")
+    order = [F.col(name) for name in ("_alone", "shard", "_group2", "_group1", "row_id")]
+    places = numbered(labels, order, "_place", "places")
     linked, rows = [0] * shards, 0
     for row in places.groupBy("_alone", "shard").agg(F.count("*").alias("n")).collect():
         rows += row["n"]
