@@ -30,7 +30,7 @@ HELD_OUT = 1
 # Runs and words each that the broadcast tables hold at most.
 MOST_BROADCAST = 1 << 20
 # Bytes of text whose runs are counted at once before they are handed to the shuffle.
-COUNTED_BYTES = 8 << 20
+COUNTED_BYTES = 4 << 20
 
 # Symbols take nine bits: 0 stands before the text, 1 to 256 are bytes, 257 ends the text.
 _BITS = 9
