@@ -158,26 +158,48 @@ def tagged_spans(tags: np.ndarray, margins: np.ndarray) -> Iterator[tuple[int, i
             yield int(start), int(kinds[start]) - 1, int(end)
 
 
+def _stitched(pieces: list[np.ndarray], tagger: Tagger) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per text its tags and margins, each character's from the window that has it most centrally."""
+    starts = [window_starts(classes) for classes in pieces]
+    rows = np.concatenate([windows_of(*pair) for pair in zip(pieces, starts)])
+    decoded, scores = map(
+        np.concatenate, zip(*(tagger.decode(rows[low : low + ROWS], ALLOWED) for low in range(0, len(rows), ROWS)))
+    )
+    # a window decides for its middle; the ends of it are asked only where no other window is
+    middle = slice((WINDOW - STRIDE) // 2, (WINDOW + STRIDE) // 2)
+    done = 0
+    for classes, own in zip(pieces, starts):
+        tags, margins = np.zeros(len(classes) + 2 * WINDOW, np.int8), np.zeros(len(classes) + 2 * WINDOW)
+        at = own[:, None] + WINDOW + np.arange(WINDOW)
+        mine = slice(done, done + len(own))
+        for part in (slice(None), middle):
+            tags[at[:, part]] = decoded[mine, part]
+            margins[at[:, part]] = scores[mine, part]
+        done += len(own)
+        yield tags[WINDOW:-WINDOW], margins[WINDOW:-WINDOW]
+
+
 def read_texts(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, int]]]:
-    """Spans that the tagger finds in each text, all windows of all texts run together."""
-    pieces = [(i, classes_of(text)) for i, text in enumerate(texts) if _TRIGGER.search(text)]
+    """Spans that the tagger finds in each text, windows of many texts run together."""
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for i, classes in pieces:
-        starts = window_starts(classes)
-        tags, margins = np.zeros(len(classes), np.int8), np.zeros(len(classes))
-        nearest = np.full(len(classes), WINDOW)
-        for low in range(0, len(starts), ROWS):
-            some = starts[low : low + ROWS]
-            decoded, scores = tagger.decode(windows_of(classes, some), ALLOWED)
-            for start, row, score in zip(some, decoded, scores):
-                a, b = max(start, 0), min(start + WINDOW, len(classes))
-                distance = np.abs(np.arange(a, b) - (start + (WINDOW - 1) / 2))
-                closer = distance < nearest[a:b]
-                tags[a:b][closer] = row[a - start : b - start][closer]
-                margins[a:b][closer] = score[a - start : b - start][closer]
-                nearest[a:b][closer] = distance[closer]
-        triggers = np.append(0, np.cumsum((classes == 1) | (classes == _AT)))
-        found[i] = [s for s in tagged_spans(tags, margins) if triggers[s[2]] > triggers[s[0]]]
+    waiting: list[int] = []
+    pieces: list[np.ndarray] = []
+
+    def finish() -> None:
+        for i, classes, (tags, margins) in zip(waiting, pieces, _stitched(pieces, tagger)):
+            triggers = np.append(0, np.cumsum((classes == 1) | (classes == _AT)))
+            found[i] = [s for s in tagged_spans(tags, margins) if triggers[s[2]] > triggers[s[0]]]
+        waiting.clear()
+        pieces.clear()
+
+    for i, text in enumerate(texts):
+        if _TRIGGER.search(text):
+            waiting.append(i)
+            pieces.append(classes_of(text))
+            if sum(map(len, pieces)) >= ROWS * STRIDE:
+                finish()
+    if pieces:
+        finish()
     return found
 
 
@@ -212,6 +234,7 @@ def learned_tagger(docs: DataFrame, most: int = MOST_WINDOWS) -> Tagger | None:
         np.array([np.frombuffer(bytes(row[name]), np.int8) for row in chosen]).astype(np.int64) for name in ("row", "tags")
     )
     tagger.fit(rows, tags, ROUNDS)
+    tagger.weights = {name: weight.astype(np.float32) for name, weight in tagger.weights.items()}
     return tagger
 
 

@@ -46,8 +46,8 @@ class Tagger:
         """Hidden states (row, step, unit), along the rows or against them."""
         table, recurrent = self.weights[f"{way}_in"], self.weights[f"{way}_rec"]
         count, steps = rows.shape
-        hidden, cell = np.zeros((count, HIDDEN)), np.zeros((count, HIDDEN))
-        out = np.empty((count, steps, HIDDEN))
+        hidden, cell = np.zeros((count, HIDDEN), table.dtype), np.zeros((count, HIDDEN), table.dtype)
+        out = np.empty((count, steps, HIDDEN), table.dtype)
         for t in range(steps) if way == "ahead" else range(steps - 1, -1, -1):
             gates = table[rows[:, t]] + hidden @ recurrent
             opened = _sigmoid(gates[:, : 3 * HIDDEN])
@@ -148,7 +148,7 @@ class Tagger:
         ``allowed`` (tags + 1, tags) says which tag may follow which; its last row is for the start.
         """
         scores = self.emissions(rows)
-        barred = np.where(allowed, 0.0, -1e9)
+        barred = np.where(allowed, 0.0, -1e9).astype(scores.dtype)
         moves, best = self.weights["moves"] + barred[:-1], self.weights["first"] + barred[-1] + scores[:, 0]
         count, steps, _ = scores.shape
         origin = np.zeros(scores.shape, np.int8)
