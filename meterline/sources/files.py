@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 
 class Storage:
-    """Existence, listing and renaming of paths; only driver-side metadata calls."""
+    """Existence, listing, renaming and deleting of paths; only driver-side metadata calls."""
 
     def __init__(self, spark: SparkSession):
         self._path = spark._jvm.org.apache.hadoop.fs.Path
@@ -25,7 +25,25 @@ class Storage:
         fs, path = self._resolve(pattern)
         return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])
 
+    def data_files(self, location: str) -> list[str]:
+        """Files below a path, or the file itself, without hidden ones; sorted by name."""
+        fs, path = self._resolve(location)
+        found, files = [], fs.listFiles(path, True)
+        while files.hasNext():
+            file = files.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                found.append(file.toString())
+        return sorted(found)
+
+    def make_folder(self, location: str) -> None:
+        fs, path = self._resolve(location)
+        fs.mkdirs(path)
+
     def rename(self, source: str, target: str) -> None:
         fs, path = self._resolve(source)
         if not fs.rename(path, self._path(target)):
             raise OSError(f"could not rename {source} to {target}")
+
+    def delete(self, location: str) -> None:
+        fs, path = self._resolve(location)
+        fs.delete(path, True)

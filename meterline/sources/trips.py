@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterline.operators.stamps import stamp_bronze
 from meterline.sources.files import Storage
@@ -23,21 +27,43 @@ def find_monthly_files(spark: SparkSession, folder: str, pattern: str = MONTHLY_
     return found
 
 
+def other_files(spark: SparkSession, folder: str, pattern: str = MONTHLY_PATTERN) -> list[str]:
+    """Parquet files or folders beside the monthly ones that the pattern leaves out."""
+    storage, folder = Storage(spark), folder.rstrip("/")
+    return sorted({*storage.matching(f"{folder}/*.parquet")} - {*storage.matching(f"{folder}/{pattern}")})
+
+
 def union_months(frames: list[DataFrame]) -> DataFrame:
     """Union by name: columns a month lacks are null, differing types widen."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
 
 
+def month_schemas(spark: SparkSession, path: str) -> Iterator[tuple[StructType, str]]:
+    """The schemas a month is to be read with, and what to read with each.
+
+    The footers of all part files are merged, which Spark distributes, so a column that only
+    some parts have is not lost.  Parts whose types conflict cannot be merged; then each part
+    is read with its own schema.
+    """
+    try:
+        yield spark.read.option("mergeSchema", True).parquet(path).schema, path
+    except (PySparkException, Py4JJavaError) as error:
+        if "MERGE" not in str(error):
+            raise
+        for file in Storage(spark).data_files(path):
+            yield spark.read.parquet(file).schema, file
+
+
 def read_months(spark: SparkSession, paths: list[str]) -> DataFrame:
     """All months, each row with its source file.
 
     Months with the same schema share one scan, so the plan has a branch per
-    schema rather than per file.  Only one footer per month is opened here.
+    schema rather than per file.
     """
     by_schema: dict[str, tuple] = {}
     for path in paths:
-        schema = spark.read.parquet(path).schema
-        by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
+        for schema, part in month_schemas(spark, path):
+            by_schema.setdefault(schema.json(), (schema, []))[1].append(part)
     return union_months(
         [
             spark.read.schema(schema).parquet(*members).withColumn("_source_file", F.col("_metadata.file_path"))
