@@ -1 +1 @@
-"""Lazy DataFrame -> DataFrame operators; none of them runs an action."""
+"""Lazy DataFrame -> DataFrame operators; only the check for unique zone ids runs an action."""

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from meterline.layout import SILVER
 from meterline.operators.stamps import tag
 
-# A lookup of this many rows is a few megabytes: safe to send to every executor.
-BROADCAST_ROWS = 50_000
-
 
 class DuplicateZoneError(ValueError):
     """A zone id occurs more than once, so the join would multiply trips."""
@@ -27,22 +24,15 @@ def tidy_zones(zones: DataFrame) -> DataFrame:
 
 
 def checked_zones(zones: DataFrame) -> DataFrame:
-    """Tidy zones ready to be joined: ids proven unique, size measured.
+    """Tidy zones ready to be joined: ids proven unique by a distributed aggregate.
 
-    At most ``BROADCAST_ROWS + 1`` ids are looked at to decide the join strategy.
-    A lookup too large to broadcast is checked by a distributed aggregate and comes
-    back without a hint: the joins shuffle, and adaptive execution splits hot ids.
+    There is no hint: the optimizer broadcasts the lookup by its bytes or shuffles the joins.
     """
     tidy = tidy_zones(zones)
-    ids = tidy.filter("LocationID IS NOT NULL").select("LocationID")
-    sample = [row[0] for row in ids.limit(BROADCAST_ROWS + 1).collect()]
-    if len(sample) <= BROADCAST_ROWS:
-        duplicated = len(set(sample)) < len(sample)
-    else:
-        duplicated = bool(ids.groupBy("LocationID").count().filter("count > 1").take(1))
-    if duplicated:
+    counts = tidy.filter("LocationID IS NOT NULL").groupBy("LocationID").count()
+    if not counts.filter("count > 1").isEmpty():
         raise DuplicateZoneError("a zone id occurs more than once in the lookup")
-    return F.broadcast(tidy) if len(sample) <= BROADCAST_ROWS else tidy
+    return tidy
 
 
 def attach_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:

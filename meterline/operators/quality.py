@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.calendar import TIME_PERIODS
@@ -55,9 +55,17 @@ def rows_of(one_row: DataFrame, rows: Iterable[Iterable[str]], names: Iterable[s
     return one_row.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({', '.join(names)})")
 
 
+def _check_counts(checks: Iterable[Check]) -> list[Column]:
+    return [F.expr(f"count_if({check.condition}) AS {check.name}") for check in checks]
+
+
 def run_checks(df: DataFrame, checks: Iterable[Check] = SILVER_CHECKS) -> DataFrame:
     checks = list(checks)
-    counts = df.agg(*[F.expr(f"count_if({check.condition}) AS {check.name}") for check in checks])
+    return checks_of(df.agg(*_check_counts(checks)), checks)
+
+
+def checks_of(counts: DataFrame, checks: Iterable[Check] = SILVER_CHECKS) -> DataFrame:
+    """One row per check from the single row of their counts."""
 
     def row(check: Check) -> list[str]:
         test = "= 0" if check.must_be_zero else "> 0"
@@ -90,27 +98,46 @@ def check_summary(results: DataFrame) -> DataFrame:
     )
 
 
-def trip_statistics(silver: DataFrame) -> DataFrame:
-    return silver.agg(
-        exact_mean("trip_distance", MICROS).alias("avg_distance"),
-        F.min("trip_distance").alias("min_distance"),
-        F.max("trip_distance").alias("max_distance"),
-        exact_mean("fare_amount", CENTS).alias("avg_fare"),
-        exact_mean("avg_speed_mph", CENTS).alias("avg_speed"),
+STATISTICS = ("avg_distance", "min_distance", "max_distance", "avg_fare", "avg_speed")
+
+
+def _statistics() -> list[Column]:
+    columns = (
+        exact_mean("trip_distance", MICROS),
+        F.min("trip_distance"),
+        F.max("trip_distance"),
+        exact_mean("fare_amount", CENTS),
+        exact_mean("avg_speed_mph", CENTS),
     )
+    return [column.alias(name) for name, column in zip(STATISTICS, columns)]
+
+
+def trip_statistics(silver: DataFrame) -> DataFrame:
+    return silver.agg(*_statistics())
+
+
+def measured(silver: DataFrame) -> DataFrame:
+    """The counts of all checks and the statistics in one row, from one pass."""
+    return silver.agg(*_check_counts(SILVER_CHECKS), *_statistics())
+
+
+def statistics_of(measures: DataFrame) -> DataFrame:
+    return measures.select(*STATISTICS)
 
 
-def borough_distribution(silver: DataFrame, n: int = 10) -> DataFrame:
+def borough_distribution(silver: DataFrame) -> DataFrame:
     """Trips per pickup borough, largest first; trips without a borough form a group."""
     counts = silver.groupBy("PU_Borough").agg(F.count("*").alias("trips"))
-    return counts.orderBy(F.desc("trips"), F.asc_nulls_first("PU_Borough")).limit(n)
+    return counts.orderBy(F.desc("trips"), F.asc_nulls_first("PU_Borough"))
 
 
 def null_profile(df: DataFrame, columns: Iterable[str], warn_pct: float = NULL_WARNING_PCT) -> DataFrame:
-    """Null (for floating columns also NaN) count and share per column."""
+    """Null (for floating columns also NaN) count and share per column; an absent column is FAILED."""
     kinds, columns = dict(df.dtypes), list(columns)
 
     def missing(name: str) -> str:
+        if name not in kinds:
+            return "CAST(NULL AS BOOLEAN)"
         return f"{name} IS NULL" + (f" OR isnan({name})" if kinds[name] in ("double", "float") else "")
 
     counts = df.agg(
@@ -119,6 +146,8 @@ def null_profile(df: DataFrame, columns: Iterable[str], warn_pct: float = NULL_W
     )
 
     def row(name: str) -> list[str]:
+        if name not in kinds:
+            return [f"'{name}'", "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", f"'{FAILED}'"]
         share = f"coalesce(round(try_divide({name}, _rows) * 100, 4), 0D)"
         return [f"'{name}'", name, share, f"IF({share} > {warn_pct}, '{WARNING}', '{PASSED}')"]
 

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import time
 from dataclasses import asdict, dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.layout import ANALYTICS, TABLES
 from meterline.sources.files import Storage
-from meterline.sources.inventory import layout_summary
-from meterline.sources.lake import Lake, clustered, rebalanced_to, try_read_table
+from meterline.sources.inventory import folder_layout, layout_summary
+from meterline.sources.lake import FILE_FORMATS, Lake, swap_in, try_read_table
 
 # Default file size (within both published ranges) and retention.
 TARGET_BYTES = 256 * 1024 * 1024
@@ -36,47 +37,49 @@ class CompactionReport:
     message: str = ""
 
 
+def fragmented(folders: DataFrame) -> DataFrame:
+    """Folders with more files than they need; half as many again are let pass where several are needed."""
+    most = F.when(F.col("needed") == 1, 1).otherwise(F.ceil(F.col("needed") * 1.5))
+    return folders.filter(F.col("files") > most)
+
+
 def compact_table(
     spark: SparkSession,
     name: str,
     location: str,
     partition_by: tuple[str, ...] = (),
     target_bytes: int = TARGET_BYTES,
+    fmt: str = "parquet",
 ) -> CompactionReport:
-    """Rewrite a Parquet table into fewer files next to itself, verify it, then swap.
+    """Rewrite the fragmented folders of a table into fewer files, verify them, then swap.
 
-    The previous files stay in a sibling folder until retention expires, so a
-    failure at any point leaves a complete copy.
+    Folders that are compact keep their files.  The previous files stay in a sibling folder
+    until retention expires, so a failure at any point leaves a complete copy.
     """
     started = time.monotonic()
 
     def report(status: str, **values) -> CompactionReport:
         return CompactionReport(name, status, seconds=time.monotonic() - started, **values)
 
-    table = try_read_table(spark, location)
-    if table is None:
+    if fmt not in FILE_FORMATS:
+        return report("SKIPPED", message=f"tables of {fmt} are compacted by the format's own commands")
+    if try_read_table(spark, location, fmt) is None:
         return report("SKIPPED", message="not found")
-    before = layout_summary(table, target_bytes).first()
+    before = layout_summary(spark, location, target_bytes, fmt).first()
     counts = {"record_count": before["record_count"], "files_before": before["file_count"]}
-    if before["file_count"] <= before["files_needed"]:
+    # the names of folders, which the driver lists anyway
+    folders = fragmented(folder_layout(spark, location, target_bytes, fmt)).collect()
+    if not folders:
         return report("SUCCESS", **counts, files_after=before["file_count"], message="already compact")
 
     stamp = time.time_ns()
     fresh, previous = f"{location}__new_{stamp}", f"{location}__old_{stamp}"
     try:
-        if partition_by:
-            # one file per folder, or several of about the target size in a hot one
-            with rebalanced_to(spark, target_bytes):
-                clustered(table, partition_by).write.partitionBy(*partition_by).parquet(fresh)
-        else:
-            # merging whole scan tasks needs no shuffle
-            table.coalesce(before["files_needed"]).write.parquet(fresh)
-        after = layout_summary(spark.read.parquet(fresh), target_bytes).first()
-        if after["record_count"] != before["record_count"]:
-            raise RuntimeError(f"{after['record_count']} of {before['record_count']} records rewritten")
-        _swap(spark, location, fresh, previous)
+        _rewrite(spark, location, fresh, folders, partition_by, target_bytes, fmt)
+        _swap_folders(spark, location, fresh, previous, [row["folder"] for row in folders], partition_by)
+        after = layout_summary(spark, location, target_bytes, fmt).first()
     except Exception as error:  # reported, the run goes on with the next table
-        return report("FAILED", **counts, message=str(error).splitlines()[0])
+        return report("FAILED", **counts, message=first_line(error))
     return report(
         "SUCCESS",
         **counts,
@@ -85,14 +88,60 @@ def compact_table(
     )
 
 
-def _swap(spark: SparkSession, location: str, fresh: str, previous: str) -> None:
+def _rewrite(
+    spark: SparkSession,
+    location: str,
+    fresh: str,
+    folders: list[Row],
+    partition_by: tuple[str, ...],
+    target_bytes: int,
+    fmt: str,
+) -> None:
+    """Copy the rows of some folders into files of about the target size.
+
+    Sizes follow from records per byte of the files as they are.  Each folder is dealt over
+    as many tasks as it needs files, so a hot folder is no single task.
+    """
+    paths = [f"{location}{_within(row['folder'], partition_by)}" for row in folders]
+    rows = spark.read.format(fmt).option("basePath", location).load(paths)
+    records, needed = rows.count(), sum(row["needed"] for row in folders)
+    if partition_by:
+        wanted = spark.createDataFrame([(row["folder"], row["needed"]) for row in folders], "_folder string, _needed long")
+        folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
+        dealt = rows.withColumn("_folder", folder).join(wanted, "_folder")
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_needed"))
+        dealt = dealt.withColumn("_part", part).repartition(needed, *partition_by, "_part")
+        dealt = dealt.drop("_folder", "_needed", "_part")
+    else:
+        dealt = rows.repartition(needed)
+    size = sum(row["bytes"] for row in folders)
+    # a fifth more, so that unevenly dealt rows do not spill into a further small file
+    most = max(1, int(1.2 * max(target_bytes / size * records, records / needed))) if records else 0
+    writer = dealt.write.format(fmt).option("maxRecordsPerFile", most)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(fresh)
+    copied = spark.read.format(fmt).load(fresh).count()
+    if copied != records:
+        raise RuntimeError(f"{copied} of {records} records rewritten")
+
+
+def _within(folder: str, partition_by: tuple[str, ...]) -> str:
+    """The partition part of a listed folder; the listing escapes paths."""
+    names = unquote(folder).split("/")[len(folder.split("/")) - len(partition_by) :] if partition_by else []
+    return "".join(f"/{name}" for name in names)
+
+
+def _swap_folders(
+    spark: SparkSession, location: str, fresh: str, previous: str, folders: list[str], partition_by: tuple[str, ...]
+) -> None:
+    """Put each rewritten folder in the place of its old one, which moves below ``previous``."""
     storage = Storage(spark)
-    storage.rename(location, previous)
-    try:
-        storage.rename(fresh, location)
-    except Exception:
-        storage.rename(previous, location)
-        raise
+    for folder in folders:
+        within = _within(folder, partition_by)
+        if within:
+            storage.make_folder(f"{previous}{within}".rpartition("/")[0])
+        swap_in(spark, f"{fresh}{within}", f"{location}{within}", f"{previous}{within}")
+    if storage.exists(fresh):
+        storage.delete(fresh)
     spark.catalog.refreshByPath(location)
 
 
@@ -102,18 +151,21 @@ def reports_frame(spark: SparkSession, reports: list[CompactionReport]) -> DataF
 
 def maintain(spark: SparkSession, lake: Lake, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """Compact every bronze, silver and gold table; one report row each."""
-    if lake.fmt != "parquet":
-        raise ValueError("tables of a transactional format are compacted by that format's own commands")
     return reports_frame(
         spark,
         [
-            compact_table(spark, key, lake.location(key), spec.partition_by, target_bytes)
+            compact_table(spark, key, lake.location(key), spec.partition_by, target_bytes, lake.fmt)
             for key, spec in TABLES.items()
             if spec.layer != ANALYTICS
         ],
     )
 
 
+def first_line(error: BaseException) -> str:
+    """The first line of an error's text, or its kind when it has none."""
+    return next(iter(str(error).splitlines()), "") or type(error).__name__
+
+
 def write_clustered(
     trips: DataFrame, location: str, files: int, keys: tuple[str, ...] = CLUSTER_KEYS
 ) -> None:

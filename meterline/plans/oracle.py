@@ -604,5 +604,24 @@ def _with_ctes(sql: str) -> str:
     return f"WITH {ctes} {sql.strip()}"
 
 
+def _inventory() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{spec.layer}' AS layer, '{spec.name}' AS table_name, "
+        f"'{','.join(spec.partition_by)}' AS partition_columns, count(*) AS record_count FROM {STORED[key]}"
+        for key, spec in TABLES.items()
+    )
+
+
+# What does not differ from run to run: no record is lost, and the files are as they should be.
+QUERIES |= {
+    "file_layout": "SELECT count(*) AS record_count, true AS each_file_once FROM bronze",
+    "table_inventory": _inventory(),
+    "compact_table": "SELECT 'silver copy' AS table_name, 'SUCCESS' AS status, count(*) AS records_before, "
+    "count(*) AS records_after, true AS fewer_files, true AS within_need, true AS settled FROM silver",
+    "expired_files": "SELECT CAST(0 AS BIGINT) AS live_reported, count(*) > 0 AS all_old_reported FROM silver",
+    "clustered_layout": "SELECT count(*) AS record_count, CAST(0 AS BIGINT) AS overlaps FROM silver",
+}
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: _with_ctes(sql) for name, sql in QUERIES.items()}

@@ -14,19 +14,28 @@ from meterline.operators import kpis, quality, rollups, routes, verification
 from meterline.operators.cleaning import clean_trips, filter_audit, typed_trips
 from meterline.operators.enrichment import checked_zones, silver_trips
 from meterline.operators.features import trip_features
-from meterline.plans.maintenance import RETENTION_HOURS, maintain
+from meterline.plans.maintenance import RETENTION_HOURS, first_line, maintain
 from meterline.sources.exports import export_csv
+from meterline.sources.files import Storage
 from meterline.sources.inventory import expired_files, table_inventory
-from meterline.sources.lake import Lake, WriteResult
-from meterline.sources.trips import find_monthly_files, ingest_trips, ingest_zones
+from meterline.sources.lake import Lake, WriteResult, refresh_partitions
+from meterline.sources.trips import MONTHLY_PATTERN, find_monthly_files, ingest_trips, ingest_zones, other_files
 
 LEDGER_SCHEMA = (
-    "job_name string, status string, start_time timestamp, end_time timestamp, duration_sec double, "
+    "job_name string, job_type string, status string, start_time timestamp, end_time timestamp, duration_sec double, "
     "records_processed long, records_per_sec double, error_message string"
 )
+SOURCE_SCHEMA = (
+    "source_name string, source_type string, location string, format string, description string, "
+    "registered_at timestamp, is_active boolean"
+)
 # Stages whose failure is recorded but does not stop the run.
 ADVISORY = ("quality", "maintenance")
 
+
+class QualityError(RuntimeError):
+    """Quality checks failed in a run that asks for them to pass."""
+
 # Order of the rows in each export (a minus sign means descending); every export is
 # bounded by the calendar, the boroughs or a top-k.
 EXPORT_ORDER = {
@@ -47,13 +56,17 @@ EXPORT_ORDER = {
 
 @dataclass
 class Pipeline:
-    """One batch run.  ``trips`` and ``zones`` are raw; ``lake`` receives the layers."""
+    """One batch run.  ``trips`` and ``zones`` are raw; ``lake`` receives the layers.
+
+    With ``fail_on_error`` a failed quality check stops the run after its results are stored.
+    """
 
     spark: SparkSession
     lake: Lake
     trips: DataFrame
     zones: DataFrame
     export_root: str | None = None
+    fail_on_error: bool = False
     ledger: list[tuple] = field(default_factory=list)
 
     # stages ----------------------------------------------------------------
@@ -66,21 +79,36 @@ class Pipeline:
 
     def silver(self) -> list[WriteResult]:
         typed = typed_trips(self.lake.read(self.spark, "bronze.trips"))
-        zones = checked_zones(self.lake.read(self.spark, "bronze.taxi_zone_lookup"))
-        silver = silver_trips(trip_features(clean_trips(typed)), zones)
-        written = self.lake.write(silver, "silver.trips_cleaned")
+        written = self.lake.write(self._cleaned(typed), "silver.trips_cleaned")
         # a pass of its own: counters observed before the rebalancing shuffle would
         # count rows again when a lost executor forces map tasks to rerun
         self._save(filter_audit(typed), "filter_audit")
         return [written]
 
+    def _cleaned(self, typed: DataFrame) -> DataFrame:
+        zones = checked_zones(self.lake.read(self.spark, "bronze.taxi_zone_lookup"))
+        return silver_trips(trip_features(clean_trips(typed)), zones)
+
     def quality(self) -> list[WriteResult]:
+        """Checks and statistics from one pass over silver, the boroughs from another."""
         silver = self.lake.read(self.spark, "silver.trips_cleaned")
-        self._save(quality.run_checks(silver), "quality_checks")
+        self._save(quality.measured(silver), "quality_measures")
+        measures = self.spark.read.parquet(self.lake.side_table("quality_measures"))
+        self._save(quality.checks_of(measures), "quality_checks")
         checks = self.spark.read.parquet(self.lake.side_table("quality_checks"))
         self._save(quality.check_summary(checks), "check_summary")
-        self._save(quality.trip_statistics(silver), "trip_statistics")
+        self._save(quality.statistics_of(measures), "trip_statistics")
         self._save(quality.borough_distribution(silver), "borough_distribution")
+        history = checks.select(
+            F.lit("quality").alias("job_name"),
+            F.lit("silver.trips_cleaned").alias("table_name"),
+            F.lit(dt.datetime.now(dt.timezone.utc)).alias("checked_at"),
+            "*",
+        )
+        history.coalesce(1).write.mode("append").parquet(self.lake.side_table("quality_history"))
+        failed = self.spark.read.parquet(self.lake.side_table("check_summary")).first()
+        if self.fail_on_error and failed["checks_failed"]:
+            raise QualityError(f"failed checks: {failed['failed_checks']}")
         return []
 
     def gold(self) -> list[WriteResult]:
@@ -120,12 +148,41 @@ class Pipeline:
     def maintenance(self) -> list[WriteResult]:
         self._save(maintain(self.spark, self.lake), "maintenance")
         self._save(table_inventory(self.spark, self.lake), "lake_tables")
-        live = [table for table in stored_tables(self.spark, self.lake).values() if table is not None]
+        live = [self.lake.location(key) for key in TABLES]
         cutoff = dt.datetime.now(dt.timezone.utc) - dt.timedelta(hours=RETENTION_HOURS)
         folders = [f"{self.lake.root}/{layer}" for layer in LAYERS]
-        self._save(expired_files(self.spark, folders, live, cutoff), "expired_files")
+        self._save(expired_files(self.spark, folders, live, cutoff, self.lake.fmt), "expired_files")
         return []
 
+    def refresh(self, month: str) -> None:
+        """Recompute one month (yyyy-MM) of silver and of the tables by day; the rest stays.
+
+        Days that the month no longer has are removed.
+        """
+        first, inside = dt.date.fromisoformat(f"{month}-01"), F.date_format("pickup_date", "yyyy-MM") == month
+        typed = typed_trips(self.lake.read(self.spark, "bronze.trips"))
+        self._replace_days(self._cleaned(typed).filter(inside), "silver.trips_cleaned", month)
+        silver = self.lake.read(self.spark, "silver.trips_cleaned").filter(
+            F.col("pickup_date").between(F.lit(first), F.last_day(F.lit(first)))
+        )
+        self._save(rollups.trip_sums(silver), "month_sums")
+        sums = self.spark.read.parquet(self.lake.side_table("month_sums"))
+        self._replace_days(rollups.hourly_metrics(sums, merged=True), "gold.trips_hourly_metrics", month)
+        self._replace_days(rollups.borough_metrics(sums, merged=True), "gold.trips_borough_metrics", month)
+        daily = self.lake.read(self.spark, "gold.trips_daily_metrics")
+        fresh = rollups.daily_metrics(sums, merged=True)
+        self.lake.write(daily.filter(~inside).unionByName(fresh), "gold.trips_daily_metrics")
+
+    def _replace_days(self, df: DataFrame, key: str, month: str) -> None:
+        spec, location = TABLES[key], self.lake.location(key)
+        refresh_partitions(df, location, spec.partition_by, spec.few_per_partition, self.lake.fmt)
+        now = {str(row[0]) for row in df.select("pickup_date").distinct().collect()}
+        storage = Storage(self.spark)
+        for folder in storage.matching(f"{location}/pickup_date={month}-*"):
+            if folder.rpartition("=")[2] not in now:
+                storage.delete(folder)
+        self.spark.catalog.refreshByPath(location)
+
     # run -------------------------------------------------------------------
 
     def run(self) -> DataFrame:
@@ -133,6 +190,7 @@ class Pipeline:
 
         The ledger is stored also when a stage fails, and the failure is raised.
         """
+        self.ledger = []
         try:
             for stage in (
                 self.bronze,
@@ -154,13 +212,13 @@ class Pipeline:
         def entry(status: str, rows: int, error: str | None) -> None:
             end = dt.datetime.now(dt.timezone.utc)
             seconds = (end - start).total_seconds()
-            self.ledger.append((name, status, start, end, seconds, rows, rows / max(seconds, 1e-9), error))
+            self.ledger.append((name, "batch", status, start, end, seconds, rows, rows / max(seconds, 1e-9), error))
 
         try:
             written = stage()
         except Exception as error:
-            entry("FAILED", 0, str(error).splitlines()[0])
-            if name not in ADVISORY:
+            entry("FAILED", 0, first_line(error))
+            if name not in ADVISORY or isinstance(error, QualityError):
                 raise
             return
         entry("SUCCESS", sum(result.rows for result in written), None)
@@ -211,18 +269,28 @@ def run_from_files(
     run_date: dt.date,
     export_root: str | None = None,
     fmt: str = "parquet",
+    pattern: str = MONTHLY_PATTERN,
+    fail_on_error: bool = False,
 ) -> DataFrame:
-    """The whole run over monthly Parquet files and ``taxi_zone_lookup.csv`` in a folder."""
-    trips = ingest_trips(spark, find_monthly_files(spark, raw_folder), run_date)
-    zones = ingest_zones(spark, f"{raw_folder}/taxi_zone_lookup.csv", run_date)
-    return Pipeline(spark, Lake(root, fmt), trips, zones, export_root).run()
+    """The whole run over monthly Parquet files and ``taxi_zone_lookup.csv`` in a folder.
 
+    The registry of sources names what was read, and as inactive what the pattern left out.
+    """
+    lake, months = Lake(root, fmt), find_monthly_files(spark, raw_folder, pattern)
+    lookup = f"{raw_folder}/taxi_zone_lookup.csv"
+    registered = [(path, "trips", path, "parquet", "monthly trips", True) for path in months]
+    registered += [(path, "trips", path, "parquet", "not read", False) for path in other_files(spark, raw_folder, pattern)]
+    registered.append((lookup, "zones", lookup, "csv", "zone lookup", True))
+    source_registry(spark, registered).write.mode("overwrite").parquet(lake.side_table("data_sources"))
+    trips, zones = ingest_trips(spark, months, run_date), ingest_zones(spark, lookup, run_date)
+    return Pipeline(spark, lake, trips, zones, export_root, fail_on_error).run()
 
-def source_registry(spark: SparkSession, sources: list[tuple[str, str, str, str]]) -> DataFrame:
-    """Registered sources: name, type, location and format."""
-    return spark.createDataFrame(
-        sources, "source_name string, source_type string, location string, format string"
-    )
+
+def source_registry(spark: SparkSession, sources: list[tuple[str, str, str, str, str, bool]]) -> DataFrame:
+    """Registered sources: name (the last part of a path), type, location, format, description, active."""
+    now = dt.datetime.now(dt.timezone.utc)
+    rows = [(name.rpartition("/")[2], *rest[:-1], now, rest[-1]) for name, *rest in sources]
+    return spark.createDataFrame(rows, SOURCE_SCHEMA)
 
 
 def stored_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame | None]:
@@ -246,7 +314,15 @@ def verify_bronze(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 
 def verify(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Check every stored table, keep the check rows, and return the verdict per layer."""
-    location = lake.side_table("verification")
-    verification.table_checks(stored_tables(spark, lake)).write.mode("overwrite").parquet(location)
+    """Check every stored table by itself, keep the check rows, and return the verdict per layer.
+
+    A table that fails while it is read fails alone.
+    """
+    location, rows = lake.side_table("verification"), []
+    for key in TABLES:
+        try:
+            rows += verification.table_checks({key: lake.find(spark, key)}).collect()
+        except Exception:
+            rows.append((key, "readable", 0, quality.FAILED))
+    spark.createDataFrame(rows, verification.CHECKS).coalesce(1).write.mode("overwrite").parquet(location)
     return verification.layer_status(spark.read.parquet(location))

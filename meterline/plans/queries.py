@@ -11,7 +11,7 @@ import datetime as dt
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterline.layout import REQUIRED_TRIP_COLUMNS, TABLES
@@ -24,7 +24,14 @@ from meterline.plans import maintenance
 from meterline.plans.pipeline import Pipeline, analytics_results, stored_tables, verify_bronze
 from meterline.session import pin_session, shared_folder
 from meterline.sources.exports import export_check
-from meterline.sources.inventory import expired_files, file_layout, table_inventory
+from meterline.sources.inventory import (
+    expired_files,
+    file_layout,
+    folder_layout,
+    layout_summary,
+    stored_files,
+    table_inventory,
+)
 from meterline.sources.lake import Lake, refresh_partitions, write_table
 from meterline.sources.lens import trips_from_star, zones_from_star
 from meterline.sources.trips import union_months
@@ -39,8 +46,10 @@ SLICE_WEEKDAYS = ("Monday", "Wednesday", "Saturday")
 SLICE_BOROUGHS = ("ASIA", "EUROPE")
 SCHEMA_CHANGE = dt.datetime(1998, 1, 1)
 CORRECTED_MONTH = "1997-03"
-# Small files for the small test tables, so that compaction and clustering have work.
-TEST_TARGET_BYTES = 256 * 1024
+# Layout trials copy silver into about this many files of at most the target size, and
+# fragment such a copy into this many times the files beforehand.
+COPY_FILES = 4
+FRAGMENTS = 6
 
 
 class Layers:
@@ -174,40 +183,81 @@ def _exports(layers: Layers) -> DataFrame:
     )
 
 
-def _small_files(layers: Layers, name: str) -> str:
-    """A copy of silver, unpartitioned and in many small files."""
-    location = _scratch(layers, name)
+def _silver_bytes(layers: Layers) -> int:
+    lake = stored_lake(layers)
+    folders = folder_layout(layers.spark, lake.location("silver.trips_cleaned"), 1)
+    return max(folders.agg(F.sum("bytes")).first()[0] or 0, 1)
+
+
+def _small_files(layers: Layers, name: str) -> tuple[str, int]:
+    """A copy of silver in many times the files that it needs at the target size, which is returned too."""
+    location, size = _scratch(layers, name), _silver_bytes(layers)
+    target = min(maintenance.TARGET_BYTES, -(-size // COPY_FILES))
     silver = _stored_table(layers, "silver.trips_cleaned")
-    silver.repartition(24).write.mode("overwrite").parquet(location)
-    return location
+    silver.repartition(FRAGMENTS * -(-size // target)).write.mode("overwrite").parquet(location)
+    return location, target
+
+
+def _file_layout(layers: Layers) -> DataFrame:
+    """Records in all files of bronze, and whether each file is listed once."""
+    location = stored_lake(layers).location("bronze.trips")
+    return file_layout(layers.spark, location).agg(
+        F.sum("record_count").alias("record_count"),
+        (F.count("*") == F.count_distinct("file_path")).alias("each_file_once"),
+    )
+
+
+def _table_inventory(layers: Layers) -> DataFrame:
+    """What the inventory says about each table that does not differ from run to run."""
+    inventory = table_inventory(layers.spark, stored_lake(layers))
+    return inventory.select("layer", "table_name", "partition_columns", "record_count")
 
 
 def _compaction(layers: Layers) -> DataFrame:
-    location = _small_files(layers, "compaction")
-    report = maintenance.compact_table(
-        layers.spark, "silver copy", location, target_bytes=TEST_TARGET_BYTES
+    """A fragmented copy of silver, compacted: records before and after, and whether the files suffice."""
+    location, target = _small_files(layers, "compaction")
+    report = maintenance.compact_table(layers.spark, "silver copy", location, target_bytes=target)
+    after = layout_summary(layers.spark, location, target).first()
+    again = maintenance.compact_table(layers.spark, "silver copy", location, target_bytes=target)
+    return maintenance.reports_frame(layers.spark, [report]).select(
+        "table_name",
+        "status",
+        F.col("record_count").alias("records_before"),
+        F.lit(after["record_count"]).cast("long").alias("records_after"),
+        (F.col("files_after") < F.col("files_before")).alias("fewer_files"),
+        F.lit(after["file_count"] <= 1.5 * after["files_needed"]).alias("within_need"),
+        F.lit(again.message == "already compact").alias("settled"),
     )
-    return maintenance.reports_frame(layers.spark, [report])
 
 
 def _expired(layers: Layers) -> DataFrame:
-    """Files of a table before its compaction, once they are no longer live."""
-    location = _small_files(layers, "expiry/table")
-    maintenance.compact_table(layers.spark, "silver copy", location, target_bytes=TEST_TARGET_BYTES)
-    live = layers.spark.read.parquet(location)
+    """Files of a table before its compaction: none that is live is reported, and all others are."""
+    location, target = _small_files(layers, "expiry/table")
+    report = maintenance.compact_table(layers.spark, "silver copy", location, target_bytes=target)
     cutoff = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1)
-    return expired_files(layers.spark, _scratch(layers, "expiry"), [live], cutoff)
+    found = expired_files(layers.spark, _scratch(layers, "expiry"), [location], cutoff)
+    live = stored_files(layers.spark, location)
+    return found.join(live.select("file_path", F.lit(1).alias("_live")), "file_path", "left").agg(
+        F.count("_live").alias("live_reported"),
+        (F.count("*") - F.count("_live") == report.files_before).alias("all_old_reported"),
+    )
 
 
 def _clustered(layers: Layers) -> DataFrame:
-    """Row count and key range of every file of a clustered copy of silver."""
-    location = _scratch(layers, "clustered")
-    maintenance.write_clustered(_stored_table(layers, "silver.trips_cleaned"), location, files=8)
+    """A clustered copy of silver: its records, and how many files overlap the next in their keys."""
+    location, size = _scratch(layers, "clustered"), _silver_bytes(layers)
+    target = min(maintenance.TARGET_BYTES, -(-size // COPY_FILES))
+    silver = _stored_table(layers, "silver.trips_cleaned")
+    maintenance.write_clustered(silver, location, files=-(-size // target))
     copy = layers.spark.read.parquet(location)
-    return copy.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
-        F.count("*").alias("record_count"),
-        F.min("pickup_date").alias("first_date"),
-        F.max("pickup_date").alias("last_date"),
+    key = F.struct("pickup_date", "PULocationID")
+    files = copy.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+        F.count("*").alias("records"), F.min(key).alias("least"), F.max(key).alias("most")
+    )
+    # one row per file
+    following = F.lead("least").over(Window.orderBy("least", "most"))
+    return files.withColumn("_next", following).agg(
+        F.sum("records").alias("record_count"), F.count_if(F.col("most") > F.col("_next")).alias("overlaps")
     )
 
 
@@ -280,10 +330,17 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "dq_reconcile": lambda s: verification.reconcile(_stored_tables(s)),
     "dq_exports": _exports,
     # marts
-    "mart_daily_with_month": lambda s: marts.daily_with_month(s.trends(), s.monthly()),
-    "mart_daily_hourly": lambda s: marts.daily_with_hours(s.daily(), s.hourly()),
+    # marts that join results read the stored gold tables, so that no fact is scanned twice
+    "mart_daily_with_month": lambda s: marts.daily_with_month(
+        kpis.daily_trends(_stored_table(s, "gold.trips_daily_metrics")),
+        kpis.monthly_kpis(_stored_table(s, "gold.trips_daily_metrics")),
+    ),
+    "mart_daily_hourly": lambda s: marts.daily_with_hours(
+        _stored_table(s, "gold.trips_daily_metrics"), _stored_table(s, "gold.trips_hourly_metrics")
+    ),
     "mart_routes_with_borough": lambda s: marts.routes_with_borough(
-        routes.busiest_routes(s.routes()), kpis.borough_summary(s.borough())
+        routes.busiest_routes(_stored_table(s, "gold.trips_popular_routes")),
+        kpis.borough_summary(_stored_table(s, "gold.trips_borough_metrics")),
     ),
     "mart_revenue_trend": lambda s: marts.revenue_trend(s.monthly()),
     "mart_mom_alerts": lambda s: marts.growth_alerts(s.monthly()),
@@ -294,11 +351,11 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "mart_flow_share": lambda s: marts.flow_share(routes.borough_flow(s.routes())),
     "mart_top20_routes": lambda s: marts.labelled_top_routes(s.routes()),
     "mart_sliced_hourly": lambda s: rollups.hourly_metrics(
-        marts.sliced(s.silver(), SLICE_DATES, SLICE_HOURS, SLICE_WEEKDAYS, SLICE_BOROUGHS)
+        marts.sliced(_stored_table(s, "silver.trips_cleaned"), SLICE_DATES, SLICE_HOURS, SLICE_WEEKDAYS, SLICE_BOROUGHS)
     ),
     # storage and maintenance
-    "file_layout": lambda s: file_layout(_stored_table(s, "bronze.trips")),
-    "table_inventory": lambda s: table_inventory(s.spark, stored_lake(s)),
+    "file_layout": _file_layout,
+    "table_inventory": _table_inventory,
     "compact_table": _compaction,
     "expired_files": _expired,
     "clustered_layout": _clustered,

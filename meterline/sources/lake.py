@@ -7,12 +7,14 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.layout import TABLES, TableSpec
+from meterline.sources.files import Storage
 
+# Formats whose tables are nothing but their files, so that they can be swapped and compacted here.
+FILE_FORMATS = ("parquet", "orc")
 MAX_RECORDS_PER_FILE = 1_000_000
 # Shuffled bytes a task of a partitioned write takes: several days of an ordinary
 # source stay in one task and one file each, and a hot day is split at this size.
@@ -73,7 +75,11 @@ def write_table(
     few_per_partition: bool = False,
     task_bytes: int = WRITE_TASK_BYTES,
 ) -> WriteResult:
-    """Overwrite a table; the rows written are counted by the write itself."""
+    """Overwrite a table; the rows written are counted by the write itself.
+
+    A table of plain files is written next to the old one and put in its place when it is
+    whole, so a failed write leaves the old table as it was.
+    """
     if not allow_schema_change:
         _require_same_schema(df, location, fmt)
     written = Observation()
@@ -84,8 +90,21 @@ def write_table(
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with rebalanced_to(df.sparkSession, task_bytes):
-        writer.save(location)
+    spark, storage = df.sparkSession, Storage(df.sparkSession)
+    beside = fmt in FILE_FORMATS and storage.exists(location)
+    target = f"{location}__new_{time.time_ns()}" if beside else location
+    try:
+        with rebalanced_to(spark, task_bytes):
+            writer.save(target)
+        if beside:
+            previous = target.replace("__new_", "__old_")
+            swap_in(spark, target, location, previous)
+            storage.delete(previous)
+            spark.catalog.refreshByPath(location)
+    except Exception:
+        if beside:
+            storage.delete(target)
+        raise
     return WriteResult(written.get["rows"], time.monotonic() - started)
 
 
@@ -101,27 +120,49 @@ def _require_same_schema(df: DataFrame, location: str, fmt: str) -> None:
         raise SchemaChangeError(f"{location}: {sorted(shape(existing) ^ shape(df))} differ")
 
 
+def data_pattern(fmt: str) -> str:
+    """How the data files of a format are named; transactional formats keep Parquet files."""
+    return f"*.{fmt}" if fmt in ("orc", "csv", "json", "avro") else "*.parquet"
+
+
 def try_read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table, or None when nothing readable is there."""
-    try:
-        return spark.read.format(fmt).load(location)
-    except AnalysisException:
+    """The table, or None when there is nothing; a table that cannot be read is an error."""
+    storage = Storage(spark)
+    if not storage.exists(location) or (fmt in FILE_FORMATS and not storage.data_files(location)):
         return None
+    return spark.read.format(fmt).load(location)
+
+
+def swap_in(spark: SparkSession, fresh: str, location: str, previous: str) -> None:
+    """Put a folder in the place of another, which stays as ``previous``; undone on failure."""
+    storage = Storage(spark)
+    storage.rename(location, previous)
+    try:
+        storage.rename(fresh, location)
+    except Exception:
+        storage.rename(previous, location)
+        raise
 
 
 def refresh_partitions(
-    df: DataFrame, location: str, partition_by: tuple[str, ...], few_per_partition: bool = False
+    df: DataFrame,
+    location: str,
+    partition_by: tuple[str, ...],
+    few_per_partition: bool = False,
+    fmt: str = "parquet",
 ) -> None:
     """Replace only the partitions that occur in ``df``; all others stay as they are."""
     writer = (
         clustered(df, partition_by, few_per_partition)
-        .write.mode("overwrite")
+        .write.format(fmt)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*partition_by)
     )
     with rebalanced_to(df.sparkSession, WRITE_TASK_BYTES):
-        writer.parquet(location)
+        writer.save(location)
+    df.sparkSession.catalog.refreshByPath(location)
 
 
 def preview(df: DataFrame, columns: tuple[str, ...], n: int = 5, *order_by: str) -> DataFrame:
@@ -135,6 +176,7 @@ class Lake:
 
     root: str
     fmt: str = "parquet"
+    schema_name: str = "default"
 
     def location(self, key: str) -> str:
         spec = TABLES[key]

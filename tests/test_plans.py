@@ -6,8 +6,8 @@ from contextlib import redirect_stdout
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.operators import enrichment, kpis, marts, rollups, routes
-from meterline.plans.queries import Layers
+from meterline.operators import enrichment, kpis, marts, quality, rollups, routes
+from meterline.plans.queries import Layers, all_queries
 from meterline.sources.lake import write_table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -30,8 +30,7 @@ def test_zone_joins_are_broadcast_when_small(layers):
     assert plan(layers.silver()).count("BroadcastHashJoin") >= 2 and "LeftOuter" in plan(layers.silver())
 
 
-def test_zone_joins_shuffle_when_large(spark, layers, monkeypatch):
-    monkeypatch.setattr(enrichment, "BROADCAST_ROWS", 3)
+def test_zone_joins_shuffle_when_large(spark, layers):
     key = "spark.sql.autoBroadcastJoinThreshold"
     spark.conf.set(key, "-1")
     try:
@@ -40,7 +39,7 @@ def test_zone_joins_shuffle_when_large(spark, layers, monkeypatch):
         text = plan(joined)
         assert "SortMergeJoin" in text and "Broadcast" not in text
         wide = joined.groupBy("PU_Zone", "DO_Zone").count()
-        monkeypatch.undo()
+        spark.conf.unset(key)
         narrow = layers.silver().groupBy("PU_Zone", "DO_Zone").count()
         assert wide.exceptAll(narrow).count() == 0 and narrow.exceptAll(wide).count() == 0
     finally:
@@ -89,3 +88,23 @@ def test_no_python_and_no_cross_join(layers):
 def test_windows_see_one_row_per_day(layers):
     daily = layers.daily()
     assert daily.count() == daily.select(F.countDistinct("pickup_date")).first()[0] < 4_000_000
+
+
+@pytest.mark.parametrize(
+    "name", ["mart_daily_with_month", "mart_daily_hourly", "mart_routes_with_borough", "mart_sliced_hourly"]
+)
+def test_marts_scan_no_fact_table(spark, name):
+    text = plan(all_queries()[name](spark, FOLDER), "formatted")
+    assert "lineitem" not in text and "orders.parquet" not in text
+
+
+def test_a_slice_prunes_days(spark):
+    text = plan(all_queries()["mart_sliced_hourly"](spark, FOLDER), "formatted")
+    assert "PartitionFilters: [" in text and "pickup_date" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_checks_and_statistics_share_a_pass(spark, layers):
+    measures = quality.measured(layers.silver())
+    assert plan(measures).count("Scan parquet") == plan(quality.run_checks(layers.silver())).count("Scan parquet")
+    assert quality.checks_of(measures).collect() == quality.run_checks(layers.silver()).collect()
+    assert quality.statistics_of(measures).collect() == quality.trip_statistics(layers.silver()).collect()

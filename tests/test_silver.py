@@ -121,9 +121,7 @@ def test_zone_join_keeps_every_trip(trips, zones):
     assert {r._layer for r in rows} == {"silver"}
 
 
-@pytest.mark.parametrize("limit", [50_000, 2])
-def test_duplicate_zone_ids_are_refused(zones, monkeypatch, limit):
-    monkeypatch.setattr("meterline.operators.enrichment.BROADCAST_ROWS", limit)
+def test_duplicate_zone_ids_are_refused(zones):
     with pytest.raises(DuplicateZoneError):
         checked_zones(zones.unionByName(zones.limit(1)))
 
