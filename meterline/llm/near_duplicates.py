@@ -12,6 +12,7 @@ so thousands of copies of one text cost no more than their rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +25,16 @@ from meterline.llm.words import U64, find_words, mix, shingles
 
 COORDINATES = 128
 TREES = 4
-# Coordinates drawn at a root and at any other node.  A pair of similarity s survives a node
-# with ROOT branches unless it misses all; at 0.8 a tree loses it with probability
-# (0.2 + 0.8 * 0.0625)^3 = 0.016 at most, four trees with 6e-8.
+# Branches drawn at a root, by one coordinate each, and at any other node, by several each.
+# At similarity 0.8 a node of the second kind loses a pair for good with probability
+# q = (1 - 0.64 + 0.64 q)^2 = 0.32 at most, so the trees lose it with (0.2 + 0.8 q)^12 = 7e-5,
+# and with 4e-9 if it need not branch on.  Two coordinates at once let nodes of unlike texts
+# that share a common passage shrink faster than their branches multiply.
 ROOT_BRANCHES = 3
 BRANCHES = 2
-# Members of a node that is compared exhaustively, and pairs per member of one that is not.
-SMALL_NODE = 16
+BRANCH_COORDINATES = 2
+# Members of a node that is compared exhaustively, and of a larger one those compared with all.
+SMALL_NODE = 1_024
 LEADERS = 4
 MOST_LEVELS = 12
 # Standard errors that a sketch may fall short of what the threshold makes it expect.
@@ -41,6 +45,7 @@ _SIGNED = (
     "signature array<int>, s0 long, s1 long, s2 long, s3 long"
 )
 _SKETCH = ["s0", "s1", "s2", "s3"]
+_BY_SET = ["digest1", "digest2", "n_shingles"]
 
 
 def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -132,13 +137,16 @@ def _others(members: DataFrame) -> DataFrame:
     return members.select("path", *[F.col(name).alias(f"o_{name}") for name in kept])
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets reach the similarity."""
-    keys = classes.select("class_id", "key1", "key2")
+def _texts(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(class_id, text) of the classes in the pairs."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-    wanted = ids.join(keys, "class_id")
-    texts = _keyed(docs).drop("doc_id").join(wanted, ["key1", "key2"]).groupBy("class_id").agg(F.first("text").alias("text"))
-    texts = stored(texts, "texts")
+    wanted = ids.join(classes.select("class_id", "key1", "key2"), "class_id")
+    found = _keyed(docs).drop("doc_id").join(wanted, ["key1", "key2"])
+    return found.groupBy("class_id").agg(F.first("text").alias("text"))
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets reach the similarity."""
     left = pairs.join(texts.select(F.col("class_id").alias("a"), F.col("text").alias("left")), "a")
     both = left.join(texts.select(F.col("class_id").alias("b"), F.col("text").alias("right")), "b")
 
@@ -155,12 +163,10 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int
                     pa.array(linked, pa.bool_())
                 )
 
-    links = stored(both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long"), "confirmed")
-    forget(texts)
-    return links
+    return stored(both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long"), "confirmed")
 
 
-class _Join:
+class _Links:
     """Links and components found so far among the classes of one join."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int):
@@ -169,6 +175,7 @@ class _Join:
         self.roots: DataFrame | None = None
 
     def with_roots(self, members: DataFrame) -> DataFrame:
+        """Members with the ``root`` of their component, themselves while they have no link."""
         if self.roots is None:
             return members.withColumn("root", F.col("class_id"))
         roots = self.roots.select(F.col("id").alias("class_id"), F.col("root").alias("_root"))
@@ -176,38 +183,46 @@ class _Join:
             *[F.col(name) for name in members.columns], F.coalesce("_root", "class_id").alias("root")
         )
 
+    def across(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose ends are in different components."""
+        if self.roots is None:
+            return pairs
+        ends = self.roots.select("id", "root")
+        joined = pairs.join(ends.toDF("a", "_a"), "a", "left").join(ends.toDF("b", "_b"), "b", "left")
+        return joined.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b", "agree")
+
     def consider(self, pairs: DataFrame) -> None:
-        """Confirm candidate pairs (a < b), first one per class, then those still between components."""
-        pairs = stored(pairs.distinct(), "pairs")
-        first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        self._add(first)
-        rest = pairs
-        if self.roots is not None:
-            ends = self.roots.select(F.col("id"), F.col("root"))
-            a_root, b_root = F.coalesce("_a", "a"), F.coalesce("_b", "b")
-            rest = (
-                pairs.join(ends.toDF("a", "_a"), "a", "left").join(ends.toDF("b", "_b"), "b", "left")
-            ).filter(a_root != b_root).select("a", "b")
-        rest = stored(rest.join(first, ["a", "b"], "left_anti"), "pairs")
+        """Confirm candidate pairs (a < b): the best of each class, then those still between components."""
+        pairs = stored(self.across(pairs.distinct()), "pairs")
+        texts = stored(_texts(pairs, self.classes, self.docs), "texts")
+        first = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b")
+        self._add(first, texts)
+        rest = stored(self.across(pairs).join(first, ["a", "b"], "left_anti").select("a", "b"), "pairs")
         if not rest.isEmpty():
-            self._add(rest)
-        forget(pairs, rest)
+            self._add(rest, texts)
+        forget(pairs, rest, texts)
 
-    def _add(self, pairs: DataFrame) -> None:
-        links = _confirmed(pairs, self.classes, self.docs, self.width, self.percent)
+    def _add(self, pairs: DataFrame, texts: DataFrame) -> None:
+        links = _confirmed(pairs, texts, self.width, self.percent)
         self.links = links if self.links is None else self.links.unionByName(links)
         self.roots = components(self.links)
 
 
 def _children(members: DataFrame, branches: int, signatures: DataFrame) -> DataFrame:
-    """Members of the next level: per drawn coordinate, documents that agree in it share a path."""
-    drawn = members.withColumn("_branch", F.explode(F.array(*[F.lit(i) for i in range(branches)])))
-    coordinate = F.pmod(F.xxhash64("path", "_branch"), F.lit(COORDINATES)).cast("int")
-    return (
-        drawn.join(signatures, "class_id")
-        .withColumn("path", F.xxhash64("path", "_branch", F.element_at("signature", coordinate + 1)))
-        .drop("_branch", "signature")
-    )
+    """Members of the next level: per branch, documents that agree in its coordinates share a path."""
+    drawn = [
+        F.xxhash64(
+            "path",
+            F.lit(branch),
+            *[
+                F.element_at("signature", F.pmod(F.xxhash64("path", F.lit(branch), F.lit(i)), F.lit(COORDINATES)).cast("int") + 1)
+                for i in range(BRANCH_COORDINATES)
+            ],
+        )
+        for branch in range(branches)
+    ]
+    signed = members.join(signatures, "class_id").withColumn("_paths", F.array(*drawn))
+    return signed.withColumn("path", F.explode("_paths")).drop("_paths", "signature")
 
 
 def _crowded(members: DataFrame) -> DataFrame:
@@ -216,61 +231,65 @@ def _crowded(members: DataFrame) -> DataFrame:
     return members.join(sizes, "path")
 
 
+def _pairs_within(members: DataFrame, alike: Column) -> DataFrame:
+    """Pairs (a < b) of members of one node in different components that are worth confirming."""
+    apart = (F.col("class_id") < F.col("o_class_id")) & (F.col("root") != F.col("o_root"))
+    pairs = members.join(_others(members), "path").filter(apart & alike)
+    return pairs.select(F.col("class_id").alias("a"), F.col("o_class_id").alias("b"), _agreement("o_").alias("agree"))
+
+
+def _pairs_with_leaders(large: DataFrame, alike: Column) -> DataFrame:
+    """Pairs of members of large nodes with a few members of theirs, drawn by hash."""
+    names = [f"h{seed}" for seed in range(LEADERS)]
+    heads = [F.min_by("class_id", F.xxhash64("class_id", F.lit(seed))).alias(name) for seed, name in enumerate(names)]
+    leaders = large.groupBy("path").agg(*heads)
+    leaders = leaders.select("path", F.explode(F.array_distinct(F.array(*names))).alias("class_id"))
+    leading = _others(leaders.join(large, ["path", "class_id"]))
+    led = large.join(leading, "path").filter((F.col("root") != F.col("o_root")) & alike)
+    ends = (F.least("class_id", "o_class_id").alias("a"), F.greatest("class_id", "o_class_id").alias("b"))
+    return led.select(*ends, _agreement("o_").alias("agree"))
+
+
 def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, root) of classes that are linked with others."""
-    job = _Join(docs, classes, width, percent)
+    """(id, root) of classes that are linked with others.
+
+    The children of the roots are compared and confirmed first; below them, nodes of which
+    all members are in one component are done, and what is left to confirm is gathered.
+    """
+    found = _Links(docs, classes, width, percent)
     alike = _alike(percent / 100)
     signatures = classes.select("class_id", "signature")
     roots = F.array(*[F.lit(tree * 1_000_003 + i) for tree in range(TREES) for i in range(ROOT_BRANCHES)])
     start = classes.withColumn("_root", F.explode(roots))
     # the coordinates of a tree's root differ from each other
     coordinate = F.pmod(F.xxhash64((F.col("_root") / 1_000_003).cast("int")) + F.col("_root"), F.lit(COORDINATES))
-    members = start.withColumn(
-        "path", F.xxhash64("_root", F.element_at("signature", coordinate.cast("int") + 1))
-    ).select("path", "class_id", "n_shingles", *_SKETCH)
-    for level in range(MOST_LEVELS + 1):
-        members = stored(_crowded(members), "members")
-        small = members.filter(F.col("size") <= SMALL_NODE)
-        large = stored(members.filter(F.col("size") > SMALL_NODE), "large")
-        pairs = small.join(_others(small), "path").filter((F.col("class_id") < F.col("o_class_id")) & alike)
-        pairs = pairs.select(F.col("class_id").alias("a"), F.col("o_class_id").alias("b"))
-        more = not large.isEmpty()
-        if more:
-            heads = [F.min_by("class_id", F.xxhash64("class_id", F.lit(seed))).alias(f"h{seed}") for seed in range(LEADERS)]
-            leaders = large.groupBy("path").agg(*heads).select(
-                "path", F.explode(F.array_distinct(F.array(*[f"h{seed}" for seed in range(LEADERS)]))).alias("class_id")
-            )
-            leading = leaders.join(large.drop("size"), ["path", "class_id"])
-            led = large.join(_others(leading), "path").filter((F.col("class_id") != F.col("o_class_id")) & alike)
-            pairs = pairs.unionByName(
-                led.select(
-                    F.least("class_id", "o_class_id").alias("a"), F.greatest("class_id", "o_class_id").alias("b")
-                )
-            )
-        job.consider(pairs)
-        if not more:
+    path = F.xxhash64("_root", F.element_at("signature", coordinate.cast("int") + 1))
+    members = start.withColumn("path", path).select("path", "class_id", "n_shingles", *_SKETCH)
+    members = stored(_crowded(members).withColumn("root", F.col("class_id")), "members")
+    large = members.filter(F.col("size") > SMALL_NODE).drop("size")
+    pairs = _pairs_within(members.filter(F.col("size") <= SMALL_NODE), alike)
+    found.consider(pairs.unionByName(_pairs_with_leaders(large, alike)))
+    gathered: list[DataFrame] = []
+    for level in range(1, MOST_LEVELS + 1):
+        # per node the pairs between components: few of them are compared at once
+        rooted = stored(found.with_roots(large.drop("root")), "rooted")
+        parts = rooted.groupBy("path", "root").agg(F.count("*").alias("n")).groupBy("path")
+        parts = parts.agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("within"))
+        across = (F.col("size") * F.col("size") - F.col("within")) / 2
+        rooted = rooted.join(parts.filter(across > 0), "path")
+        near = (across <= F.col("size") * SMALL_NODE) | F.lit(level == MOST_LEVELS)
+        gathered.append(stored(_pairs_within(rooted.filter(near), alike), "near"))
+        far = stored(rooted.filter(~near).drop("size", "within"), "far")
+        if far.isEmpty():
             break
-        # what is in one component needs no comparison; few pairs across are compared at once
-        rooted = job.with_roots(large.drop("size"))
-        parts = rooted.groupBy("path", "root").agg(F.count("*").alias("n"))
-        across = parts.groupBy("path").agg(
-            F.sum("n").alias("size"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("across")
-        )
-        rooted = stored(rooted.join(across.filter(F.col("across") > 0), "path"), "rooted")
-        last = level == MOST_LEVELS
-        few = F.lit(True) if last else F.col("across") <= F.col("size") * SMALL_NODE / 2
-        near = rooted.filter(few).drop("size", "across")
-        crossing = near.join(_others(near), "path").filter(
-            (F.col("class_id") < F.col("o_class_id")) & (F.col("root") != F.col("o_root")) & alike
-        )
-        crossing = stored(crossing.select(F.col("class_id").alias("a"), F.col("o_class_id").alias("b")), "crossing")
-        if not crossing.isEmpty():
-            job.consider(crossing)
-        far = rooted.filter(~few).drop("size", "across", "root")
-        if last or far.isEmpty():
-            break
-        members = _children(far, BRANCHES, signatures)
-    return job.roots
+        gathered.append(stored(_pairs_with_leaders(far, alike), "near"))
+        members = stored(_crowded(_children(far, BRANCHES, signatures)), "members")
+        gathered.append(stored(_pairs_within(members.filter(F.col("size") <= SMALL_NODE), alike), "near"))
+        large = members.filter(F.col("size") > SMALL_NODE).drop("size")
+    more = reduce(DataFrame.unionByName, gathered).distinct()
+    if not more.isEmpty():
+        found.consider(more)
+    return found.roots
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -283,24 +302,51 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     and have the smallest component of any of them.  Rows without an id are linked like all
     others; their component is null when it holds no id, and they are kept only then.
     """
+    signed, found = _found(docs, width, percent)
+    empty = signed.filter(F.col("n_shingles") == 0).withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return found.select(columns).unionByName(empty.select(columns)).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    )
+
+
+def _found(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Signed documents, and those with a set again with their component's number and least id."""
     signed = stored(signed_documents(docs, width), "signed")
-    by_set = ["digest1", "digest2", "n_shingles"]
     alike = signed.filter(F.col("n_shingles") > 0)
     first = F.min_by(F.struct("key1", "key2", "signature", *_SKETCH), F.struct("key1", "key2"))
-    classes = alike.groupBy(*by_set).agg(F.min("doc_id").alias("least_id"), first.alias("_first"))
+    classes = alike.groupBy(*_BY_SET).agg(F.min("doc_id").alias("least_id"), first.alias("_first"))
     classes = stored(
-        classes.select(*by_set, "least_id", "_first.*").withColumn("class_id", F.monotonically_increasing_id()),
+        classes.select(*_BY_SET, "least_id", "_first.*").withColumn("class_id", F.monotonically_increasing_id()),
         "classes",
     )
     roots = _linked_classes(docs, classes, width, percent)
-    grouped = classes.select(*by_set, "class_id", "least_id").join(roots.toDF("class_id", "_root"), "class_id", "left")
+    grouped = classes.select(*_BY_SET, "class_id", "least_id").join(roots.toDF("class_id", "_root"), "class_id", "left")
     grouped = grouped.withColumn("_root", F.coalesce("_root", "class_id"))
     least = grouped.groupBy("_root").agg(F.min("least_id").alias("component_id"))
-    named = grouped.join(least, "_root").select(*by_set, "component_id")
-    found = alike.select("doc_id", *by_set).join(named, by_set)
-    found = found.unionByName(
-        signed.filter(F.col("n_shingles") == 0).select("doc_id", *by_set, F.col("doc_id").alias("component_id"))
-    )
-    return found.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    named = stored(grouped.join(least, "_root").select(*_BY_SET, F.col("_root").alias("component"), "component_id"), "named")
+    rows = alike.select("doc_id", "key1", "key2", *_BY_SET)
+    return signed, rows.join(named, _BY_SET).select("doc_id", "n_shingles", "key1", "key2", "component", "component_id")
+
+
+def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, in the columns of ``docs``: that with the smallest id.
+
+    Where several rows share that id, one of those with the smallest text key stays.  All
+    documents without words stay, as they are linked with nothing.
+    """
+    signed, found = _found(docs, width, percent)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key1", "key2")
+    chosen = found.groupBy("component").agg(F.min(order).alias("_one")).select("_one.doc_id", "_one.key1", "_one.key2")
+    chosen = stored(chosen, "chosen")
+    rows = docs.withColumns(
+        {"_id": F.col("doc_id").cast("long"), "_key1": F.xxhash64("text"), "_key2": F.crc32("text")}
     )
+    keys = chosen.toDF("_c_id", "_c_key1", "_c_key2")
+    same = F.col("_id").eqNullSafe(F.col("_c_id")) & (F.col("_key1") == F.col("_c_key1"))
+    kept = rows.join(keys, same & (F.col("_key2") == F.col("_c_key2")), "left_semi")
+    repeated = found.groupBy("doc_id", "key1", "key2").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    if not repeated.isEmpty():  # else the texts need no second shuffle
+        kept = kept.dropDuplicates(["_id", "_key1", "_key2"])
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return kept.select(docs.columns).unionByName(docs.filter(wordless))
