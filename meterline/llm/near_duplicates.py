@@ -33,9 +33,12 @@ TREES = 4
 ROOT_BRANCHES = 3
 BRANCHES = 2
 BRANCH_COORDINATES = 2
-# Members of a node that is compared exhaustively, and of a larger one those compared with all.
-SMALL_NODE = 1_024
+# Members of a node whose pairs are all confirmed at once, and in a larger one the members that
+# all others are compared with first; then members of a node of which all pairs between
+# components are compared without branching on.
+FIRST_NODE = 16
 LEADERS = 4
+SMALL_NODE = 1_024
 MOST_LEVELS = 12
 # Standard errors that a sketch may fall short of what the threshold makes it expect.
 SKETCH_ERRORS = 5.5
@@ -253,8 +256,10 @@ def _pairs_with_leaders(large: DataFrame, alike: Column) -> DataFrame:
 def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, root) of classes that are linked with others.
 
-    The children of the roots are compared and confirmed first; below them, nodes of which
-    all members are in one component are done, and what is left to confirm is gathered.
+    In the children of the roots a number of pairs in proportion to the members is confirmed
+    first.  Then nodes of which all members are in one component are done, in the others all
+    pairs between components are compared or the node branches on, and what is left to
+    confirm is gathered.
     """
     found = _Links(docs, classes, width, percent)
     alike = _alike(percent / 100)
@@ -266,8 +271,8 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: in
     path = F.xxhash64("_root", F.element_at("signature", coordinate.cast("int") + 1))
     members = start.withColumn("path", path).select("path", "class_id", "n_shingles", *_SKETCH)
     members = stored(_crowded(members).withColumn("root", F.col("class_id")), "members")
-    large = members.filter(F.col("size") > SMALL_NODE).drop("size")
-    pairs = _pairs_within(members.filter(F.col("size") <= SMALL_NODE), alike)
+    large = members.filter(F.col("size") > FIRST_NODE).drop("size")
+    pairs = _pairs_within(members.filter(F.col("size") <= FIRST_NODE), alike)
     found.consider(pairs.unionByName(_pairs_with_leaders(large, alike)))
     gathered: list[DataFrame] = []
     for level in range(1, MOST_LEVELS + 1):
@@ -277,7 +282,7 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: in
         parts = parts.agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("within"))
         across = (F.col("size") * F.col("size") - F.col("within")) / 2
         rooted = rooted.join(parts.filter(across > 0), "path")
-        near = (across <= F.col("size") * SMALL_NODE) | F.lit(level == MOST_LEVELS)
+        near = (across <= F.col("size") * (SMALL_NODE / 2)) | F.lit(level == MOST_LEVELS)
         gathered.append(stored(_pairs_within(rooted.filter(near), alike), "near"))
         far = stored(rooted.filter(~near).drop("size", "within"), "far")
         if far.isEmpty():
