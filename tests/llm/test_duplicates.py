@@ -173,6 +173,29 @@ def test_a_group_larger_than_a_shard_is_split(spark):
     assert len(torn) <= 30
 
 
+def cut_groups(rows, texts):
+    shards, slots = {}, {}
+    for r in rows:
+        shards.setdefault(texts[r["doc_id"]], set()).add(r["shard"])
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    return sum(len(s) > 1 for s in shards.values())
+
+
+@pytest.mark.parametrize("size, groups, most", [(2, 4000, 15), (300, 100, 4)])
+def test_groups_stay_whole_where_there_are_no_singles(spark, size, groups, most):
+    texts = [f"group {i}" for i in range(groups)] * size
+    rows, _ = shard_rows(spark, texts)
+    assert len(rows) == len(texts) and cut_groups(rows, texts) <= most
+
+
+def test_a_group_cut_by_a_shard_changes_places_with_singles():
+    # shards' free places end at 10, 20 and 40; documents without neighbours begin at place 24
+    assert sharding._exchanges([(8, 13), (18, 24)], [10, 20, 40], 24) == [(18, 24, 24), (8, 13, 30)]
+    assert sharding._exchanges([(8, 20)], [10, 20, 40], 30) == []
+
+
 @pytest.mark.parametrize("count", [0, 1, 5])
 def test_fewer_documents_than_shards(spark, count):
     rows, _ = shard_rows(spark, ["x"] * count)
