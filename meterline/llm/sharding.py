@@ -18,8 +18,6 @@ from meterline.llm.common import forget, numbered, stored
 
 SHARDS = 16
 ROUNDS = 4
-# The part of a shard's count above which a group does not move as a whole, but fills shards up.
-LARGE_GROUP = 0.25
 # The part of a shard's count from which groups that move are placed one by one after the rounds;
 # there are at most SHARDS / PLANNED_GROUP of them.
 PLANNED_GROUP = 1 / 64
@@ -91,11 +89,11 @@ def propagated_labels(nodes: DataFrame, shards: int = SHARDS, rounds: int = ROUN
     """``nodes`` (row_id, _group1, _group2; null when linked with nothing) with ``shard`` and ``_turn``.
 
     Groups with a shard are whole in it.  Without one are documents that have no neighbours,
-    groups too large to move as a whole, and those that neither the rounds nor the plan made whole.
+    groups larger than a shard, and those that neither the rounds nor the plan made whole.
     """
     rows = nodes.count()
     grouped = nodes.filter(F.col("_group2").isNotNull())
-    moving = F.col("_n") <= max(rows / shards * LARGE_GROUP, 2)
+    moving = F.col("_n") <= max(_shares(rows, shards)[0], 2)
     # stored, so that the joins below have an exchange of their own, which can split a hot group
     twins = grouped.groupBy(*_GROUPS).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
     twins = stored(twins.withColumn("_moves", moving).drop("_n"), "twins")

@@ -190,6 +190,14 @@ def test_groups_stay_whole_where_there_are_no_singles(spark, size, groups, most)
     assert len(rows) == len(texts) and cut_groups(rows, texts) <= most
 
 
+def test_groups_of_more_than_a_quarter_of_a_shard_stay_whole(spark):
+    sizes = [60] * 12 + [35] * 12 + [1] * 460  # a shard holds 100
+    texts = [f"group {i}" for i, n in enumerate(sizes) for _ in range(n)]
+    random.Random(4).shuffle(texts)
+    rows, _ = shard_rows(spark, texts)
+    assert len(rows) == len(texts) and cut_groups(rows, texts) == 0
+
+
 def test_a_group_cut_by_a_shard_changes_places_with_singles():
     # shards' free places end at 10, 20 and 40; documents without neighbours begin at place 24
     assert sharding._exchanges([(8, 13), (18, 24)], [10, 20, 40], 24) == [(18, 24, 24), (8, 13, 30)]
