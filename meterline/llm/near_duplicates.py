@@ -23,16 +23,22 @@ from meterline.llm.common import forget, row_slices, stored
 from meterline.llm.components import components
 from meterline.llm.words import U64, find_words, mix, shingles
 
+# Coordinates that a sketch shows.
 COORDINATES = 128
 TREES = 4
 # Branches drawn at a root, by one coordinate each, and at any other node, by several each.
-# At similarity 0.8 a node of the second kind loses a pair for good with probability
-# q = (1 - 0.64 + 0.64 q)^2 = 0.32 at most, so the trees lose it with (0.2 + 0.8 q)^12 = 7e-5,
-# and with 4e-9 if it need not branch on.  Two coordinates at once let nodes of unlike texts
-# that share a common passage shrink faster than their branches multiply.
+# Every branch of a root has a coordinate of its own, and the nodes below it draw from
+# ``INNER_COORDINATES`` that no other branch of a root uses.  At similarity 0.8 the trees lose a
+# pair with probability 0.2^12 = 4e-9 if it need not branch on.  Below a branch whose
+# coordinates agree in the part s, L levels lose it with q(L) = (1 - s^2 + s^2 q(L - 1))^2,
+# q(0) = 0; over the binomial s the trees lose it with (0.2 + 0.8 E[q])^12, which is 8e-7 after
+# one level, 2e-5 after three, 6e-5 after five and 2e-4 after eleven, the most there are.
+# Two coordinates at once let nodes of unlike texts that share a common passage shrink faster
+# than their branches multiply.
 ROOT_BRANCHES = 3
 BRANCHES = 2
 BRANCH_COORDINATES = 2
+INNER_COORDINATES = 32
 # Members of a node whose pairs are all confirmed at once, and in a larger one the members that
 # all others are compared with first; then members of a node of which all pairs between
 # components are compared without branching on.
@@ -45,17 +51,22 @@ SKETCH_ERRORS = 5.5
 
 _SIGNED = (
     "doc_id long, key1 long, key2 long, n_shingles long, digest1 long, digest2 long, "
-    "signature array<int>, s0 long, s1 long, s2 long, s3 long"
+    "signature array<int>, inner binary, s0 long, s1 long, s2 long, s3 long"
 )
 _SKETCH = ["s0", "s1", "s2", "s3"]
 _BY_SET = ["digest1", "digest2", "n_shingles"]
 
 
-def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Min-wise signatures of non-empty sets, 32 bits per coordinate, and their sketches."""
-    factors = mix(np.arange(1, COORDINATES + 1, dtype=U64)) | U64(1)
+def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Min-wise signatures of non-empty sets and their sketches.
+
+    The coordinates of the roots have 32 bits each.  Those of inner nodes have 8: members that
+    agree by chance only make a node larger, and no pair that agrees is lost.
+    """
+    roots = TREES * ROOT_BRANCHES
+    factors = mix(np.arange(1, roots * (1 + INNER_COORDINATES) + 1, dtype=U64)) | U64(1)
     values, firsts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
-    signature = np.empty((len(sets), COORDINATES), U64)
+    signature = np.empty((len(sets), len(factors)), U64)
     for i, factor in enumerate(factors):
         signature[:, i] = np.minimum.reduceat(values * factor, firsts)
     signature = mix(signature)
@@ -63,7 +74,8 @@ def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     sketch = np.zeros((len(sets), 4), U64)
     for i in range(COORDINATES):
         sketch[:, i // 32] |= bits[:, i] << U64(2 * (i % 32))
-    return signature.astype(np.uint32).view(np.int32), sketch.view(np.int64)
+    inner = (signature[:, roots:] & U64(255)).astype(np.uint8)
+    return signature[:, :roots].astype(np.uint32).view(np.int32), inner, sketch.view(np.int64)
 
 
 def signed_documents(docs: DataFrame, width: int) -> DataFrame:
@@ -82,6 +94,7 @@ def signed_documents(docs: DataFrame, width: int) -> DataFrame:
         sketch = np.zeros((len(sets), 4), np.int64)
         lists = np.zeros(len(sets), np.int64)
         values = np.zeros(0, np.int32)
+        inner = [b""] * len(sets)
         if len(full):
             chosen = [sets[i] for i in full]
             firsts = np.cumsum([0, *map(len, chosen[:-1])])
@@ -89,8 +102,10 @@ def signed_documents(docs: DataFrame, width: int) -> DataFrame:
             # sums over the set do not depend on its order
             digests[full, 0] = np.add.reduceat(mix(joined), firsts)
             digests[full, 1] = np.add.reduceat(mix(joined ^ U64(0x5851F42D4C957F2D)), firsts)
-            signature, sketch[full] = _signatures(chosen)
-            values, lists[full] = signature.reshape(-1), COORDINATES
+            signature, below, sketch[full] = _signatures(chosen)
+            values, lists[full] = signature.reshape(-1), signature.shape[1]
+            for i, row in zip(full, below):
+                inner[i] = row.tobytes()
         offsets = pa.array(np.append(0, np.cumsum(lists)).astype(np.int32))
         arrays = [
             batch.column("doc_id"),
@@ -99,6 +114,7 @@ def signed_documents(docs: DataFrame, width: int) -> DataFrame:
             pa.array([len(s) for s in sets], pa.int64()),
             *(pa.array(column.view(np.int64)) for column in digests.T.copy()),
             pa.ListArray.from_arrays(offsets, pa.array(values)),
+            pa.array(inner, pa.binary()),
             *(pa.array(column) for column in sketch.T.copy()),
         ]
         return pa.RecordBatch.from_arrays(arrays, names)
@@ -211,21 +227,27 @@ class _Links:
         self.roots = components(self.links)
 
 
+def _root_members(classes: DataFrame) -> DataFrame:
+    """Classes below every branch of a root, each of which goes by a coordinate of its own."""
+    start = classes.withColumn("branch", F.explode(F.sequence(F.lit(0), F.lit(TREES * ROOT_BRANCHES - 1))))
+    path = F.xxhash64("branch", F.element_at("signature", F.col("branch") + 1))
+    return start.withColumn("path", path).select("path", "branch", "class_id", "n_shingles", *_SKETCH)
+
+
 def _children(members: DataFrame, branches: int, signatures: DataFrame) -> DataFrame:
     """Members of the next level: per branch, documents that agree in its coordinates share a path."""
+
+    def coordinate(branch: int, i: int) -> Column:
+        drawn = F.pmod(F.xxhash64("path", F.lit(branch), F.lit(i)), F.lit(INNER_COORDINATES))
+        at = F.col("branch") * INNER_COORDINATES + drawn.cast("int") + 1
+        return F.substr("inner", at, F.lit(1))
+
     drawn = [
-        F.xxhash64(
-            "path",
-            F.lit(branch),
-            *[
-                F.element_at("signature", F.pmod(F.xxhash64("path", F.lit(branch), F.lit(i)), F.lit(COORDINATES)).cast("int") + 1)
-                for i in range(BRANCH_COORDINATES)
-            ],
-        )
+        F.xxhash64("path", F.lit(branch), *[coordinate(branch, i) for i in range(BRANCH_COORDINATES)])
         for branch in range(branches)
     ]
     signed = members.join(signatures, "class_id").withColumn("_paths", F.array(*drawn))
-    return signed.withColumn("path", F.explode("_paths")).drop("_paths", "signature")
+    return signed.withColumn("path", F.explode("_paths")).drop("_paths", "inner")
 
 
 def _crowded(members: DataFrame) -> DataFrame:
@@ -263,13 +285,8 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: in
     """
     found = _Links(docs, classes, width, percent)
     alike = _alike(percent / 100)
-    signatures = classes.select("class_id", "signature")
-    roots = F.array(*[F.lit(tree * 1_000_003 + i) for tree in range(TREES) for i in range(ROOT_BRANCHES)])
-    start = classes.withColumn("_root", F.explode(roots))
-    # the coordinates of a tree's root differ from each other
-    coordinate = F.pmod(F.xxhash64((F.col("_root") / 1_000_003).cast("int")) + F.col("_root"), F.lit(COORDINATES))
-    path = F.xxhash64("_root", F.element_at("signature", coordinate.cast("int") + 1))
-    members = start.withColumn("path", path).select("path", "class_id", "n_shingles", *_SKETCH)
+    signatures = classes.select("class_id", "inner")
+    members = _root_members(classes)
     members = stored(_crowded(members).withColumn("root", F.col("class_id")), "members")
     large = members.filter(F.col("size") > FIRST_NODE).drop("size")
     pairs = _pairs_within(members.filter(F.col("size") <= FIRST_NODE), alike)
@@ -319,7 +336,7 @@ def _found(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     """Signed documents, and those with a set again with their component's number and least id."""
     signed = stored(signed_documents(docs, width), "signed")
     alike = signed.filter(F.col("n_shingles") > 0)
-    first = F.min_by(F.struct("key1", "key2", "signature", *_SKETCH), F.struct("key1", "key2"))
+    first = F.min_by(F.struct("key1", "key2", "signature", "inner", *_SKETCH), F.struct("key1", "key2"))
     classes = alike.groupBy(*_BY_SET).agg(F.min("doc_id").alias("least_id"), first.alias("_first"))
     classes = stored(
         classes.select(*_BY_SET, "least_id", "_first.*").withColumn("class_id", F.monotonically_increasing_id()),

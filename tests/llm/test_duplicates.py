@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.llm import embeddings, language_model, near_duplicates, quality, sharding
 from meterline.llm.components import components
@@ -86,6 +87,45 @@ def test_near_duplicates_equal_all_pairs(spark, families, width):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in want if want[i] == i}
 
 
+def test_every_branch_has_coordinates_of_its_own(spark):
+    branches = near_duplicates.TREES * near_duplicates.ROOT_BRANCHES
+    width = near_duplicates.INNER_COORDINATES
+    roots = [(i, 9, [int(i == j) for j in range(branches)], 0, 0, 0, 0) for i in range(branches)]
+    classes = spark.createDataFrame(roots, "class_id long, n_shingles long, signature array<int>, s0 long, s1 long, s2 long, s3 long")
+    paths = {}
+    for row in near_duplicates._root_members(classes).collect():
+        paths.setdefault(row["branch"], {})[row["class_id"]] = row["path"]
+    # one coordinate each, and no branch goes by that of another
+    for branch, found in paths.items():
+        assert [i for i in found if list(found.values()).count(found[i]) == 1] == [branch]
+    # nodes below a branch see its own part of the inner coordinates only
+    inner = [bytes(1 if i == j // width else 0 for j in range(branches * width)) for i in range(branches)]
+    signatures = spark.createDataFrame([(i, bytearray(x)) for i, x in enumerate(inner)], "class_id long, inner binary")
+    together = near_duplicates._root_members(classes).withColumn("path", F.col("branch").cast("long"))
+    nodes = near_duplicates._children(together, 2, signatures).groupBy("branch", "path")
+    for row in nodes.agg(F.collect_list("class_id").alias("ids")).collect():
+        assert row["ids"] == [row["branch"]] or row["branch"] not in row["ids"] and len(row["ids"]) == branches - 1
+
+
+def test_near_duplicates_below_branching_nodes(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "SMALL_NODE", 4)
+    monkeypatch.setattr(near_duplicates, "FIRST_NODE", 2)
+    monkeypatch.setattr(near_duplicates, "MOST_LEVELS", 2)
+    branched, children = [], near_duplicates._children
+    monkeypatch.setattr(near_duplicates, "_children", lambda *a: branched.append(1) or children(*a))
+    # families share a passage of 60 of 100 words, so that nodes hold several components
+    draw = random.Random(3)
+    passage, texts = [f"p{i}" for i in range(60)], []
+    for family in range(12):
+        own = [f"f{family}x{i}" for i in range(40)]
+        texts += [" ".join(passage + own[:39] + [f"n{draw.random()}"]) for _ in range(6)]
+    rows = list(enumerate(texts))
+    sets = {i: shingle_set(text, 2) for i, text in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == roots_of(sets, links) and branched
+
+
 def test_near_duplicates_of_repeated_and_missing_ids(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (2, "x y z"), (None, "a b c d"), (None, "q r s"), (3, None), (3, "x y z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
