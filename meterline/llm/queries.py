@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from meterline.llm.privacy import privacy_report
 from meterline.llm.quality import quality_report
 from meterline.llm.secrets import secret_report
 from meterline.llm.sharding import shard_report
+from meterline.llm.token_ids import token_report
+from meterline.session import shared_folder
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,6 +73,14 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_digests(formatted_turns(turns.unionByName(extra)))
 
 
+def op12_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    model = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    path = f"{shared_folder(spark)}/llm/token-ids-{uuid.uuid4().hex}"
+    return token_report(table(spark, folder, "documents"), path, model)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_quality,
@@ -81,5 +93,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language_model,
         op9_sharding,
         op10_chat,
+        op12_token_ids,
     )
     return {operator.__name__: operator for operator in operators}
