@@ -148,6 +148,68 @@ FROM reached r GROUP BY r.vec_id
 """
 
 
+def _hashed(text: str) -> str:
+    fields = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in fields) + ")"
+
+
+# crc32 over the digits: each is a byte to combine, then eight steps (-1) of one bit.
+_CHECKSUM = """list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END,
+    4294967295::BIGINT)"""
+
+
+def _grown(name: str, bottom: str) -> str:
+    """All levels over a bottom one, and the digests of each run of 16 joined."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS level, idx, digest, n FROM {bottom}
+  UNION ALL
+  SELECT tree, level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (n + 15) // 16
+  FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 16, n
+), {name}_runs AS (
+  SELECT tree, level, idx // 16 AS run, string_agg(digest, '' ORDER BY idx) AS children
+  FROM {name} WHERE n > 1 GROUP BY ALL
+)"""
+
+
+def _climbed(name: str, bottom: str, runs: str) -> str:
+    return f"""
+{name} AS (
+  SELECT k, tree, 0 AS level, idx, n, folded, proof FROM {bottom}
+  UNION ALL
+  SELECT k, c.tree, c.level + 1, c.idx // 16, (c.n + 15) // 16,
+         sha256(substr(children, 1, 64 * (c.idx % 16)) || folded || substr(children, 64 * (c.idx % 16) + 65)),
+         proof || substr(children, 1, 64 * (c.idx % 16)) || substr(children, 64 * (c.idx % 16) + 65)
+  FROM {name} c JOIN {runs} r ON r.tree = c.tree AND r.level = c.level AND r.run = c.idx // 16 WHERE c.n > 1
+)"""
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS k, doc_id, source, {_hashed('text')} AS digest, {_hashed(_LOWERED)} AS other,
+         xor({_CHECKSUM}, 4294967295) % 5 = 0 AS changed
+  FROM documents
+), placed AS (
+  SELECT k, doc_id, digest, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS idx,
+         count(*) OVER (PARTITION BY source) AS n, CASE WHEN changed THEN other ELSE digest END AS folded, '' AS proof
+  FROM leaves
+), {_grown("grown", "placed")}, subroots AS (
+  SELECT -1 AS tree, tree AS idx, digest, count(*) OVER () AS n FROM grown WHERE n = 1
+), {_grown("upper", "subroots")}, {_climbed("inner_climb", "placed", "grown_runs")}, arrived AS (
+  SELECT c.k, s.tree, s.idx, s.n, c.folded, c.proof, s.digest AS subroot
+  FROM inner_climb c JOIN subroots s ON s.idx = c.tree WHERE c.n = 1
+), {_climbed("outer_climb", "arrived", "upper_runs")}
+SELECT p.doc_id, p.digest AS leaf, a.subroot, root.digest AS root, sha256(c.proof) AS proof_sha256,
+       c.folded AS folded_root, c.folded = root.digest AS verified
+FROM placed p JOIN arrived a USING (k) JOIN outer_climb c ON c.k = p.k AND c.n = 1
+JOIN upper root ON root.n = 1
+"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "op3_near_duplicates": _NEAR_DUPLICATES,
@@ -155,4 +217,5 @@ def oracle_queries() -> dict[str, str]:
         "op5_embeddings": _EMBEDDINGS,
         "op6_decontamination": _DECONTAMINATION,
         "op7_secrets": _SECRETS,
+        "op11_merkle": _MERKLE,
     }

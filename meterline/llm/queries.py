@@ -14,6 +14,7 @@ from meterline.llm.common import table
 from meterline.llm.decontaminate import contamination_report
 from meterline.llm.embeddings import near_duplicate_vectors
 from meterline.llm.language_model import scored_texts
+from meterline.llm.merkle import tamper_trial
 from meterline.llm.mixing import mix_report
 from meterline.llm.near_duplicates import near_duplicates
 from meterline.llm.privacy import privacy_report
@@ -73,6 +74,10 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_digests(formatted_turns(turns.unionByName(extra)))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return tamper_trial(table(spark, folder, "documents"))
+
+
 def op12_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -93,6 +98,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language_model,
         op9_sharding,
         op10_chat,
+        op11_merkle,
         op12_token_ids,
     )
     return {operator.__name__: operator for operator in operators}
