@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
@@ -80,6 +81,18 @@ def map_arrow(df: DataFrame, function, schema: T.StructType | str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def arrow_batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Actions whose Python tasks get at most so many rows at once, for rows that are large."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def broadcast(spark: SparkSession, value: object) -> Broadcast:
     """A value of bounded size for all tasks, pickled so that its classes travel with it."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

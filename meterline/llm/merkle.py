@@ -25,17 +25,29 @@ TAMPERED_OF = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The tree over the roots of the sources; those of sources are called by the place of their first leaf.
 _TOP = -1
-_HEX = 64  # characters of a digest
+_SIZE = 32  # bytes of a digest, which is hashed and shown as hex text
 _DIGESTS = ("leaf", "subroot", "root", "proof_sha256", "folded_root")
 _PARENT = ("p_tree", "p_level", "p_idx", "slot")
 
+def _without(slot: str) -> str:
+    """SQL of the digests of a run but one."""
+    return f"concat(substr(children, 1, {_SIZE} * {slot}), substr(children, {_SIZE} * {slot} + {_SIZE + 1}))"
+
+
+def _folded(slot: str, digest: str) -> str:
+    """SQL of the digest over a run in which one is put in the place of another."""
+    return _hashed(f"overlay(children PLACING {digest} FROM {_SIZE} * {slot} + 1 FOR {_SIZE})")
+
+
+def _hashed(digests: str) -> str:
+    return f"unhex(sha2(lower(hex({digests})), 256))"
+
+
 _CLIMB = f"""
 WITH RECURSIVE climb (tree, run, folded, proof, p_tree, p_level, p_idx, slot) AS (
   SELECT tree, run, folded, proof, p_tree, p_level, p_idx, slot FROM {{runs}}
   UNION ALL
-  SELECT c.tree, c.run,
-         transform(c.folded, f -> sha2(overlay(p.children PLACING f FROM {_HEX} * c.slot + 1 FOR {_HEX}), 256)),
-         concat(c.proof, substr(p.children, 1, {_HEX} * c.slot), substr(p.children, {_HEX} * c.slot + {_HEX + 1})),
+  SELECT c.tree, c.run, transform(c.folded, f -> {_folded("c.slot", "f")}), concat(c.proof, {_without("c.slot")}),
          p.p_tree, p.p_level, p.p_idx, p.slot
   FROM climb c JOIN {{nodes}} p ON p.tree = c.p_tree AND p.level = c.p_level AND p.idx = c.p_idx
 )
@@ -67,20 +79,13 @@ def _unlimited_recursion(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def _joined(digests: str) -> Column:
-    return F.array_join(F.transform(F.sort_array(digests), lambda x: x["digest"]), "")
-
-
 def _above(level: DataFrame) -> DataFrame:
     """The nodes over a level, of the trees that have more than one node there."""
     grouped = level.filter("n > 1").groupBy("tree", "level", "n", F.expr(f"idx div {FAN}").alias("run"))
-    return grouped.agg(F.collect_list(F.struct("idx", "digest")).alias("members")).select(
-        "tree",
-        (F.col("level") + 1).alias("level"),
-        F.col("run").alias("idx"),
-        F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n"),
-        _joined("members").alias("children"),
-        F.sha2(_joined("members"), 256).alias("digest"),
+    members = grouped.agg(F.sort_array(F.collect_list(F.struct("idx", "digest"))).alias("members"))
+    joined = members.withColumn("children", F.expr("aggregate(members, X'', (all, x) -> concat(all, x.digest))"))
+    return joined.selectExpr(
+        "tree", "level + 1 AS level", "run AS idx", f"(n + {FAN - 1}) div {FAN} AS n", "children", f"{_hashed('children')} AS digest"
     )
 
 
@@ -128,7 +133,10 @@ def merkle_manifest(docs: DataFrame, tampered: Column | None = None) -> DataFram
     lowered = F.translate(F.col("text"), _UPPER, _LOWER)
     leaf = leaf_digest(F.col("text"))
     leaves = stored(
-        docs.select("doc_id", "source", leaf.alias("leaf"), F.when(changed, leaf_digest(lowered)).alias("other")), "leaves"
+        docs.select(
+            "doc_id", "source", F.unhex(leaf).alias("leaf"), F.when(changed, F.unhex(leaf_digest(lowered))).alias("other")
+        ),
+        "leaves",
     )
     placed = numbered(leaves, [F.col("source"), F.col("doc_id"), F.col("leaf")], "place", "placed")
     sources = stored(
@@ -143,11 +151,10 @@ def merkle_manifest(docs: DataFrame, tampered: Column | None = None) -> DataFram
     # the runs of leaves; a lone leaf is no node of a level above
     members = F.sort_array(F.collect_list(F.struct("idx", "leaf", "doc_id", "other")))
     runs = leaves_in.groupBy("tree", "n", F.expr(f"idx div {FAN}").alias("run")).agg(members.alias("members"))
-    children = F.array_join(F.transform("members", lambda x: x["leaf"]), "")
     lone = F.col("n") == 1
     runs = stored(
-        runs.withColumn("children", children)
-        .withColumn("digest", F.when(lone, F.col("children")).otherwise(F.sha2("children", 256)))
+        runs.withColumn("children", F.expr("aggregate(members, X'', (all, x) -> concat(all, x.leaf))"))
+        .withColumn("digest", F.when(lone, F.col("children")).otherwise(F.expr(_hashed("children"))))
         .withColumns({"leaves": F.col("n"), "idx": F.col("run")})
         .withColumns({"n": F.expr(f"(n + {FAN - 1}) div {FAN}"), "level": F.when(lone, 0).otherwise(1)}),
         "runs",
@@ -162,15 +169,17 @@ def merkle_manifest(docs: DataFrame, tampered: Column | None = None) -> DataFram
     )
     upper = _built(bottom, sizes["sources"])
     last = upper[-1] if upper else tops
-    root = last.select("digest").first()["digest"]  # the only row
+    root = bytes(last.select("digest").first()["digest"])  # the only row
 
     above = [level.select(keys) for level in inner + upper]
     nodes = reduce(DataFrame.unionByName, above, lower.select(keys).limit(0))
     nodes = stored(_parents(nodes, tops, sizes["sources"]), "nodes")
-    fold = f"sha2(overlay(children PLACING coalesce(x.other, x.leaf) FROM {_HEX} * i + 1 FOR {_HEX}), 256)"
-    folded = F.expr(f"transform(members, (x, i) -> IF(leaves = 1, coalesce(x.other, x.leaf), {fold}))")
+    # leaves that are not tampered with arrive in the digest of their run; the others have a value each
+    fold = _folded(f"(x.idx % {FAN})", "x.other")
+    values = f"transform(filter(members, x -> x.other IS NOT NULL), x -> IF(leaves = 1, x.other, {fold}))"
+    start = F.expr(f"concat(array(digest), {values})")
     climbing = stored(
-        _parents(runs, tops, sizes["sources"]).select("tree", "run", folded.alias("folded"), F.lit("").alias("proof"), *_PARENT),
+        _parents(runs, tops, sizes["sources"]).select("tree", "run", start.alias("folded"), F.expr("X''").alias("proof"), *_PARENT),
         "climbing",
     )
     with _unlimited_recursion(spark):
@@ -178,19 +187,23 @@ def merkle_manifest(docs: DataFrame, tampered: Column | None = None) -> DataFram
     forget(leaves, placed, nodes, climbing, *inner, *upper)
 
     subroots = tops.select("tree", F.col("digest").alias("subroot"))
-    found = runs.select("tree", "run", "leaves", "members", "children").join(climbed, ["tree", "run"]).join(subroots, "tree")
-    rows = found.selectExpr("*", "posexplode(members) AS (at, x)")
-    siblings = F.when(F.col("leaves") == 1, F.lit("")).otherwise(
-        F.expr(f"concat(substr(children, 1, {_HEX} * at), substr(children, {_HEX} * at + {_HEX + 1}))")
-    )
-    end = F.col("folded")[F.col("at")]
+    runs = runs.select("tree", "run", "leaves", "members", "children")
+    # both sides grow with the documents, so the join is the same at every size
+    rows = runs.join(climbed.hint("merge"), ["tree", "run"]).join(subroots, "tree").selectExpr("*", "posexplode(members) AS (at, x)")
+    siblings = F.when(F.col("leaves") == 1, F.expr("X''")).otherwise(F.expr(_without("at")))
+    value = "IF(x.other IS NULL, 0, size(filter(slice(members, 1, at + 1), m -> m.other IS NOT NULL)))"
+    end = F.expr(f"folded[{value}]")
+
+    def shown(digest: Column) -> Column:
+        return F.lower(F.hex(digest))
+
     return rows.select(
         F.col("x.doc_id").alias("doc_id"),
-        F.col("x.leaf").alias("leaf"),
-        "subroot",
-        F.lit(root).alias("root"),
-        F.sha2(F.concat(siblings, "proof"), 256).alias("proof_sha256"),
-        end.alias("folded_root"),
+        shown(F.col("x.leaf")).alias("leaf"),
+        shown(F.col("subroot")).alias("subroot"),
+        shown(F.lit(root)).alias("root"),
+        F.sha2(shown(F.concat(siblings, "proof")), 256).alias("proof_sha256"),
+        shown(end).alias("folded_root"),
         (end == F.lit(root)).alias("verified"),
     )
 

@@ -210,6 +210,39 @@ JOIN upper root ON root.n = 1
 """
 
 
+_PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all({_LOWER}, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM worded GROUP BY lang
+), placed AS (
+  SELECT lang, size, words[i : i + size - 1] AS words
+  FROM worded, (VALUES (1), (2), (3)) s(size), unnest(range(1, len(words) - size + 2)) t(i)
+), counted AS (SELECT lang, size, words, count(*) AS f FROM placed GROUP BY ALL
+), frequent AS (SELECT * FROM counted WHERE size > 1 AND f >= 10
+), parts AS (
+  SELECT lang, f, unnest([words[1:2], words[2:3]]) AS words FROM frequent WHERE size = 3
+), kept AS (
+  SELECT * FROM frequent c
+  WHERE NOT EXISTS (FROM parts p WHERE p.lang = c.lang AND p.words = c.words AND 100 * p.f >= 50 * c.f)
+), cuts AS (
+  SELECT c.lang, c.words, c.f AS a, k, l.f AS l, r.f AS r, 1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS score
+  FROM kept c, (VALUES (1), (2)) t(k)
+  JOIN counted l ON l.lang = c.lang AND l.words = c.words[1:k]
+  JOIN counted r ON r.lang = c.lang AND r.words = c.words[k + 1 :]
+  WHERE k < c.size
+), lowest AS (
+  SELECT *, array_to_string(words, ' ') AS phrase FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "op3_near_duplicates": _NEAR_DUPLICATES,
@@ -218,4 +251,5 @@ def oracle_queries() -> dict[str, str]:
         "op6_decontamination": _DECONTAMINATION,
         "op7_secrets": _SECRETS,
         "op11_merkle": _MERKLE,
+        "op13_phrases": _PHRASES,
     }

@@ -17,6 +17,7 @@ from meterline.llm.language_model import scored_texts
 from meterline.llm.merkle import tamper_trial
 from meterline.llm.mixing import mix_report
 from meterline.llm.near_duplicates import near_duplicates
+from meterline.llm.phrases import collocations
 from meterline.llm.privacy import privacy_report
 from meterline.llm.quality import quality_report
 from meterline.llm.secrets import secret_report
@@ -86,6 +87,10 @@ def op12_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_report(table(spark, folder, "documents"), path, model)
 
 
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_quality,
@@ -100,5 +105,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_chat,
         op11_merkle,
         op12_token_ids,
+        op13_phrases,
     )
     return {operator.__name__: operator for operator in operators}
