@@ -20,6 +20,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return pin_session(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so, letter case aside."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, which also cuts its lineage."""
     path = f"{shared_folder(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"

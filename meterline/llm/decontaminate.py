@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.llm.common import broadcast, map_arrow, received, row_slices, stored
+from meterline.llm.common import broadcast, map_arrow, received, row_slices, stored, unused
 from meterline.llm.words import ALNUM, U64, Words, find_words, mix
 
 WINDOW = 10
@@ -160,7 +160,8 @@ def benchmark_hits(
     """Rows of ``docs`` with ``_found``: n_words, spans of hit words, items with a window in the text.
 
     Null and empty texts have no words; an empty benchmark hits nothing; a null item id counts
-    as the empty string; items with the same id are one.  Other columns stay as they are.
+    as the empty string; items with the same id are one.  Other columns stay as they are; the new one gets underscores
+    behind its name until no column has it.
     The benchmark reaches the tasks in blocks of about ``block_windows`` windows at most.
     """
     spark = docs.sparkSession
@@ -187,12 +188,13 @@ def benchmark_hits(
         rows = map_arrow(rows, scan, rows.schema)
         if block + 1 < blocks:
             rows = stored(rows, "searched")
-    return rows.select("_row.*", "_found")
+    return rows.select("_row.*", F.col("_found").alias(unused(docs, "_found")))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents without any benchmark window, in the columns of ``docs``."""
-    return benchmark_hits(docs, benchmark, window).filter(F.size("_found.items") == 0).drop("_found")
+    found = unused(docs, "_found")
+    return benchmark_hits(docs, benchmark, window).filter(F.size(f"{found}.items") == 0).drop(found)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

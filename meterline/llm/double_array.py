@@ -6,8 +6,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-# Bases that are tried at once for a node.
-_TRIED = 1 << 6
+# Bases that are tried at once for a node: first, and at most; cells looked at for that at once.
+_TRIED, _MOST_TRIED, _CELLS = 1 << 6, 1 << 12, 1 << 17
 
 
 @dataclass
@@ -22,12 +22,25 @@ class DoubleArray:
     base: np.ndarray
     check: np.ndarray
 
+    def __post_init__(self) -> None:
+        # where the keys with the same leading bits begin; keys are hashes, so few share them
+        self.bits = max(len(self.keys).bit_length(), 1)
+        edges = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        self.starts = np.append(np.searchsorted(self.keys, edges), len(self.keys))
+
     def symbols(self, keys: np.ndarray) -> np.ndarray:
         """The symbol of each key, -1 where the trie has none."""
-        if not len(self.keys):
-            return np.full(len(keys), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
+        found = np.full(len(keys), -1, np.int64)
+        lead = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        at, end = self.starts[lead], self.starts[lead + 1]
+        open_places = np.flatnonzero(at < end)
+        at, end = at[open_places], end[open_places]
+        while len(open_places):
+            hit = self.keys[at] == keys[open_places]
+            found[open_places[hit]] = at[hit]
+            on = ~hit & (at + 1 < end)
+            open_places, at, end = open_places[on], at[on] + 1, end[on]
+        return found
 
     def step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The states after one more symbol each; -1 where the trie has no such phrase."""
@@ -74,7 +87,8 @@ def build(phrases: np.ndarray) -> DoubleArray:
         longer = phrases[phrases[:, level] != 0][:, : level + 1]
         if not len(longer):
             break
-        longer = np.unique(longer, axis=0)
+        longer = longer[np.lexsort(longer.T[::-1])]
+        longer = longer[np.append(True, (longer[1:] != longer[:-1]).any(axis=1))]
         parents = trie.states_of(longer[:, :level])
         free_from = _place(trie, parents, trie.symbols(longer[:, level]), free_from)
     return trie
@@ -106,17 +120,21 @@ def _place(trie: DoubleArray, parents: np.ndarray, symbols: np.ndarray, free_fro
     several, low = np.flatnonzero(counts > 1), free_from
     for node in several[np.argsort(-counts[several], kind="stable")].tolist():
         children = symbols[first[node] : first[node] + counts[node]]
-        tried = max(1, min(_TRIED, 4 * _TRIED // len(children)))
-        cells = None
+        cells, tried = None, _TRIED
         while cells is None:
+            tried = max(1, min(tried, _CELLS // len(children)))
             reach(low + 4 * tried + span)
             open_cells = low + np.flatnonzero(~taken[low : low + 4 * tried])[:tried]
             bases = open_cells - children[0]
-            fits = ~taken[bases[:, None] + children[None, :]].any(axis=1)
-            if fits.any():
-                cells = int(bases[np.argmax(fits)]) + children
+            for child in children[1:]:  # few bases are left after some children
+                bases = bases[~taken[bases + child]]
+                if not len(bases):
+                    break
+            if len(bases):
+                cells = int(bases[0]) + children
             else:  # the cells passed over are left to single children
                 low = int(open_cells[-1]) + 1 if len(open_cells) else low + 4 * tried
+                tried = min(2 * tried, _MOST_TRIED)
         state = int(parents[first[node]])
         taken[cells], check[cells], base[state] = True, state, int(cells[0]) - int(children[0])
     single = first[counts == 1]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import numbered, stored
+from meterline.llm.common import numbered, stored, unused
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -67,7 +67,8 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 
     Per source the seed among ``SEEDS`` is used whose copies come nearest to the target.
     Null texts have size 0; null is a source of its own; rows with the same id are drawn
-    alike; a source without words is kept once.  Other columns stay as they are.
+    alike; a source without words is kept once.  Other columns stay as they are; the new one gets
+    underscores behind its name until no column has it.
     """
     rows = docs.select(F.struct("*").alias("_row"), "doc_id", "source", word_count(F.col("text")).alias("size"))
     sizes = stored(rows.drop("_row"), "sizes")
@@ -101,15 +102,15 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     extra = (_draw(F.col("doc_id"), F.col("_by")) < fraction).cast("long")
     return rows.join(chosen, F.col("source").eqNullSafe(F.col("_source"))).select(
         "_row.*",
-        F.struct("size", "source_size", "target", (whole + extra).cast("long").alias("copies")).alias("_mix"),
+        F.struct("size", "source_size", "target", (whole + extra).cast("long").alias("copies")).alias(unused(docs, "_mix")),
     )
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """Every document as often as the mix takes it, in the columns of ``docs``."""
-    plan = mixing_plan(docs, weights, most)
-    copies = F.sequence(F.lit(1).cast("long"), F.col("_mix.copies"))
-    return plan.filter(F.col("_mix.copies") > 0).withColumn("_mix", F.explode(copies)).drop("_mix")
+    plan, mix = mixing_plan(docs, weights, most), unused(docs, "_mix")
+    copies = F.sequence(F.lit(1).cast("long"), F.col(f"{mix}.copies"))
+    return plan.filter(F.col(f"{mix}.copies") > 0).withColumn(mix, F.explode(copies)).drop(mix)
 
 
 def mix_report(docs: DataFrame) -> DataFrame:

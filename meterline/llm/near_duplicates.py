@@ -23,8 +23,6 @@ from meterline.llm.common import forget, row_slices, stored
 from meterline.llm.components import components
 from meterline.llm.words import U64, find_words, mix, shingles
 
-# Coordinates that a sketch shows.
-COORDINATES = 128
 TREES = 4
 # Branches drawn at a root, by one coordinate each, and at any other node, by several each.
 # Every branch of a root has a coordinate of its own, and the nodes below it draw from
@@ -39,6 +37,8 @@ ROOT_BRANCHES = 3
 BRANCHES = 2
 BRANCH_COORDINATES = 2
 INNER_COORDINATES = 32
+# Coordinates that a sketch shows: all of inner nodes.
+COORDINATES = TREES * ROOT_BRANCHES * INNER_COORDINATES
 # Members of a node whose pairs are all confirmed at once, and in a larger one the members that
 # all others are compared with first; then members of a node of which all pairs between
 # components are compared without branching on.
@@ -46,14 +46,15 @@ FIRST_NODE = 16
 LEADERS = 4
 SMALL_NODE = 1_024
 MOST_LEVELS = 12
-# Standard errors that a sketch may fall short of what the threshold makes it expect.
-SKETCH_ERRORS = 5.5
+# Standard errors that a sketch may fall short of what the threshold makes it expect: a pair at the
+# threshold does so with probability 3e-6, and one of similarity 0.69 stays below as often as not.
+SKETCH_ERRORS = 4.5
 
+_SKETCH = [f"s{i}" for i in range(COORDINATES // 32)]
 _SIGNED = (
     "doc_id long, key1 long, key2 long, n_shingles long, digest1 long, digest2 long, "
-    "signature array<int>, inner binary, s0 long, s1 long, s2 long, s3 long"
+    "signature array<int>, inner binary, " + ", ".join(f"{name} long" for name in _SKETCH)
 )
-_SKETCH = ["s0", "s1", "s2", "s3"]
 _BY_SET = ["digest1", "digest2", "n_shingles"]
 
 
@@ -70,10 +71,8 @@ def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
     for i, factor in enumerate(factors):
         signature[:, i] = np.minimum.reduceat(values * factor, firsts)
     signature = mix(signature)
-    bits = (signature >> U64(60)) & U64(3)
-    sketch = np.zeros((len(sets), 4), U64)
-    for i in range(COORDINATES):
-        sketch[:, i // 32] |= bits[:, i] << U64(2 * (i % 32))
+    bits = ((signature[:, roots:] >> U64(60)) & U64(3)).reshape(len(sets), len(_SKETCH), 32)
+    sketch = (bits << np.arange(0, 64, 2, dtype=U64)).sum(axis=2, dtype=U64)
     inner = (signature[:, roots:] & U64(255)).astype(np.uint8)
     return signature[:, :roots].astype(np.uint32).view(np.int32), inner, sketch.view(np.int64)
 
@@ -91,7 +90,7 @@ def signed_documents(docs: DataFrame, width: int) -> DataFrame:
         sets = list(shingles(find_words(batch.column("text")), width))
         full = np.flatnonzero([len(s) > 0 for s in sets])
         digests = np.zeros((len(sets), 2), U64)
-        sketch = np.zeros((len(sets), 4), np.int64)
+        sketch = np.zeros((len(sets), len(_SKETCH)), np.int64)
         lists = np.zeros(len(sets), np.int64)
         values = np.zeros(0, np.int32)
         inner = [b""] * len(sets)
@@ -214,12 +213,14 @@ class _Links:
         """Confirm candidate pairs (a < b): the best of each class, then those still between components."""
         pairs = stored(self.across(pairs.distinct()), "pairs")
         texts = stored(_texts(pairs, self.classes, self.docs), "texts")
-        first = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b")
+        ends = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
+        best = pairs.select(ends.alias("e"), "agree").groupBy("e.x").agg(F.max_by("e.y", F.struct("agree", "e.y")).alias("y"))
+        first = stored(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "first")
         self._add(first, texts)
         rest = stored(self.across(pairs).join(first, ["a", "b"], "left_anti").select("a", "b"), "pairs")
         if not rest.isEmpty():
             self._add(rest, texts)
-        forget(pairs, rest, texts)
+        forget(pairs, first, rest, texts)
 
     def _add(self, pairs: DataFrame, texts: DataFrame) -> None:
         links = _confirmed(pairs, texts, self.width, self.percent)
@@ -361,9 +362,8 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key1", "key2")
     chosen = found.groupBy("component").agg(F.min(order).alias("_one")).select("_one.doc_id", "_one.key1", "_one.key2")
     chosen = stored(chosen, "chosen")
-    rows = docs.withColumns(
-        {"_id": F.col("doc_id").cast("long"), "_key1": F.xxhash64("text"), "_key2": F.crc32("text")}
-    )
+    keyed = F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_key1"), F.crc32("text").alias("_key2")
+    rows = docs.select(F.struct("*").alias("_row"), *keyed)
     keys = chosen.toDF("_c_id", "_c_key1", "_c_key2")
     same = F.col("_id").eqNullSafe(F.col("_c_id")) & (F.col("_key1") == F.col("_c_key1"))
     kept = rows.join(keys, same & (F.col("_key2") == F.col("_c_key2")), "left_semi")
@@ -371,4 +371,4 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     if not repeated.isEmpty():  # else the texts need no second shuffle
         kept = kept.dropDuplicates(["_id", "_key1", "_key2"])
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return kept.select(docs.columns).unionByName(docs.filter(wordless))
+    return kept.select("_row.*").unionByName(docs.filter(wordless))

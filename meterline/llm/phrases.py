@@ -26,12 +26,12 @@ from meterline.llm.words import U64, Words, find_words, mix
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 NO_LANG = "und"
-# Phrases of one trie, and tries that are broadcast at once.
-TRIE_PHRASES = 1 << 17
-TRIES_A_PASS = 4
+# Phrases of one trie, which takes some 30 MB, and tries that are broadcast at once.
+TRIE_PHRASES = 1 << 20
+TRIES_A_PASS = 2
 # Most bits of the tables that say which words and pairs are frequent; wrong only by letting more through.
 MOST_BITS = 27
-WINDOW = 2 << 20
+WINDOW = 4 << 20
 
 _WORD = np.ones(256, bool)
 _WORD[[*BREAKS, *BLANKS]] = False
@@ -85,6 +85,15 @@ def _signed(keys: np.ndarray) -> pa.Array:
     return pa.array(keys.view(np.int64))
 
 
+def _shown_words(words: Words, which: np.ndarray) -> pa.Array:
+    """The texts of some words, cut from their bytes all at once."""
+    sizes = words.end[which] - words.start[which]
+    ends = np.append(0, np.cumsum(sizes))
+    places = np.repeat(words.start[which] - ends[:-1], sizes) + np.arange(ends[-1])
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(words.data[places]))]
+    return pa.Array.from_buffers(pa.string(), len(which), buffers)
+
+
 def _distinct_of(words: Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first place of every different word with its key, and how often it occurs."""
     _, first, which, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
@@ -108,8 +117,8 @@ def word_counts(texts: DataFrame, seed: int) -> DataFrame:
             first, counts = _distinct_of(words, keys)
             texts_of = np.searchsorted(words.first, first, "right") - 1
             arrays = [
-                pa.array([langs[i] for i in texts_of.tolist()], pa.string()),
-                pa.array([words.text(i).decode() for i in first.tolist()], pa.string()),
+                pa.array(langs, pa.string()).take(pa.array(texts_of)),
+                _shown_words(words, first),
                 _signed(keys[first]),
                 pa.array(counts.astype(np.int64)),
             ]
@@ -218,55 +227,68 @@ def candidates(texts: DataFrame, words: DataFrame, seed: int, least: int) -> Dat
     return stored(longer.unionByName(singles.withColumns({"k2": none, "k3": none})), "candidates")
 
 
-_TRIE = "trie int, keys binary, base binary, check binary, phrases binary, states binary"
+_TRIE = "trie int, part string, keys binary, base binary, check binary, phrases binary, states binary"
 
 
 def tries(phrases: DataFrame, count: int) -> DataFrame:
-    """The phrases dealt over tries by hash, one row per trie."""
+    """The phrases dealt over tries by hash: per trie a row of its arrays, and one of its phrases' states."""
     shards = max(-(-count // TRIE_PHRASES), 1)
     dealt = phrases.withColumn("trie", F.pmod(F.xxhash64(*_KEYS), F.lit(shards)).cast("int"))
 
     def made(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.ascontiguousarray(group[_KEYS].to_numpy(np.int64)).view(U64)
         trie = build(keys)
-        parts = {"keys": trie.keys, "base": trie.base.astype(np.int32), "check": trie.check.astype(np.int32)}
-        parts |= {"phrases": keys, "states": trie.states_of(keys).astype(np.int32)}
-        return pd.DataFrame([{"trie": group["trie"].iloc[0]} | {name: part.tobytes() for name, part in parts.items()}])
+        arrays = {"keys": trie.keys, "base": trie.base.astype(np.int32), "check": trie.check.astype(np.int32)}
+        known = {"phrases": keys, "states": trie.states_of(keys).astype(np.int32)}
+        none = dict.fromkeys([*arrays, *known])
+        rows = [
+            none | {"trie": group["trie"].iloc[0], "part": part} | {name: value.tobytes() for name, value in values.items()}
+            for part, values in (("trie", arrays), ("phrases", known))
+        ]
+        return pd.DataFrame(rows)[[field.split()[0] for field in _TRIE.split(", ")]]
 
     return dealt.groupBy("trie").applyInPandas(made, _TRIE)
 
 
+def _states(stored_tries: DataFrame) -> DataFrame:
+    """(trie, state, k1, k2, k3) of all phrases."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys = np.frombuffer(row["phrases"], np.int64).reshape(-1, len(_KEYS))
+                states = pa.array(np.frombuffer(row["states"], np.int32))
+                columns = [pa.array(np.ascontiguousarray(keys[:, i])) for i in range(len(_KEYS))]
+                tries_of = pa.array(np.full(len(keys), row["trie"], np.int32))
+                yield pa.RecordBatch.from_arrays([tries_of, states, *columns], ["trie", "state", *_KEYS])
+
+    phrases = stored_tries.filter("part = 'phrases'").select("trie", "phrases", "states")
+    return phrases.mapInArrow(run, "trie int, state int, k1 long, k2 long, k3 long")
+
+
 def phrase_counts(texts: DataFrame, seed: int, phrases: DataFrame) -> DataFrame:
     """(k1, k2, k3, n): how often each of the phrases occurs in all texts.
 
-    At most ``TRIES_A_PASS`` tries of ``TRIE_PHRASES`` phrases are broadcast for one pass over
-    the texts; more phrases take more passes.  A task adds up counts per state and gives those
-    that occur when its texts end.
+    At most ``TRIES_A_PASS`` tries of about ``TRIE_PHRASES`` phrases are broadcast for one pass
+    over the texts; more phrases take more passes.  A task adds up counts per state and gives
+    those that occur when its texts end.
     """
     spark, size = texts.sparkSession, phrases.count()
     stored_tries = stored(tries(phrases, size), "tries")
-    shards, found = max(-(-size // TRIE_PHRASES), 1), []
+    shards, counts = max(-(-size // TRIE_PHRASES), 1), None
     for low in range(0, shards, TRIES_A_PASS):
-        rows = stored_tries.filter(F.col("trie").between(low, low + TRIES_A_PASS - 1)).collect()
-        if rows:
-            found.append(stored(_counted(texts, seed, broadcast(spark, [row.asDict() for row in rows])), "counts"))
-    if not found:
-        return phrases.withColumn("n", F.lit(0).cast("long")).limit(0)
-    counts = found[0]
-    for more in found[1:]:
-        counts = counts.unionByName(more)
-    return counts
+        arrays = stored_tries.filter("part = 'trie'").filter(F.col("trie").between(low, low + TRIES_A_PASS - 1))
+        rows = arrays.select("trie", "keys", "base", "check").collect()
+        found = stored(_counted(texts, seed, broadcast(spark, [row.asDict() for row in rows])), "counts")
+        counts = found if counts is None else counts.unionByName(found)
+    return _states(stored_tries).join(counts, ["trie", "state"]).select(*_KEYS, "n")
 
 
 def _counted(texts: DataFrame, seed: int, sent: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = received(sent)
         walked = [
-            DoubleArray(
-                np.frombuffer(row["keys"], U64),
-                np.frombuffer(row["base"], np.int32).astype(np.int64),
-                np.frombuffer(row["check"], np.int32).astype(np.int64),
-            )
+            DoubleArray(np.frombuffer(row["keys"], U64), np.frombuffer(row["base"], np.int32), np.frombuffer(row["check"], np.int32))
             for row in rows
         ]
         totals = [np.zeros(len(trie.check), np.int64) for trie in walked]
@@ -274,15 +296,15 @@ def _counted(texts: DataFrame, seed: int, sent: Broadcast) -> DataFrame:
             _, keys, following = keyed_words(langs, column, seed)
             for trie, total in zip(walked, totals):
                 for states in trie.walk(trie.symbols(keys), following, len(_KEYS)):
-                    total += np.bincount(states, minlength=len(total))
+                    counts = np.bincount(states)
+                    total[: len(counts)] += counts
         for row, total in zip(rows, totals):
-            counts = total[np.frombuffer(row["states"], np.int32)]
-            keys = np.frombuffer(row["phrases"], np.int64).reshape(-1, len(_KEYS))[counts > 0]
-            columns = [pa.array(np.ascontiguousarray(keys[:, i])) for i in range(len(_KEYS))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[counts > 0])], [*_KEYS, "n"])
+            states = np.flatnonzero(total)
+            tries_of = pa.array(np.full(len(states), row["trie"], np.int32))
+            yield pa.RecordBatch.from_arrays([tries_of, pa.array(states.astype(np.int32)), pa.array(total[states])], ["trie", "state", "n"])
 
-    found = texts.mapInArrow(run, "k1 long, k2 long, k3 long, n long")
-    return found.groupBy(*_KEYS).agg(F.sum("n").alias("n"))
+    found = texts.mapInArrow(run, "trie int, state int, n long")
+    return found.groupBy("trie", "state").agg(F.sum("n").alias("n"))
 
 
 def _score(a: str, left: str, right: str) -> Column:

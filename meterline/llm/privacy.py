@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import broadcast, received
+from meterline.llm.common import broadcast, received, unused
 from meterline.llm.tagger import Tagger
 
 KINDS = ("email", "ip", "card", "phone")
@@ -242,7 +242,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` with ``_private``: base and all spans (start, kind, end) in code points.
 
     Null texts count as empty.  Rows are read by themselves, so repeated ones have equal spans.
-    Other columns stay as they are.
+    Other columns stay as they are; the new one gets underscores behind its name until no column has it.
     """
     kind = "struct<base:array<struct<start:long,kind:string,end:long>>,spans:array<struct<start:long,kind:string,end:long>>>"
     model = broadcast(docs.sparkSession, learned_tagger(docs))
@@ -261,7 +261,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
             at = batch.schema.get_field_index("_private")
             yield batch.set_column(at, "_private", pa.array(made, batch.schema.field("_private").type))
 
-    return rows.mapInArrow(run, rows.schema).select("_row.*", "_private")
+    return rows.mapInArrow(run, rows.schema).select("_row.*", F.col("_private").alias(unused(docs, "_private")))
 
 
 def privacy_report(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import broadcast, map_arrow, received, row_slices
+from meterline.llm.common import broadcast, map_arrow, received, row_slices, unused
 from meterline.llm.words import SPACED, U64, Words, find_words, text_bytes
 
 # Labelled documents that the fit uses at most, and pairs per document of the rarer label.
@@ -149,15 +149,22 @@ def learned_ranking(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     sample = usable.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    texts = texts.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(most)
+    keyed = texts.select(
+        F.xxhash64("doc_id").alias("first"),
+        F.xxhash64("text").alias("then"),
+        F.col("quality").cast("long").alias("quality"),
+        "text",
+    )
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = [text_features(piece.column("text")) for piece in row_slices(batch, "text")]
         listed = pa.array(list(np.concatenate(parts)), pa.list_(pa.float64()))
-        return pa.RecordBatch.from_arrays([batch.column("quality").cast(pa.int64()), listed], ["quality", "features"])
+        kept = [batch.column(name) for name in ("first", "then", "quality")]
+        return pa.RecordBatch.from_arrays([*kept, listed], ["first", "then", "quality", "features"])
 
-    wanted = texts.select(F.col("quality").cast("long").alias("quality"), "text")
-    rows = map_arrow(wanted, measure, "quality long, features array<double>").collect()
+    # texts are measured where they are read: only a few numbers of each go to one place
+    measured = map_arrow(keyed, measure, "first long, then long, quality long, features array<double>")
+    rows = measured.orderBy("first", "then").limit(most).collect()
     features = np.array([row["features"] for row in rows], float).reshape(-1, len(FEATURES))
     return fit_ranking(features, np.array([row["quality"] == 1 for row in rows], bool))
 
@@ -166,7 +173,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
     """Rows of ``docs`` with ``_score``: from 0 to 1, ``ACCEPTED`` or more for good ones.
 
     Only the text enters a score; null texts score as empty ones.  Labels other than 0 and 1
-    are left out.  Other columns stay as they are.
+    are left out.  Other columns stay as they are; the new one gets underscores behind its name
+    until no column has it.
     """
     ranking = broadcast(docs.sparkSession, learned_ranking(docs, labels, most))
     rows = docs.select(F.struct("*").alias("_row"), "text", F.lit(0.0).alias("_score"))
@@ -177,12 +185,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
         at = batch.schema.get_field_index("_score")
         return batch.set_column(at, "_score", pa.array(np.concatenate(parts)))
 
-    return map_arrow(rows, score, rows.schema).select("_row.*", "_score")
+    return map_arrow(rows, score, rows.schema).select("_row.*", F.col("_score").alias(unused(docs, "_score")))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents at or above the threshold, in the columns of ``docs``."""
-    return quality_scores(docs, labels).filter(F.col("_score") >= ACCEPTED).drop("_score")
+    score = unused(docs, "_score")
+    return quality_scores(docs, labels).filter(F.col(score) >= ACCEPTED).drop(score)
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

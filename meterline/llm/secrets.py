@@ -16,6 +16,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterline.llm.common import unused
+
 # Sets of exact strings larger than this are given up for the trigrams they have in common.
 _MOST_STRINGS = 64
 # Intervals that scans of one document yield.
@@ -247,7 +249,8 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) with ``_spans``, sorted by start, then rule order.
 
     Null texts count as empty.  Rows that share an id, or have none, share their candidates
-    and are each scanned on their own text.  Other columns stay as they are.
+    and are each scanned on their own text.  Other columns stay as they are; the new one gets
+    underscores behind its name until no column has it.
     """
     rows = docs.select(F.struct("*").alias("_row"), "doc_id")
     text = F.coalesce(F.col("_row.text"), F.lit(""))
@@ -261,7 +264,7 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         else F.when(F.array_contains("_rules", rule.kind), _spans(text, rule, rank)).otherwise(none)
         for rank, rule in enumerate(rules)
     ]
-    return joined.select("_row.*", F.array_sort(F.concat(*spans)).alias("_spans"))
+    return joined.select("_row.*", F.array_sort(F.concat(*spans)).alias(unused(docs, "_spans")))
 
 
 def _digest(spans: Column) -> Column:

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import forget, numbered, stored
+from meterline.llm.common import forget, numbered, stored, unused
 
 SHARDS = 16
 ROUNDS = 4
@@ -259,13 +259,14 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``docs`` with ``_shard``: size, text_crc32, law, shard, slot.
 
     The law is ``rows``: the counts of the shards are at most one apart.  Every row is placed,
-    repeated ones too, each in a slot of its own; other columns stay as they are.
+    repeated ones too, each in a slot of its own; other columns stay as they are, and
+    the new one gets underscores behind its name until no column has it.
     """
     linked = text_links(docs.select(F.struct("*").alias("_row"), "text"))
     rows = stored(linked.drop("text").withColumn("row_id", F.monotonically_increasing_id()), "linked")
     placed = assigned_shards(rows, shards)
     return rows.join(placed, "row_id").select(
-        "_row.*", F.struct("size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot").alias("_shard")
+        "_row.*", F.struct("size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot").alias(unused(docs, "_shard"))
     )
 
 

@@ -55,10 +55,10 @@ def drawn(size, words, seed):
     return rows
 
 
-@pytest.mark.parametrize("trie", [1 << 17, 7])
+@pytest.mark.parametrize("trie", [1 << 20, 7])
 def test_equals_counting_all_phrases(spark, monkeypatch, trie):
     monkeypatch.setattr(phrases, "TRIE_PHRASES", trie)  # 7: many tries, several passes
-    monkeypatch.setattr(phrases, "TRIES_A_PASS", 20)
+    monkeypatch.setattr(phrases, "TRIES_A_PASS", 8)
     check(spark, drawn(120, 12, trie) + [("New York City. " * 30, "en"), ("x " * 40, "fr")], least=10)
 
 
