@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.numeric import percent
@@ -55,6 +55,26 @@ def clean_trips(typed: DataFrame, rules: Mapping[str, str] = TRIP_RULES) -> Data
     return typed.filter(_all_of(rules))
 
 
+def rejection_mask(rules: Mapping[str, str] = TRIP_RULES) -> Column:
+    """One bit per rule that a row does not meet, the first rule lowest; 0 for rows that pass."""
+    bits = [f"IF(coalesce({rule}, false), 0, {1 << i})" for i, rule in enumerate(rules.values())]
+    return F.expr(" + ".join(bits) or "0")
+
+
+def audit_of(masks: DataFrame, rules: Mapping[str, str] = TRIP_RULES) -> DataFrame:
+    """:func:`filter_audit` from rows counted by mask: (rejected, n)."""
+    total = "coalesce(sum({}), 0)"
+    counts = masks.agg(
+        F.expr(f"{total.format('n')} AS rows_before"),
+        F.expr(f"{total.format('IF(rejected = 0, n, 0)')} AS rows_after"),
+        *[
+            F.expr(f"{total.format(f'IF(rejected & {1 << i} != 0, n, 0)')} AS rejected_{name}")
+            for i, name in enumerate(rules)
+        ],
+    )
+    return _with_removed(counts)
+
+
 def filter_audit(typed: DataFrame, rules: Mapping[str, str] = TRIP_RULES) -> DataFrame:
     """Rows before, after and removed, plus the rows each rule rejects, in one pass.
 
@@ -68,6 +88,10 @@ def filter_audit(typed: DataFrame, rules: Mapping[str, str] = TRIP_RULES) -> Dat
             for name, rule in rules.items()
         ],
     )
+    return _with_removed(counts)
+
+
+def _with_removed(counts: DataFrame) -> DataFrame:
     removed = "rows_before - rows_after"
     return counts.withColumns(
         {

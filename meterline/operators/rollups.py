@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterline.functions.calendar import year_month
 from meterline.functions.numeric import (
     CENTS,
     MICROS,
@@ -59,6 +60,7 @@ DAILY = (
 HOURLY = ("total_trips", "avg_fare", "avg_distance", "avg_speed")
 BOROUGH = ("total_trips", "total_revenue", "avg_fare", "avg_distance")
 ROUTE = ("total_trips", "avg_fare", "avg_distance")
+_KNOWN_ROUTE = "PU_Zone IS NOT NULL AND DO_Zone IS NOT NULL"
 
 
 def _measure(name: str, merged: bool) -> str:
@@ -78,20 +80,37 @@ def _measure(name: str, merged: bool) -> str:
     return f"round({value}, {digits})"
 
 
+def grouped_measures(df: DataFrame, keys: tuple[str, ...], measures: tuple[str, ...], merged: bool) -> DataFrame:
+    """Named measures per group, over trips or over already summed groups."""
+    return df.groupBy(*keys).agg(*[F.expr(f"{_measure(name, merged)} AS {name}") for name in measures])
+
+
 def _grouped(df: DataFrame, keys: tuple[str, ...], measures: tuple[str, ...], merged: bool) -> DataFrame:
-    columns = [F.expr(f"{_measure(name, merged)} AS {name}") for name in measures]
-    return tag(df.groupBy(*keys).agg(*columns), GOLD, "_aggregation_timestamp")
+    return tag(grouped_measures(df, keys, measures, merged), GOLD, "_aggregation_timestamp")
 
 
-def trip_sums(silver: DataFrame, keys: tuple[str, ...] = BASE_KEYS) -> DataFrame:
+def trip_sums(
+    silver: DataFrame, keys: tuple[str, ...] = BASE_KEYS, columns: tuple[str, ...] = tuple(UNITS)
+) -> DataFrame:
     """Counts and exact sums per group, ready to be merged into coarser groups."""
     sums = {"trips": "count(*)", "passengers": "sum(passenger_count)"}
-    for column, per_one in UNITS.items():
-        sums |= {f"{column}_{part}": sql for part, sql in unit_sums(column, per_one).items()}
+    for column in columns:
+        sums |= {f"{column}_{part}": sql for part, sql in unit_sums(column, UNITS[column]).items()}
         sums[f"{column}_count"] = f"count({column})"
     return silver.groupBy(*keys).agg(*[F.expr(f"{sql} AS {name}") for name, sql in sums.items()])
 
 
+def monthly_trip_sums(silver: DataFrame) -> DataFrame:
+    """:func:`trip_sums` with the ``month`` they belong to."""
+    return trip_sums(silver).withColumn("month", year_month("pickup_date"))
+
+
+def monthly_route_sums(silver: DataFrame) -> DataFrame:
+    """Counts and exact sums per route and ``month``; months add up to the route table."""
+    dated = silver.filter(_KNOWN_ROUTE).withColumn("month", year_month("pickup_date"))
+    return trip_sums(dated, ("month", *ROUTE_KEYS), ("fare_amount", "trip_distance"))
+
+
 def daily_metrics(df: DataFrame, merged: bool = False) -> DataFrame:
     """Per day; like the next two, over trips or, with ``merged``, over :func:`trip_sums`."""
     return _grouped(df, ("pickup_date",), DAILY, merged)
@@ -105,9 +124,9 @@ def borough_metrics(df: DataFrame, merged: bool = False) -> DataFrame:
     return _grouped(df.filter("PU_Borough IS NOT NULL"), ("pickup_date", "PU_Borough"), BOROUGH, merged)
 
 
-def route_metrics(silver: DataFrame) -> DataFrame:
-    known = silver.filter("PU_Zone IS NOT NULL AND DO_Zone IS NOT NULL")
-    return _grouped(known, ROUTE_KEYS, ROUTE, merged=False)
+def route_metrics(df: DataFrame, merged: bool = False) -> DataFrame:
+    """Per route, over trips or, with ``merged``, over :func:`monthly_route_sums`."""
+    return _grouped(df.filter(_KNOWN_ROUTE), ROUTE_KEYS, ROUTE, merged)
 
 
 def borough_revenue(borough: DataFrame) -> DataFrame:

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterline.layout import ANALYTICS, TABLES
+from meterline.operators.clustering import interleaved_key
 from meterline.sources.files import Storage
-from meterline.sources.inventory import folder_layout, layout_summary
-from meterline.sources.lake import FILE_FORMATS, Lake, swap_in, try_read_table
+from meterline.sources.inventory import folder_layout, layout_summary, stored_files
+from meterline.sources.lake import FILE_FORMATS, Lake, data_pattern, swap_in, try_read_table
 
 # Default file size (within both published ranges) and retention.
 TARGET_BYTES = 256 * 1024 * 1024
@@ -38,9 +42,12 @@ class CompactionReport:
 
 
 def fragmented(folders: DataFrame) -> DataFrame:
-    """Folders with more files than they need; half as many again are let pass where several are needed."""
+    """Folders with more files than they need, some of which fit together.
+
+    Half as many again are let pass where several are needed.
+    """
     most = F.when(F.col("needed") == 1, 1).otherwise(F.ceil(F.col("needed") * 1.5))
-    return folders.filter(F.col("files") > most)
+    return folders.filter((F.col("files") > most) & (F.col("small") > 1))
 
 
 def compact_table(
@@ -53,7 +60,8 @@ def compact_table(
 ) -> CompactionReport:
     """Rewrite the fragmented folders of a table into fewer files, verify them, then swap.
 
-    Folders that are compact keep their files.  The previous files stay in a sibling folder
+    Whole files are packed into tasks up to the target size, so no row is shuffled.  Folders
+    that are compact keep their files.  The previous files stay in a sibling folder
     until retention expires, so a failure at any point leaves a complete copy.
     """
     started = time.monotonic()
@@ -88,6 +96,29 @@ def compact_table(
     )
 
 
+@contextmanager
+def packed_to(spark: SparkSession, task_bytes: int) -> Iterator[None]:
+    """Scans whose tasks take whole files, the largest first, up to ``task_bytes`` together."""
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",  # do not make tasks smaller to occupy all cores
+        "spark.sql.maxConcurrentOutputFileWriters": "2",  # a task writes one folder: nothing to sort
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# Folders whose scans make one job: every scan packs its own files, so no task spans two folders.
+_FOLDERS_A_JOB = 64
+
+
 def _rewrite(
     spark: SparkSession,
     location: str,
@@ -97,33 +128,49 @@ def _rewrite(
     target_bytes: int,
     fmt: str,
 ) -> None:
-    """Copy the rows of some folders into files of about the target size.
+    """Copy the rows of some folders into files of about the target size, without a shuffle.
 
-    Sizes follow from records per byte of the files as they are.  Each folder is dealt over
-    as many tasks as it needs files, so a hot folder is no single task.
+    Each scan packs the files of one folder into tasks, and each task writes one file.  Rows of
+    many small files take fewer bytes in a large one: how many is tried on one file beforehand.
     """
+    schema = spark.read.format(fmt).load(location).schema
     paths = [f"{location}{_within(row['folder'], partition_by)}" for row in folders]
-    rows = spark.read.format(fmt).option("basePath", location).load(paths)
-    records, needed = rows.count(), sum(row["needed"] for row in folders)
-    if partition_by:
-        wanted = spark.createDataFrame([(row["folder"], row["needed"]) for row in folders], "_folder string, _needed long")
-        folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1)
-        dealt = rows.withColumn("_folder", folder).join(wanted, "_folder")
-        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_needed"))
-        dealt = dealt.withColumn("_part", part).repartition(needed, *partition_by, "_part")
-        dealt = dealt.drop("_folder", "_needed", "_part")
-    else:
-        dealt = rows.repartition(needed)
-    size = sum(row["bytes"] for row in folders)
-    # a fifth more, so that unevenly dealt rows do not spill into a further small file
-    most = max(1, int(1.2 * max(target_bytes / size * records, records / needed))) if records else 0
-    writer = dealt.write.format(fmt).option("maxRecordsPerFile", most)
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(fresh)
-    copied = spark.read.format(fmt).load(fresh).count()
+    largest = max(range(len(folders)), key=lambda i: folders[i]["bytes"])
+    read = target_bytes
+    if folders[largest]["bytes"] > target_bytes:
+        stored_columns = [name for name in schema.names if name not in partition_by]
+        trial = spark.read.format(fmt).schema(schema[stored_columns])
+        read = int(target_bytes / _shrinkage(trial, paths[largest], f"{fresh}_trial", target_bytes, fmt))
+
+    def scan(path: str) -> DataFrame:
+        return spark.read.format(fmt).schema(schema).option("basePath", location).load(path)
+
+    records = 0
+    with packed_to(spark, read):
+        for low in range(0, len(paths), _FOLDERS_A_JOB):
+            rows = reduce(DataFrame.unionByName, map(scan, paths[low : low + _FOLDERS_A_JOB]))
+            records += rows.count()
+            writer = rows.write.format(fmt).mode("append")
+            (writer.partitionBy(*partition_by) if partition_by else writer).save(fresh)
+    copied = spark.read.format(fmt).schema(schema).load(fresh).count()
     if copied != records:
         raise RuntimeError(f"{copied} of {records} records rewritten")
 
 
+def _shrinkage(reader: DataFrameReader, folder: str, trial: str, target_bytes: int, fmt: str) -> float:
+    """Bytes of one file of about the target size for each byte of the files that it replaces."""
+    spark = SparkSession.active()
+    reached = F.sum("size_bytes").over(Window.orderBy("file_path"))  # one row per file of a folder
+    files = stored_files(spark, folder, data_pattern(fmt)).withColumn("reached", reached)
+    some = files.filter(F.col("reached") - F.col("size_bytes") < target_bytes).select("file_path", "size_bytes").collect()
+    try:
+        reader.load([unquote(row["file_path"]) for row in some]).coalesce(1).write.format(fmt).save(trial)
+        made = stored_files(spark, trial, data_pattern(fmt)).agg(F.sum("size_bytes")).first()[0]
+    finally:
+        Storage(spark).delete(trial)
+    return max(made / sum(row["size_bytes"] for row in some), 0.1)
+
+
 def _within(folder: str, partition_by: tuple[str, ...]) -> str:
     """The partition part of a listed folder; the listing escapes paths."""
     names = unquote(folder).split("/")[len(folder.split("/")) - len(partition_by) :] if partition_by else []
@@ -149,16 +196,86 @@ def reports_frame(spark: SparkSession, reports: list[CompactionReport]) -> DataF
     return spark.createDataFrame([asdict(report) for report in reports], REPORT_SCHEMA)
 
 
-def maintain(spark: SparkSession, lake: Lake, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Compact every bronze, silver and gold table; one report row each."""
-    return reports_frame(
-        spark,
-        [
-            compact_table(spark, key, lake.location(key), spec.partition_by, target_bytes, lake.fmt)
-            for key, spec in TABLES.items()
-            if spec.layer != ANALYTICS
-        ],
-    )
+def maintain(
+    spark: SparkSession,
+    lake: Lake,
+    target_bytes: int = TARGET_BYTES,
+    cluster: Mapping[str, tuple[str, ...]] | None = None,
+) -> DataFrame:
+    """Compact every bronze, silver and gold table; one report row each.
+
+    ``cluster`` names tables that are laid out along some of their columns instead.
+    """
+    reports = []
+    for key, spec in TABLES.items():
+        where = spark, key, lake.location(key)
+        if cluster and key in cluster:
+            reports.append(cluster_table(*where, cluster[key], spec.partition_by, target_bytes, lake.fmt))
+        elif spec.layer != ANALYTICS:
+            reports.append(compact_table(*where, spec.partition_by, target_bytes, lake.fmt))
+    return reports_frame(spark, reports)
+
+
+def cluster_table(
+    spark: SparkSession,
+    name: str,
+    location: str,
+    columns: tuple[str, ...],
+    partition_by: tuple[str, ...] = (),
+    target_bytes: int = TARGET_BYTES,
+    fmt: str = "parquet",
+) -> CompactionReport:
+    """Rewrite a table so that files are narrow in each of ``columns``, verify it, then swap.
+
+    The previous files stay in a sibling folder until retention expires.
+    """
+    started = time.monotonic()
+
+    def report(status: str, **values) -> CompactionReport:
+        return CompactionReport(name, status, seconds=time.monotonic() - started, **values)
+
+    if fmt not in FILE_FORMATS:
+        return report("SKIPPED", message=f"tables of {fmt} are clustered by the format's own commands")
+    rows = try_read_table(spark, location, fmt)
+    if rows is None:
+        return report("SKIPPED", message="not found")
+    before = layout_summary(spark, location, target_bytes, fmt).first()
+    counts = {"record_count": before["record_count"], "files_before": before["file_count"]}
+    stamp = time.time_ns()
+    fresh, previous = f"{location}__new_{stamp}", f"{location}__old_{stamp}"
+    try:
+        files = max(-(-before["size_bytes"] // target_bytes), 1)
+        write_interleaved(rows, fresh, files, columns, partition_by, fmt)
+        copied = spark.read.format(fmt).load(fresh).count()
+        if copied != before["record_count"]:
+            raise RuntimeError(f"{copied} of {before['record_count']} records rewritten")
+        swap_in(spark, fresh, location, previous)
+        spark.catalog.refreshByPath(location)
+        after = layout_summary(spark, location, target_bytes, fmt).first()
+    except Exception as error:  # reported, the run goes on with the next table
+        Storage(spark).delete(fresh)
+        return report("FAILED", **counts, message=first_line(error))
+    left = after["file_count"]
+    return report("SUCCESS", **counts, files_after=left, reduction=before["file_count"] - left, message="clustered")
+
+
+def write_interleaved(
+    df: DataFrame,
+    location: str,
+    files: int,
+    columns: tuple[str, ...] = CLUSTER_KEYS,
+    partition_by: tuple[str, ...] = (),
+    fmt: str = "parquet",
+) -> None:
+    """Write about ``files`` files, each of which holds a small range of every one of ``columns``.
+
+    Partition columns come first.  A row number within the scan extends the key, so that rows
+    alike in all columns spread over several files.
+    """
+    keyed = df.withColumns({"_key": interleaved_key(df, columns), "_row": F.monotonically_increasing_id()})
+    ordered = keyed.repartitionByRange(files, *partition_by, "_key", "_row")
+    writer = ordered.sortWithinPartitions(*partition_by, "_key").drop("_key", "_row").write.format(fmt)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(location)
 
 
 def first_line(error: BaseException) -> str:

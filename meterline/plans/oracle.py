@@ -14,6 +14,7 @@ from meterline.layout import (
     REQUIRED_ZONE_COLUMNS,
     TABLES,
 )
+from meterline.operators import forecast
 from meterline.plans import queries as q
 
 CENTS, MICROS = 100, 1_000_000
@@ -447,6 +448,28 @@ def _refreshed_borough() -> str:
     return CTES["borough"].replace("FROM silver", f"FROM {corrected}")
 
 
+def _quoted(names: tuple[str, ...]) -> str:
+    return ", ".join(f"'{name}'" for name in names)
+
+
+_SLICED_DATES = "pickup_date BETWEEN DATE '{}' AND DATE '{}'".format(*q.SLICE_DATES)
+_SLICED_HOURS = "pickup_hour BETWEEN {} AND {}".format(*q.SLICE_HOURS)
+_SPEED = half_up(mean("avg_speed_mph", CENTS), 2)
+
+
+def _changed_days() -> str:
+    """Rows of the month that differ: changed ones are missing and surplus, lost ones only missing."""
+    return f"""
+        SELECT pickup_date, CAST(count(*) AS BIGINT) AS expected_rows,
+               CAST(count(*) - count(*) FILTER (lost) AS BIGINT) AS actual_rows,
+               CAST(count(*) FILTER (changed OR lost) AS BIGINT) AS missing,
+               CAST(count(*) FILTER (changed) AS BIGINT) AS surplus
+        FROM (SELECT pickup_date, PULocationID = {q.CHANGED_ZONE} AS changed,
+                     PULocationID = {q.LOST_ZONE} AND dayofweek(pickup_date) = 1 AS lost
+              FROM silver WHERE strftime(pickup_date, '%Y-%m') = '{q.CORRECTED_MONTH}')
+        GROUP BY pickup_date HAVING count(*) FILTER (changed OR lost) > 0"""
+
+
 _UNION_BY_NAME = f"""
     SELECT trip_key, trip_line, trip_distance,
            CASE WHEN early THEN passenger_count ELSE CAST(CAST(passenger_count AS BIGINT) AS DOUBLE) END AS passenger_count,
@@ -585,6 +608,24 @@ QUERIES = {
         FROM top_volume WHERE rank_by_volume <= 20""",
     "mart_sliced_hourly": _sliced_hourly(),
     "partition_refresh": _refreshed_borough(),
+    "cube_hours": f"""
+        SELECT pickup_hour, count(*) AS total_trips, {_FARE} AS avg_fare, {_DISTANCE} AS avg_distance, {_SPEED} AS avg_speed
+        FROM silver WHERE dayname(pickup_date) IN ({_quoted(q.SLICE_WEEKDAYS)})
+                      AND PU_Borough IN ({_quoted(q.SLICE_BOROUGHS)}) GROUP BY pickup_hour""",
+    "cube_boroughs": f"""
+        SELECT PU_Borough, count(*) AS total_trips, {money('total_amount')} AS total_revenue, {_FARE} AS avg_fare,
+               {_DISTANCE} AS avg_distance
+        FROM silver WHERE {_SLICED_DATES} AND {_SLICED_HOURS} GROUP BY PU_Borough""",
+    "cube_weekdays": f"""
+        SELECT * EXCLUDE (pickup_date, _layer), pickup_date AS day_of_week FROM ({CTES["daily"].replace(
+            "FROM features GROUP BY pickup_date",
+            f"FROM (SELECT * REPLACE ({DAY_OF_WEEK.format('pickup_date')} AS pickup_date) FROM features "
+            f"WHERE {_SLICED_HOURS}) GROUP BY pickup_date")})""",
+    "dq_changed_days": _changed_days(),
+    "dq_layers_agree": "SELECT pickup_date, 0::BIGINT AS expected_rows, 0::BIGINT AS actual_rows, "
+    "0::BIGINT AS missing, 0::BIGINT AS surplus FROM silver WHERE false",
+    "interleaved_layout": "SELECT PULocationID AS zone, count(*) AS trips, true AS most_files_skipped, true AS days_skip_too "
+    "FROM silver GROUP BY PULocationID",
 }
 
 
@@ -623,5 +664,110 @@ QUERIES |= {
 }
 
 
+def _type_drift() -> str:
+    """(column, type and spelling in each of the three sources, common type)."""
+    columns = {
+        "trip_key": (("bigint", "bigint", "bigint"), "bigint", ()),
+        "trip_distance": (("float", "double", "double"), "double", ()),
+        "passenger_count": (("int", "bigint", "double"), "double", (2,)),
+        "vendor": ((None, "string", "int"), "string", ()),
+        "tip_amount": ((None, None, "double"), "double", ()),
+    }
+    stored_in = {"vendor": "trip_line"}
+    rows = []
+    for name, (kinds, common, respelled) in columns.items():
+        for number, kind in enumerate(kinds, 1):
+            low, high = q.DRIFT_YEARS[number - 1 : number + 1]
+            own = None if kind is None else "Passenger_Count" if number in respelled else name
+            change = "absent" if kind is None else "widened" if kind != common else "same"
+            counted = "count(*) * 0" if kind is None else f"count({stored_in.get(name, name)})"
+            shown = [f"'{x}'" if x else "CAST(NULL AS VARCHAR)" for x in (own, kind)]
+            rows.append(
+                f"SELECT 'yellow_tripdata_2023-0{number}.parquet' AS source, '{name}' AS column_name, {shown[0]} AS source_column, "
+                f"{shown[1]} AS source_type, '{common}' AS common_type, '{change}' AS change, "
+                f"CAST({counted} AS BIGINT) AS filled_rows "
+                f"FROM lens WHERE year(tpep_pickup_datetime) BETWEEN {low} AND {high - 1}"
+            )
+    return " UNION ALL ".join(rows)
+
+
+def _seasonal_forecast() -> str:
+    """The fold over the days as a recursion, for all weights at once, then for the best."""
+
+    def listed(numbers: tuple[float, ...]) -> str:
+        return f"(SELECT unnest([{', '.join(map(str, numbers))}]::DOUBLE[]) AS {{}})"
+
+    def fold(name: str, weights: str, level: str, end: str) -> str:
+        place = "CAST(s.day % 7 AS BIGINT) + 1"
+        return f"""
+        {name} AS (
+          SELECT a, b, c, first AS day, level, 0::DOUBLE AS trend, season, 0::DOUBLE AS errors
+          FROM {weights}, {level}, span
+          UNION ALL
+          SELECT a, b, c, day + 1, level + trend + a * e, trend + b * e,
+                 list_transform(season, lambda x, i: CASE WHEN i = place THEN x + c * e ELSE x END), errors + e * e
+          FROM (SELECT s.*, {place} AS place, coalesce(y.value - (s.level + s.trend + s.season[{place}]), 0) AS e
+                FROM {name} s JOIN series y ON y.day = s.day, span WHERE s.day < {end}) t
+        )"""
+
+    def start(name: str, until: str) -> str:
+        return f"""
+        {name} AS (
+          SELECT any_value(l.level) AS level, list(coalesce(w.mean - l.level, 0) ORDER BY p) AS season
+          FROM (SELECT unnest(range(7)) AS p) LEFT JOIN (
+            SELECT day % 7 AS p, avg(value) AS mean FROM series, span
+            WHERE day < least(first + 28, {until}) GROUP BY 1) w USING (p),
+          (SELECT coalesce(avg(value), 0) AS level FROM series, span WHERE day < least(first + 28, {until})) l
+        )"""
+
+    ahead = "level + trend * {0} + season[CAST((day + {0} - 1) % 7 AS BIGINT) + 1]"
+    value = ahead.format("days_ahead")
+    return f"""
+        WITH RECURSIVE span AS (
+          SELECT min(d) AS first, max(d) AS last, greatest(max(d) + 1 - {forecast.HELD_OUT}, min(d) + 1) AS train_end
+          FROM (SELECT {_UNIX_DAY.format('pickup_date')} AS d FROM daily)
+        ), series AS (
+          SELECT day, value FROM (SELECT unnest(range(first, last + 1)) AS day FROM span)
+          LEFT JOIN (SELECT {_UNIX_DAY.format('pickup_date')} AS day, CAST(total_trips AS DOUBLE) AS value FROM daily) USING (day)
+        ), grid AS (
+          SELECT a, b, c FROM {listed(forecast.LEVELS).format('a')}, {listed(forecast.TRENDS).format('b')}, {listed(forecast.SEASONS).format('c')}
+        ), {start('train_start', 'train_end')}, {start('full_start', 'last + 1')},
+        {fold('tried', 'grid', 'train_start', 'span.train_end')},
+        best AS (
+          SELECT t.* FROM tried t, span WHERE t.day = train_end ORDER BY errors, a, b, c LIMIT 1
+        ), missed AS (
+          SELECT sqrt(avg(error * error)) AS rmse
+          FROM (SELECT value - (level + trend * (y.day - b.day + 1) + season[CAST(y.day % 7 AS BIGINT) + 1]) AS error
+                FROM best b JOIN series y ON y.day >= b.day)
+        ), {fold('fitted', '(SELECT a, b, c FROM best)', 'full_start', 'span.last + 1')}
+        SELECT CAST(DATE '1970-01-01' + CAST(day - 1 + days_ahead AS INTEGER) AS DATE) AS forecast_date,
+               CAST(days_ahead AS INTEGER) AS days_ahead, {half_up(value, 2)} AS forecast_trips,
+               {half_up(f'{value} - {forecast.BOUND} * rmse', 2)} AS lower_trips,
+               {half_up(f'{value} + {forecast.BOUND} * rmse', 2)} AS upper_trips
+        FROM (SELECT * FROM fitted, span WHERE day = last + 1), missed,
+             (SELECT unnest(generate_series(1, {forecast.FORECAST_DAYS})) AS days_ahead)"""
+
+
+def _corrected(sql: str) -> str:
+    """A query over trips whose fares of one month are higher by one."""
+    fare = f"CASE WHEN strftime(tpep_pickup_datetime, '%Y-%m') = '{q.CORRECTED_MONTH}' THEN fare_amount + 1 ELSE fare_amount END"
+    return _with_ctes(sql).replace("FROM lens", f"FROM (SELECT * REPLACE ({fare} AS fare_amount) FROM lens)")
+
+
+# Tables after a refresh are those of a full run over the corrected trips.
+_REFRESHED = {"refreshed_daily": "daily", "refreshed_routes": "routes", "refreshed_monthly": "monthly"}
+
+
+def _with_daily(sql: str) -> str:
+    """A query that has expressions of its own, after those that make the daily table."""
+    return f"WITH RECURSIVE {_with_ctes('SELECT * FROM daily')[5:].rpartition('SELECT * FROM daily')[0]}, {sql.strip()[15:]}"
+
+
+QUERIES["bronze_type_drift"] = _type_drift()
+
+
 def oracle_queries() -> dict[str, str]:
-    return {name: _with_ctes(sql) for name, sql in QUERIES.items()}
+    refreshed = {name: _corrected(f"SELECT * FROM {table}") for name, table in _REFRESHED.items()}
+    return {name: _with_ctes(sql) for name, sql in QUERIES.items()} | refreshed | {
+        "mart_seasonal_forecast": _with_daily(_seasonal_forecast())
+    }

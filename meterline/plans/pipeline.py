@@ -3,22 +3,38 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache, reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.functions.calendar import year_month
 from meterline.layout import BRONZE_STAMPS, LAYERS, REQUIRED_TRIP_COLUMNS, REQUIRED_ZONE_COLUMNS, TABLES
-from meterline.operators import kpis, quality, rollups, routes, verification
-from meterline.operators.cleaning import clean_trips, filter_audit, typed_trips
+from meterline.operators import cube, kpis, quality, rollups, routes, verification
+from meterline.operators.cleaning import audit_of, clean_trips, filter_audit, rejection_mask, typed_trips
 from meterline.operators.enrichment import checked_zones, silver_trips
 from meterline.operators.features import trip_features
 from meterline.plans.maintenance import RETENTION_HOURS, first_line, maintain
+from meterline.sources.arrivals import ingest_arrivals, listed_sources, pending_months, set_pending
 from meterline.sources.exports import export_csv
 from meterline.sources.files import Storage
 from meterline.sources.inventory import expired_files, table_inventory
-from meterline.sources.lake import Lake, WriteResult, refresh_partitions
+from meterline.sources.lake import (
+    FILE_FORMATS,
+    Lake,
+    ReadBackError,
+    WriteResult,
+    put_in_place,
+    replace_folders,
+    try_read_table,
+    write_table,
+)
 from meterline.sources.trips import MONTHLY_PATTERN, find_monthly_files, ingest_trips, ingest_zones, other_files
 
 LEDGER_SCHEMA = (
@@ -36,6 +52,23 @@ ADVISORY = ("quality", "maintenance")
 class QualityError(RuntimeError):
     """Quality checks failed in a run that asks for them to pass."""
 
+# Stages whose outputs a stage reads.
+DEPENDS = {
+    "bronze": (),
+    "silver": ("bronze",),
+    "quality": ("silver",),
+    "gold": ("silver",),
+    "analytics": ("gold",),
+    "maintenance": ("bronze", "silver", "gold", "analytics"),
+}
+# Stored sums, one folder per month, that the gold tables are merged from.
+MONTHLY_SUMS = {"trip_sums": rollups.monthly_trip_sums, "route_sums": rollups.monthly_route_sums}
+# Gold tables with a folder per day.
+BY_DAY = {
+    "gold.trips_hourly_metrics": rollups.hourly_metrics,
+    "gold.trips_borough_metrics": rollups.borough_metrics,
+}
+
 # Order of the rows in each export (a minus sign means descending); every export is
 # bounded by the calendar, the boroughs or a top-k.
 EXPORT_ORDER = {
@@ -59,6 +92,8 @@ class Pipeline:
     """One batch run.  ``trips`` and ``zones`` are raw; ``lake`` receives the layers.
 
     With ``fail_on_error`` a failed quality check stops the run after its results are stored.
+    ``cluster`` names tables that maintenance lays out along some of their columns.
+    ``source_version`` tells one state of the raw data from another.
     """
 
     spark: SparkSession
@@ -67,6 +102,8 @@ class Pipeline:
     zones: DataFrame
     export_root: str | None = None
     fail_on_error: bool = False
+    cluster: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    source_version: str | None = None
     ledger: list[tuple] = field(default_factory=list)
 
     # stages ----------------------------------------------------------------
@@ -78,16 +115,55 @@ class Pipeline:
         ]
 
     def silver(self) -> list[WriteResult]:
+        """Cleaned trips, and the audit of what was filtered out, from one scan of bronze.
+
+        Rejected trips go through the same write, into folders by the rules they break, and the
+        audit counts what was written: files that a failed task leaves behind are not committed,
+        where counters in the plan would count a repeated task again.
+        """
         typed = typed_trips(self.lake.read(self.spark, "bronze.trips"))
-        written = self.lake.write(self._cleaned(typed), "silver.trips_cleaned")
-        # a pass of its own: counters observed before the rebalancing shuffle would
-        # count rows again when a lost executor forces map tasks to rerun
-        self._save(filter_audit(typed), "filter_audit")
-        return [written]
+        if self.lake.fmt not in FILE_FORMATS:
+            written = self.lake.write(self._cleaned(typed), "silver.trips_cleaned")
+            self._save(filter_audit(typed), "filter_audit")
+            return [written]
+        marked = typed.withColumn("_rejected", rejection_mask())
+        dated = F.when(F.col("_rejected") == 0, F.col("pickup_date"))
+        rows = self._enriched(marked).withColumn("pickup_date", dated)
+        location, rejected = self.lake.location("silver.trips_cleaned"), self.lake.side_table("rejected_trips")
+        staged = f"{location}__new_{time.time_ns()}"
+        storage = Storage(self.spark)
+        try:
+            written = write_table(rows, staged, ("_rejected", "pickup_date"), self.lake.fmt)
+            if not storage.exists(f"{staged}/_rejected=0"):  # no trip was accepted
+                empty = rows.drop("_rejected").limit(0).coalesce(1)
+                empty.write.format(self.lake.fmt).save(f"{staged}/_rejected=0")
+            put_in_place(self.spark, f"{staged}/_rejected=0", location)
+            put_in_place(self.spark, staged, rejected)
+        except Exception:
+            storage.delete(staged)
+            raise
+        kept = self.lake.read(self.spark, "silver.trips_cleaned").count()
+        masks = self.spark.createDataFrame([(0, kept)], "rejected int, n long")
+        if storage.has_data(rejected):
+            refused = self.rejected_trips().groupBy(F.col("_rejected").alias("rejected")).agg(F.count("*").alias("n"))
+            masks = masks.unionByName(refused)
+        self._save(audit_of(masks), "filter_audit")
+        audit = self.spark.read.parquet(self.lake.side_table("filter_audit")).first()
+        if audit["rows_before"] != written.rows:
+            raise ReadBackError(f"silver.trips_cleaned: {written.rows} rows written, {audit['rows_before']} read back")
+        return [WriteResult(kept, written.seconds)]
+
+    def rejected_trips(self) -> DataFrame:
+        """Trips that the last silver stage filtered out, with the mask of the rules they break."""
+        rejected = self.spark.read.format(self.lake.fmt).load(self.lake.side_table("rejected_trips"))
+        return rejected.withColumn("_rejected", F.col("_rejected").cast("int"))
 
     def _cleaned(self, typed: DataFrame) -> DataFrame:
+        return self._enriched(clean_trips(typed))
+
+    def _enriched(self, trips: DataFrame) -> DataFrame:
         zones = checked_zones(self.lake.read(self.spark, "bronze.taxi_zone_lookup"))
-        return silver_trips(trip_features(clean_trips(typed)), zones)
+        return silver_trips(trip_features(trips), zones)
 
     def quality(self) -> list[WriteResult]:
         """Checks and statistics from one pass over silver, the boroughs from another."""
@@ -112,22 +188,28 @@ class Pipeline:
         return []
 
     def gold(self) -> list[WriteResult]:
-        """Two passes over silver: one for the merged tables, one for the routes."""
+        """Two passes over silver, for the sums by day and by route; the tables are merged from them."""
         silver = self.lake.read(self.spark, "silver.trips_cleaned")
-        self._save(rollups.trip_sums(silver), "trip_sums")
-        sums = self.spark.read.parquet(self.lake.side_table("trip_sums"))
+        for name, build in MONTHLY_SUMS.items():
+            write_table(build(silver), self.lake.side_table(name), ("month",))
+        self._store_cube()
+        trips = self._sums("trip_sums")
         return [
-            *[
-                self.lake.write(build(sums, merged=True), key)
-                for key, build in (
-                    ("gold.trips_daily_metrics", rollups.daily_metrics),
-                    ("gold.trips_hourly_metrics", rollups.hourly_metrics),
-                    ("gold.trips_borough_metrics", rollups.borough_metrics),
-                )
-            ],
-            self.lake.write(rollups.route_metrics(silver), "gold.trips_popular_routes"),
+            self.lake.write(rollups.daily_metrics(trips, merged=True), "gold.trips_daily_metrics"),
+            *[self.lake.write(build(trips, merged=True), key) for key, build in BY_DAY.items()],
+            self.lake.write(rollups.route_metrics(self._sums("route_sums"), merged=True), "gold.trips_popular_routes"),
         ]
 
+    def _store_cube(self) -> None:
+        """Sums over sets of dimensions for the slicers, a folder per set, from the sums by day."""
+        write_table(cube.cube_sums(self._sums("trip_sums")), self.lake.side_table("cube"), ("cube_set",), few_per_partition=True)
+
+    def _sums(self, name: str, months: list[str] | None = None) -> DataFrame:
+        """Stored sums, of all months or of some; ``month`` is text also where all look like numbers."""
+        location = self.lake.side_table(name)
+        sums = self.spark.read.parquet(location)
+        return sums.filter(F.col("month").isin(months)) if months else sums
+
     def analytics(self) -> list[WriteResult]:
         results = analytics_results(self.spark, self.lake)
         stored = {
@@ -146,7 +228,7 @@ class Pipeline:
         return written
 
     def maintenance(self) -> list[WriteResult]:
-        self._save(maintain(self.spark, self.lake), "maintenance")
+        self._save(maintain(self.spark, self.lake, cluster=self.cluster), "maintenance")
         self._save(table_inventory(self.spark, self.lake), "lake_tables")
         live = [self.lake.location(key) for key in TABLES]
         cutoff = dt.datetime.now(dt.timezone.utc) - dt.timedelta(hours=RETENTION_HOURS)
@@ -154,41 +236,54 @@ class Pipeline:
         self._save(expired_files(self.spark, folders, live, cutoff, self.lake.fmt), "expired_files")
         return []
 
-    def refresh(self, month: str) -> None:
-        """Recompute one month (yyyy-MM) of silver and of the tables by day; the rest stays.
+    def refresh(self, *months: str) -> None:
+        """Recompute some months (yyyy-MM) from bronze; every other month stays as it is stored.
 
-        Days that the month no longer has are removed.
+        Silver, the sums and the tables by day are replaced for these months alone.  Days, routes
+        and all analytics add up the stored sums of all months, so that they equal a full run.
+        Days that a month no longer has are removed.
         """
-        first, inside = dt.date.fromisoformat(f"{month}-01"), F.date_format("pickup_date", "yyyy-MM") == month
-        typed = typed_trips(self.lake.read(self.spark, "bronze.trips"))
-        self._replace_days(self._cleaned(typed).filter(inside), "silver.trips_cleaned", month)
-        silver = self.lake.read(self.spark, "silver.trips_cleaned").filter(
-            F.col("pickup_date").between(F.lit(first), F.last_day(F.lit(first)))
-        )
-        self._save(rollups.trip_sums(silver), "month_sums")
-        sums = self.spark.read.parquet(self.lake.side_table("month_sums"))
-        self._replace_days(rollups.hourly_metrics(sums, merged=True), "gold.trips_hourly_metrics", month)
-        self._replace_days(rollups.borough_metrics(sums, merged=True), "gold.trips_borough_metrics", month)
-        daily = self.lake.read(self.spark, "gold.trips_daily_metrics")
-        fresh = rollups.daily_metrics(sums, merged=True)
-        self.lake.write(daily.filter(~inside).unionByName(fresh), "gold.trips_daily_metrics")
-
-    def _replace_days(self, df: DataFrame, key: str, month: str) -> None:
-        spec, location = TABLES[key], self.lake.location(key)
-        refresh_partitions(df, location, spec.partition_by, spec.few_per_partition, self.lake.fmt)
-        now = {str(row[0]) for row in df.select("pickup_date").distinct().collect()}
-        storage = Storage(self.spark)
-        for folder in storage.matching(f"{location}/pickup_date={month}-*"):
-            if folder.rpartition("=")[2] not in now:
-                storage.delete(folder)
-        self.spark.catalog.refreshByPath(location)
+        wanted = sorted(set(months))
+        if not wanted:
+            return
+        self._set_done({})  # a later run finds other tables than it wrote
+        typed = typed_trips(self._bronze_of(wanted))
+        inside = year_month("pickup_date").isin(wanted)
+        by_day = [f"{month}-*" for month in wanted]
+        self._replace(self._cleaned(typed).filter(inside), "silver.trips_cleaned", by_day)
+        silver = self.lake.read(self.spark, "silver.trips_cleaned").filter(_days_of(wanted, "pickup_date", "date"))
+        for name, build in MONTHLY_SUMS.items():
+            replace_folders(build(silver), self.lake.side_table(name), "month", wanted)
+        self._store_cube()
+        trips = self._sums("trip_sums", wanted)
+        for key, build in BY_DAY.items():
+            self._replace(build(trips, merged=True), key, by_day)
+        self.lake.write(rollups.daily_metrics(self._sums("trip_sums"), merged=True), "gold.trips_daily_metrics")
+        self.lake.write(rollups.route_metrics(self._sums("route_sums"), merged=True), "gold.trips_popular_routes")
+        self.analytics()
+
+    def _bronze_of(self, months: list[str]) -> DataFrame:
+        """Bronze with a range on the stored pickup time, which the scan skips row groups by."""
+        bronze = self.lake.read(self.spark, "bronze.trips")
+        kind = dict(bronze.dtypes)["tpep_pickup_datetime"]
+        if kind not in ("timestamp", "timestamp_ntz"):
+            return bronze
+        return bronze.filter(_days_of(months, "tpep_pickup_datetime", kind))
+
+    def _replace(self, df: DataFrame, key: str, values: list[str]) -> None:
+        spec = TABLES[key]
+        (column,) = spec.partition_by
+        replace_folders(df, self.lake.location(key), column, values, spec.few_per_partition, self.lake.fmt)
 
     # run -------------------------------------------------------------------
 
-    def run(self) -> DataFrame:
-        """All stages in order; returns one ledger row per stage that ran.
+    def run(self, resume: bool = False) -> DataFrame:
+        """All stages in order; returns one ledger row per stage.
 
-        The ledger is stored also when a stage fails, and the failure is raised.
+        The ledger is stored also when a stage fails, and the failure is raised.  With ``resume``
+        a stage is SKIPPED whose last success had the same fingerprint (code, parameters, the
+        version of the sources, the outputs of earlier stages) and whose tables are there, so a
+        run that failed goes on where it stopped.  Without ``source_version`` bronze always runs.
         """
         self.ledger = []
         try:
@@ -200,12 +295,44 @@ class Pipeline:
                 self.analytics,
                 self.maintenance,
             ):
-                self._record(stage)
+                self._resume(stage) if resume else self._record(stage)
         finally:
             rows = self.spark.createDataFrame(self.ledger, LEDGER_SCHEMA)
             rows.coalesce(1).write.mode("append").parquet(self.lake.side_table("pipeline_jobs"))
         return rows
 
+    def _resume(self, stage: Callable[[], list[WriteResult]]) -> None:
+        name, done = stage.__name__, self._done()
+        fingerprint = self._fingerprint(name, done)
+        storage = Storage(self.spark)
+        tables = [self.lake.location(key) for key, spec in TABLES.items() if spec.layer == name]
+        if name in done and done[name][0] == fingerprint and all(map(storage.has_data, tables)):
+            now = dt.datetime.now(dt.timezone.utc)
+            self.ledger.append((name, "batch", "SKIPPED", now, now, 0.0, 0, 0.0, None))
+            return
+        self._record(stage)
+
+    def _fingerprint(self, name: str, done: dict[str, tuple[str, str]]) -> str:
+        """What the outcome of a stage depends on."""
+        parameters = {
+            "bronze": self.source_version or uuid.uuid4().hex,
+            "quality": str(self.fail_on_error),
+            "analytics": str(self.export_root),
+            "maintenance": str(sorted(self.cluster.items())),
+        }
+        earlier = [done.get(stage, ("", uuid.uuid4().hex))[1] for stage in DEPENDS[name]]
+        return _digest(name, _code_version(), self.lake.fmt, parameters.get(name, ""), *earlier)
+
+    def _done(self) -> dict[str, tuple[str, str]]:
+        """Fingerprint and a name for the output of each stage that ended well, one row per stage."""
+        stored = try_read_table(self.spark, self.lake.side_table("stage_outputs"))
+        return {} if stored is None else {row["stage"]: (row["fingerprint"], row["output"]) for row in stored.collect()}
+
+    def _set_done(self, done: dict[str, tuple[str, str]]) -> None:
+        rows = [(stage, *values) for stage, values in done.items()]
+        frame = self.spark.createDataFrame(rows, "stage string, fingerprint string, output string")
+        write_table(frame.coalesce(1), self.lake.side_table("stage_outputs"))
+
     def _record(self, stage: Callable[[], list[WriteResult]]) -> None:
         name, start = stage.__name__, dt.datetime.now(dt.timezone.utc)
 
@@ -214,6 +341,9 @@ class Pipeline:
             seconds = (end - start).total_seconds()
             self.ledger.append((name, "batch", status, start, end, seconds, rows, rows / max(seconds, 1e-9), error))
 
+        done = self._done()
+        if done.pop(name, None):  # a stage that is cut off has to run again
+            self._set_done(done)
         try:
             written = stage()
         except Exception as error:
@@ -221,12 +351,37 @@ class Pipeline:
             if name not in ADVISORY or isinstance(error, QualityError):
                 raise
             return
+        self._set_done(done | {name: (self._fingerprint(name, done), uuid.uuid4().hex)})
         entry("SUCCESS", sum(result.rows for result in written), None)
 
     def _save(self, df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").parquet(self.lake.side_table(name))
 
 
+def _digest(*parts: str) -> str:
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
+@cache
+def _code_version() -> str:
+    """A digest of the modules that the stages are made of."""
+    package = Path(__file__).resolve().parents[1]
+    modules = [package / name for name in ("layout.py", "session.py")]
+    modules += sorted(p for name in ("functions", "operators", "plans", "sources") for p in (package / name).glob("*.py"))
+    return _digest(*[path.read_text(encoding="utf-8") for path in modules])
+
+
+def _days_of(months: list[str], column: str, kind: str) -> Column:
+    """Whether a date or time lies in one of the months, as ranges that a scan can use."""
+    ranges = []
+    for month in months:
+        first = dt.date.fromisoformat(f"{month}-01")
+        following = (first.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+        start, end = (F.lit(str(day)).cast(kind) for day in (first, following))
+        ranges.append((F.col(column) >= start) & (F.col(column) < end))
+    return reduce(Column.__or__, ranges)
+
+
 def export_order(name: str) -> list[Column]:
     return [
         F.col(key[1:]).desc_nulls_last() if key.startswith("-") else F.col(key).asc_nulls_first()
@@ -271,10 +426,12 @@ def run_from_files(
     fmt: str = "parquet",
     pattern: str = MONTHLY_PATTERN,
     fail_on_error: bool = False,
+    resume: bool = False,
 ) -> DataFrame:
     """The whole run over monthly Parquet files and ``taxi_zone_lookup.csv`` in a folder.
 
-    The registry of sources names what was read, and as inactive what the pattern left out.
+    With ``resume`` stages whose inputs, code and parameters have not changed are skipped.  The
+    registry of sources names what was read, and as inactive what the pattern left out.
     """
     lake, months = Lake(root, fmt), find_monthly_files(spark, raw_folder, pattern)
     lookup = f"{raw_folder}/taxi_zone_lookup.csv"
@@ -283,7 +440,53 @@ def run_from_files(
     registered.append((lookup, "zones", lookup, "csv", "zone lookup", True))
     source_registry(spark, registered).write.mode("overwrite").parquet(lake.side_table("data_sources"))
     trips, zones = ingest_trips(spark, months, run_date), ingest_zones(spark, lookup, run_date)
-    return Pipeline(spark, lake, trips, zones, export_root, fail_on_error).run()
+    version = source_version(spark, [*months, lookup], run_date)
+    return Pipeline(spark, lake, trips, zones, export_root, fail_on_error, source_version=version).run(resume)
+
+
+def source_version(spark: SparkSession, paths: list[str], run_date: dt.date) -> str:
+    """Tells whether any of some sources, or the date stamped on them, has changed."""
+    listed = listed_sources(spark, paths).select("source", "fingerprint").orderBy("source").collect()
+    return _digest(str(run_date), *[part for row in listed for part in row])
+
+
+def update_from_files(
+    spark: SparkSession,
+    raw_folder: str,
+    root: str,
+    run_date: dt.date,
+    export_root: str | None = None,
+    fmt: str = "parquet",
+    pattern: str = MONTHLY_PATTERN,
+) -> list[str]:
+    """Bring a lake up to date with a folder of monthly files; returns the months recomputed.
+
+    Months are read when they are new or have changed, and only the months that their trips fall
+    into are recomputed.  The first run, and one after the zone lookup changed, computes all
+    layers.  A run that was cut off anywhere is finished by the next.
+    """
+    lake, lookup = Lake(root, fmt), f"{raw_folder}/taxi_zone_lookup.csv"
+    job = Pipeline(spark, lake, spark.range(0), ingest_zones(spark, lookup, run_date), export_root)
+    ingest_arrivals(spark, lake, raw_folder, run_date, pattern)
+    months, former = pending_months(spark, lake), lake.find(spark, "bronze.taxi_zone_lookup")
+    changed = former is None or not _same_zones(former, job.zones)
+    if changed or lake.find(spark, "analytics.kpi_global") is None:
+        lake.write(job.zones, "bronze.taxi_zone_lookup")
+        for stage in (job.silver, job.quality, job.gold, job.analytics):
+            stage()
+    else:
+        job.refresh(*months)
+    set_pending(spark, lake, [])
+    return months
+
+
+def _same_zones(former: DataFrame, zones: DataFrame) -> bool:
+    names = [name for name in zones.columns if not name.startswith("_")]
+    if any(name not in former.columns for name in names):
+        return False
+    return former.select(names).exceptAll(zones.select(names)).isEmpty() and zones.select(names).exceptAll(
+        former.select(names)
+    ).isEmpty()
 
 
 def source_registry(spark: SparkSession, sources: list[tuple[str, str, str, str, str, bool]]) -> DataFrame:

@@ -9,21 +9,25 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterline.layout import REQUIRED_TRIP_COLUMNS, TABLES
-from meterline.operators import kpis, marts, quality, rollups, routes, verification
+from meterline.operators import cube, kpis, marts, quality, rollups, routes, verification
 from meterline.operators.cleaning import clean_trips, filter_audit, typed_trips
+from meterline.operators.digests import differing_days
 from meterline.operators.enrichment import checked_zones, silver_trips, tidy_zones
 from meterline.operators.features import trip_features
+from meterline.operators.forecast import seasonal_forecast
 from meterline.operators.stamps import stamp_bronze, without_clock
 from meterline.plans import maintenance
 from meterline.plans.pipeline import Pipeline, analytics_results, stored_tables, verify_bronze
 from meterline.session import pin_session, shared_folder
 from meterline.sources.exports import export_check
+from meterline.sources.files import Storage
 from meterline.sources.inventory import (
     expired_files,
     file_layout,
@@ -34,7 +38,7 @@ from meterline.sources.inventory import (
 )
 from meterline.sources.lake import Lake, refresh_partitions, write_table
 from meterline.sources.lens import trips_from_star, zones_from_star
-from meterline.sources.trips import union_months
+from meterline.sources.trips import find_monthly_files, month_drift, read_months, union_months
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +53,10 @@ CORRECTED_MONTH = "1997-03"
 # Layout trials copy silver into about this many files of at most the target size, and
 # fragment such a copy into this many times the files beforehand.
 COPY_FILES = 4
+DRIFT_YEARS = (1995, 1997, 1999, 2003)
+CLUSTER_FILES = 32
+# Pickup zones whose trips a copy of silver changes and lacks.
+CHANGED_ZONE, LOST_ZONE = 7, 11
 FRAGMENTS = 6
 
 
@@ -108,6 +116,34 @@ def _registered(build: Callable[[Layers], DataFrame]) -> Query:
     return query
 
 
+def _drifting_months(layers: Layers) -> str:
+    """Three sources written from the trips, whose columns differ in type, spelling and number."""
+    folder = f"{shared_folder(layers.spark)}/drift-{time.time_ns()}"
+    trips = layers.raw_trips()
+    for number, (low, high) in enumerate(zip(DRIFT_YEARS, DRIFT_YEARS[1:]), 1):
+        part = trips.filter(F.year("tpep_pickup_datetime").between(low, high - 1))
+        distance, passengers = F.col("trip_distance"), F.col("passenger_count")
+        columns = {
+            1: [distance.cast("float").alias("trip_distance"), passengers.cast("int").alias("passenger_count")],
+            2: [distance, passengers.cast("bigint").alias("Passenger_Count"), F.col("trip_line").cast("string").alias("vendor")],
+            3: [distance, passengers.alias("passenger_count"), F.col("trip_line").alias("vendor"), F.col("tip_amount")],
+        }[number]
+        part.select("trip_key", *columns).write.parquet(f"{folder}/yellow_tripdata_2023-0{number}.parquet")
+    return folder
+
+
+def _type_drift(layers: Layers) -> DataFrame:
+    """Per column and source its type, the common one, and the values that are there after the union."""
+    spark = layers.spark
+    paths = find_monthly_files(spark, _drifting_months(layers))
+    months = read_months(spark, paths)
+    names = [name for name in months.columns if not name.startswith("_")]
+    source = F.regexp_extract("_source_file", "(yellow_tripdata[^/]*)", 1).alias("source")
+    counts = months.groupBy(source).agg(*[F.count(name).alias(name) for name in names])
+    values = counts.unpivot("source", names, "column_name", "filled_rows")
+    return month_drift(spark, paths).join(values, ["source", "column_name"], "left").na.fill(0, ["filled_rows"])
+
+
 def _schema_drift(layers: Layers) -> DataFrame:
     """Two sources whose schemas differ in type, letter case and columns, united by name."""
     trips = layers.raw_trips()
@@ -261,6 +297,96 @@ def _clustered(layers: Layers) -> DataFrame:
     )
 
 
+def _cube(layers: Layers) -> DataFrame:
+    return layers.spark.read.parquet(stored_lake(layers).side_table("cube"))
+
+
+def _cube_hours(layers: Layers) -> DataFrame:
+    """Hours of the day over all dates, for some weekdays and boroughs."""
+    return cube.cube_slice(
+        _cube(layers), (cube.HOUR,), rollups.HOURLY, weekdays=SLICE_WEEKDAYS, boroughs=SLICE_BOROUGHS
+    )
+
+
+def _cube_boroughs(layers: Layers) -> DataFrame:
+    """Boroughs, with trips of none, for some dates and hours."""
+    return cube.cube_slice(_cube(layers), (cube.BOROUGH,), rollups.BOROUGH, dates=SLICE_DATES, hours=SLICE_HOURS)
+
+
+def _cube_weekdays(layers: Layers) -> DataFrame:
+    """Weekdays for some hours, from a set without days."""
+    return cube.cube_slice(_cube(layers), (cube.WEEKDAY,), rollups.DAILY, hours=SLICE_HOURS)
+
+
+def _changed_days(layers: Layers) -> DataFrame:
+    """Days on which a copy of silver differs whose fares of one pickup zone were changed in a month,
+    and that lacks another zone's trips of a weekday."""
+    silver = _stored_table(layers, "silver.trips_cleaned")
+    month = F.date_format("pickup_date", "yyyy-MM") == CORRECTED_MONTH
+    fare = F.when(month & (F.col("PULocationID") == CHANGED_ZONE), F.col("fare_amount") + 0.01).otherwise(F.col("fare_amount"))
+    lost = month & (F.col("PULocationID") == LOST_ZONE) & (F.dayofweek("pickup_date") == 2)
+    copy = silver.withColumn("fare_amount", fare).filter(~lost)
+    return differing_days(silver, copy, [name for name in silver.columns if not name.startswith("_")])
+
+
+def _layers_agree(layers: Layers) -> DataFrame:
+    """Days on which stored silver differs from what bronze gives now: none."""
+    silver = _stored_table(layers, "silver.trips_cleaned")
+    return differing_days(layers.silver(), silver, [name for name in silver.columns if not name.startswith("_")])
+
+
+def _interleaved(layers: Layers) -> DataFrame:
+    """Trips per pickup zone, counted in only those files of a clustered copy that admit the zone,
+    and whether these and the files that admit one day are a minor part."""
+    spark, location, size = layers.spark, _scratch(layers, "interleaved"), _silver_bytes(layers)
+    maintenance.write_interleaved(
+        _stored_table(layers, "silver.trips_cleaned"), f"{location}/{size}-{time.time_ns()}", CLUSTER_FILES
+    )
+    (copy,) = Storage(spark).matching(f"{location}/{size}-*")[-1:]
+    rows = spark.read.parquet(copy).withColumn("_file", F.col("_metadata.file_path"))
+    bounds = rows.groupBy("_file").agg(
+        F.min("PULocationID").alias("least"), F.max("PULocationID").alias("most"),
+        F.min("pickup_date").alias("first"), F.max("pickup_date").alias("last"),
+    )
+    zones = rows.select(F.col("PULocationID").alias("zone")).distinct()
+    admitting = zones.join(bounds, F.col("zone").between(F.col("least"), F.col("most")))
+    found = admitting.join(rows.select("_file", "PULocationID"), "_file").filter("PULocationID = zone")
+    files = admitting.groupBy("zone").agg(F.count("*").alias("files"))
+    days = rows.select("pickup_date").distinct().join(bounds, F.col("pickup_date").between(F.col("first"), F.col("last")))
+    widest = days.groupBy("pickup_date").agg(F.count("*").alias("n")).agg(F.max("n").alias("widest"))
+    return (
+        found.groupBy("zone")
+        .agg(F.count("*").alias("trips"))
+        .join(files, "zone")
+        .select("zone", "trips", (F.col("files") <= CLUSTER_FILES // 2).alias("most_files_skipped"))
+        .withColumn("days_skip_too", F.lit(widest.first()["widest"] <= CLUSTER_FILES // 2))
+    )
+
+
+_refreshed: dict[tuple[str, str], Lake] = {}
+
+
+def _refreshed_lake(layers: Layers) -> Lake:
+    """A lake whose bronze fares of one month were corrected after it was filled, then refreshed for that month."""
+    key = (layers.spark.sparkContext.applicationId, layers.folder)
+    if key not in _refreshed:
+        lake = Lake(f"{_scratch(layers, 'refreshed')}-{time.time_ns()}")
+        source, zones = layers.bronze().withColumn("_source_file", F.lit(layers.folder)), stamp_bronze(layers.raw_zones(), RUN_DATE)
+        job = Pipeline(layers.spark, lake, source, zones)
+        for stage in (job.bronze, job.silver, job.gold):
+            stage()
+        month = F.date_format("tpep_pickup_datetime", "yyyy-MM") == CORRECTED_MONTH
+        fare = F.when(month, F.col("fare_amount") + 1).otherwise(F.col("fare_amount"))
+        lake.write(source.withColumn("fare_amount", fare), "bronze.trips")
+        job.refresh(CORRECTED_MONTH)
+        _refreshed[key] = lake
+    return _refreshed[key]
+
+
+def _refreshed_table(key: str) -> Callable[[Layers], DataFrame]:
+    return lambda layers: _refreshed_lake(layers).read(layers.spark, key)
+
+
 def _partition_refresh(layers: Layers) -> DataFrame:
     """Borough metrics after one month was recomputed from corrected totals."""
     location = _scratch(layers, "refresh")
@@ -279,6 +405,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     # ingestion and silver
     "bronze_trips": Layers.bronze,
     "bronze_union_by_name": _schema_drift,
+    "bronze_type_drift": _type_drift,
     "silver_typed": Layers.typed,
     "silver_filtered": lambda s: clean_trips(s.typed()),
     "silver_filter_audit": lambda s: filter_audit(s.typed()),
@@ -345,6 +472,7 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "mart_revenue_trend": lambda s: marts.revenue_trend(s.monthly()),
     "mart_mom_alerts": lambda s: marts.growth_alerts(s.monthly()),
     "mart_forecast_30d": lambda s: marts.trip_forecast(s.daily()),
+    "mart_seasonal_forecast": lambda s: seasonal_forecast(_stored_table(s, "gold.trips_daily_metrics")),
     "mart_revenue_calendar": lambda s: marts.revenue_calendar(s.daily()),
     "mart_peak_top3": lambda s: marts.peak_hour_flags(kpis.peak_hours(s.hourly())),
     "mart_speed_by_hour": lambda s: marts.speed_by_hour(kpis.hourly_heatmap(s.hourly())),
@@ -359,7 +487,17 @@ _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "compact_table": _compaction,
     "expired_files": _expired,
     "clustered_layout": _clustered,
+    "interleaved_layout": _interleaved,
     "partition_refresh": _partition_refresh,
+    "refreshed_daily": _refreshed_table("gold.trips_daily_metrics"),
+    "refreshed_routes": _refreshed_table("gold.trips_popular_routes"),
+    "refreshed_monthly": _refreshed_table("analytics.kpi_dashboard"),
+    # slicers and reconciliation
+    "cube_hours": _cube_hours,
+    "cube_boroughs": _cube_boroughs,
+    "cube_weekdays": _cube_weekdays,
+    "dq_changed_days": _changed_days,
+    "dq_layers_agree": _layers_agree,
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
 
 
@@ -25,15 +27,24 @@ class Storage:
         fs, path = self._resolve(pattern)
         return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])
 
-    def data_files(self, location: str) -> list[str]:
-        """Files below a path, or the file itself, without hidden ones; sorted by name."""
+    def _visible_files(self, location: str) -> Iterator[str]:
         fs, path = self._resolve(location)
-        found, files = [], fs.listFiles(path, True)
+        files = fs.listFiles(path, True)
         while files.hasNext():
             file = files.next().getPath()
             if not file.getName().startswith(("_", ".")):
-                found.append(file.toString())
-        return sorted(found)
+                yield file.toString()
+
+    def has_data(self, location: str) -> bool:
+        """Whether there is a file below a path; stops at the first that is not hidden."""
+        return next(self._visible_files(location), None) is not None
+
+    def data_files(self, location: str) -> list[str]:
+        """Files below a path, or the file itself, without hidden ones; sorted by name.
+
+        Every file costs the driver some calls: for the parts of a month, not for a table.
+        """
+        return sorted(self._visible_files(location))
 
     def make_folder(self, location: str) -> None:
         fs, path = self._resolve(location)

@@ -55,11 +55,15 @@ def file_layout(spark: SparkSession, location: str, fmt: str = "parquet") -> Dat
 def folder_layout(spark: SparkSession, location: str, target_bytes: int, fmt: str = "parquet") -> DataFrame:
     """Files and bytes per folder of a table, and the files it would need at the target size.
 
-    A file cannot span two partition folders, so the need is counted per folder.
+    A file cannot span two partition folders, so the need is counted per folder.  ``small`` are
+    the files below half the target: any two of them fit into one.
     """
     folder = F.regexp_extract("file_path", "^(.*)/[^/]+$", 1)
     folders = stored_files(spark, location, data_pattern(fmt)).groupBy(folder.alias("folder")).agg(
-        F.count("*").alias("files"), F.sum("size_bytes").alias("bytes"), F.max("modified").alias("modified")
+        F.count("*").alias("files"),
+        F.count_if(F.col("size_bytes") < target_bytes / 2).alias("small"),
+        F.sum("size_bytes").alias("bytes"),
+        F.max("modified").alias("modified"),
     )
     needed = F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(1)).cast("long")
     return folders.withColumn("needed", needed)

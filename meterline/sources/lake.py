@@ -128,7 +128,7 @@ def data_pattern(fmt: str) -> str:
 def try_read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame | None:
     """The table, or None when there is nothing; a table that cannot be read is an error."""
     storage = Storage(spark)
-    if not storage.exists(location) or (fmt in FILE_FORMATS and not storage.data_files(location)):
+    if not storage.exists(location) or (fmt in FILE_FORMATS and not storage.has_data(location)):
         return None
     return spark.read.format(fmt).load(location)
 
@@ -144,6 +144,19 @@ def swap_in(spark: SparkSession, fresh: str, location: str, previous: str) -> No
         raise
 
 
+def put_in_place(spark: SparkSession, fresh: str, location: str) -> None:
+    """Make a folder the table at ``location``, where there may be one already."""
+    storage = Storage(spark)
+    if storage.exists(location):
+        previous = f"{location}__old_{time.time_ns()}"
+        swap_in(spark, fresh, location, previous)
+        storage.delete(previous)
+    else:
+        storage.make_folder(location.rpartition("/")[0])
+        storage.rename(fresh, location)
+    spark.catalog.refreshByPath(location)
+
+
 def refresh_partitions(
     df: DataFrame,
     location: str,
@@ -165,6 +178,47 @@ def refresh_partitions(
     df.sparkSession.catalog.refreshByPath(location)
 
 
+def replace_folders(
+    df: DataFrame,
+    location: str,
+    partition_by: str,
+    replaced: list[str],
+    few_per_partition: bool = False,
+    fmt: str = "parquet",
+) -> WriteResult:
+    """Put the partitions of ``df`` in the place of those whose value matches one of some globs.
+
+    ``df`` is computed once, next to the table.  Then folders change places one by one, and
+    those without new rows go; a run that was cut off can be repeated.  Only for tables of plain
+    files: folders moved by hand would damage a table with a log of its own.
+    """
+    if fmt not in FILE_FORMATS:
+        raise ValueError(f"tables of {fmt} are refreshed by the format's own commands")
+    spark, storage, stamp = df.sparkSession, Storage(df.sparkSession), time.time_ns()
+    fresh, previous = f"{location}__new_{stamp}", f"{location}__old_{stamp}"
+    try:
+        result = write_table(df, fresh, (partition_by,), fmt, few_per_partition=few_per_partition)
+    except Exception:
+        storage.delete(fresh)
+        raise
+
+    def folders(root: str, values: list[str]) -> set[str]:
+        return {path.rpartition("/")[2] for value in values for path in storage.matching(f"{root}/{partition_by}={value}")}
+
+    new, old = folders(fresh, ["*"]), folders(location, replaced)
+    storage.make_folder(location)
+    storage.make_folder(previous)
+    for name in sorted(new | old):
+        if storage.exists(f"{location}/{name}"):
+            storage.rename(f"{location}/{name}", f"{previous}/{name}")
+        if name in new:
+            storage.rename(f"{fresh}/{name}", f"{location}/{name}")
+    storage.delete(fresh)
+    storage.delete(previous)
+    spark.catalog.refreshByPath(location)
+    return result
+
+
 def preview(df: DataFrame, columns: tuple[str, ...], n: int = 5, *order_by: str) -> DataFrame:
     """A few rows of some columns, the first in an order when one is named."""
     return (df.orderBy(*order_by) if order_by else df).limit(n).select(*columns)

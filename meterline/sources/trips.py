@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterline.operators.stamps import stamp_bronze
+from meterline.sources.drift import common_schema, conformed, drift_report
 from meterline.sources.files import Storage
 
 # Fixed value: how the published monthly files are named.
@@ -34,24 +35,26 @@ def other_files(spark: SparkSession, folder: str, pattern: str = MONTHLY_PATTERN
 
 
 def union_months(frames: list[DataFrame]) -> DataFrame:
-    """Union by name: columns a month lacks are null, differing types widen."""
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+    """Union by name: columns a month lacks are null, differing types become the least that holds all."""
+    common = common_schema(frame.schema for frame in frames)
+    return reduce(DataFrame.union, [conformed(frame, common) for frame in frames])
 
 
 def month_schemas(spark: SparkSession, path: str) -> Iterator[tuple[StructType, str]]:
     """The schemas a month is to be read with, and what to read with each.
 
     The footers of all part files are merged, which Spark distributes, so a column that only
-    some parts have is not lost.  Parts whose types conflict cannot be merged; then each part
-    is read with its own schema.
+    some parts have is not lost.  Where that fails, each part is read with its own schema: types
+    that conflict are no error there, and a part that cannot be read still is.
     """
     try:
-        yield spark.read.option("mergeSchema", True).parquet(path).schema, path
-    except (PySparkException, Py4JJavaError) as error:
-        if "MERGE" not in str(error):
+        schemas = [(spark.read.option("mergeSchema", True).parquet(path).schema, path)]
+    except (PySparkException, Py4JJavaError):
+        parts = Storage(spark).data_files(path)
+        if len(parts) < 2:
             raise
-        for file in Storage(spark).data_files(path):
-            yield spark.read.parquet(file).schema, file
+        schemas = [(spark.read.parquet(file).schema, file) for file in parts]
+    yield from schemas
 
 
 def read_months(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -72,6 +75,12 @@ def read_months(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
+def month_drift(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Which columns of which months or parts differ from the type they are united to."""
+    schemas = {part.rpartition("/")[2]: schema for path in paths for schema, part in month_schemas(spark, path)}
+    return drift_report(spark, schemas)
+
+
 def ingest_trips(spark: SparkSession, paths: list[str], run_date: dt.date) -> DataFrame:
     return stamp_bronze(read_months(spark, paths), run_date)
 
