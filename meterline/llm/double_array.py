@@ -117,9 +117,11 @@ def _place(trie: DoubleArray, parents: np.ndarray, symbols: np.ndarray, free_fro
             base, check = np.append(base, np.zeros(more, np.int64)), np.append(check, np.full(more, -1, np.int64))
             taken = np.append(taken, np.zeros(more, bool))
 
-    several, low = np.flatnonzero(counts > 1), free_from
+    several, low, widest = np.flatnonzero(counts > 1), free_from, len(parents)
     for node in several[np.argsort(-counts[several], kind="stable")].tolist():
         children = symbols[first[node] : first[node] + counts[node]]
+        if len(children) <= widest // 2:  # narrower nodes fit into what wider ones have passed over
+            low, widest = free_from, len(children)
         cells, tried = None, _TRIED
         while cells is None:
             tried = max(1, min(tried, _CELLS // len(children)))

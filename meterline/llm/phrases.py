@@ -26,9 +26,9 @@ from meterline.llm.words import U64, Words, find_words, mix
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 NO_LANG = "und"
-# Phrases of one trie, which takes some 30 MB, and tries that are broadcast at once.
-TRIE_PHRASES = 1 << 20
-TRIES_A_PASS = 2
+# Phrases of one trie, which takes some 10 MB, and tries that are broadcast at once.
+TRIE_PHRASES = 1 << 19
+TRIES_A_PASS = 4
 # Most bits of the tables that say which words and pairs are frequent; wrong only by letting more through.
 MOST_BITS = 27
 WINDOW = 4 << 20
@@ -155,16 +155,32 @@ def _distinct(phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return phrases[:, first], counts
 
 
+# Words of 64 bits that make a row of such a table on its way to the driver.
+_CHUNK = 1 << 10
+
+
 def _table_of(numbers: DataFrame, size: int) -> np.ndarray:
-    """A table of bits in which the place of every number is set; the driver gets at most 2^21 rows of it."""
+    """A table of bits in which the place of every number is set, at most 16 MB of them."""
     bits = min(max(size, 1).bit_length() + 5, MOST_BITS)
     place = F.shiftrightunsigned("number", 64 - bits)
     bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(number, {64 - bits}) & 63 AS INT))")
     cells = numbers.groupBy(F.shiftright(place, 6).alias("cell")).agg(F.bit_or(bit).alias("set"))
-    table = np.zeros(1 << (bits - 6), np.int64)
-    found = cells.toPandas()
-    table[found["cell"].to_numpy(np.int64)] = found["set"].to_numpy(np.int64)
-    return table.view(U64)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            cell, value = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for chunk in np.unique(cell // _CHUNK).tolist():
+                mine = cell // _CHUNK == chunk
+                chunks.setdefault(chunk, np.zeros(_CHUNK, np.int64))[cell[mine] % _CHUNK] = value[mine]
+        arrays = [pa.array(list(chunks), pa.int64()), pa.array([x.tobytes() for x in chunks.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["chunk", "bits"])
+
+    dealt = cells.repartition(F.floor(F.col("cell") / _CHUNK)).mapInArrow(packed, "chunk long, bits binary")
+    table = np.zeros(max(1 << (bits - 6), _CHUNK), np.int64)
+    for row in dealt.collect():
+        table[row["chunk"] * _CHUNK : (row["chunk"] + 1) * _CHUNK] |= np.frombuffer(row["bits"], np.int64)
+    return table[: 1 << (bits - 6)].view(U64)
 
 
 def _shown(table: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -277,9 +293,10 @@ def phrase_counts(texts: DataFrame, seed: int, phrases: DataFrame) -> DataFrame:
     stored_tries = stored(tries(phrases, size), "tries")
     shards, counts = max(-(-size // TRIE_PHRASES), 1), None
     for low in range(0, shards, TRIES_A_PASS):
-        arrays = stored_tries.filter("part = 'trie'").filter(F.col("trie").between(low, low + TRIES_A_PASS - 1))
-        rows = arrays.select("trie", "keys", "base", "check").collect()
-        found = stored(_counted(texts, seed, broadcast(spark, [row.asDict() for row in rows])), "counts")
+        arrays = stored_tries.filter("part = 'trie'").select("trie", "keys", "base", "check")
+        # one after another, as the driver holds several copies of what it collects
+        rows = [row.asDict() for i in range(low, low + TRIES_A_PASS) for row in arrays.filter(F.col("trie") == i).collect()]
+        found = stored(_counted(texts, seed, broadcast(spark, rows)), "counts")
         counts = found if counts is None else counts.unionByName(found)
     return _states(stored_tries).join(counts, ["trie", "state"]).select(*_KEYS, "n")
 
