@@ -11,6 +11,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterline.layout import ANALYTICS, TABLES
 from meterline.operators.clustering import interleaved_key
@@ -138,8 +139,8 @@ def _rewrite(
     largest = max(range(len(folders)), key=lambda i: folders[i]["bytes"])
     read = target_bytes
     if folders[largest]["bytes"] > target_bytes:
-        stored_columns = [name for name in schema.names if name not in partition_by]
-        trial = spark.read.format(fmt).schema(schema[stored_columns])
+        stored_columns = StructType([field for field in schema if field.name not in partition_by])
+        trial = spark.read.format(fmt).schema(stored_columns)
         read = int(target_bytes / _shrinkage(trial, paths[largest], f"{fresh}_trial", target_bytes, fmt))
 
     def scan(path: str) -> DataFrame:
