@@ -32,7 +32,7 @@ MISSED = 1e-5
 # Standard errors by which agreeing bits may fall short of what the limit makes expect.
 CODE_ERRORS = 6.0
 _WORDS = [f"s{i}" for i in range(CODE_BITS // 64)]
-_CODED = "class_id long, factors array<float>, " + ", ".join(f"{name} long" for name in _WORDS)
+_CODED = "class_id long, factors array<float>, signs binary, " + ", ".join(f"{name} long" for name in _WORDS)
 
 
 _rotations: dict[int, np.ndarray] = {}
@@ -73,6 +73,11 @@ def estimate(
     return (products / factors).mean(1), BOUND * np.sqrt(spread.mean(1) / factors.shape[1])
 
 
+def _used(dimension: int) -> int:
+    """Rotations that an estimate is made from."""
+    return max(CODE_BITS // dimension, 1)
+
+
 def _coded(classes: DataFrame) -> DataFrame:
     names = [part.split()[0] for part in _CODED.split(", ")]
 
@@ -84,8 +89,11 @@ def _coded(classes: DataFrame) -> DataFrame:
             bits = np.stack([signs[:CODE_BITS] for signs, _ in codes])
             words = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
             factors = pa.array([f.astype(np.float32) for _, f in codes], pa.list_(pa.float32()))
+            # whole rotations, one at least: these are what the estimate is made from
+            whole = [s[: len(s) // len(f) * _used(len(s) // len(f))] for s, f in codes]
+            packed = pa.array([np.packbits(x, bitorder="little").tobytes() for x in whole], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("class_id"), factors, *(pa.array(words[:, i]) for i in range(len(_WORDS)))], names
+                [batch.column("class_id"), factors, packed, *(pa.array(words[:, i]) for i in range(len(_WORDS)))], names
             )
 
     return classes.select("class_id", "embedding").mapInArrow(run, _CODED)
@@ -150,16 +158,13 @@ def _estimated(pairs: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             keep = np.zeros(batch.num_rows, bool)
-            words = np.stack([batch.column(name).to_numpy() for name in _WORDS], axis=1)
-            bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little").astype(bool)
+            packed = batch.column("signs")
             factors = batch.column("factors").to_pylist()
             for rows, other in _same_length(batch.column("embedding")):
                 dimension = other.shape[1]
-                whole = max(CODE_BITS // dimension, 1)  # rotations whose signs are all in the stored words
-                if dimension > CODE_BITS:
-                    keep[rows] = True  # the stored words are part of a rotation only
-                    continue
-                signs = bits[rows][:, : whole * dimension]
+                whole = _used(dimension)
+                stored_signs = np.stack([np.frombuffer(packed[i].as_buffer(), np.uint8) for i in rows.tolist()])
+                signs = np.unpackbits(stored_signs, axis=1, count=whole * dimension, bitorder="little").astype(bool)
                 known = np.array([factors[i][:whole] for i in rows], np.float64)
                 rotated = other @ rotations(dimension)[: whole * dimension].T
                 value, error = estimate(signs, known, rotated, dimension)
@@ -202,7 +207,7 @@ def embedding_links(classes: DataFrame) -> DataFrame:
     largest = codes.groupBy("label", "size").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     pairs = stored(_candidates(codes, largest), "pairs")
     vectors = classes.select("class_id", "embedding")
-    coded = codes.select(F.col("class_id").alias("a"), "factors", *_WORDS)
+    coded = codes.select(F.col("class_id").alias("a"), "factors", "signs")
     aimed = pairs.join(coded, "a").join(vectors.withColumnRenamed("class_id", "b"), "b")
     near = stored(_estimated(aimed), "near")
     both = near.join(vectors.toDF("a", "left"), "a").join(vectors.withColumnRenamed("class_id", "b"), "b")

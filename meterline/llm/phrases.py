@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import broadcast, forget, received, row_slices, stored
+from meterline.llm.common import arrow_batches_of, broadcast, forget, received, row_slices, stored
 from meterline.llm.double_array import DoubleArray, build
 from meterline.llm.words import U64, Words, find_words, mix
 
@@ -31,7 +31,9 @@ TRIE_PHRASES = 1 << 19
 TRIES_A_PASS = 4
 # Most bits of the tables that say which words and pairs are frequent; wrong only by letting more through.
 MOST_BITS = 27
-WINDOW = 4 << 20
+WINDOW = 2 << 20
+# Rows that a Python task gets at once.
+_ROWS = 600
 
 _WORD = np.ones(256, bool)
 _WORD[[*BREAKS, *BLANKS]] = False
@@ -344,9 +346,10 @@ def collocations(docs: DataFrame, least: int = 10, part_percent: int = 50, most:
     no rows, and extra columns are not read.
     """
     texts = _texts_of(docs)
-    words, seed = _distinct_words(texts)
-    phrases = candidates(texts, words, seed, least)
-    counts = stored(phrase_counts(texts, seed, phrases), "counted")
+    with arrow_batches_of(docs.sparkSession, _ROWS):
+        words, seed = _distinct_words(texts)
+        phrases = candidates(texts, words, seed, least)
+        counts = stored(phrase_counts(texts, seed, phrases), "counted")
     one = counts.filter("k2 = 0").select("k1", "n")
     two = counts.filter("k2 != 0 AND k3 = 0 AND n >= %d" % least).select("k1", "k2", "n")
     three = counts.filter("k3 != 0 AND n >= %d" % least).select(*_KEYS, F.col("n").alias("a"))

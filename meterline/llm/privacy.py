@@ -9,7 +9,9 @@ digit or an at sign, so windows without either are outside by definition and are
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -205,7 +207,10 @@ def read_texts(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, in
 
 def all_spans(base: list[tuple[int, int, int]], more: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Base spans and those of the tagger that overlap none of them, by start and kind."""
-    apart = [s for s in more if all(s[2] <= b[0] or b[2] <= s[0] for b in base)] if base else more
+    ordered = sorted(base)
+    starts, ends = [b[0] for b in ordered], [0, *accumulate((b[2] for b in ordered), max)]
+    # of the base spans that start before the end of a span, the one that ends last may reach into it
+    apart = [s for s in more if ends[bisect_left(starts, s[2])] <= s[0]]
     return sorted([*base, *apart])
 
 

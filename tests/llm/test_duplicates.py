@@ -182,6 +182,33 @@ def test_estimates_are_unbiased_and_bounded():
     assert abs(off.mean()) < 0.01 and (np.abs(off) <= error).all()
 
 
+@pytest.mark.parametrize("dimension", [3, 256, 384, 1024])
+def test_long_vectors_are_sorted_out_by_their_codes(spark, monkeypatch, dimension):
+    """Few of the pairs below the limit are computed exactly, and no pair at the limit is lost."""
+    draw = np.random.default_rng(dimension)
+    rows = []
+    for _ in range(12):
+        centre = draw.normal(size=dimension)
+        for _ in range(6):  # cosines from about 0.7 to 1
+            rows.append((len(rows), (centre + draw.normal(size=dimension) * draw.choice([0.05, 0.25, 0.65])).tolist(), 1))
+    exact, seen = embeddings._exact, []
+
+    def counted(pairs):
+        seen.append(pairs.count())
+        return exact(pairs)
+
+    monkeypatch.setattr(embeddings, "_exact", counted)
+    got = embeddings.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    units = np.array([r[1] for r in rows]) / np.linalg.norm([r[1] for r in rows], axis=1)[:, None]
+    cosines = np.triu(units @ units.T, 1)
+    links = [tuple(map(int, x)) for x in np.argwhere(cosines >= embeddings.LIMIT)]
+    assert {r["vec_id"]: r["component_id"] for r in got} == roots_of(range(len(rows)), links)
+    assert len(links) <= sum(seen)
+    if dimension > 256:
+        close = int((cosines >= 0.6).sum())
+        assert sum(seen) <= len(links) + 0.25 * (close - len(links))
+
+
 def shard_rows(spark, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "9 as shard")
     return sharding.shard_report(docs, 16).collect(), docs

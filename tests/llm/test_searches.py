@@ -227,3 +227,17 @@ def test_slopes_of_the_tagger_equal_differences():
             losses.append(tagger.loss_and_slopes(rows, tags)[0])
         weight[at] = kept
         assert slopes[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-5, abs=1e-6)
+
+
+def test_added_spans_overlap_no_base_span():
+    draw = random.Random(8)
+
+    def spans(count):
+        return [(at, draw.randrange(4), at + draw.randint(1, 9)) for at in draw.sample(range(300), count)]
+
+    for count in (0, 1, 5, 60):
+        base, more = spans(count), spans(40)
+        apart = [s for s in more if all(s[2] <= b[0] or b[2] <= s[0] for b in base)]
+        assert privacy.all_spans(base, more) == sorted(base + apart)
+    many = [(i, 0, i + 1) for i in range(0, 400_000, 2)]
+    assert len(privacy.all_spans(many, [(i + 1, 1, i + 2) for i, _, _ in many])) == 400_000
