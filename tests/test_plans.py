@@ -91,7 +91,9 @@ def test_windows_see_one_row_per_day(layers):
 
 
 @pytest.mark.parametrize(
-    "name", ["mart_daily_with_month", "mart_daily_hourly", "mart_routes_with_borough", "mart_sliced_hourly"]
+    "name",
+    ["mart_daily_with_month", "mart_daily_hourly", "mart_routes_with_borough", "mart_sliced_hourly", "mart_seasonal_forecast"]
+    + ["cube_hours", "cube_boroughs", "cube_weekdays"],
 )
 def test_marts_scan_no_fact_table(spark, name):
     text = plan(all_queries()[name](spark, FOLDER), "formatted")
@@ -108,3 +110,9 @@ def test_checks_and_statistics_share_a_pass(spark, layers):
     assert plan(measures).count("Scan parquet") == plan(quality.run_checks(layers.silver())).count("Scan parquet")
     assert quality.checks_of(measures).collect() == quality.run_checks(layers.silver()).collect()
     assert quality.statistics_of(measures).collect() == quality.trip_statistics(layers.silver()).collect()
+
+
+@pytest.mark.parametrize("name", ["cube_hours", "cube_boroughs", "cube_weekdays"])
+def test_slices_of_the_cube_scan_one_set(spark, name):
+    text = plan(all_queries()[name](spark, FOLDER), "formatted")
+    assert "trips_cleaned" not in text and "cube_set" in text.split("PartitionFilters: [")[1].split("]")[0]
