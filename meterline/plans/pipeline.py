@@ -206,8 +206,9 @@ class Pipeline:
 
     def _sums(self, name: str, months: list[str] | None = None) -> DataFrame:
         """Stored sums, of all months or of some; ``month`` is text also where all look like numbers."""
-        location = self.lake.side_table(name)
-        sums = self.spark.read.parquet(location)
+        silver = self.lake.read(self.spark, "silver.trips_cleaned")
+        schema = getattr(rollups, f"monthly_{name}")(silver).schema  # there may be no file to tell it
+        sums = self.spark.read.schema(schema).parquet(self.lake.side_table(name))
         return sums.filter(F.col("month").isin(months)) if months else sums
 
     def analytics(self) -> list[WriteResult]:
