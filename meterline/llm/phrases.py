@@ -28,7 +28,7 @@ BLANKS = b" \t"
 NO_LANG = "und"
 # Phrases of one trie, which takes some 10 MB, and tries that are broadcast at once.
 TRIE_PHRASES = 1 << 19
-TRIES_A_PASS = 4
+TRIES_A_PASS = 2
 # Most bits of the tables that say which words and pairs are frequent; wrong only by letting more through.
 MOST_BITS = 27
 WINDOW = 2 << 20
