@@ -90,8 +90,10 @@ def test_near_duplicates_equal_all_pairs(spark, families, width):
 def test_every_branch_has_coordinates_of_its_own(spark):
     branches = near_duplicates.TREES * near_duplicates.ROOT_BRANCHES
     width = near_duplicates.INNER_COORDINATES
-    roots = [(i, 9, [int(i == j) for j in range(branches)], 0, 0, 0, 0) for i in range(branches)]
-    classes = spark.createDataFrame(roots, "class_id long, n_shingles long, signature array<int>, s0 long, s1 long, s2 long, s3 long")
+    sketch = near_duplicates._SKETCH
+    roots = [(i, 9, [int(i == j) for j in range(branches)], *[0] * len(sketch)) for i in range(branches)]
+    kinds = "class_id long, n_shingles long, signature array<int>, " + ", ".join(f"{name} long" for name in sketch)
+    classes = spark.createDataFrame(roots, kinds)
     paths = {}
     for row in near_duplicates._root_members(classes).collect():
         paths.setdefault(row["branch"], {})[row["class_id"]] = row["path"]
