@@ -30,7 +30,7 @@ HELD_OUT = 1
 # Runs and words each that the broadcast tables hold at most.
 MOST_BROADCAST = 1 << 20
 # Bytes of text whose runs are counted at once before they are handed to the shuffle.
-COUNTED_BYTES = 4 << 20
+COUNTED_BYTES = 2 << 20
 
 # Symbols take nine bits: 0 stands before the text, 1 to 256 are bytes, 257 ends the text.
 _BITS = 9
@@ -62,7 +62,7 @@ def packed_runs(column: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.nd
     inside = np.ones(len(symbols), bool)
     for back in range(1, order + 1):
         inside[first - back] = False
-    return runs[inside], np.append(0, np.cumsum(lengths + 1))
+    return runs[inside], np.append(0, np.cumsum(lengths + 1))  # a copy, which may be overwritten
 
 
 class KeyTable:
@@ -102,6 +102,21 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % HELD_OUT_OF == HELD_OUT
 
 
+def tallied(runs: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different runs, how often each occurs in training texts, and in all; overwrites ``runs``.
+
+    The mark of a training text is carried in the lowest bit, so one sort in place is all.
+    """
+    runs <<= 1
+    runs |= train
+    runs.sort()
+    starts = np.flatnonzero((runs[1:] ^ runs[:-1]) > 1) + 1
+    starts = np.append(0, starts) if len(runs) else starts
+    uses = np.diff(np.append(starts, len(runs)))
+    n = np.add.reduceat(runs & 1, starts) if len(runs) else uses
+    return runs[starts] >> 1, n, uses
+
+
 def _counted(docs: DataFrame, order: int) -> DataFrame:
     """(kind, key, n, uses): occurrences in training texts and in all texts.
 
@@ -110,11 +125,8 @@ def _counted(docs: DataFrame, order: int) -> DataFrame:
     """
     names = ["kind", "key", "n", "uses"]
 
-    def rows(kind: int, keys: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
-        unique, inverse = np.unique(keys, return_inverse=True)
-        uses = np.bincount(inverse, minlength=len(unique))
-        n = uses if train.all() else np.bincount(inverse[train], minlength=len(unique))
-        arrays = [np.full(len(unique), kind, np.int32), unique, n.astype(np.int64), uses.astype(np.int64)]
+    def rows(kind: int, keys: np.ndarray, n: np.ndarray, uses: np.ndarray) -> pa.RecordBatch:
+        arrays = [np.full(len(keys), kind, np.int32), keys, n.astype(np.int64), uses.astype(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,12 +134,14 @@ def _counted(docs: DataFrame, order: int) -> DataFrame:
             for piece in row_slices(batch, "text", COUNTED_BYTES):
                 texts, train = piece.column("text"), piece.column("train").to_numpy(zero_copy_only=False)
                 runs, first = packed_runs(texts, order)
-                yield rows(_RUN, runs, np.repeat(train, np.diff(first)))
+                yield rows(_RUN, *tallied(runs, np.repeat(train, np.diff(first))))
+                del runs
                 words = find_words(texts, SPACED)
                 hashes = words.hashes().view(np.int64)[np.repeat(train, words.counts)]
                 tokens = np.append(hashes, np.full(int(train.sum()), _END_TOKEN, np.int64))
                 if len(tokens):
-                    yield rows(_WORD, tokens, np.ones(len(tokens), bool))
+                    different, uses = np.unique(tokens, return_counts=True)
+                    yield rows(_WORD, different, uses, uses)
 
     parts = docs.select("text", (~held_out(F.col("doc_id"))).alias("train"))
     counted = parts.mapInArrow(run, "kind int, key long, n long, uses long")

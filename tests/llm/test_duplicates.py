@@ -1,6 +1,7 @@
 """Near-duplicate documents and vectors, components and shards against brute force."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -335,6 +336,20 @@ def brute_force_model(texts, order):
     return score
 
 
+def test_runs_are_tallied_within_little_memory():
+    draw = np.random.default_rng(3)
+    runs, train = draw.integers(0, 1 << 20, 1 << 20) << 34, draw.random(1 << 20) < 0.8
+    keys, which, uses = np.unique(runs, return_inverse=True, return_counts=True)
+    wanted = keys, np.bincount(which[train], minlength=len(keys)), uses
+    tracemalloc.start()
+    got = language_model.tallied(runs, train)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(map(np.array_equal, got, wanted))
+    assert peak < 5 * train.size * 8  # np.unique with the places of all runs takes more
+    assert all(len(part) == 0 for part in language_model.tallied(runs[:0], train[:0]))
+
+
 @pytest.mark.parametrize("most", [language_model.MOST_BROADCAST, 4])
 def test_language_model_equals_brute_force(spark, most):
     draw = random.Random(8)
