@@ -30,6 +30,7 @@ from meterline.sources.lake import (
     Lake,
     ReadBackError,
     WriteResult,
+    clustered,
     put_in_place,
     replace_folders,
     try_read_table,
@@ -119,21 +120,23 @@ class Pipeline:
 
         Rejected trips go through the same write, into folders by the rules they break, and the
         audit counts what was written: files that a failed task leaves behind are not committed,
-        where counters in the plan would count a repeated task again.
+        where counters in the plan would count a repeated task again.  Trips are brought together by
+        day before derived columns and zone names make their rows several times as wide.
         """
         typed = typed_trips(self.lake.read(self.spark, "bronze.trips"))
         if self.lake.fmt not in FILE_FORMATS:
             written = self.lake.write(self._cleaned(typed), "silver.trips_cleaned")
             self._save(filter_audit(typed), "filter_audit")
             return [written]
+        folders = ("_rejected", "pickup_date")
         marked = typed.withColumn("_rejected", rejection_mask())
-        dated = F.when(F.col("_rejected") == 0, F.col("pickup_date"))
-        rows = self._enriched(marked).withColumn("pickup_date", dated)
+        dated = marked.withColumn("pickup_date", F.when(F.col("_rejected") == 0, F.col("pickup_date")))
+        rows = self._enriched(clustered(dated, folders))
         location, rejected = self.lake.location("silver.trips_cleaned"), self.lake.side_table("rejected_trips")
         staged = f"{location}__new_{time.time_ns()}"
         storage = Storage(self.spark)
         try:
-            written = write_table(rows, staged, ("_rejected", "pickup_date"), self.lake.fmt)
+            written = write_table(rows, staged, folders, self.lake.fmt, together=True)
             if not storage.exists(f"{staged}/_rejected=0"):  # no trip was accepted
                 empty = rows.drop("_rejected").limit(0).coalesce(1)
                 empty.write.format(self.lake.fmt).save(f"{staged}/_rejected=0")

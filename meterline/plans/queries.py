@@ -370,14 +370,15 @@ def _refreshed_lake(layers: Layers) -> Lake:
     """A lake whose bronze fares of one month were corrected after it was filled, then refreshed for that month."""
     key = (layers.spark.sparkContext.applicationId, layers.folder)
     if key not in _refreshed:
-        lake = Lake(f"{_scratch(layers, 'refreshed')}-{time.time_ns()}")
+        lake = Lake(f"{shared_folder(layers.spark)}/refreshed-{time.time_ns()}")
         source, zones = layers.bronze().withColumn("_source_file", F.lit(layers.folder)), stamp_bronze(layers.raw_zones(), RUN_DATE)
         job = Pipeline(layers.spark, lake, source, zones)
         for stage in (job.bronze, job.silver, job.gold):
             stage()
         month = F.date_format("tpep_pickup_datetime", "yyyy-MM") == CORRECTED_MONTH
         fare = F.when(month, F.col("fare_amount") + 1).otherwise(F.col("fare_amount"))
-        lake.write(source.withColumn("fare_amount", fare), "bronze.trips")
+        # written next to the stored trips, which it reads
+        lake.write(lake.read(layers.spark, "bronze.trips").withColumn("fare_amount", fare), "bronze.trips")
         job.refresh(CORRECTED_MONTH)
         _refreshed[key] = lake
     return _refreshed[key]

@@ -16,9 +16,10 @@ from meterline.sources.files import Storage
 # Formats whose tables are nothing but their files, so that they can be swapped and compacted here.
 FILE_FORMATS = ("parquet", "orc")
 MAX_RECORDS_PER_FILE = 1_000_000
-# Shuffled bytes a task of a partitioned write takes: several days of an ordinary
-# source stay in one task and one file each, and a hot day is split at this size.
-WRITE_TASK_BYTES = 256 * 1024 * 1024
+# Shuffled bytes a task of a write takes: several days of an ordinary source stay in one
+# task and one file each, and a hot day is split at this size.  A task sorts its rows, which
+# take some ten times as much memory, and has to hold them beside others without spilling.
+WRITE_TASK_BYTES = 32 * 1024 * 1024
 
 
 class ReadBackError(RuntimeError):
@@ -74,16 +75,19 @@ def write_table(
     allow_schema_change: bool = True,
     few_per_partition: bool = False,
     task_bytes: int = WRITE_TASK_BYTES,
+    together: bool = False,
 ) -> WriteResult:
     """Overwrite a table; the rows written are counted by the write itself.
 
     A table of plain files is written next to the old one and put in its place when it is
-    whole, so a failed write leaves the old table as it was.
+    whole, so a failed write leaves the old table as it was.  With ``together`` the rows of a
+    partition have been brought together before.
     """
     if not allow_schema_change:
         _require_same_schema(df, location, fmt)
     written = Observation()
-    counted = clustered(df, partition_by, few_per_partition).observe(written, F.count(F.lit(1)).alias("rows"))
+    gathered = df if together else clustered(df, partition_by, few_per_partition)
+    counted = gathered.observe(written, F.count(F.lit(1)).alias("rows"))
     started = time.monotonic()
     writer = counted.write.format(fmt).mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if allow_schema_change:

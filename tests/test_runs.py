@@ -60,6 +60,22 @@ def test_silver_reads_bronze_once_and_keeps_what_it_rejects(spark, trips, zones,
     assert rejected.count() == 6 and not list(Path(lake.root).rglob("*__new_*"))
 
 
+def test_trips_are_shuffled_before_they_get_wide(spark, trips, zones, tmp_path, monkeypatch):
+    plans, write = [], pipeline.write_table
+
+    def seen(df, *args, **options):
+        plans.append((df._jdf.queryExecution().optimizedPlan().toString(), options))
+        return write(df, *args, **options)
+
+    monkeypatch.setattr(pipeline, "write_table", seen)
+    job = Pipeline(spark, Lake(str(tmp_path / "lake")), trips(*BAD), zones)
+    job.bronze()
+    job.silver()
+    (plan, options), *_ = plans
+    wide, narrow = plan.split("RebalancePartitions")
+    assert options["together"] and "fare_per_mile" in wide and "fare_per_mile" not in narrow
+
+
 def test_silver_without_accepted_or_rejected_trips(spark, trips, zones, tmp_path):
     for name, rows in (("none", BAD[1:]), ("all", [{}])):
         lake = Lake(f"{tmp_path}/{name}")
