@@ -22,6 +22,8 @@ from meterline.sources.lake import FILE_FORMATS, Lake, data_pattern, swap_in, tr
 # Default file size (within both published ranges) and retention.
 TARGET_BYTES = 256 * 1024 * 1024
 RETENTION_HOURS = 168
+# Most bytes of a file whose rows a task sorts before it writes them: they take some ten times as much memory.
+SORTED_BYTES = 32 * 1024 * 1024
 CLUSTER_KEYS = ("pickup_date", "PULocationID")
 
 REPORT_SCHEMA = (
@@ -245,7 +247,7 @@ def cluster_table(
     stamp = time.time_ns()
     fresh, previous = f"{location}__new_{stamp}", f"{location}__old_{stamp}"
     try:
-        files = max(-(-before["size_bytes"] // target_bytes), 1)
+        files = max(-(-before["size_bytes"] // min(target_bytes, SORTED_BYTES)), 1)
         write_interleaved(rows, fresh, files, columns, partition_by, fmt)
         copied = spark.read.format(fmt).load(fresh).count()
         if copied != before["record_count"]:

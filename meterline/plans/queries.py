@@ -282,7 +282,7 @@ def _expired(layers: Layers) -> DataFrame:
 def _clustered(layers: Layers) -> DataFrame:
     """A clustered copy of silver: its records, and how many files overlap the next in their keys."""
     location, size = _scratch(layers, "clustered"), _silver_bytes(layers)
-    target = min(maintenance.TARGET_BYTES, -(-size // COPY_FILES))
+    target = min(maintenance.SORTED_BYTES, -(-size // COPY_FILES))
     silver = _stored_table(layers, "silver.trips_cleaned")
     maintenance.write_clustered(silver, location, files=-(-size // target))
     copy = layers.spark.read.parquet(location)
@@ -339,9 +339,9 @@ def _interleaved(layers: Layers) -> DataFrame:
     """Trips per pickup zone, counted in only those files of a clustered copy that admit the zone,
     and whether these and the files that admit one day are a minor part."""
     spark, location, size = layers.spark, _scratch(layers, "interleaved"), _silver_bytes(layers)
-    maintenance.write_interleaved(
-        _stored_table(layers, "silver.trips_cleaned"), f"{location}/{size}-{time.time_ns()}", CLUSTER_FILES
-    )
+    number = max(CLUSTER_FILES, -(-size // maintenance.SORTED_BYTES))
+    silver = _stored_table(layers, "silver.trips_cleaned")
+    maintenance.write_interleaved(silver, f"{location}/{size}-{time.time_ns()}", number)
     (copy,) = Storage(spark).matching(f"{location}/{size}-*")[-1:]
     rows = spark.read.parquet(copy).withColumn("_file", F.col("_metadata.file_path"))
     bounds = rows.groupBy("_file").agg(
@@ -358,8 +358,8 @@ def _interleaved(layers: Layers) -> DataFrame:
         found.groupBy("zone")
         .agg(F.count("*").alias("trips"))
         .join(files, "zone")
-        .select("zone", "trips", (F.col("files") <= CLUSTER_FILES // 2).alias("most_files_skipped"))
-        .withColumn("days_skip_too", F.lit(widest.first()["widest"] <= CLUSTER_FILES // 2))
+        .select("zone", "trips", (F.col("files") <= number // 2).alias("most_files_skipped"))
+        .withColumn("days_skip_too", F.lit(widest.first()["widest"] <= number // 2))
     )
 
 

@@ -103,6 +103,14 @@ def test_a_filter_on_either_column_skips_most_files(spark, tmp_path):
     assert live.agg(F.sum("id"), F.count_distinct("id")).first()[:] == (16_383 * 8_192, 16_384)
 
 
+def test_sorted_files_stay_small_enough_for_a_task(spark, tmp_path, monkeypatch):
+    taxi(spark).coalesce(1).write.parquet(f"{tmp_path}/t")
+    size = sum(sizes(f"{tmp_path}/t"))
+    monkeypatch.setattr(maintenance, "SORTED_BYTES", -(-size // 5), raising=False)
+    report = maintenance.cluster_table(spark, "t", f"{tmp_path}/t", ("PULocationID",))
+    assert (report.status, report.files_after) == ("SUCCESS", 5)
+
+
 def test_key_interleaves_range_numbers(spark):
     rows = spark.range(256).selectExpr("CAST(id % 16 AS INT) AS a", "CAST(id div 16 AS DOUBLE) AS b", "id")
     keys = {(r.a, int(r.b)): r.z for r in rows.withColumn("z", interleaved_key(rows, ("a", "b"), 4)).collect()}
