@@ -230,7 +230,9 @@ def _small_files(layers: Layers, name: str) -> tuple[str, int]:
     location, size = _scratch(layers, name), _silver_bytes(layers)
     target = min(maintenance.TARGET_BYTES, -(-size // COPY_FILES))
     silver = _stored_table(layers, "silver.trips_cleaned")
-    silver.repartition(FRAGMENTS * -(-size // target)).write.mode("overwrite").parquet(location)
+    # each task takes some of the stored files and writes one, so no row is shuffled
+    with maintenance.packed_to(layers.spark, -(-target // FRAGMENTS)):
+        silver.write.mode("overwrite").parquet(location)
     return location, target
 
 

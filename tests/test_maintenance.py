@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.operators.clustering import interleaved_key, range_cuts
-from meterline.plans import maintenance
+from meterline.plans import maintenance, queries
 from meterline.plans.pipeline import Pipeline
 from meterline.sources.files import Storage
 from meterline.sources.inventory import file_layout
@@ -111,6 +111,19 @@ def test_sorted_files_stay_small_enough_for_a_task(spark, tmp_path, monkeypatch)
     assert (report.status, report.files_after) == ("SUCCESS", 5)
 
 
+def test_copies_are_fragmented_without_a_shuffle(spark, tmp_path, monkeypatch):
+    many_files(spark, f"{tmp_path}/silver", files=48)
+    silver = spark.read.parquet(f"{tmp_path}/silver")
+    monkeypatch.setattr(queries, "_scratch", lambda layers, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(queries, "_silver_bytes", lambda layers: sum(sizes(f"{tmp_path}/silver")))
+    monkeypatch.setattr(queries, "_stored_table", lambda layers, key: silver)
+    monkeypatch.setattr(type(silver), "repartition", lambda *args: pytest.fail("rows are shuffled"))
+    location, target = queries._small_files(queries.Layers(spark, ""), "copy")
+    files = sizes(location)
+    assert len(files) >= queries.FRAGMENTS * queries.COPY_FILES and max(files) < target / 2
+    assert spark.read.parquet(location).exceptAll(silver).isEmpty() and spark.read.parquet(location).count() == 300_000
+
+
 def test_key_interleaves_range_numbers(spark):
     rows = spark.range(256).selectExpr("CAST(id % 16 AS INT) AS a", "CAST(id div 16 AS DOUBLE) AS b", "id")
     keys = {(r.a, int(r.b)): r.z for r in rows.withColumn("z", interleaved_key(rows, ("a", "b"), 4)).collect()}
