@@ -237,12 +237,15 @@ def candidates(texts: DataFrame, words: DataFrame, seed: int, least: int) -> Dat
     frequent = words.filter(F.col("n") >= least).select(F.col("key").alias("number"))
     table = broadcast(spark, _table_of(frequent, frequent.count()))
     pairs = stored(_seen(texts, seed, table, 2, least), "pairs")
+    table.destroy()
     table = broadcast(spark, _table_of(_with_number(pairs, _KEYS[:2]), pairs.count()))
     triples = _seen(texts, seed, table, 3, least)
     none = F.lit(0).cast("long")
     longer = pairs.withColumn("k3", none).unionByName(triples)
     singles = pairs.select(F.explode(F.array("k1", "k2")).alias("k1")).distinct()
-    return stored(longer.unionByName(singles.withColumns({"k2": none, "k3": none})), "candidates")
+    found = stored(longer.unionByName(singles.withColumns({"k2": none, "k3": none})), "candidates")
+    table.destroy()
+    return found
 
 
 _TRIE = "trie int, part string, keys binary, base binary, check binary, phrases binary, states binary"
@@ -296,9 +299,12 @@ def phrase_counts(texts: DataFrame, seed: int, phrases: DataFrame) -> DataFrame:
     shards, counts = max(-(-size // TRIE_PHRASES), 1), None
     for low in range(0, shards, TRIES_A_PASS):
         arrays = stored_tries.filter("part = 'trie'").select("trie", "keys", "base", "check")
-        # one after another, as the driver holds several copies of what it collects
-        rows = [row.asDict() for i in range(low, low + TRIES_A_PASS) for row in arrays.filter(F.col("trie") == i).collect()]
-        found = stored(_counted(texts, seed, broadcast(spark, rows)), "counts")
+        # one after another and as Arrow batches, as the driver holds several copies of rows that it collects
+        rows = [row for i in range(low, low + TRIES_A_PASS) for row in arrays.filter(F.col("trie") == i).toArrow().to_pylist()]
+        sent = broadcast(spark, rows)
+        del rows
+        found = stored(_counted(texts, seed, sent), "counts")
+        sent.destroy()
         counts = found if counts is None else counts.unionByName(found)
     return _states(stored_tries).join(counts, ["trie", "state"]).select(*_KEYS, "n")
 

@@ -62,6 +62,23 @@ def test_equals_counting_all_phrases(spark, monkeypatch, trie):
     check(spark, drawn(120, 12, trie) + [("New York City. " * 30, "en"), ("x " * 40, "fr")], least=10)
 
 
+def test_one_broadcast_lives_at_a_time(spark, monkeypatch):
+    """What the driver has sent for one pass is given up before the next."""
+    alive, send = [0], phrases.broadcast
+
+    def sent(session, value):
+        found = send(session, value)
+        alive[0] += 1
+        assert alive[0] == 1
+        monkeypatch.setattr(found, "destroy", lambda: alive.__setitem__(0, alive[0] - 1), raising=False)
+        return found
+
+    monkeypatch.setattr(phrases, "broadcast", sent)
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", 3)
+    check(spark, drawn(40, 6, 5), 2)
+    assert alive == [0]
+
+
 def test_long_texts_are_cut_between_pieces(spark, monkeypatch):
     monkeypatch.setattr(phrases, "WINDOW", 50)
     rows = [("one two three, four one two. " * 20, "en"), ("no break at all " * 20, "en"), ("a b\n" * 15 + "é" * 80, "en")]
