@@ -151,7 +151,7 @@ def _alike(similarity: float) -> Column:
 
 
 def _others(members: DataFrame) -> DataFrame:
-    kept = ["class_id", "n_shingles", *_SKETCH] + (["root"] if "root" in members.columns else [])
+    kept = ["class_id", "n_shingles", *_SKETCH] + [name for name in ("root", "signature") if name in members.columns]
     return members.select("path", *[F.col(name).alias(f"o_{name}") for name in kept])
 
 
@@ -212,6 +212,9 @@ class _Links:
     def consider(self, pairs: DataFrame) -> None:
         """Confirm candidate pairs (a < b): the best of each class, then those still between components."""
         pairs = stored(self.across(pairs.distinct()), "pairs")
+        if pairs.isEmpty():
+            forget(pairs)
+            return
         texts = stored(_texts(pairs, self.classes, self.docs), "texts")
         ends = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
         best = pairs.select(ends.alias("e"), "agree").groupBy("e.x").agg(F.max_by("e.y", F.struct("agree", "e.y")).alias("y"))
@@ -258,15 +261,32 @@ def _crowded(members: DataFrame) -> DataFrame:
 
 
 def _pairs_within(members: DataFrame, alike: Column) -> DataFrame:
-    """Pairs (a < b) of members of one node in different components that are worth confirming."""
-    apart = (F.col("class_id") < F.col("o_class_id")) & (F.col("root") != F.col("o_root"))
-    pairs = members.join(_others(members), "path").filter(apart & alike)
+    """Pairs (a < b) of members of one node in different components that are worth confirming.
+
+    Members that :func:`_with_branches` gives meet in the first of the nodes they share, all others in each.
+    """
+    apart = (F.col("class_id") < F.col("o_class_id")) & (F.col("root") != F.col("o_root")) & alike
+    if "signature" in members.columns:
+        apart &= ~reduce(Column.__or__, map(_shared_before, range(1, TREES * ROOT_BRANCHES)))
+    pairs = members.join(_others(members), "path").filter(apart)
     return pairs.select(F.col("class_id").alias("a"), F.col("o_class_id").alias("b"), _agreement("o_").alias("agree"))
 
 
-def _pairs_with_leaders(large: DataFrame, alike: Column) -> DataFrame:
+def _with_branches(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of children of roots with the branches that each class has members below, and its signature."""
+    below = members.groupBy("class_id").agg(F.bit_or(F.expr("shiftleft(1, branch)")).alias("below"))
+    return members.join(below.join(classes.select("class_id", "signature"), "class_id"), "class_id")
+
+
+def _shared_before(branch: int) -> Column:
+    """Whether both members of a pair are in one node below the root's branch before ``branch``, which is not beyond theirs."""
+    same = F.element_at("signature", branch) == F.element_at("o_signature", branch)
+    return (F.col("branch") >= branch) & (F.col("below").bitwiseAND(F.lit(1 << branch - 1)) != 0) & same
+
+
+def _pairs_with_leaders(large: DataFrame, alike: Column, leaders: int) -> DataFrame:
     """Pairs of members of large nodes with a few members of theirs, drawn by hash."""
-    names = [f"h{seed}" for seed in range(LEADERS)]
+    names = [f"h{seed}" for seed in range(leaders)]
     heads = [F.min_by("class_id", F.xxhash64("class_id", F.lit(seed))).alias(name) for seed, name in enumerate(names)]
     leaders = large.groupBy("path").agg(*heads)
     leaders = leaders.select("path", F.explode(F.array_distinct(F.array(*names))).alias("class_id"))
@@ -280,9 +300,10 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: in
     """(id, root) of classes that are linked with others.
 
     In the children of the roots a number of pairs in proportion to the members is confirmed
-    first.  Then nodes of which all members are in one component are done, in the others all
-    pairs between components are compared or the node branches on, and what is left to
-    confirm is gathered.
+    first: those with one leader of a large node, which bring most copies together, and then
+    between the components those with all leaders and those of small nodes.  Then nodes of which
+    all members are in one component are done, in the others all pairs between components are
+    compared or the node branches on, and what is left to confirm is gathered.
     """
     found = _Links(docs, classes, width, percent)
     alike = _alike(percent / 100)
@@ -290,8 +311,10 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: in
     members = _root_members(classes)
     members = stored(_crowded(members).withColumn("root", F.col("class_id")), "members")
     large = members.filter(F.col("size") > FIRST_NODE).drop("size")
-    pairs = _pairs_within(members.filter(F.col("size") <= FIRST_NODE), alike)
-    found.consider(pairs.unionByName(_pairs_with_leaders(large, alike)))
+    found.consider(_pairs_with_leaders(large, alike, 1))
+    small = found.with_roots(members.filter(F.col("size") <= FIRST_NODE).drop("root"))
+    led = _pairs_with_leaders(found.with_roots(large.drop("root")), alike, LEADERS)
+    found.consider(_pairs_within(small, alike).unionByName(led))
     gathered: list[DataFrame] = []
     for level in range(1, MOST_LEVELS + 1):
         # per node the pairs between components: few of them are compared at once
@@ -301,17 +324,21 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: in
         across = (F.col("size") * F.col("size") - F.col("within")) / 2
         rooted = rooted.join(parts.filter(across > 0), "path")
         near = (across <= F.col("size") * (SMALL_NODE / 2)) | F.lit(level == MOST_LEVELS)
-        gathered.append(stored(_pairs_within(rooted.filter(near), alike), "near"))
+        close = rooted.filter(near)
+        close = _with_branches(close, classes) if level == 1 else close
+        gathered.append(stored(_pairs_within(close, alike), "near"))
         far = stored(rooted.filter(~near).drop("size", "within"), "far")
         if far.isEmpty():
             break
-        gathered.append(stored(_pairs_with_leaders(far, alike), "near"))
+        gathered.append(stored(_pairs_with_leaders(far, alike, LEADERS), "near"))
         members = stored(_crowded(_children(far, BRANCHES, signatures)), "members")
         gathered.append(stored(_pairs_within(members.filter(F.col("size") <= SMALL_NODE), alike), "near"))
         large = members.filter(F.col("size") > SMALL_NODE).drop("size")
     more = reduce(DataFrame.unionByName, gathered).distinct()
     if not more.isEmpty():
         found.consider(more)
+    if found.roots is None:
+        return classes.select(F.col("class_id").alias("id"), F.col("class_id").alias("root")).limit(0)
     return found.roots
 
 

@@ -129,6 +129,41 @@ def test_near_duplicates_below_branching_nodes(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == roots_of(sets, links) and branched
 
 
+def test_near_copies_are_listed_with_one_leader_first(spark, monkeypatch):
+    """Pairs that come to confirmation stay near the number of copies, and all copies are found."""
+    asked, consider = [], near_duplicates._Links.consider
+    monkeypatch.setattr(
+        near_duplicates._Links, "consider", lambda self, pairs: asked.append(pairs.distinct().count()) or consider(self, pairs)
+    )
+    text = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(text[: i % 110] + [f"x{i}"] + text[i % 110 + 1 :])) for i in range(400)]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert {r["component_id"] for r in got} == {0} and len(got) == 400
+    assert sum(asked) < 4 * 400
+
+
+def test_pairs_below_the_threshold_are_listed_once(spark, monkeypatch):
+    """Members of several nodes of the first level meet in one of them."""
+    listed, store = [], near_duplicates.stored
+
+    def seen(df, label):
+        kept = store(df, label)
+        if label == "near":
+            listed.append((kept.count(), kept.distinct().count()))
+        return kept
+
+    monkeypatch.setattr(near_duplicates, "stored", seen)
+    monkeypatch.setattr(near_duplicates, "FIRST_NODE", 2)
+    shared = [f"p{i}" for i in range(85)]
+    rows = [(i, " ".join(shared + [f"f{i}x{j}" for j in range(14)])) for i in range(40)]
+    rows += [(40 + i, " ".join(shared + [f"f{i}x{j}" for j in range(13)] + ["end"])) for i in range(40)]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    sets = {i: shingle_set(text, 2) for i, text in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert {r["doc_id"]: r["component_id"] for r in got} == roots_of(sets, links)
+    assert listed[0][0] == listed[0][1] > 500
+
+
 def test_near_duplicates_of_repeated_and_missing_ids(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (2, "x y z"), (None, "a b c d"), (None, "q r s"), (3, None), (3, "x y z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
