@@ -228,10 +228,10 @@ def _with_number(phrases: DataFrame, names: list[str]) -> DataFrame:
 
 
 def candidates(texts: DataFrame, words: DataFrame, seed: int, least: int) -> DataFrame:
-    """(k1, k2, k3) of the phrases to count, 0 where they are shorter.
+    """(k1, k2, k3) of the phrases to count, k3 being 0 where they have two words.
 
     A phrase is one of them when it may occur ``least`` times: its words, and for three words
-    its pairs, all do, and it is itself seen so often.  Words that occur in one come along.
+    its pairs, all do, and it is itself seen so often.
     """
     spark = texts.sparkSession
     frequent = words.filter(F.col("n") >= least).select(F.col("key").alias("number"))
@@ -240,10 +240,7 @@ def candidates(texts: DataFrame, words: DataFrame, seed: int, least: int) -> Dat
     table.destroy()
     table = broadcast(spark, _table_of(_with_number(pairs, _KEYS[:2]), pairs.count()))
     triples = _seen(texts, seed, table, 3, least)
-    none = F.lit(0).cast("long")
-    longer = pairs.withColumn("k3", none).unionByName(triples)
-    singles = pairs.select(F.explode(F.array("k1", "k2")).alias("k1")).distinct()
-    found = stored(longer.unionByName(singles.withColumns({"k2": none, "k3": none})), "candidates")
+    found = stored(pairs.withColumn("k3", F.lit(0).cast("long")).unionByName(triples), "candidates")
     table.destroy()
     return found
 
@@ -251,10 +248,19 @@ def candidates(texts: DataFrame, words: DataFrame, seed: int, least: int) -> Dat
 _TRIE = "trie int, part string, keys binary, base binary, check binary, phrases binary, states binary"
 
 
+def _trie_of(first: np.ndarray, second: np.ndarray, shards: int) -> np.ndarray:
+    """The trie of phrases that begin with two words of these keys."""
+    return (first ^ (second >> U64(1))).view(np.int64) % shards
+
+
 def tries(phrases: DataFrame, count: int) -> DataFrame:
-    """The phrases dealt over tries by hash: per trie a row of its arrays, and one of its phrases' states."""
+    """The phrases dealt over tries by their first two words, which are hashes, as :func:`_trie_of` does.
+
+    Per trie there is a row of its arrays, and one of its phrases' states.
+    """
     shards = max(-(-count // TRIE_PHRASES), 1)
-    dealt = phrases.withColumn("trie", F.pmod(F.xxhash64(*_KEYS), F.lit(shards)).cast("int"))
+    begins = F.col("k1").bitwiseXOR(F.shiftrightunsigned("k2", 1))
+    dealt = phrases.withColumn("trie", F.pmod(begins, F.lit(shards).cast("long")).cast("int"))
 
     def made(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.ascontiguousarray(group[_KEYS].to_numpy(np.int64)).view(U64)
@@ -291,7 +297,8 @@ def phrase_counts(texts: DataFrame, seed: int, phrases: DataFrame) -> DataFrame:
     """(k1, k2, k3, n): how often each of the phrases occurs in all texts.
 
     At most ``TRIES_A_PASS`` tries of about ``TRIE_PHRASES`` phrases are broadcast for one pass
-    over the texts; more phrases take more passes.  A task adds up counts per state and gives
+    over the texts; more phrases take more passes.  A place of a text is walked in the trie of its
+    two words alone, so more tries take no more steps.  A task adds up counts per state and gives
     those that occur when its texts end.
     """
     spark, size = texts.sparkSession, phrases.count()
@@ -303,13 +310,13 @@ def phrase_counts(texts: DataFrame, seed: int, phrases: DataFrame) -> DataFrame:
         rows = [row for i in range(low, low + TRIES_A_PASS) for row in arrays.filter(F.col("trie") == i).toArrow().to_pylist()]
         sent = broadcast(spark, rows)
         del rows
-        found = stored(_counted(texts, seed, sent), "counts")
+        found = stored(_counted(texts, seed, sent, shards), "counts")
         sent.destroy()
         counts = found if counts is None else counts.unionByName(found)
     return _states(stored_tries).join(counts, ["trie", "state"]).select(*_KEYS, "n")
 
 
-def _counted(texts: DataFrame, seed: int, sent: Broadcast) -> DataFrame:
+def _counted(texts: DataFrame, seed: int, sent: Broadcast, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = received(sent)
         walked = [
@@ -319,10 +326,12 @@ def _counted(texts: DataFrame, seed: int, sent: Broadcast) -> DataFrame:
         totals = [np.zeros(len(trie.check), np.int64) for trie in walked]
         for langs, column in _texts(batches):
             _, keys, following = keyed_words(langs, column, seed)
-            for trie, total in zip(walked, totals):
-                for states in trie.walk(trie.symbols(keys), following, len(_KEYS)):
-                    counts = np.bincount(states)
-                    total[: len(counts)] += counts
+            places = np.flatnonzero(following)
+            trie_of = _trie_of(keys[places], keys[places + 1], shards)
+            for row, trie, total in zip(rows, walked, totals):
+                states = list(trie.walk_from(places[trie_of == row["trie"]], keys, following, len(_KEYS)))
+                counts = np.bincount(np.concatenate(states[1:]))
+                total[: len(counts)] += counts
         for row, total in zip(rows, totals):
             states = np.flatnonzero(total)
             tries_of = pa.array(np.full(len(states), row["trie"], np.int32))
@@ -356,8 +365,8 @@ def collocations(docs: DataFrame, least: int = 10, part_percent: int = 50, most:
         words, seed = _distinct_words(texts)
         phrases = candidates(texts, words, seed, least)
         counts = stored(phrase_counts(texts, seed, phrases), "counted")
-    one = counts.filter("k2 = 0").select("k1", "n")
-    two = counts.filter("k2 != 0 AND k3 = 0 AND n >= %d" % least).select("k1", "k2", "n")
+    one = words.filter(F.col("n") >= least).select(F.col("key").alias("k1"), "n")
+    two = counts.filter("k3 = 0 AND n >= %d" % least).select("k1", "k2", "n")
     three = counts.filter("k3 != 0 AND n >= %d" % least).select(*_KEYS, F.col("n").alias("a"))
 
     holding = three.select(
