@@ -66,21 +66,6 @@ class DoubleArray:
             places, states = places[states >= 0], states[states >= 0]
             yield states
 
-    def walk_from(self, places: np.ndarray, keys: np.ndarray, following: np.ndarray, words: int):
-        """Per level the states that some places of a text reach, whose words have these keys.
-
-        Symbols are looked up where a place has come so far only.
-        """
-        states = self.symbols(keys[places])
-        places, states = places[states >= 0], states[states >= 0]
-        yield states
-        for level in range(1, words):
-            on = following[places + level - 1]
-            places, states = places[on], states[on]
-            states = self.step(states, self.symbols(keys[places + level]))
-            places, states = places[states >= 0], states[states >= 0]
-            yield states
-
     def states_of(self, phrases: np.ndarray) -> np.ndarray:
         """The state of each row of keys; 0 ends a shorter phrase."""
         symbols = self.symbols(phrases.reshape(-1)).reshape(phrases.shape)
