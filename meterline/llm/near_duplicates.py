@@ -6,7 +6,9 @@ nodes are compared exhaustively, large ones branch on; several independent trees
 missed pair unlikely.  Sketches of two bits per coordinate sort out pairs, and every link is
 confirmed on the full sets.  As only components are asked for, pairs that are already in one
 component need no comparison, and large nodes are first compared with a few of their members;
-so thousands of copies of one text cost no more than their rows.
+so thousands of copies of one text cost no more than their rows.  Nodes full of pairs just below
+the threshold, which sketches cannot tell from links, branch by the rarest shingles instead: a
+linked pair has one of them in common for certain, so such a branch loses no pair.
 """
 
 from __future__ import annotations
@@ -45,7 +47,14 @@ COORDINATES = TREES * ROOT_BRANCHES * INNER_COORDINATES
 FIRST_NODE = 16
 LEADERS = 4
 SMALL_NODE = 1_024
+# Members from which a node may branch by rare shingles; it does so if its leaders meet more members
+# to confirm than ``FIRST_NODE`` each.  In smaller nodes a member has few pairs in any case.
+DENSE_NODE = 256
+# Members whose sketches are put together to one in the middle of their node.
+MIDDLE = 3
 MOST_LEVELS = 12
+# Levels at which pairs are listed in the first only of the nodes they share, of at most 96 a member.
+FIRST_LEVELS = 3
 # Standard errors that a sketch may fall short of what the threshold makes it expect: a pair at the
 # threshold does so with probability 3e-6, and one of similarity 0.69 stays below as often as not.
 SKETCH_ERRORS = 4.5
@@ -151,13 +160,12 @@ def _alike(similarity: float) -> Column:
 
 
 def _others(members: DataFrame) -> DataFrame:
-    kept = ["class_id", "n_shingles", *_SKETCH] + [name for name in ("root", "signature") if name in members.columns]
+    kept = ["class_id", "n_shingles", *_SKETCH] + [name for name in ("root", "earlier", "place") if name in members.columns]
     return members.select("path", *[F.col(name).alias(f"o_{name}") for name in kept])
 
 
-def _texts(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(class_id, text) of the classes in the pairs."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
+def _texts(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(class_id, text) of distinct classes."""
     wanted = ids.join(classes.select("class_id", "key1", "key2"), "class_id")
     found = _keyed(docs).drop("doc_id").join(wanted, ["key1", "key2"])
     return found.groupBy("class_id").agg(F.first("text").alias("text"))
@@ -215,7 +223,8 @@ class _Links:
         if pairs.isEmpty():
             forget(pairs)
             return
-        texts = stored(_texts(pairs, self.classes, self.docs), "texts")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
+        texts = stored(_texts(ids, self.classes, self.docs), "texts")
         ends = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
         best = pairs.select(ends.alias("e"), "agree").groupBy("e.x").agg(F.max_by("e.y", F.struct("agree", "e.y")).alias("y"))
         first = stored(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "first")
@@ -260,80 +269,165 @@ def _crowded(members: DataFrame) -> DataFrame:
     return members.join(sizes, "path")
 
 
+def _parts(members: DataFrame) -> DataFrame:
+    """(path, size, across, main) of nodes with several components: pairs between them, and the largest one."""
+    parts = members.groupBy("path", "root").agg(F.count("*").alias("n")).groupBy("path")
+    parts = parts.agg(
+        F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("within"), F.max_by("root", F.struct("n", "root")).alias("main")
+    )
+    across = (F.col("size") * F.col("size") - F.col("within")) / 2
+    return parts.select("path", "size", across.alias("across"), "main").filter(F.col("across") > 0)
+
+
 def _pairs_within(members: DataFrame, alike: Column) -> DataFrame:
     """Pairs (a < b) of members of one node in different components that are worth confirming.
 
-    Members that :func:`_with_branches` gives meet in the first of the nodes they share, all others in each.
+    Where the largest component ``main`` of a node is known, its members are not compared with one another.
+    Members that :func:`_with_earlier` gives meet in the first of the nodes they share, all others in each.
     """
-    apart = (F.col("class_id") < F.col("o_class_id")) & (F.col("root") != F.col("o_root")) & alike
-    if "signature" in members.columns:
-        apart &= ~reduce(Column.__or__, map(_shared_before, range(1, TREES * ROOT_BRANCHES)))
-    pairs = members.join(_others(members), "path").filter(apart)
-    return pairs.select(F.col("class_id").alias("a"), F.col("o_class_id").alias("b"), _agreement("o_").alias("agree"))
+    once, some = F.col("class_id") < F.col("o_class_id"), members
+    if "main" in members.columns:
+        some = members.filter(F.col("root") != F.col("main"))
+        once |= F.col("o_root") == F.col("main")
+    apart = once & (F.col("root") != F.col("o_root")) & alike
+    if "earlier" in members.columns:
+        apart &= ~F.arrays_overlap("earlier", "o_earlier")
+    return _ends(some.join(_others(members), "path").filter(apart))
 
 
-def _with_branches(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of children of roots with the branches that each class has members below, and its signature."""
-    below = members.groupBy("class_id").agg(F.bit_or(F.expr("shiftleft(1, branch)")).alias("below"))
-    return members.join(below.join(classes.select("class_id", "signature"), "class_id"), "class_id")
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(path, a, b, agree) of pairs in one row, a < b."""
+    a, b = F.least("class_id", "o_class_id"), F.greatest("class_id", "o_class_id")
+    return pairs.select("path", a.alias("a"), b.alias("b"), _agreement("o_").alias("agree"))
 
 
-def _shared_before(branch: int) -> Column:
-    """Whether both members of a pair are in one node below the root's branch before ``branch``, which is not beyond theirs."""
-    same = F.element_at("signature", branch) == F.element_at("o_signature", branch)
-    return (F.col("branch") >= branch) & (F.col("below").bitwiseAND(F.lit(1 << branch - 1)) != 0) & same
+def _with_earlier(members: DataFrame) -> DataFrame:
+    """Members with those nodes of their class whose path is less than theirs."""
+    paths = members.groupBy("class_id").agg(F.collect_list("path").alias("earlier"))
+    less = F.expr("filter(earlier, x -> x < path)")
+    return members.join(paths, "class_id").withColumn("earlier", less)
 
 
-def _pairs_with_leaders(large: DataFrame, alike: Column, leaders: int) -> DataFrame:
-    """Pairs of members of large nodes with a few members of theirs, drawn by hash."""
+def _drawn(large: DataFrame, leaders: int) -> DataFrame:
+    """A few members of each node, drawn by hash."""
     names = [f"h{seed}" for seed in range(leaders)]
     heads = [F.min_by("class_id", F.xxhash64("class_id", F.lit(seed))).alias(name) for seed, name in enumerate(names)]
-    leaders = large.groupBy("path").agg(*heads)
-    leaders = leaders.select("path", F.explode(F.array_distinct(F.array(*names))).alias("class_id"))
-    leading = _others(leaders.join(large, ["path", "class_id"]))
-    led = large.join(leading, "path").filter((F.col("root") != F.col("o_root")) & alike)
-    ends = (F.least("class_id", "o_class_id").alias("a"), F.greatest("class_id", "o_class_id").alias("b"))
-    return led.select(*ends, _agreement("o_").alias("agree"))
+    drawn = large.groupBy("path").agg(*heads)
+    drawn = drawn.select("path", F.explode(F.array_distinct(F.array(*names))).alias("class_id"))
+    return drawn.join(large, ["path", "class_id"])
+
+
+def _central(large: DataFrame) -> DataFrame:
+    """The member of each node that is nearest to its middle: copies that differ in different places link with it best.
+
+    The middle's sketch has those bits that most of a few members have, of three two at least.
+    """
+
+    def most(name: str) -> Column:
+        return F.bit_or(name).bitwiseAND(F.bitwise_not(F.bit_xor(name))).bitwiseOR(F.bit_and(name))
+
+    middle = _drawn(large, MIDDLE).groupBy("path").agg(*[most(name).alias(f"o_{name}") for name in _SKETCH])
+    near = large.join(middle, "path").select("path", "class_id", _agreement("o_").alias("agree"))
+    nearest = near.groupBy("path").agg(F.max_by("class_id", F.struct("agree", "class_id")).alias("class_id"))
+    return nearest.join(large, ["path", "class_id"])
+
+
+def _pairs_with_leaders(large: DataFrame, leaders: DataFrame, alike: Column) -> DataFrame:
+    """Pairs of members of large nodes with their leaders, between components."""
+    return _ends(large.join(_others(leaders), "path").filter((F.col("root") != F.col("o_root")) & alike))
+
+
+def _rare_shingles(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(class_id, path, place, n_shingles): the rarest shingles of each class, and their place among all of its own.
+
+    Two sets that reach the similarity share ``percent`` of a hundred of either, so they share one of these.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in row_slices(batch, "text", 1 << 20):
+                sets = list(shingles(find_words(piece.column("text")), width))
+                ids = np.repeat(piece.column("class_id").to_numpy(), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], ["class_id", "path"])
+
+    every = stored(texts.mapInArrow(run, "class_id long, path long"), "shingles")
+    holders = every.groupBy("path").agg(F.count("*").alias("holders"))
+    ranked = every.join(holders, "path").groupBy("class_id")
+    ranked = ranked.agg(F.sort_array(F.collect_list(F.struct("holders", "path"))).alias("_all"), F.count("*").alias("n_shingles"))
+    needed = F.expr(f"cast((n_shingles * {percent} + 99) div 100 as int)")
+    rarest = F.slice("_all", 1, F.col("n_shingles").cast("int") - needed + 1)
+    placed = ranked.select("class_id", "n_shingles", F.posexplode(rarest).alias("place", "_one"))
+    return placed.filter("_one.holders > 1").select("class_id", "_one.path", (F.col("place") + 1).alias("place"), "n_shingles")
+
+
+def _pairs_by_rare_shingles(members: DataFrame, rare: DataFrame, percent: int, alike: Column) -> DataFrame:
+    """Pairs between components of classes (class_id, root, sketch) that share a rare shingle, as far as they may link.
+
+    If the shingle at places i and j is the first that sets of sizes m and n share, they share at most
+    1 + min(m - i, n - j); the similarity asks for percent * (m + n) / (100 + percent).
+    """
+
+    def may_link(shared: Column, size: Column) -> Column:
+        return shared * (100 + percent) >= percent * (F.col("n_shingles") + size)
+
+    rest = 1 + F.col("n_shingles") - F.col("place")
+    branched = members.join(rare, "class_id")
+    least = branched.groupBy("path").agg(F.min("n_shingles").alias("_least"))
+    branched = branched.join(least, "path").filter(may_link(rest, F.col("_least"))).drop("_least")
+    branched = stored(branched.join(_parts(branched).select("path", "main"), "path"), "branched")
+    both = F.least(rest, 1 + F.col("o_n_shingles") - F.col("o_place"))
+    return _pairs_within(branched, may_link(both, F.col("o_n_shingles")) & alike)
 
 
 def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, root) of classes that are linked with others.
 
     In the children of the roots a number of pairs in proportion to the members is confirmed
-    first: those with one leader of a large node, which bring most copies together, and then
-    between the components those with all leaders and those of small nodes.  Then nodes of which
-    all members are in one component are done, in the others all pairs between components are
-    compared or the node branches on, and what is left to confirm is gathered.
+    first: those with the central member of a large node, which bring most copies together, and
+    then between the components those with drawn leaders and those of small nodes.  Then nodes of
+    which all members are in one component are done.  Of the others those whose leaders meet very
+    many members to confirm are dense, and their members branch by rare shingles; in the rest all
+    pairs between components are compared or the node branches on.  What is left to confirm is
+    gathered.
     """
     found = _Links(docs, classes, width, percent)
     alike = _alike(percent / 100)
     signatures = classes.select("class_id", "inner")
+    ends = ["a", "b", "agree"]
     members = _root_members(classes)
     members = stored(_crowded(members).withColumn("root", F.col("class_id")), "members")
     large = members.filter(F.col("size") > FIRST_NODE).drop("size")
-    found.consider(_pairs_with_leaders(large, alike, 1))
+    found.consider(_pairs_with_leaders(large, _central(large), alike).select(ends))
     small = found.with_roots(members.filter(F.col("size") <= FIRST_NODE).drop("root"))
-    led = _pairs_with_leaders(found.with_roots(large.drop("root")), alike, LEADERS)
-    found.consider(_pairs_within(small, alike).unionByName(led))
+    rooted = stored(found.with_roots(large.drop("root")), "rooted")
+    led = _pairs_with_leaders(rooted, _drawn(rooted, LEADERS), alike)
+    found.consider(_pairs_within(small, alike).unionByName(led).select(ends))
     gathered: list[DataFrame] = []
+    dense: list[DataFrame] = []
+    nodes = stored(found.with_roots(large.drop("root")), "rooted")
     for level in range(1, MOST_LEVELS + 1):
+        rooted = stored(nodes.join(_parts(nodes), "path"), "rooted")
+        crowds = rooted.filter(F.col("size") > DENSE_NODE)
+        led = stored(_pairs_with_leaders(crowds, _drawn(crowds, LEADERS), alike), "led")
+        met = led.groupBy("path").agg(F.count("*").alias("n")).filter(F.col("n") > LEADERS * FIRST_NODE).select("path")
+        met = stored(met, "dense")
+        dense.append(rooted.join(met, "path", "left_semi").select("class_id"))
+        rooted = rooted.join(met, "path", "left_anti")
         # per node the pairs between components: few of them are compared at once
-        rooted = stored(found.with_roots(large.drop("root")), "rooted")
-        parts = rooted.groupBy("path", "root").agg(F.count("*").alias("n")).groupBy("path")
-        parts = parts.agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("within"))
-        across = (F.col("size") * F.col("size") - F.col("within")) / 2
-        rooted = rooted.join(parts.filter(across > 0), "path")
-        near = (across <= F.col("size") * (SMALL_NODE / 2)) | F.lit(level == MOST_LEVELS)
-        close = rooted.filter(near)
-        close = _with_branches(close, classes) if level == 1 else close
-        gathered.append(stored(_pairs_within(close, alike), "near"))
-        far = stored(rooted.filter(~near).drop("size", "within"), "far")
+        near = (F.col("across") <= F.col("size") * (SMALL_NODE / 2)) | F.lit(level == MOST_LEVELS)
+        close = rooted.filter(near).drop("size", "across")
+        close = _with_earlier(close) if level <= FIRST_LEVELS else close
+        gathered.append(stored(_pairs_within(close, alike).select(ends), "near"))
+        far = stored(rooted.filter(~near).drop("size", "across", "main"), "far")
         if far.isEmpty():
             break
-        gathered.append(stored(_pairs_with_leaders(far, alike, LEADERS), "near"))
-        members = stored(_crowded(_children(far, BRANCHES, signatures)), "members")
-        gathered.append(stored(_pairs_within(members.filter(F.col("size") <= SMALL_NODE), alike), "near"))
-        large = members.filter(F.col("size") > SMALL_NODE).drop("size")
+        gathered.append(led.join(far.select("path").distinct(), "path", "left_semi").select(ends))
+        nodes = stored(_crowded(_children(far, BRANCHES, signatures)).drop("size"), "members")
+    ids = stored(reduce(DataFrame.unionByName, dense).distinct(), "dense")
+    if not ids.isEmpty():
+        rare = _rare_shingles(_texts(ids, classes, docs), width, percent)
+        members = found.with_roots(classes.join(ids, "class_id", "left_semi").select("class_id", *_SKETCH))
+        gathered.append(stored(_pairs_by_rare_shingles(members, rare, percent, alike).select(ends), "near"))
     more = reduce(DataFrame.unionByName, gathered).distinct()
     if not more.isEmpty():
         found.consider(more)

@@ -164,6 +164,67 @@ def test_pairs_below_the_threshold_are_listed_once(spark, monkeypatch):
     assert listed[0][0] == listed[0][1] > 500
 
 
+def edited_copies(count):
+    """Copies of one text with up to 24 changed words, in lists that say how many."""
+    draw = random.Random(11)
+    origin = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(count):
+        words = list(origin)
+        for place in draw.sample(range(150), draw.choice([0, 1, 1, 2, 2, 3, 4, 6, 9, 10, 12, 16, 24])):
+            words[place] = f"n{i}x{place}" if draw.random() < 0.9 else f"n{place}"
+        texts.append(" ".join(words))
+    return list(enumerate(dict.fromkeys(texts)))
+
+
+def links_of(rows, width):
+    sets = {i: shingle_set(text, width) for i, text in rows}
+    return sets, [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+
+
+@pytest.mark.parametrize("width, count", [(2, 420), (5, 800)])
+def test_pairs_just_below_the_threshold_are_not_all_listed(spark, monkeypatch, width, count):
+    """Copies too far from the rest for a link, but not for sketches, are told from it by their rare shingles."""
+    rows, stores, store = edited_copies(count), [], near_duplicates.stored
+
+    def seen(df, label):
+        kept = store(df, label)
+        stores.append((label, kept.count()))
+        return kept
+
+    monkeypatch.setattr(near_duplicates, "stored", seen)
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == roots_of(*links_of(rows, width))
+    assert sum(n for label, n in stores if label in ("near", "pairs")) < 12 * len(rows)
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_rare_shingles_find_every_link(spark, families, width):
+    rows = [(i, text) for i, text in enumerate(dict.fromkeys(families)) if text.split()] + [(5000 + i, x) for i, x in edited_copies(60)]
+    rows += [(9000, "a b"), (9001, "A  b"), (9002, " ".join(f"w{i}" for i in range(125)))]
+    sets, links = links_of(rows, width)
+    texts = spark.createDataFrame(rows, "class_id long, text string")
+    members = texts.select("class_id", F.col("class_id").alias("root"), *[F.lit(0).cast("long").alias(x) for x in near_duplicates._SKETCH])
+    rare = near_duplicates._rare_shingles(texts, width, 80)
+    assert all(r["place"] <= len(sets[r["class_id"]]) / 5 + 1 and r["n_shingles"] == len(sets[r["class_id"]]) for r in rare.collect())
+    pairs = near_duplicates._pairs_by_rare_shingles(members, rare, 80, F.lit(True)).select("a", "b").distinct().collect()
+    found = {tuple(r) for r in pairs}
+    assert set(links) <= found and len(links) > 300 and all(a < b for a, b in found)
+    # members of one component are not listed
+    joined = members.withColumn("root", F.least("root", F.lit(5000)))
+    pairs = near_duplicates._pairs_by_rare_shingles(joined, rare, 80, F.lit(True)).select("a", "b").distinct().collect()
+    assert {tuple(r) for r in pairs} == {(a, b) for a, b in found if a < 5000}
+
+
+def test_the_central_leader_is_nearest_to_all(spark):
+    origin = [f"w{i}" for i in range(120)]
+    rows = [(0, " ".join(origin))]
+    rows += [(i, " ".join(f"x{i}y{j}" if j % 30 == i % 30 else word for j, word in enumerate(origin))) for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    large = near_duplicates.signed_documents(docs, 2).withColumnRenamed("doc_id", "class_id").withColumn("path", F.lit(7).cast("long"))
+    assert [r["class_id"] for r in near_duplicates._central(large).collect()] == [0]
+
+
 def test_near_duplicates_of_repeated_and_missing_ids(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (2, "x y z"), (None, "a b c d"), (None, "q r s"), (3, None), (3, "x y z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
