@@ -47,9 +47,11 @@ COORDINATES = TREES * ROOT_BRANCHES * INNER_COORDINATES
 FIRST_NODE = 16
 LEADERS = 4
 SMALL_NODE = 1_024
-# Members from which a node may branch by rare shingles; it does so if its leaders meet more members
-# to confirm than ``FIRST_NODE`` each.  In smaller nodes a member has few pairs in any case.
+# Members from which a node may branch by rare shingles; it does so if its leaders are alike with more than
+# one in ``DENSE_SHARE`` of its members, and with more than ``FIRST_NODE`` each in other components.  In
+# smaller nodes a member has few pairs in any case, and nodes of fewer copies branch on by coordinates.
 DENSE_NODE = 256
+DENSE_SHARE = 8
 # Members whose sketches are put together to one in the middle of their node.
 MIDDLE = 3
 MOST_LEVELS = 12
@@ -148,6 +150,12 @@ def _agreement(other: str) -> Column:
     return F.lit(COORDINATES) - sum((differing(name) for name in _SKETCH[1:]), differing(_SKETCH[0]))
 
 
+def _ends() -> list[Column]:
+    """The pair (a, b) in one row, a < b, and the agreement of its sketches."""
+    a, b = F.least("class_id", "o_class_id"), F.greatest("class_id", "o_class_id")
+    return [a.alias("a"), b.alias("b"), _agreement("o_").alias("agree")]
+
+
 def _needed_agreement(similarity: float) -> float:
     agree = similarity + (1 - similarity) / 4
     return COORDINATES * (agree - SKETCH_ERRORS * (agree * (1 - agree) / COORDINATES) ** 0.5)
@@ -292,13 +300,7 @@ def _pairs_within(members: DataFrame, alike: Column) -> DataFrame:
     apart = once & (F.col("root") != F.col("o_root")) & alike
     if "earlier" in members.columns:
         apart &= ~F.arrays_overlap("earlier", "o_earlier")
-    return _ends(some.join(_others(members), "path").filter(apart))
-
-
-def _ends(pairs: DataFrame) -> DataFrame:
-    """(path, a, b, agree) of pairs in one row, a < b."""
-    a, b = F.least("class_id", "o_class_id"), F.greatest("class_id", "o_class_id")
-    return pairs.select("path", a.alias("a"), b.alias("b"), _agreement("o_").alias("agree"))
+    return some.join(_others(members), "path").filter(apart).select("path", *_ends())
 
 
 def _with_earlier(members: DataFrame) -> DataFrame:
@@ -332,9 +334,15 @@ def _central(large: DataFrame) -> DataFrame:
     return nearest.join(large, ["path", "class_id"])
 
 
+def _met(large: DataFrame, leaders: DataFrame, alike: Column) -> DataFrame:
+    """Pairs of members of large nodes with their leaders, and whether they are ``apart``, in two components."""
+    met = large.join(_others(leaders), "path").filter((F.col("class_id") != F.col("o_class_id")) & alike)
+    return met.select("path", *_ends(), (F.col("root") != F.col("o_root")).alias("apart"))
+
+
 def _pairs_with_leaders(large: DataFrame, leaders: DataFrame, alike: Column) -> DataFrame:
     """Pairs of members of large nodes with their leaders, between components."""
-    return _ends(large.join(_others(leaders), "path").filter((F.col("root") != F.col("o_root")) & alike))
+    return _met(large, leaders, alike).filter("apart").drop("apart")
 
 
 def _rare_shingles(texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -356,8 +364,11 @@ def _rare_shingles(texts: DataFrame, width: int, percent: int) -> DataFrame:
     ranked = ranked.agg(F.sort_array(F.collect_list(F.struct("holders", "path"))).alias("_all"), F.count("*").alias("n_shingles"))
     needed = F.expr(f"cast((n_shingles * {percent} + 99) div 100 as int)")
     rarest = F.slice("_all", 1, F.col("n_shingles").cast("int") - needed + 1)
-    placed = ranked.select("class_id", "n_shingles", F.posexplode(rarest).alias("place", "_one"))
-    return placed.filter("_one.holders > 1").select("class_id", "_one.path", (F.col("place") + 1).alias("place"), "n_shingles")
+    placed = F.transform(rarest, lambda x, i: F.struct(x.holders.alias("holders"), x.path.alias("path"), (i + 1).alias("place")))
+    shared = F.filter(placed, lambda x: x.holders > 1)
+    return ranked.select("class_id", F.explode(shared).alias("_one"), "n_shingles").select(
+        "class_id", "_one.path", "_one.place", "n_shingles"
+    )
 
 
 def _pairs_by_rare_shingles(members: DataFrame, rare: DataFrame, percent: int, alike: Column) -> DataFrame:
@@ -385,9 +396,9 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: in
     In the children of the roots a number of pairs in proportion to the members is confirmed
     first: those with the central member of a large node, which bring most copies together, and
     then between the components those with drawn leaders and those of small nodes.  Then nodes of
-    which all members are in one component are done.  Of the others those whose leaders meet very
-    many members to confirm are dense, and their members branch by rare shingles; in the rest all
-    pairs between components are compared or the node branches on.  What is left to confirm is
+    which all members are in one component are done.  Of the others those full of copies in
+    many components are dense, and their members branch by rare shingles; in the rest all pairs
+    between components are compared or the node branches on.  What is left to confirm is
     gathered.
     """
     found = _Links(docs, classes, width, percent)
@@ -408,11 +419,12 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: in
     for level in range(1, MOST_LEVELS + 1):
         rooted = stored(nodes.join(_parts(nodes), "path"), "rooted")
         crowds = rooted.filter(F.col("size") > DENSE_NODE)
-        led = stored(_pairs_with_leaders(crowds, _drawn(crowds, LEADERS), alike), "led")
-        met = led.groupBy("path").agg(F.count("*").alias("n")).filter(F.col("n") > LEADERS * FIRST_NODE).select("path")
-        met = stored(met, "dense")
-        dense.append(rooted.join(met, "path", "left_semi").select("class_id"))
-        rooted = rooted.join(met, "path", "left_anti")
+        led = stored(_met(crowds, _drawn(crowds, LEADERS), alike), "led")
+        met = led.groupBy("path").agg(F.count("*").alias("met"), F.count_if("apart").alias("apart"))
+        copies = crowds.join(met.filter(F.col("apart") > LEADERS * FIRST_NODE), "path")
+        copies = stored(copies.filter(F.col("met") * DENSE_SHARE > F.col("size") * LEADERS).select("path", "class_id"), "dense")
+        dense.append(copies.select("class_id"))
+        rooted = rooted.join(copies.select("path").distinct(), "path", "left_anti")
         # per node the pairs between components: few of them are compared at once
         near = (F.col("across") <= F.col("size") * (SMALL_NODE / 2)) | F.lit(level == MOST_LEVELS)
         close = rooted.filter(near).drop("size", "across")
@@ -421,7 +433,7 @@ def _linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: in
         far = stored(rooted.filter(~near).drop("size", "across", "main"), "far")
         if far.isEmpty():
             break
-        gathered.append(led.join(far.select("path").distinct(), "path", "left_semi").select(ends))
+        gathered.append(led.filter("apart").join(far.select("path").distinct(), "path", "left_semi").select(ends))
         nodes = stored(_crowded(_children(far, BRANCHES, signatures)).drop("size"), "members")
     ids = stored(reduce(DataFrame.unionByName, dense).distinct(), "dense")
     if not ids.isEmpty():
