@@ -6,8 +6,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-# Bases that are tried at once for a node: first, and at most; cells looked at for that at once.
-_TRIED, _MOST_TRIED, _CELLS = 1 << 6, 1 << 12, 1 << 17
+# Bases that are tried at once for a node, and about how many cells are looked at for that at once.
+_MOST_TRIED, _CELLS = 1 << 12, 1 << 16
 
 
 @dataclass
@@ -54,18 +54,30 @@ class DoubleArray:
 
         ``following[i]`` says that word ``i + 1`` may follow word ``i``.
         """
-        places = np.flatnonzero(symbols >= 0)
-        states = symbols[places]
-        yield states
-        for level in range(1, words):
-            on = places + level - 1 < len(following)
-            places, states = places[on], states[on]
-            on = following[places + level - 1]
-            places, states = places[on], states[on]
-            states = self.step(states, symbols[places + level])
-            places, states = places[states >= 0], states[states >= 0]
+        for _, states in self._walked(np.flatnonzero(symbols >= 0), symbols, following, words):
             yield states
 
+    def walk_rows(self, rows: np.ndarray):
+        """Per level the rows of keys that reach a state, and the states; 0 ends a shorter row."""
+        symbols, following = self.symbols(rows.reshape(-1)), rows != 0
+        begins = np.arange(len(rows)) * rows.shape[1]
+        following = np.append(following[:, 1:], np.zeros((len(rows), 1), bool), axis=1).reshape(-1)
+        for places, states in self._walked(begins[symbols[begins] >= 0], symbols, following, rows.shape[1]):
+            yield places // rows.shape[1], states
+
+    def _walked(self, places: np.ndarray, symbols: np.ndarray, following: np.ndarray, words: int):
+        """Per level the places of those given that come so far, and their states."""
+        begins, states = places, symbols[places]
+        yield begins, states
+        for level in range(1, words):
+            on = begins + level - 1 < len(following)
+            begins, states = begins[on], states[on]
+            on = following[begins + level - 1]
+            begins, states = begins[on], states[on]
+            states = self.step(states, symbols[begins + level])
+            begins, states = begins[states >= 0], states[states >= 0]
+            yield begins, states
+
     def states_of(self, phrases: np.ndarray) -> np.ndarray:
         """The state of each row of keys; 0 ends a shorter phrase."""
         symbols = self.symbols(phrases.reshape(-1)).reshape(phrases.shape)
@@ -97,8 +109,8 @@ def build(phrases: np.ndarray) -> DoubleArray:
 def _place(trie: DoubleArray, parents: np.ndarray, symbols: np.ndarray, free_from: int) -> int:
     """Cells for the children of one level; returns the first cell that is still free.
 
-    Nodes with many children look for a base at which all their cells are free, the widest
-    first; single children then fill the free cells one after another.
+    Nodes with many children draw bases until all their cells are free, those of like width
+    together and the widest first; single children then fill the free cells one after another.
     """
     order = np.lexsort((symbols, parents))
     parents, symbols = parents[order], symbols[order]
@@ -108,37 +120,43 @@ def _place(trie: DoubleArray, parents: np.ndarray, symbols: np.ndarray, free_fro
     base, check = trie.base, trie.check
     taken = check >= 0
     taken[:span] = True  # the states of single words
+    wanted = np.zeros(len(check), np.int64)
 
     def reach(cells: int) -> None:
-        nonlocal base, check, taken
+        nonlocal base, check, taken, wanted
         more = max(cells - len(check), 0)
         if more:
-            more = max(more, len(check))
+            more = max(more, len(check) // 4)
             base, check = np.append(base, np.zeros(more, np.int64)), np.append(check, np.full(more, -1, np.int64))
-            taken = np.append(taken, np.zeros(more, bool))
-
-    several, low, widest = np.flatnonzero(counts > 1), free_from, len(parents)
-    for node in several[np.argsort(-counts[several], kind="stable")].tolist():
-        children = symbols[first[node] : first[node] + counts[node]]
-        if len(children) <= widest // 2:  # narrower nodes fit into what wider ones have passed over
-            low, widest = free_from, len(children)
-        cells, tried = None, _TRIED
-        while cells is None:
-            tried = max(1, min(tried, _CELLS // len(children)))
-            reach(low + 4 * tried + span)
-            open_cells = low + np.flatnonzero(~taken[low : low + 4 * tried])[:tried]
-            bases = open_cells - children[0]
-            for child in children[1:]:  # few bases are left after some children
-                bases = bases[~taken[bases + child]]
-                if not len(bases):
-                    break
-            if len(bases):
-                cells = int(bases[0]) + children
-            else:  # the cells passed over are left to single children
-                low = int(open_cells[-1]) + 1 if len(open_cells) else low + 4 * tried
-                tried = min(2 * tried, _MOST_TRIED)
-        state = int(parents[first[node]])
-        taken[cells], check[cells], base[state] = True, state, int(cells[0]) - int(children[0])
+            taken, wanted = np.append(taken, np.zeros(more, bool)), np.append(wanted, np.zeros(more, np.int64))
+
+    draw = np.random.default_rng(0)  # the same phrases always give the same trie
+    several, high, placed = np.flatnonzero(counts > 1), free_from, 0
+    width = np.frexp(counts[several])[1]
+    for alike in np.unique(width)[::-1]:
+        nodes = several[width == alike]
+        placed += int(counts[nodes].sum())
+        high = max(high, free_from + placed + placed // 4)
+        while len(nodes):
+            sizes = counts[nodes]
+            begins, total = np.cumsum(sizes) - sizes, int(sizes.sum())
+            node = np.repeat(np.arange(len(nodes)), sizes)
+            places = first[nodes][node] + np.arange(total) - begins[node]
+            shift = symbols[places] - symbols[first[nodes]][node]
+            reach(high + span)
+            cells = draw.integers(free_from, high, (min(max(_CELLS // total, 1), _MOST_TRIED), len(nodes)))
+            fits = np.logical_and.reduceat(~taken[cells[:, node] + shift], begins, axis=1)
+            cells = cells[fits.argmax(axis=0), np.arange(len(nodes))][node] + shift
+            on = np.flatnonzero(fits.any(axis=0)[node])
+            wanted[cells[on][::-1]] = node[on][::-1]  # of nodes that want a cell the first has it
+            chosen = fits.any(axis=0)
+            chosen[node[on][wanted[cells[on]] != node[on]]] = False
+            on = np.flatnonzero(chosen[node])
+            taken[cells[on]], check[cells[on]] = True, parents[places[on]]
+            base[parents[first[nodes[chosen]]]] = (cells - symbols[places])[begins[chosen]]
+            if 4 * chosen.sum() < len(nodes):  # too few are free
+                high += max((high - free_from) // 8, total)
+            nodes = nodes[~chosen]
     single = first[counts == 1]
     reach(free_from + len(single) + int(taken[free_from:].sum()))
     cells = free_from + np.flatnonzero(~taken[free_from:])[: len(single)]

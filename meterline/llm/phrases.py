@@ -2,8 +2,9 @@
 
 Level by level, phrases of two and three words become candidates when all their parts are
 frequent and they are seen often enough.  Candidates and their parts are then counted by
-double-array tries, which are broadcast in bounded pieces: numpy advances the states of all
-places of a text at once, word by word, and adds up how often each state is reached.
+double-array tries of bounded size, over which phrases and the places of all texts are dealt
+alike: numpy advances the states of many places at once, word by word, and adds up how often
+each state is reached.
 """
 
 from __future__ import annotations
@@ -26,9 +27,14 @@ from meterline.llm.words import U64, Words, find_words, mix
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 NO_LANG = "und"
-# Phrases of one trie, which takes some 10 MB, and tries that are broadcast at once.
-TRIE_PHRASES = 1 << 19
+# Phrases of one trie, which takes some 10 MB, words of all texts for which there is a trie, and tries
+# that a task takes, one after another.
+TRIE_PHRASES = 1 << 17
+TRIE_WORDS = 1 << 22
 TRIES_A_PASS = 2
+# Places of texts that are dealt over the tries at once, and most of them in a row on the way there.
+DEALT_PLACES = 1 << 19
+_PLACES_A_ROW = 1 << 11
 # Most bits of the tables that say which words and pairs are frequent; wrong only by letting more through.
 MOST_BITS = 27
 WINDOW = 2 << 20
@@ -249,12 +255,18 @@ def candidates(texts: DataFrame, words: DataFrame, seed: int, least: int) -> Dat
 
 
 _TRIE = "trie int, part string, keys binary, base binary, check binary, phrases binary, states binary"
+_PLACES = "trie int, part string, places binary, counts binary"
 
 
-def tries(phrases: DataFrame, count: int) -> DataFrame:
-    """The phrases dealt over tries by hash: per trie a row of its arrays, and one of its phrases' states."""
-    shards = max(-(-count // TRIE_PHRASES), 1)
-    dealt = phrases.withColumn("trie", F.pmod(F.xxhash64(*_KEYS), F.lit(shards)).cast("int"))
+def _trie_of(first: np.ndarray, second: np.ndarray, shards: int) -> np.ndarray:
+    """The trie of what begins with two words of these keys, which are hashes; 0 for the second where there is none."""
+    return (first ^ (second >> U64(1))).view(np.int64) % shards
+
+
+def tries(phrases: DataFrame, shards: int) -> DataFrame:
+    """The phrases dealt over tries as :func:`_trie_of` does: per trie a row of its arrays, and one of its phrases' states."""
+    begins = F.col("k1").bitwiseXOR(F.shiftrightunsigned("k2", 1))
+    dealt = phrases.withColumn("trie", F.pmod(begins, F.lit(shards).cast("long")).cast("int"))
 
     def made(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.ascontiguousarray(group[_KEYS].to_numpy(np.int64)).view(U64)
@@ -271,65 +283,117 @@ def tries(phrases: DataFrame, count: int) -> DataFrame:
     return dealt.groupBy("trie").applyInPandas(made, _TRIE)
 
 
-def _states(stored_tries: DataFrame) -> DataFrame:
-    """(trie, state, k1, k2, k3) of all phrases."""
+def _dealt(texts: DataFrame, seed: int, table: Broadcast, shards: int) -> DataFrame:
+    """Places of the texts for each trie: distinct rows of keys that 0 fills up, and how often each occurs.
+
+    A place is a row of two or three words where the table shows that they may be a phrase, and one
+    of its word alone, for the tries of both.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys = np.frombuffer(row["phrases"], np.int64).reshape(-1, len(_KEYS))
-                states = pa.array(np.frombuffer(row["states"], np.int32))
-                columns = [pa.array(np.ascontiguousarray(keys[:, i])) for i in range(len(_KEYS))]
-                tries_of = pa.array(np.full(len(keys), row["trie"], np.int32))
-                yield pa.RecordBatch.from_arrays([tries_of, states, *columns], ["trie", "state", *_KEYS])
+        wanted = received(table)
+
+        def shown(keys: list[np.ndarray]) -> np.ndarray:
+            return _shown(wanted, _mixed(keys))
+
+        def made(longer: list[np.ndarray], single: list[np.ndarray]) -> pa.RecordBatch:
+            phrases, counts = _distinct(np.concatenate(longer, axis=1))
+            words, times = np.unique(np.concatenate(single), return_counts=True)
+            words = words[None][[0, 0, 0]] * np.array([[1], [0], [0]], U64)
+            phrases, counts = np.concatenate([phrases, words], axis=1), np.concatenate([counts, times]).astype(np.uint32)
+            trie_of = _trie_of(phrases[0], phrases[1], shards)
+            order = np.argsort(trie_of, kind="stable")
+            rows, counts, trie_of = phrases[:, order].T, counts[order], trie_of[order]
+            begins = np.flatnonzero(np.append(True, trie_of[1:] != trie_of[:-1])) if len(order) else np.zeros(0, np.int64)
+            cuts = [
+                (low, min(low + _PLACES_A_ROW, end))
+                for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(order)])
+                for low in range(begin, end, _PLACES_A_ROW)
+            ]
+            arrays = [
+                pa.array(trie_of[[low for low, _ in cuts]].astype(np.int32)),
+                pa.array(["places"] * len(cuts), pa.string()),
+                pa.array([np.ascontiguousarray(rows[low:high]).tobytes() for low, high in cuts], pa.binary()),
+                pa.array([counts[low:high].tobytes() for low, high in cuts], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, ["trie", "part", "places", "counts"])
+
+        longer, single, size = [], [], 0
+        for langs, column in _texts(batches):
+            _, keys, following = keyed_words(langs, column, seed)
+            ends = np.zeros(2, U64)
+            second = np.append(keys, ends)[1:-1] * following
+            third = np.append(keys, ends)[2:] * (following & np.append(following[1:], False)[: len(keys)])
+            none = np.zeros(len(keys), U64)
+            single.append(keys[shown([keys, none, none])])
+            at = np.flatnonzero(following)
+            at = at[shown([keys[at], second[at], none[at]])]
+            first, second, third = keys[at], second[at], third[at]
+            third[third != 0] *= shown([x[third != 0] for x in (first, second, third)])
+            longer.append(np.stack([first, second, third]))
+            size += len(keys)
+            if size >= DEALT_PLACES:
+                yield made(longer, single)
+                longer, single, size = [], [], 0
+        if size:
+            yield made(longer, single)
+
+    return texts.mapInArrow(run, _PLACES)
+
+
+def phrase_counts(texts: DataFrame, seed: int, phrases: DataFrame, words: int) -> DataFrame:
+    """(k1, k2, k3, n): how often each of the phrases occurs in all texts, which have so many words.
+
+    Texts are read once: their places are dealt over the tries as the phrases are, by the first two
+    words, so each is walked in one trie however many there are.  A task has the places of
+    ``TRIES_A_PASS`` tries and holds one trie at a time.
+    """
+    spark, size = texts.sparkSession, phrases.count()
+    shards = max(-(-size // TRIE_PHRASES), -(-words // TRIE_WORDS), 1)
+    stored_tries = stored(tries(phrases, shards), "tries")
+    table = broadcast(spark, _table_of(_with_number(phrases, _KEYS), size))
+    found = stored(_counted(stored_tries, _dealt(texts, seed, table, shards), shards), "counts")
+    table.destroy()
+    return found
 
-    phrases = stored_tries.filter("part = 'phrases'").select("trie", "phrases", "states")
-    return phrases.mapInArrow(run, "trie int, state int, k1 long, k2 long, k3 long")
 
+def _counted(stored_tries: DataFrame, places: DataFrame, shards: int) -> DataFrame:
+    """(k1, k2, k3, n) of the phrases of all tries that some places reach."""
 
-def phrase_counts(texts: DataFrame, seed: int, phrases: DataFrame) -> DataFrame:
-    """(k1, k2, k3, n): how often each of the phrases occurs in all texts.
+    def counts(phrases: np.ndarray, states: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+        seen = total[states] > 0
+        columns = [pa.array(np.ascontiguousarray(phrases[seen, i])) for i in range(len(_KEYS))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(total[states[seen]])], [*_KEYS, "n"])
 
-    At most ``TRIES_A_PASS`` tries of about ``TRIE_PHRASES`` phrases are broadcast for one pass
-    over the texts; more phrases take more passes.  A task adds up counts per state and gives
-    those that occur when its texts end.
-    """
-    spark, size = texts.sparkSession, phrases.count()
-    stored_tries = stored(tries(phrases, size), "tries")
-    shards, counts = max(-(-size // TRIE_PHRASES), 1), None
-    for low in range(0, shards, TRIES_A_PASS):
-        arrays = stored_tries.filter("part = 'trie'").select("trie", "keys", "base", "check")
-        # one after another and as Arrow batches, as the driver holds several copies of rows that it collects
-        rows = [row for i in range(low, low + TRIES_A_PASS) for row in arrays.filter(F.col("trie") == i).toArrow().to_pylist()]
-        sent = broadcast(spark, rows)
-        del rows
-        found = stored(_counted(texts, seed, sent), "counts")
-        sent.destroy()
-        counts = found if counts is None else counts.unionByName(found)
-    return _states(stored_tries).join(counts, ["trie", "state"]).select(*_KEYS, "n")
-
-
-def _counted(texts: DataFrame, seed: int, sent: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = received(sent)
-        walked = [
-            DoubleArray(np.frombuffer(row["keys"], U64), np.frombuffer(row["base"], np.int32), np.frombuffer(row["check"], np.int32))
-            for row in rows
-        ]
-        totals = [np.zeros(len(trie.check), np.int64) for trie in walked]
-        for langs, column in _texts(batches):
-            _, keys, following = keyed_words(langs, column, seed)
-            for trie, total in zip(walked, totals):
-                for states in trie.walk(trie.symbols(keys), following, len(_KEYS)):
-                    counts = np.bincount(states)
-                    total[: len(counts)] += counts
-        for row, total in zip(rows, totals):
-            states = np.flatnonzero(total)
-            tries_of = pa.array(np.full(len(states), row["trie"], np.int32))
-            yield pa.RecordBatch.from_arrays([tries_of, pa.array(states.astype(np.int32)), pa.array(total[states])], ["trie", "state", "n"])
-
-    found = texts.mapInArrow(run, "trie int, state int, n long")
-    return found.groupBy("trie", "state").agg(F.sum("n").alias("n"))
+        at, trie, known, total = None, None, None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["trie"] != at:
+                    if known:
+                        yield counts(*known, total)
+                    at, trie, known, total = row["trie"], None, None, None
+                if row["part"] == "trie":
+                    trie = DoubleArray(*(np.frombuffer(row[name], kind) for name, kind in (("keys", U64), ("base", np.int32), ("check", np.int32))))
+                    total = np.zeros(len(trie.check), np.int64)
+                elif row["part"] == "phrases":
+                    known = np.frombuffer(row["phrases"], np.int64).reshape(-1, len(_KEYS)), np.frombuffer(row["states"], np.int32)
+                elif trie is not None:  # else there is no phrase for what the table let through
+                    rows, times = np.frombuffer(row["places"], U64).reshape(-1, len(_KEYS)), np.frombuffer(row["counts"], np.uint32)
+                    for level, (which, states) in enumerate(trie.walk_rows(rows)):
+                        if level == 0:  # a word is counted where it is a row of its own
+                            alone = rows[which, 1] == 0
+                            which, states = which[alone], states[alone]
+                        np.add.at(total, states, times[which].astype(np.int64))
+        if known:
+            yield counts(*known, total)
+
+    rows = stored_tries.unionByName(places, allowMissingColumns=True)
+    parts = -(-shards // TRIES_A_PASS)
+    dealt = rows.repartitionById(parts, F.floor(F.col("trie") / TRIES_A_PASS).cast("int"))
+    ordered = dealt.sortWithinPartitions("trie", F.col("part") == "places")
+    return ordered.mapInArrow(run, ", ".join(f"{name} long" for name in [*_KEYS, "n"]))
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -355,7 +419,8 @@ def collocations(docs: DataFrame, least: int = 10, part_percent: int = 50, most:
     with arrow_batches_of(docs.sparkSession, _ROWS):
         words, seed = _distinct_words(texts)
         phrases = candidates(texts, words, seed, least)
-        counts = stored(phrase_counts(texts, seed, phrases), "counted")
+        total = words.agg(F.sum("n")).first()[0] or 0
+        counts = phrase_counts(texts, seed, phrases, total)
     one = counts.filter("k2 = 0").select("k1", "n")
     two = counts.filter("k2 != 0 AND k3 = 0 AND n >= %d" % least).select("k1", "k2", "n")
     three = counts.filter("k3 != 0 AND n >= %d" % least).select(*_KEYS, F.col("n").alias("a"))

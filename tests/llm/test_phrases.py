@@ -134,3 +134,54 @@ def test_double_array_counts_what_occurs(size, symbols):
             if following[i + 1]:
                 seen[(*words[i : i + 3],)] += 1
     assert [totals[s] for s in states] == [seen[tuple(p)] for p in wanted.tolist()]
+
+
+def test_more_tries_take_no_more_passes_over_the_texts(spark, monkeypatch):
+    rows, read = drawn(40, 6, 5), []
+    for size in (1 << 20, 40):
+        monkeypatch.setattr(phrases, "TRIE_PHRASES", size)
+        seen = spark.sparkContext.accumulator(0)
+
+        def passed(batches, seen=seen):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        docs = spark.createDataFrame(rows, "text string, lang string").mapInArrow(passed, "text string, lang string")
+        assert sorted(map(tuple, phrases.collocations(docs, 2).collect())) == plain(rows, 2)
+        read.append(seen.value)
+    assert read[0] == read[1] > 0
+
+
+def test_places_that_the_table_lets_through_are_not_counted(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "MOST_BITS", 7)
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", 7)
+    monkeypatch.setattr(phrases, "TRIE_WORDS", 50)  # some tries have places but no phrases
+    monkeypatch.setattr(phrases, "DEALT_PLACES", 100)
+    monkeypatch.setattr(phrases, "_PLACES_A_ROW", 3)
+    check(spark, drawn(100, 12, 8), least=10)
+
+
+def test_tries_are_built_dense_and_walked_by_rows():
+    draw = np.random.default_rng(3)
+    names = draw.integers(1, 1 << 64, 3_000, np.uint64)
+    wanted = np.unique(names[draw.zipf(1.2, (60_000, 3)) % 3_000], axis=0)
+    wanted[::2, 2] = 0
+    wanted = np.unique(wanted, axis=0)
+    trie = double_array.build(wanted)
+    assert len(trie.check) < 40 * len(wanted)
+    known = dict(zip(map(tuple, wanted.tolist()), trie.states_of(wanted).tolist()))
+    begins = {key[:2] + (0,) for key in known}
+    others = names[draw.integers(0, 3_000, (20_000, 3))]
+    others[::3, 1:] = 0
+    rows = np.concatenate([wanted, others, others + np.uint64(1)])
+    found = list(trie.walk_rows(rows))
+    for level in (1, 2):
+        reached = {tuple(row[: level + 1]) for row in rows[found[level][0]].tolist()}
+        want = [row for row in rows.tolist() if row[level] and ((*row[: level + 1], 0)[:3] in (begins if level == 1 else known))]
+        assert reached == {tuple(row[: level + 1]) for row in want} and len(found[level][0]) == len(want)
+    for which, states in found[1:]:
+        full = [(known.get(tuple(rows[i].tolist())), s) for i, s in zip(which.tolist(), states.tolist())]
+        assert any(a == b for a, b in full)
+    exact = {tuple(rows[i].tolist()): s for i, s in zip(found[2][0].tolist(), found[2][1].tolist())}
+    assert all(exact[key] == state for key, state in known.items() if key[2])
