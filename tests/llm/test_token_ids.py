@@ -61,6 +61,32 @@ def test_grammars_expand_to_what_they_were_made_of(size, symbols):
         assert len(made.sequence) + 2 * len(made.left) < size
 
 
+@pytest.mark.parametrize("least", [2, 8])
+@pytest.mark.parametrize("buckets", [None, 16])
+def test_no_frequent_pair_is_left(monkeypatch, least, buckets):
+    """Neither rounds that gain little, nor pairs that share a bucket, nor places that are not counted leave any."""
+    assert grammar.LEAST == 2
+    if buckets:
+        monkeypatch.setattr(grammar, "_bucket", lambda pairs: pairs % buckets)
+    draw = np.random.default_rng(7)
+    words = [draw.integers(0, 400, draw.integers(2, 9)) for _ in range(500)]
+    for ids in (
+        draw.zipf(1.3, 3_000) % 200,
+        np.concatenate([words[i] for i in draw.zipf(1.2, 2_000) % 500]),
+        np.repeat(draw.integers(0, 5, 300), draw.integers(1, 20, 300)),
+        np.tile([1, 2, 9], 40),
+        np.array([3, 3, 3, 4, 3, 4, 3, 3]),
+        np.append(np.arange(50), [7, 8]),
+    ):
+        made = grammar.compress(ids, least)
+        assert np.array_equal(made.ids(), ids)
+        pairs = np.stack([made.sequence[:-1], made.sequence[1:]])
+        assert np.unique(pairs, axis=1, return_counts=True)[1].max(initial=0) < least
+        assert np.array_equal(made.symbol_lengths(made.left) + made.symbol_lengths(made.right), made.lengths)
+        used = np.concatenate([made.left, made.right, made.sequence])
+        assert set(range(made.base, made.base + len(made.left))) <= set(used.tolist())
+
+
 def test_pairs_are_counted_alike_at_every_length(monkeypatch):
     shares, counted = set(), grammar._pair_counts
 
