@@ -38,8 +38,9 @@ _PLACES_A_ROW = 1 << 11
 # Most bits of the tables that say which words and pairs are frequent; wrong only by letting more through.
 MOST_BITS = 27
 WINDOW = 2 << 20
-# Rows that a Python task gets at once.
+# Rows that a Python task gets at once; parts of a language that are ranked before it comes together.
 _ROWS = 600
+_RANKED_PARTS = 64
 
 _WORD = np.ones(256, bool)
 _WORD[[*BREAKS, *BLANKS]] = False
@@ -422,6 +423,7 @@ def collocations(docs: DataFrame, least: int = 10, part_percent: int = 50, most:
         total = words.agg(F.sum("n")).first()[0] or 0
         counts = phrase_counts(texts, seed, phrases, total)
     one = counts.filter("k2 = 0").select("k1", "n")
+    begun = one.join(words.select(F.col("key").alias("k1"), "lang"), "k1")  # a key is of one language
     two = counts.filter("k2 != 0 AND k3 = 0 AND n >= %d" % least).select("k1", "k2", "n")
     three = counts.filter("k3 != 0 AND n >= %d" % least).select(*_KEYS, F.col("n").alias("a"))
 
@@ -431,14 +433,15 @@ def collocations(docs: DataFrame, least: int = 10, part_percent: int = 50, most:
     holding = holding.groupBy("part.k1", "part.k2").agg(F.max("a").alias("longer"))
     pairs = two.withColumnRenamed("n", "a").join(holding, ["k1", "k2"], "left")
     pairs = pairs.filter(F.coalesce(F.col("longer") * 100 < F.col("a") * part_percent, F.lit(True)))
-    pairs = pairs.join(one.toDF("k1", "l"), "k1").join(one.toDF("k2", "r"), "k2")
-    pairs = pairs.select("k1", "k2", F.lit(0).cast("long").alias("k3"), "a", "l", "r", _score("a", "l", "r").alias("score"))
+    pairs = pairs.join(begun.toDF("k1", "l", "lang"), "k1").join(one.toDF("k2", "r"), "k2")
+    pairs = pairs.select("lang", "k1", "k2", F.lit(0).cast("long").alias("k3"), "a", "l", "r", _score("a", "l", "r").alias("score"))
 
-    cut = three.join(one.toDF("k1", "l1"), "k1").join(two.toDF("k2", "k3", "r1"), ["k2", "k3"])
+    cut = three.join(begun.toDF("k1", "l1", "lang"), "k1").join(two.toDF("k2", "k3", "r1"), ["k2", "k3"])
     cut = cut.join(two.toDF("k1", "k2", "l2"), ["k1", "k2"]).join(one.toDF("k3", "r2"), "k3")
     cut = cut.withColumns({"s1": _score("a", "l1", "r1"), "s2": _score("a", "l2", "r2")})
     first = F.col("s1") <= F.col("s2")
     cut = cut.select(
+        "lang",
         *_KEYS,
         "a",
         F.when(first, F.col("l1")).otherwise(F.col("l2")).alias("l"),
@@ -449,11 +452,15 @@ def collocations(docs: DataFrame, least: int = 10, part_percent: int = 50, most:
 
 
 def _ranked(scored: DataFrame, words: DataFrame, most: int) -> DataFrame:
-    """Scored phrases in words; ranks are cut per task before a language comes together."""
-    named = words.select("key", "lang", "word")
-    spelled = scored.join(named.toDF("k1", "lang", "_w1"), "k1")
-    for name, word in (("k2", "_w2"), ("k3", "_w3")):
-        spelled = spelled.join(named.select(F.col("key").alias(name), F.col("word").alias(word)), name, "left")
+    """Scored phrases in words; ranks, ties kept, are cut in parts of a language before it comes together and is spelled."""
+    part = F.pmod(F.xxhash64(*_KEYS), F.lit(_RANKED_PARTS))
+    for whole in (["lang", "_part"], ["lang"]):
+        best = Window.partitionBy(*whole).orderBy(F.desc("score"), F.desc("a"))
+        scored = scored.withColumn("_part", part).withColumn("_rank", F.rank().over(best)).filter(F.col("_rank") <= most)
+    spelled = scored.drop("_part", "_rank")
+    named = words.select("key", "word")
+    for key, word in zip(_KEYS, ("_w1", "_w2", "_w3")):
+        spelled = spelled.join(named.toDF(key, word), key, "left")
     spelled = spelled.withColumn("phrase", F.concat_ws(" ", "_w1", "_w2", "_w3"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = spelled.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)

@@ -89,6 +89,31 @@ def test_few_rows_are_kept_in_order(spark):
     check(spark, drawn(150, 30, 5), least=3, most=5)
 
 
+def test_ranks_are_cut_before_a_language_comes_together(spark):
+    """Spelled and ranked by language are the first ones and their ties alone, in one task each."""
+    draw = np.random.default_rng(1)
+    rows = [(i, int(draw.integers(1, 10)), int(draw.integers(0, 50))) for i in range(1, 40_001)]
+    scored = spark.createDataFrame(rows, "k1 long, a long, score long").selectExpr(
+        "'en' AS lang", "k1", "k1 AS k2", "0L AS k3", "a", "1L AS l", "1L AS r", "CAST(score AS DECIMAL(38, 0)) AS score"
+    )
+    words = spark.createDataFrame([("en", f"w{i}", i, 1) for i, _, _ in rows], "lang string, word string, key long, n long")
+    seen, usual = spark.sparkContext.accumulator(0), phrases.F.concat_ws
+
+    @phrases.F.udf("string")
+    def counted(phrase):
+        seen.add(1)
+        return phrase
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(phrases.F, "concat_ws", lambda *columns: counted(usual(*columns)))
+        got = phrases._ranked(scored, words, 50).collect()
+    first = sorted(rows, key=lambda row: (-row[2], -row[1], f"w{row[0]} w{row[0]}"))
+    assert [(row["phrase"], row["a"], row["score"]) for row in sorted(got, key=lambda row: row["rank"])] == [
+        (f"w{i} w{i}", a, score) for i, a, score in first[:50]
+    ]
+    assert seen.value < 1_000
+
+
 def test_nulls_repeated_rows_and_nothing(spark):
     check(spark, [(None, None), ("", "en"), (" .\n", None)], least=1)
     check(spark, [("a b c", "en")] * 12 + [("A B", None)] * 11 + [(None, "en")], least=10)
